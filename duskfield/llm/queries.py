@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .packing import pack_documents
 from .quality_rules import host_quality
 from .url_filters import filter_urls
 
@@ -17,6 +19,13 @@ from .url_filters import filter_urls
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``pack_documents``: per piece where it lies in its document and its sequence, and the CRC of its ids."""
+    path = public_tokenizers.path
+    got = pack_documents(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+    return got.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``dedup_lines``: per document the lines before, the lines dropped, and the digest of the text that stays."""
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -39,7 +48,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_quality_rules, op7_mixing, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op7_mixing, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
