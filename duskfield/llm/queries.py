@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
+from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality_rules import host_quality
@@ -37,6 +38,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``near_duplicates``."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``mix_sources``."""
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -48,7 +54,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op7_mixing, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op5_minhash, op7_mixing, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
