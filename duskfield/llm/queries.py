@@ -14,6 +14,7 @@ from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality_rules import host_quality
+from .token_counts import count_tokens
 from .url_filters import filter_urls
 
 #: The url rules as (verdict, host, path).
@@ -48,13 +49,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``count_tokens``."""
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``filter_urls``."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op5_minhash, op7_mixing, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op5_minhash, op7_mixing, op8_token_counts, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
