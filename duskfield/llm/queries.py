@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
+from .quality_classifier import quality_scores
 from .quality_rules import host_quality
 from .token_counts import count_tokens
 from .url_filters import filter_urls
@@ -33,6 +34,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``quality_scores``."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``host_quality``: counts, base rules and the verdict that the document's host has a part in."""
     got = host_quality(table(spark, sf_dir, "documents"))
@@ -60,7 +66,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op4_quality_rules, op5_minhash, op7_mixing, op8_token_counts, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op7_mixing, op8_token_counts, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
