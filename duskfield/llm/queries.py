@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
+from .media import from_media, to_media
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
@@ -50,6 +51,22 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``to_media`` and ``from_media``; the feature lists the clips as first-last frame@start-end milliseconds."""
+    got = from_media(to_media(table(spark, sf_dir, "documents")))
+    clip = F.transform("clips", lambda c: F.concat_ws("", c["first_frame"], F.lit("-"), c["last_frame"], F.lit("@"), c["start_ms"], F.lit("-"), c["end_ms"]))
+    return got.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.array_join(clip, ",").alias("feature"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``mix_sources``."""
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -66,7 +83,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op7_mixing, op8_token_counts, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op6_media, op7_mixing, op8_token_counts, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
