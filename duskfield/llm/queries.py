@@ -14,6 +14,7 @@ from .media import from_media, to_media
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
+from .pii import find_personal_data, listed
 from .quality_classifier import quality_scores
 from .quality_rules import host_quality
 from .token_counts import count_tokens
@@ -77,13 +78,28 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``find_personal_data``: counts and digest of the base spans, and all spans."""
+    got = find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return got.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_email"),
+        count(1).alias("n_ip"),
+        count(2).alias("n_card"),
+        count(3).alias("n_phone"),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "more")).alias("spans"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``filter_urls``."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op6_media, op7_mixing, op8_token_counts, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op6_media, op7_mixing, op8_token_counts, op9_pii, op10_url_filters)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
