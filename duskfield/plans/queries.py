@@ -255,13 +255,13 @@ def type_override(spark, d):
 
 
 @query(f"""{with_views('det')}, g as (select truth as gid, avg(x) as gx, avg(y) as gy from det group by truth), p as (select gid, epoch_id, det_id, sqrt((x-gx)*(x-gx)+(y-gy)*(y-gy)) as d from det join g on abs(x-gx)<=3 and abs(y-gy)<=3)
-select gid, epoch_id, det_id, round(d, 6) as dist from p where d<=3 qualify row_number() over (partition by gid, epoch_id order by round(d, 7), det_id)=1""")
+select gid, epoch_id, det_id, round(d, 7) as dist from p where d<=3 qualify row_number() over (partition by gid, epoch_id order by round(d, 7), det_id)=1""")
 def lightcurve_nearest(spark, d):
     x = det(spark, d)
     g = x.groupBy(F.col("truth").alias("gid")).agg(F.avg("x").alias("gx"), F.avg("y").alias("gy"))
     pairs = spatial.radius_join(x, g, 3.0, right_on=("gx", "gy")).withColumn("dist", F.round("dist", 7))
     order = Window.partitionBy("gid", "epoch_id").orderBy("dist", "det_id")
-    return pairs.withColumn("n", F.row_number().over(order)).where("n = 1").select("gid", "epoch_id", "det_id", r("dist", 6).alias("dist"))
+    return pairs.withColumn("n", F.row_number().over(order)).where("n = 1").select("gid", "epoch_id", "det_id", "dist")
 
 
 @query(f"""{with_views('det')}, s as (select *, abs(mag-lag(mag) over (partition by truth order by obs_time, det_id)) as step, sum(mag/(err*err)) over (partition by truth)/sum(1/(err*err)) over (partition by truth) as wm from det)
