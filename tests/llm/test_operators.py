@@ -1,0 +1,349 @@
+"""Each corpus operator against brute force, and on rows that are null, empty, long, tied, repeated or absent."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from duskfield.llm import line_dedup, media, minhash, mixing, packing, pii, quality_classifier, quality_rules, token_counts, url_filters
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BYTE_BPE, RANKS, WORD_BPE = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
+
+
+def ascii_lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def texts():
+    random.seed(7)
+    vocab = [f"w{i}" for i in range(400)] + ["É", "naïve", "Ünder", "x#y", "A|B"]
+    shared = " ".join(random.choices(vocab, k=12))
+    out = [None, "", " \n\t ", "one", "One two\n\nthree", shared, f"  {shared.upper() if shared.isascii() else shared}\t\n{shared}", f"a\n{shared}\nb", "日本語 <|endoftext|> 🙂 text", "a b c d e " * 40, "\n".join(["same line of some length here"] * 7)]
+    for _ in range(25):
+        base = random.choices(vocab, k=random.randint(5, 120))
+        out.append(" ".join(base))
+        for _ in range(3):
+            base[random.randrange(len(base))] = random.choice(vocab)
+            out.append(" ".join(base) + random.choice(["", f"\n{shared}"]))
+    out.append(" ".join(random.choices(vocab, k=30_000)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def rows():
+    t = texts()
+    out = [(i, x, random.Random(i).choice(["s0", "s0", "s1", None])) for i, x in enumerate(t)]
+    return out + [out[20], out[20], (len(t) + 5, t[20], "s1")]  # repeated rows and a copy
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """With extra columns whose names the operators use inside."""
+    x = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return x.withColumns({c: F.lit(1) for c in ("id", "size", "h", "key", "n", "kept", "row", "bucket", "label", "n_words", "host", "target")}).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, source string")
+
+
+def listed(df, *cols):
+    return Counter(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_packing(docs, rows, empty):
+    tok = Tokenizer.from_file(BYTE_BPE)
+    want = defaultdict(list)
+    for i, t, _ in rows:
+        want[i].append(np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4"))
+    got = packing.pack_documents(docs, BYTE_BPE, RANKS, block_tokens=5000).collect()
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in got:
+        sequences[r["sequence_id"]].append(r)
+        pieces[r["doc_id"]].append(r)
+        ids = want[r["doc_id"]][0]
+        assert r["doc_tokens"] == len(ids) and r["tokens"] == ids[r["start"] : r["start"] + r["length"]].tobytes()
+    for s in sequences.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at == s[0]["tier"] <= 2048 and at & (at - 1) == 0
+    for i, ids in want.items():
+        covered = np.zeros(len(ids[0]), int)
+        for r in pieces[i]:
+            covered[r["start"] : r["start"] + r["length"]] += 1
+        assert (covered == len(ids)).all()
+    assert packing.pack_documents(empty, BYTE_BPE).count() == 0
+
+
+def test_packing_prefers_whole_pieces():
+    p = packing.Packer()
+    for k, n in enumerate([1500, 548, 300, 212, 5000]):
+        p.add(k, n)
+    p.pack()
+    p.finish()
+    assert (2048, [(0, 0, 1500), (1, 0, 548)]) in p.windows and sum(t for t, _ in p.windows) == 7560
+
+
+def test_line_dedup(docs, rows, empty):
+    holders = defaultdict(set)
+    key = lambda line: ascii_lower(line.strip(" \t\n\x0b\x0c\r"))
+    for i, t, _ in rows:
+        for line in (t or "").split("\n"):
+            holders[key(line)].add(i)
+    want = Counter()
+    for i, t, _ in rows:
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if not (len(key(x)) >= 20 and len(holders[key(x)]) >= 3 and i != max(holders[key(x)]))]
+        want[i, len(lines), len(lines) - len(stay), "\n".join(stay)] += 1
+    got = line_dedup.dedup_lines(docs)
+    assert listed(got, "doc_id", "n_lines", "n_dropped", "text") == want and set(docs.columns) <= set(got.columns)
+    assert any(k[2] for k in want)
+    assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def test_line_dedup_null_id(spark):
+    line = "a line of more than twenty characters"
+    got = line_dedup.dedup_lines(spark.createDataFrame([(None, line), (1, line), (2, line)], "doc_id long, text string"))
+    assert listed(got, "doc_id", "text") == Counter({(None, ""): 1, (1, ""): 1, (2, line): 1})
+
+
+def test_quality_rules(docs, rows, empty):
+    def base(t):
+        t = t or ""
+        w = WORD.findall(t)
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        win = defaultdict(list)
+        for k in range(len(w) - 4):
+            win[tuple(w[k : k + 5])].append(k)
+        rep = {k + j for at in win.values() if len(at) > 1 for k in at for j in range(5)}
+        failed = len(w) < 10 or 100 * len(rep) > 20 * len(w)
+        return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(rep), failed
+
+    got = quality_rules.host_quality(docs)
+    want = Counter((i, *base(t)) for i, t, _ in rows)
+    assert listed(got, "doc_id", *quality_rules.FEATURES, "base_failed") == want
+    assert all(not r["kept"] for r in got.collect() if r["base_failed"])
+    assert quality_rules.host_quality(empty).count() == 0
+
+
+def test_bad_host(spark):
+    good, junk = " ".join(f"word{i}" for i in range(50)), " ".join(f"v{i}%%%" for i in range(40))
+    rows = [(i, junk + str(i), "bad") for i in range(400)] + [(1000 + i, f"{good} {i}", "good") for i in range(400)] + [(2000, good, "bad"), (2001, junk, "good")]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.host_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(got[i] for i in range(400)) and all(got[1000 + i] for i in range(400)) and got[2000] and got[2001]
+
+
+def brute_classes(rows):
+    sets = {}
+    for k, (_, t, _) in enumerate(rows):
+        w = WORD.findall(ascii_lower(t or ""))
+        sets[k] = frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in sets:
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    least = {}
+    for a, (i, _, _) in enumerate(rows):
+        least[find(a)] = min(i, least.get(find(a), i))
+    return Counter((i, len(sets[a]), least[find(a)], i == least[find(a)]) for a, (i, _, _) in enumerate(rows))
+
+
+def test_minhash(docs, rows, empty):
+    assert listed(minhash.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept") == brute_classes(rows)
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_minhash_dense_group(spark, monkeypatch):
+    """A group of copies at all distances, settled through hubs alone."""
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 3)
+    random.seed(3)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        x = list(base)
+        for _ in range(random.choice([0, 1, 1, 2, 3, 4, 5, 8])):
+            x[random.randrange(len(x))] = random.choice(["p", "q", f"r{i}"])
+        rows.append((i, " ".join(x), None))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert listed(got, "doc_id", "n_shingles", "component_id", "kept") == brute_classes(rows)
+
+
+def test_signature_estimates_similarity():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    b = np.concatenate([a[:320], rng.integers(0, 1 << 63, 80).astype(np.uint64)])
+    same = (minhash.signature(a) == minhash.signature(b)).mean()
+    assert abs(same - 320 / 480) < 0.15
+
+
+def test_media(docs, rows, empty):
+    got = media.from_media(media.to_media(docs)).collect()
+    want = Counter((i, len((t or "").encode()), media.payload((t or "").encode())) for i, t, _ in rows)
+    assert Counter((r["id"], r["n_bytes"], r["payload"]) for r in got) == want
+    assert len({r["media"] for r in got}) == len({t or "" for _, t, _ in rows})
+    for r in got:
+        at = [c["first_frame"] for c in r["clips"]]
+        assert at[0] == 0 and at == sorted(set(at)) and all(c["end_ms"] > c["start_ms"] for c in r["clips"])
+    assert media.from_media(media.to_media(empty)).count() == 0
+    noise = [media.payload(np.random.default_rng(k).bytes(k * 333)) for k in range(9)] + [b"\xff" * 128, b"\x00\xff" * 2048]
+    assert [p for p, _ in media.decode_files(media.encode_payloads(noise))] == noise
+    with pytest.raises(ValueError):
+        media.parse_avi(b"RIFF no file")
+
+
+def test_media_finds_a_cut():
+    cut = media.payload(b"\x10" * media.FRAME * 4 + b"\xe0" * media.FRAME * 3)
+    assert media.decode_files(media.encode_payloads([cut]))[0][1] == [(0, 3), (4, 6)]
+
+
+def test_mixing(docs, rows, empty):
+    got = [r.asDict() for r in mixing.mix_sources(docs).collect()]
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(WORD.findall(t or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    total, target, free = 1.5 * sum(sizes.values()), {}, set(order)
+    while True:
+        rate = (total - sum(target.values())) / sum(weight[s] for s in free)
+        over = {s for s in free if rate * weight[s] > 2 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 2.0 * sizes[s] for s in over}
+        free -= over
+    target |= {s: rate * weight[s] for s in free}
+    source = {i: s for i, _, s in rows}
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(WORD.findall(t or ""))) for i, t, _ in rows)
+    taken, longest = defaultdict(int), defaultdict(int)
+    for r in got:
+        longest[r["target"]] = max(longest[r["target"]], r["size"] if r["size"] > 10_000 else 0)
+        s = source[r["doc_id"]] if r["doc_id"] in source else None
+        assert r["taken"] <= 2 * r["size"] and r["taken"] == r["copies"] * r["size"]
+        if r["doc_id"] < len(rows) - 3:
+            assert r["source_size"] in sizes.values()
+        taken[r["target"]] += r["taken"]
+        assert any(abs(r["target"] - v) < 1e-6 for v in target.values()), (r, s)
+    for t, n in taken.items():
+        assert abs(n - t) <= max(0.02 * t + 5, longest[t] / 2)  # what the longest text leaves to choose
+    again = [r.asDict() for r in mixing.mix_sources(docs.repartition(2)).collect()]
+    line = lambda x: Counter((r["doc_id"], r["size"], r["taken"]) for r in x)
+    assert line(got) == line(again)
+    assert mixing.mix_sources(empty).count() == 0
+
+
+def test_knapsack():
+    lengths, counts = np.array([9, 7, 4]), np.array([2, 1, 3])
+    sums = {9 * a + 7 * b + 4 * c for a in range(3) for b in range(2) for c in range(4)}
+    for goal in range(38):
+        got = mixing.reach(lengths, counts, goal, 37)
+        best = min(abs(s - goal) for s in sums)
+        assert abs(sum(k * v for k, v in got.items()) - goal) == best and all(v <= counts[list(lengths).index(k)] for k, v in got.items())
+
+
+def test_token_counts(docs, rows, empty):
+    tok = Tokenizer.from_file(WORD_BPE)
+    want = Counter((i, len((t or "").encode()), n := len(tok.encode(t or "", add_special_tokens=False).ids), n > 100) for i, t, _ in rows)
+    assert listed(token_counts.count_tokens(docs, WORD_BPE, limit=100, entries=50), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+    assert token_counts.count_tokens(empty, WORD_BPE).count() == 0
+
+
+def brute_spans(t):
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m[0])) <= 15]
+
+
+def test_base_patterns():
+    random.seed(5)
+    for alphabet in ("a.@b-_é ", "1.25 3-", "+1 2.()-9x", "@a.b@"):
+        for _ in range(3000):
+            t = "".join(random.choices(alphabet, k=random.randint(0, 40)))
+            assert [(pii.KINDS[k], s, e) for k, s, e in pii.base_spans(t)] == brute_spans(t)
+
+
+def test_personal_data(spark, docs, empty):
+    keys = [hashlib.sha1(str(k).encode()).hexdigest() for k in range(6)]
+    rows = [(k, f'some words then token = "{v}" and more é') for k, v in enumerate(keys)] + [(10, 'é token = "Qw3rT9-xYz81_pl" end'), (11, "reference Qw3rT9xYz81pl end"), (12, "mail a.b@c.de, call +1 (234) 555-6789"), (13, 'name = "plainwordsonly"')]
+    got = {r["id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    assert [text[10][s["start"] : s["end"]] for s in got[10]["more"]] == ["Qw3rT9-xYz81_pl"]
+    assert all([text[k][s["start"] : s["end"]] for s in got[k]["more"]] == [keys[k]] for k in range(6))
+    assert not got[11]["more"] and not got[13]["more"] and [s["kind"] for s in got[12]["base"]] == [0, 3]
+    assert pii.find_personal_data(docs).count() == docs.count() and pii.find_personal_data(empty).count() == 0
+
+
+def test_long_runs_stay_quick():
+    for t in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "1.1." * 30_000, "=" * 50_000):
+        pii.candidates(t, pii.base_spans(t))
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_urls(spark, most):
+    urls = [None, "", "no scheme", "http://A.Example.NET/en/x?y#z", "http://example.net/de/", "http://x.net", "http://net/a", "https://xexample.com/de/", "https://www.example.com/de/q", "http://b.org/fr/", "http://b.org/frx", "a://b://c.net/", "http://é.org/fr/é", "http://example.net/en/"]
+    want = []
+    for u in urls:
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host, path = re.match(r"[^/?#]*", rest)[0], re.match(r"[^/?#]*([^?#]*)", rest, re.S)[1]
+        host = ascii_lower(host)
+        fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        want.append((host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else "allow"))
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"host": F.lit(1), "path": F.lit(2), "rule": F.lit(3)})
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filters.filter_urls(df, RULES, max_index_bytes=most).collect()}
+    assert [got[k] for k in range(len(urls))] == want
+    assert url_filters.filter_urls(df, [], max_index_bytes=1 << 20).where("verdict = 'allow'").count() == len(urls)
+    assert url_filters.filter_urls(df.where("page_id < 0"), RULES).count() == 0
+
+
+def test_digest_collisions(tmp_path, monkeypatch):
+    """Equal digests are told apart by the stored strings."""
+    monkeypatch.setattr(url_filters.xxhash, "xxh64_intdigest", lambda b: 7)
+    at = tmp_path / "x.idx"
+    at.write_bytes(url_filters.write_index(RULES))
+    index = url_filters.DigestIndex(str(at))
+    assert [index.text(r).decode() if r >= 0 else None for r in index.find([b"net/", b"org/fr/", b"com/"], [3, 3, 3])] == ["net/", "org/fr/", None]
+
+
+def test_quality_scores(spark, docs, empty):
+    random.seed(9)
+    rows, marks = [], []
+    for i in range(600):
+        bad = i % 5 == 0
+        rows.append((i, " ".join(random.choices(["alpha", "beta", "gamma", "delta", "of", "the"], k=60)).replace(" ", "%%% " if bad else " ")))
+        marks.append((i, 0 if bad else 1))
+    rows += [(1000, None), (1001, ""), (1002, rows[0][1])]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    got = quality_classifier.quality_scores(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+    out = [r for r in got if r["held_out"] and r["doc_id"] < 600]
+    assert len(got) == 603 and np.mean([r["predicted"] == (r["doc_id"] % 5 != 0) for r in out]) > 0.97
+    assert quality_classifier.quality_scores(docs, labels.where("false")).where("score <> 0.5").count() == 0
+    assert quality_classifier.quality_scores(empty, labels).count() == 0
+
+
+def test_isotonic():
+    at, v = quality_classifier.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
+    assert v.tolist() == [0.0, 0.5, 1.0] and at.tolist() == [1.0, 2.5, 4.0]
