@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import unit_vector
+from ..functions.tables import written
 
 PIXEL, SKY = ("x", "y"), ("ra", "dec")
 
@@ -75,12 +76,12 @@ def nearest(left: DataFrame, right: DataFrame, radius: float, key: str, right_ke
 
 
 def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, most: float, grow: float = 4.0, **how) -> DataFrame:
-    """Each left row's nearest right row up to the radius ``most``: rings grow, and only rows that have found nothing go on."""
-    found, rest, radius = None, left, first_radius
+    """Each left row's nearest right row up to the radius ``most``: rings grow, and only rows that have found nothing go on. Each ring is written, so that no ring is computed twice."""
+    found, rest, radius = None, written(left, "left"), first_radius
     while True:
-        got = nearest(rest, right, min(radius, most), key, right_key, **how)
+        got = written(nearest(rest, right, min(radius, most), key, right_key, **how), "ring")
         found = got if found is None else found.unionByName(got)
         if radius >= most:
             return found
-        rest = rest.join(got.select(key), key, "left_anti")
+        rest = written(rest.join(got.select(key), key, "left_anti"), "rest")
         radius *= grow

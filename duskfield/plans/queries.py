@@ -549,6 +549,29 @@ def response_model(spark, d):
     return p.select("star_id", r(F.col("m") + phot.response_model(F.col("terms"), [F.col("c")])).alias("mag"))
 
 
+# --- whole plans ---------------------------------------------------------------------------------------------------
+
+
+@query()
+def catalog_pipeline(spark, d):
+    from .pipeline import CatalogVotes, Settings
+
+    cats = {"gaia": stars(spark, d, 3), "usno": stars(spark, d, 4)}
+    rows, _ = CatalogVotes(cats, Settings(idlimit_px=1.0, new_source_siglim=7.0, position_match_radius_arcsec=0.6, min_catalogs_fraction=0.5, min_quality=0.01)).run(det(spark, d))
+    return rows.select("transient_id", "candidate_type", "n_detections", "n_epochs", r("quality_score").alias("quality_score"))
+
+
+@query()
+def supernova_pipeline(spark, d):
+    from .pipeline import supernova_chain
+
+    x = cand(spark, d).withColumn("fwhm_ratio", F.col("fwhm") / 2.3)
+    v = _variables(spark, d)
+    sky = lambda n: v.select(*([F.col("var_id").alias("gal_id")] if n == "g" else []), (180.0 + F.col("vx") / 3600).alias(f"{n}ra"), (30.0 + F.col("vy") / 3600).alias(f"{n}dec"), F.concat(F.lit("AT"), F.col("var_id").cast("string")).alias("name"))
+    movers = spark.read.parquet(f"{d}/customer.parquet").selectExpr("cast(c_custkey%10 as int) as epoch_id", "180.0E0+(40.0E0+20.0E0*(c_custkey%50))/3600.0E0 as mra", "30.0E0+(10.0E0+20.0E0*floor((c_custkey%200)/50))/3600.0E0 as mdec")
+    return supernova_chain(x, movers, stars(spark, d, 3), sky("g").drop("name"), sky("k").where("kra > 180.1"), [(180.1, 30.0)], 8.0, 0.2).select("det_id", "galaxy_flag", "tns_name", "sn_score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
