@@ -23,6 +23,8 @@ FEATURES = 256
 #: The kernel's width in standard deviations of a statistic, times the square root of their number.
 WIDTH = 0.7
 RIDGE = 1e-3
+#: So many tasks at most send partial sums of the normal equations.
+SUMMING_TASKS = 1024
 #: Calibration sees raw scores by bins of this width.
 BIN = 1e-3
 
@@ -151,9 +153,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     for r in moments:
         mean[r["pos"]], std[r["pos"]] = r["m"], r["s"]
     fourier = Fourier(mean, std)
-    sums = known.where("not calibrates").select("stats", "y").coalesce(64).mapInArrow(_normal(fourier), "i int, row array<double>").groupBy("i").applyInArrow(_added, "i int, row array<double>").collect()  # one matrix
+    sums = known.where("not calibrates").select("stats", "y").coalesce(SUMMING_TASKS).mapInArrow(_normal(fourier), "i int, row array<double>").groupBy("i").applyInArrow(_added, "i int, row array<double>").collect()  # one matrix
     if not sums:  # too few labels to leave any out
-        sums = known.select("stats", "y").coalesce(64).mapInArrow(_normal(fourier), "i int, row array<double>").groupBy("i").applyInArrow(_added, "i int, row array<double>").collect()
+        sums = known.select("stats", "y").coalesce(SUMMING_TASKS).mapInArrow(_normal(fourier), "i int, row array<double>").groupBy("i").applyInArrow(_added, "i int, row array<double>").collect()
     both = np.array([r["row"] for r in sorted(sums, key=lambda r: r["i"])])
     gram, right = both[:, :-1], both[:, -1]
     ridge = RIDGE * np.eye(len(gram)) * gram[0, 0]
