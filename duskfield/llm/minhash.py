@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, written
@@ -22,6 +22,10 @@ from .common import ship, written
 WORDS_PER_SHINGLE = 5
 UNIVERSE_BITS = 20
 BANDS, ROWS = 25, 5
+#: Members up to this Jaccard distance from their hub are told apart by their differences from it.
+NEAR_HUB = 0.5
+#: Pairs of buckets of up to so many members are settled one by one, those of larger ones by way of a hub.
+SMALL_BUCKET = 64
 #: So many distinct words a worker keeps the hashes of before it starts anew.
 WORD_CACHE = 1 << 18
 #: Ids of texts to read again are broadcast up to so many (about 16 MB); more are met by a shuffle.
@@ -94,7 +98,7 @@ def band_keys(sig: np.ndarray) -> list[int]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text -> id, word digest, set size, band keys."""
+    """id, extra, text -> id, extra, word digest, set size, band keys."""
     for b in batches:
         keys, sizes, bands = [], [], []
         for t in _texts(b["text"]):
@@ -102,7 +106,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(key)
             sizes.append(len(s))
             bands.append(band_keys(signature(s)) if len(s) else [])
-        yield pa.RecordBatch.from_arrays([b["id"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "key", "n", "bands"])
+        yield pa.RecordBatch.from_arrays([b["id"], b["extra"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "extra", "key", "n", "bands"])
 
 
 def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,21 +118,25 @@ def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(percent: int):
-    """hub, member and their sets -> hub, member, the member's size, whether linked, and the difference of the sets."""
+    """hub, member and their sets -> hub, member, the member's size, whether linked, and what ``_residual`` needs of a
+    member near its hub (the difference of the sets) and of one far from it (its own set); in between, both."""
+    none = np.empty(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                n, ok, diff = [], [], []
+                n, ok, diff, own = [], [], [], []
                 for x, y in zip(part["hub_set"], part["s"], strict=True):
                     x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                     d = np.setxor1d(x, y, assume_unique=True)
                     inter = (len(x) + len(y) - len(d)) // 2
                     n.append(len(y))
                     ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
-                    diff.append(d.view(np.int64))
-                yield pa.RecordBatch.from_arrays([part["hub"], part["node"], pa.array(n, pa.int64()), pa.array(ok, pa.bool_()), pa.array(diff, pa.list_(pa.int64()))], names=["hub", "node", "n", "ok", "diff"])
+                    away = len(d) / (inter + len(d))
+                    diff.append(d.view(np.int64) if away <= NEAR_HUB else none)
+                    own.append(y.view(np.int64) if away >= NEAR_HUB - (1 - percent / 100) else none)
+                yield pa.RecordBatch.from_arrays([part["hub"], part["node"], pa.array(n, pa.int64()), pa.array(ok, pa.bool_()), pa.array(diff, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64()))], names=["hub", "node", "n", "ok", "diff", "own"])
 
     return run
 
@@ -160,40 +168,84 @@ def _with_hubs(buckets: DataFrame) -> DataFrame:
 
 
 def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """The buckets (bucket, node) whose members have more than one label."""
+    """The buckets (bucket, node) whose members have more than one label, and with column ``small`` one that is true."""
     x = buckets.join(labels, "node")
-    mixed = x.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("bucket")
+    small = F.max("small") if "small" in buckets.columns else F.lit(True)
+    mixed = x.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), small.alias("any")).where("a < b and any").select("bucket")
     return x.join(mixed, "bucket", "left_semi").select("bucket", "node")
 
 
-def _residual(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """New buckets (bucket, node) for the pairs of one hub's members that no comparison has settled.
+def _prefixes(x: DataFrame, c: float) -> DataFrame:
+    """(hub, node, n, ok, e, small, a, b): of each member's elements, the first ``prefix``, rarest within the hub first, that
+    others have too, and whether among the first ``small``. ``x``: hub, node, n, ok, elements, prefix, small. Elements
+    that one member has alone only take up places.
 
-    For members x, y of hub m with differences X, Y from it: x and y are linked only if |X △ Y| <= (|x| + |y|) (1 - t) /
-    (1 + t). If x isn't linked to m, then |X| > c (|x| + |m|), c = (1 - t) / (1 + t), so X and Y share at least
-    (1 - c) |Y| / 2 elements, and at least (|X| + max(1, |X| - T) - T) / 2 with T = |x| (1 / t - 1) whoever y is. Two
-    sets that share k elements share one of the first |X| - k + 1 and |Y| - k + 1 in any one order; rarest first is taken.
+    A linked pair shares (a(x) + a(y)) / 2 elements at least, a = elements - c n; it can't share more than either has in
+    common with any other, so a(x) <= b(y) and a(y) <= b(x), b = 2 * shareable elements - a.
+    """
+    one = x.select("hub", "node", "n", "ok", F.size("elements").alias("all"), "prefix", "small", F.explode("elements").alias("e"))
+    rare = one.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = Window.partitionBy("hub", "node")
+    shared = one.join(rare, ["hub", "e"]).withColumn("common", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("df", "e")) + F.col("all") - F.col("common"))
+    least = F.col("all") - c * F.col("n")
+    return shared.where("r <= prefix").select("hub", "node", "n", "ok", "e", (F.col("r") <= F.col("small")).alias("small"), least.alias("a"), (2 * F.col("common") - least).alias("b"))
+
+
+def _residual(compared: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """New buckets for the pairs of one hub's members that no comparison has settled: the small ones as links (a, b) that
+    hold, the large ones as buckets (bucket, node).
+
+    Two sets that share k elements share one of the first |A| - k + 1 and |B| - k + 1 in any one order; rarest first is
+    taken. For the smaller set of a pair k is larger, so that a shorter prefix (``small``) does; a bucket in which all are
+    beyond that has no pair. Let t be the similarity. If two members are linked, their distances from the hub differ by
+    1 - t at most, so either both are at most NEAR_HUB from it or both are over NEAR_HUB - (1 - t).
+
+    Far members: linked sets share t |x| elements at least. Near ones: for members x, y of hub m with differences X, Y
+    from it, x and y are linked only if |X △ Y| <= c (|x| + |y|), c = (1 - t) / (1 + t). If x isn't linked to m, then
+    |X| > c (|x| + |m|), so X and Y share at least (1 - c) |Y| / 2 elements. Whichever are linked, T = |x| (1 / t - 1)
+    bounds |X △ Y|, so they share at least (|X| + max(1, |X| - T) - T) / 2, or |X| - T / 2 if |X| <= |Y|. Pairs of which
+    both are linked to the hub are settled. Either way |x △ y| is that of the elements, so that pairs of a small bucket
+    are settled by these alone.
     """
     t = percent / 100
     c = (1 - t) / (1 + t)
     x = compared.join(labels, "node").join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
     apart = x.where("label <> hub_label").select("hub").distinct()
-    x = x.join(apart, "hub", "left_semi").withColumn("d", F.size("diff")).where("d > 0")
-    reach = F.floor(F.col("n") * (1 / t - 1) + 1e-9)
-    own = F.greatest(F.lit(1), F.ceil((1 - c) * F.col("d") / 2 - 1e-9))
-    loose = F.greatest(F.lit(1), F.ceil((F.col("d") + F.greatest(F.lit(1), F.col("d") - reach) - reach) / 2 - 1e-9))
-    share = F.when(F.col("ok"), own).otherwise(F.least(own, loose))
-    x = x.select("hub", "node", "d", (F.col("d") - share + 1).alias("prefix"), F.explode("diff").alias("e"))
-    rare = x.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    x = x.join(rare, ["hub", "e"])
-    own_rows = Window.partitionBy("hub", "node")
-    x = x.withColumn("r", F.row_number().over(own_rows.orderBy("df", "e")) + F.col("d") - F.count(F.lit(1)).over(own_rows)).where("r <= prefix")
-    return _unsettled(x.select(F.xxhash64("hub", "e").alias("bucket"), "node").distinct(), labels)
-
-
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    x = written(x.join(apart, "hub", "left_semi"), "apart")
+    n, d = F.col("n"), F.size("diff")
+    far = x.where(F.size("own") > 0).select("hub", "node", "n", F.lit(False).alias("ok"), F.col("own").alias("elements"), (n - F.ceil(t * n - 1e-9) + 1).alias("prefix"), (n - F.ceil(2 * t / (1 + t) * n - 1e-9) + 1).alias("small"))
+    reach = F.floor(n * (1 / t - 1) + 1e-9)
+    own = F.greatest(F.lit(1), F.ceil((1 - c) * d / 2 - 1e-9))
+    loose = F.greatest(F.lit(1), F.ceil((d + F.greatest(F.lit(1), d - reach) - reach) / 2 - 1e-9))
+    share = F.when(F.col("ok"), F.greatest(own, loose)).otherwise(loose)
+    smaller = F.greatest(share, F.ceil(d - reach / 2 - 1e-9))
+    near = x.where(d > 0).select("hub", "node", "n", "ok", F.col("diff").alias("elements"), (d - share + 1).alias("prefix"), (d - smaller + 1).alias("small"))
+    keys = _prefixes(far, c).withColumn("near", F.lit(False)).unionByName(_prefixes(near, c).withColumn("near", F.lit(True)))
+    keys = written(keys.join(labels, "node").withColumn("bucket", F.xxhash64("hub", "e", "near")), "keys")
+    for _ in range(2):
+        keys = keys.join(_possible(keys), "bucket").where("a <= most_b + 1e-6 and b >= least_a - 1e-6").drop("most_b", "least_a", "many")
+    keys = written(keys.join(_possible(keys).select("bucket", "many"), "bucket"), "keys")
+    few = keys.where(F.col("many") <= SMALL_BUCKET).select("bucket", "hub", "near", "node", "label", "ok", "small", "a", "b")
+    other = few.select("bucket", *[F.col(v).alias(f"{v}2") for v in ("node", "label", "ok", "small", "a", "b")])
+    pairs = few.join(other, "bucket").where("node < node2 and label <> label2 and (small or small2) and not (ok and ok2) and a <= b2 + 1e-6 and a2 <= b + 1e-6").select("hub", "near", "node", "node2").distinct()
+    elements = x.select("hub", "node", "n", F.lit(True).alias("near"), F.col("diff").alias("v")).unionByName(x.select("hub", "node", "n", F.lit(False).alias("near"), F.col("own").alias("v")))
+    both = pairs.join(elements, ["hub", "near", "node"]).join(elements.select("hub", "near", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("v").alias("v2")), ["hub", "near", "node2"])
+    apart_by = F.size("v") + F.size("v2") - 2 * F.size(F.array_intersect("v", "v2"))
+    inter = (F.col("n") + F.col("n2") - apart_by) / 2
+    links = both.where(100 * inter >= percent * (F.col("n") + F.col("n2") - inter)).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    many = keys.where(F.col("many") > SMALL_BUCKET).groupBy("bucket", "node").agg(F.max("small").alias("small"))
+    return links, many
+
+
+def _possible(keys: DataFrame) -> DataFrame:
+    """What the members of a bucket that may yet hold a link need of each other, for buckets that do."""
+    x = keys.groupBy("bucket").agg(F.max("b").alias("most_b"), F.min("a").alias("least_a"), F.count(F.lit(1)).alias("many"), F.min("label").alias("p"), F.max("label").alias("q"), F.max("small").alias("s"), F.min("ok").alias("o"))
+    return x.where("many > 1 and p < q and s and not o").select("bucket", "most_b", "least_a", "many")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, carry: tuple[Column, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the least id its links reach, itself
-    included) and ``kept`` (``doc_id`` is ``component_id``).
+    included) and ``kept`` (``doc_id`` is ``component_id``); and ``carry``, named expressions over the row.
 
     A text's set is its distinct shingles of five words (A-Z lower-cased); of fewer words, the whole sequence. Texts
     are linked if 100 * |intersection| >= ``percent`` * |union|. Defined cases: texts without words have an empty set
@@ -206,14 +258,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     large, give as many pairs as members; see ``_residual`` for the others. Links and labels stay in tables.
     """
     ship(docs.sparkSession)
-    x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = x.schema["id"].dataType.simpleString()
-    signed = written(x.mapInArrow(_signed, f"id {kind}, key binary, n long, bands array<long>"), "signed")
+    x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("extra"))
+    kind, extra = x.schema["id"].dataType.simpleString(), x.schema["extra"].dataType.simpleString()
+    signed = written(x.mapInArrow(_signed, f"id {kind}, extra {extra}, key binary, n long, bands array<long>"), "signed")
     same = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands"))
     classes = written(same.withColumn("node", F.monotonically_increasing_id()), "classes")
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
-    met = written(_with_hubs(buckets), "met")
-    used = written(met.select("node").union(met.select("hub")).distinct().join(classes.select("node", "key", "least"), "node"), "used")
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    members = written(buckets.join(sizes, "bucket"), "members")
+    # Nodes are numbered anew, those with the most company first: the likely middles of their groups, which make good hubs.
+    company = members.groupBy("node").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "node")
+    ranked = written(company.select(F.col("node").alias("old"), F.monotonically_increasing_id().alias("node")), "ranked")
+    used = written(ranked.join(classes.select(F.col("node").alias("old"), "key", "least"), "old").select("node", "key", "least"), "used")
+    inside = written(members.select("bucket", F.col("node").alias("old")).join(ranked, "old").select("bucket", "node"), "inside")
     ids = used.select(F.col("least").alias("id")).distinct()
     if used.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -224,22 +281,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 
     def compared(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets, "node").join(hub_sets, "hub").select("hub", "node", "hub_set", "s")
-        return written(both.mapInArrow(_compare(percent), "hub long, node long, n long, ok boolean, diff array<long>"), "compared")
+        return written(both.mapInArrow(_compare(percent), "hub long, node long, n long, ok boolean, diff array<long>, own array<long>"), "compared")
 
     def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
         return components(labels, found.where("ok").select(F.col("hub").alias("a"), F.col("node").alias("b")))
 
     # First each node with the least of its hubs, which settles most buckets; then whole buckets, as long as any is left.
     labels = used.select("node", F.col("node").alias("label"))
-    labels = joined(labels, compared(met.groupBy("node").agg(F.min("hub").alias("hub"))))
-    inside = met.select("bucket", "node").union(met.select("bucket", F.col("hub").alias("node"))).distinct()
+    labels = joined(labels, compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub"))))
     left = written(_unsettled(inside, labels), "left")
     while left.limit(1).count():
         found = compared(_with_hubs(left).select("hub", "node").distinct())
         labels = joined(labels, found)
-        left = written(_residual(found, labels, percent), "left")
-    named = classes.select("node", "key", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    roots = named.groupBy("label").agg(F.min("least").alias("component"))
-    out = signed.select("id", "key", "n").join(named.join(roots, "label").select("key", "component"), "key", "left")
+        links, left = _residual(found, labels, percent)
+        links, left = written(links, "links"), written(left, "left")
+        if links.limit(1).count():
+            labels = components(labels, links)
+        left = written(_unsettled(left, labels), "left")
+    named = used.join(labels, "node")
+    roots = named.groupBy("label").agg(F.min("least").alias("root"))
+    roots = named.join(roots, "label").select("key", "root")
+    found = classes.select("key", "least").join(roots, "key", "left").select("key", F.coalesce("root", "least").alias("component"))
+    out = signed.select("id", "extra", "key", "n").join(found, "key", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *[F.col("extra").getField(c).alias(c) for c in x.schema["extra"].dataType.names[1:]])
