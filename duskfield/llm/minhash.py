@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import arrow_batches, ship, written
 
 WORDS_PER_SHINGLE = 5
 UNIVERSE_BITS = 20
@@ -27,7 +27,9 @@ NEAR_HUB = 0.5
 #: Pairs of buckets of up to so many members are settled one by one, those of larger ones by way of a hub.
 SMALL_BUCKET = 64
 #: So many distinct words a worker keeps the hashes of before it starts anew.
-WORD_CACHE = 1 << 18
+WORD_CACHE = 1 << 16
+#: Rows that pass to Python at a time.
+BATCH_ROWS = 1000
 #: Ids of texts to read again are broadcast up to so many (about 16 MB); more are met by a shuffle.
 BROADCAST_IDS = 1 << 20
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -254,10 +256,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, carry: tuple[Column, ...
     read.
 
     Scale: equal word sequences meet by digest first, with partial minima, and one of each goes on. Signatures are
-    made where texts are read; what moves is band keys, then the sets of the members of buckets. Buckets, however
-    large, give as many pairs as members; see ``_residual`` for the others. Links and labels stay in tables.
+    made where texts are read; what moves is band keys, then the sets of the members of buckets. A bucket, however
+    large, gives as many pairs as members; of what that leaves open (see ``_residual``), buckets of SMALL_BUCKET members
+    at most give their possible pairs and larger ones go round again. Links and labels stay in tables.
     """
     ship(docs.sparkSession)
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _near_duplicates(docs, percent, carry, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], id_col: str, text_col: str) -> DataFrame:
     x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("extra"))
     kind, extra = x.schema["id"].dataType.simpleString(), x.schema["extra"].dataType.simpleString()
     signed = written(x.mapInArrow(_signed, f"id {kind}, extra {extra}, key binary, n long, bands array<long>"), "signed")
