@@ -73,3 +73,27 @@ def fit_terms(rows: DataFrame, group: str, y: str, err: str, terms: dict[str, Co
         return pd.DataFrame({group: p[group].iloc[0], "term": names, "value": beta, "error": np.sqrt(np.clip(np.diag(cov), 0, None))})
 
     return x.groupBy(group).applyInPandas(solve, f"{group} {x.schema[group].dataType.simpleString()}, term string, value double, error double")
+
+
+def borrow_headers(diff: DataFrame, science: DataFrame, keys: list[str]) -> DataFrame:
+    """``diff`` with the header values that it lacks from its science sibling. ``stem`` names each; a difference's ends in h."""
+    other = science.select(F.col("stem").alias("_stem"), *[F.col(k).alias(f"_{k}") for k in keys])
+    out = diff.join(other, F.regexp_replace("stem", "h$", "") == F.col("_stem"), "left")
+    return out.withColumns({k: F.coalesce(k, f"_{k}") for k in keys}).drop("_stem", *[f"_{k}" for k in keys])
+
+
+def stack_due(epochs: DataFrame, group: str, first: int = 10, interval: int = 5, good: float = 1.0) -> DataFrame:
+    """Per group and arrival whether a stack is due then: counts so far against the first and the interval, and no good
+    candidate yet. ``epochs``: group, obs_time, score."""
+    so_far = Window.partitionBy(group).orderBy("obs_time", "epoch_id").rowsBetween(Window.unboundedPreceding, 0)
+    x = epochs.withColumns({"n": F.count(F.lit(1)).over(so_far), "best": F.max("score").over(so_far)})
+    return x.withColumn("due", (F.col("n") >= first) & ((F.col("n") - first) % interval == 0) & ~(F.col("best") >= good))
+
+
+def replay(epochs: DataFrame, number: str = "number") -> DataFrame:
+    """(step, epoch): the exposures that each step of a replay has seen; ``number`` counts from 0. Each exposure is spread over
+    the steps from its own on, so nothing is joined."""
+    total = epochs.agg(F.max(number)).first()[0]  # one number
+    if total is None:
+        return epochs.select(F.lit(0).alias("step"), "*").where("false")
+    return epochs.select(F.explode(F.sequence(F.col(number) + 1, F.lit(total + 1))).alias("step"), "*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import clip
+from ..functions.geometry import clip, flat_separation
 from .spatial import radius_join
 
 SATURATED, BLENDED, NEAR_BRIGHT = 4, 2, 8
@@ -134,3 +134,16 @@ def sn_score(quality: Column, kind: Column, galaxy: Column, axis_ratio: Column,
     gal = F.when(galaxy == "in_galaxy", 0.4).when(galaxy == "nuclear", 0.1).otherwise(0.0)
     prox = F.coalesce(0.5 * clip(1 - separation / 4, 0, 1), F.lit(0.0))
     return F.bround(quality * tw + gal + 0.2 * clip(axis_ratio, 0, 1) + prox, 4)
+
+
+def band_stats(det: DataFrame, stars: DataFrame, radius: float, bands: list[str], key: str = "det_id") -> DataFrame:
+    """(key, mean_<band>, std_<band>) over the stars within ``radius``; population deviations, null without a star."""
+    pairs = radius_join(det.select(key, "x", "y"), stars.select(F.col("x").alias("sx"), F.col("y").alias("sy"), *bands), radius, right_on=("sx", "sy"))
+    got = pairs.groupBy(key).agg(*[f(b).alias(f"{n}_{b}") for b in bands for n, f in (("mean", F.avg), ("std", F.stddev_pop))])
+    return det.select(key).join(got, key, "left")
+
+
+def target_epochs(det: DataFrame, ra: float, dec: float, radius: float = 5.0) -> DataFrame:
+    """(epoch_id, present): whether anything is within ``radius`` arcsec of the target, on the flat sky."""
+    near = flat_separation(F.col("ra"), F.col("dec"), F.lit(ra), F.lit(dec)) * 3600 <= radius
+    return det.groupBy("epoch_id").agg(F.max(near).alias("present"))

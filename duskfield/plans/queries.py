@@ -549,6 +549,53 @@ def response_model(spark, d):
     return p.select("star_id", r(F.col("m") + phot.response_model(F.col("terms"), [F.col("c")])).alias("mag"))
 
 
+@query(f"""{with_views('det', 'gaia')}, p as (select det_id, star_mag as m from det join gaia on abs(x-sx)<=20 and abs(y-sy)<=20 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=20.0E0)
+select det_id, round(avg(m), 5) as mean_star_mag, round(stddev_pop(m), 5) as std_star_mag from det left join p using (det_id) group by det_id""")
+def band_statistics(spark, d):
+    x = features.band_stats(det(spark, d), stars(spark, d, 3).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0, ["star_mag"])
+    return x.select("det_id", r("mean_star_mag").alias("mean_star_mag"), r("std_star_mag").alias("std_star_mag"))
+
+
+@query(f"{with_views('det')} select epoch_id, max(sqrt(pow((ra-180.0123E0)*cos(radians(30.0067E0)),2)+pow(dec-30.0067E0,2))*3600 <= 5) as present from det where err<0.05E0 group by epoch_id")
+def target_presence(spark, d):
+    return features.target_epochs(det(spark, d).where("err < 0.05E0"), 180.0123, 30.0067)
+
+
+@query("""with s as (select 'img_'||cast(o_orderkey as varchar) as stem, o_totalprice as maglim, o_orderpriority as phfilter from orders where o_orderkey%5<>0), x as (select 'img_'||cast(o_orderkey as varchar)||'h' as stem, case when o_orderkey%3=0 then 20.0E0 end as maglim, cast(null as varchar) as phfilter from orders)
+select x.stem, coalesce(x.maglim, s.maglim) as maglim, s.phfilter from x left join s on s.stem||'h'=x.stem""")
+def borrowed_headers(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    stem = F.concat(F.lit("img_"), F.col("o_orderkey").cast("string"))
+    science = o.where("o_orderkey % 5 <> 0").select(stem.alias("stem"), F.col("o_totalprice").alias("maglim"), F.col("o_orderpriority").alias("phfilter"))
+    diff = o.select(F.concat(stem, F.lit("h")).alias("stem"), F.when(F.col("o_orderkey") % 3 == 0, 20.0).alias("maglim"), F.lit(None).cast("string").alias("phfilter"))
+    return epochs.borrow_headers(diff, science, ["maglim", "phfilter"])
+
+
+@query("""with o as (select o_custkey%7 as grp, o_orderkey as epoch_id, epoch_us(o_orderdate)/1000000.0E0 as obs_time, o_totalprice/400000.0E0 as score from orders where o_totalprice<390000), w as (select *, count(*) over s as n, max(score) over s as best from o window s as (partition by grp order by obs_time, epoch_id rows unbounded preceding))
+select grp, epoch_id, n, n>=10 and (n-10)%5=0 and not best>=1 as due from w""")
+def stack_trigger(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet").where("o_totalprice < 390000").selectExpr("o_custkey%7 as grp", "o_orderkey as epoch_id", "unix_micros(cast(o_orderdate as timestamp))/1000000.0E0 as obs_time", "o_totalprice/400000.0E0 as score")
+    return epochs.stack_due(o, "grp").select("grp", "epoch_id", "n", "due")
+
+
+@query(f"{with_views('det')}, e as (select epoch_id, count(*) as n from det group by epoch_id), m as (select max(epoch_id) as k from e) select s.step, sum(n) as n, count(*) as n_epochs from e, (select unnest(range(1, (select k from m)+2)) as step) s where epoch_id < s.step group by s.step")
+def replay_steps(spark, d):
+    e = det(spark, d).groupBy("epoch_id").agg(F.count(F.lit(1)).alias("n"))
+    return epochs.replay(e, "epoch_id").groupBy("step").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_epochs"))
+
+
+@query("select event_id, case when event_id%3=0 then null else try_cast(json_extract_string(props, '$.k') as double) end as k from events")
+def json_values(spark, d):
+    x = spark.read.parquet(f"{d}/events.parquet")
+    text = F.when(F.col("event_id") % 3 == 0, F.lit("nan")).otherwise(F.get_json_object("props", "$.k"))
+    return x.select("event_id", ident.json_value(text).alias("k"))
+
+
+@query("select page_id, case when regexp_matches(url, '(?:^|_)(?:obs|obsid|field)_') then 'x' else coalesce(nullif(trim(regexp_replace(regexp_replace(split_part(case when regexp_matches(regexp_extract(url, '([^/]*)$', 1), '[^.]\\.[^.]*$') then regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') else regexp_extract(url, '([^/]*)$', 1) end, '.', 1), '[^a-zA-Z0-9_]', '_', 'g'), '_+', '_', 'g'), '_'), ''), 'unknown') end as obs_id from pages")
+def observation_ids(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", ident.observation_id([], F.col("url")).alias("obs_id"))
+
+
 # --- whole plans ---------------------------------------------------------------------------------------------------
 
 
