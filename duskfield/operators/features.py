@@ -93,10 +93,6 @@ def neighbour_stats(det: DataFrame, stars: DataFrame, radius: float, key: str =
     return det.select(key).join(got, key, "left").select(key, n.cast("long").alias("nearby_sources"), (n / (F.pi() * radius * radius)).alias("source_density"), F.coalesce("d", F.lit(float("inf"))).alias("nearest_source_dist"))
 
 
-def _bounded(v: Column, low: float, high: float) -> Column:
-    return clip(v, low, high)
-
-
 def base_score(cols: set[str], weights: dict[str, float] = WEIGHTS, fallback: Column | None = None) -> Column:
     """The product of the factors whose columns are there: an absent column is neutral, and so is a null."""
     out = F.lit(1.0)
@@ -105,16 +101,16 @@ def base_score(cols: set[str], weights: dict[str, float] = WEIGHTS, fallback: Co
     if "fwhm_ratio" in cols:
         out = out * neutral(F.exp(-F.pow(c("fwhm_ratio") - 1, 2) / 0.5) * weights["cons"])
     if "axis_ratio" in cols:
-        out = out * neutral(_bounded(c("axis_ratio"), 0, 1) * weights["cons"])
+        out = out * neutral(clip(c("axis_ratio"), 0, 1) * weights["cons"])
     if "snr_auto" in cols:
-        out = out * neutral(_bounded(c("snr_auto") / 20, 0, 1) * weights["sig"])
+        out = out * neutral(clip(c("snr_auto") / 20, 0, 1) * weights["sig"])
     if "flags" in cols:
         out = out * F.when(c("flags") > 0, 0.5).otherwise(1.0)
     if "nearest_source_dist" in cols:
-        out = out * neutral(_bounded(c("nearest_source_dist") / 10, 0, 1) * weights["iso"])
+        out = out * neutral(clip(c("nearest_source_dist") / 10, 0, 1) * weights["iso"])
     if "mag" in cols:
-        bare = _bounded(F.exp(-(c("mag") - 15) / 3) * weights["mag"], 0.1, 3)
-        value = F.coalesce(_bounded(1 + 0.2 * (c("maglim") - c("mag")), 0.5, 2) * weights["mag"], bare) if "maglim" in cols else bare
+        bare = clip(F.exp(-(c("mag") - 15) / 3) * weights["mag"], 0.1, 3)
+        value = F.coalesce(clip(1 + 0.2 * (c("maglim") - c("mag")), 0.5, 2) * weights["mag"], bare) if "maglim" in cols else bare
         value = neutral(value)
         out = out * (value if fallback is None else F.when(fallback, 1.0).otherwise(value))
     if "candidate_type" in cols:
