@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, ascii_lower
+from .common import WS, ascii_lower, written
 
 
 def line_key(line: Column) -> Column:
@@ -38,6 +38,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     lines = keyed.select("id", "t1", "t2", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     per_doc = lines.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
     common = per_doc.groupBy("h1", "h2").agg(F.count("one").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("h1", "h2", "keeper")
+    common = written(common, "common")  # so that Spark sees its size and can split the lines of a hot one in the join
     drops = lines.join(common, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "t1", "t2").agg(F.collect_set("pos").alias("gone"))
     drops = drops.select(F.col("id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "gone")
     whole = base.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), "text"))
