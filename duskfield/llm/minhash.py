@@ -8,6 +8,7 @@ their difference from the hub, which two linked sets must share, so that no link
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,7 +22,9 @@ from .common import arrow_batches, ship, written
 
 WORDS_PER_SHINGLE = 5
 UNIVERSE_BITS = 20
-BANDS, ROWS = 25, 5
+ROWS = 5
+#: A pair just at the threshold meets in no band with this chance at most.
+MISS = 5e-7
 #: Members up to this Jaccard distance from their hub are told apart by their differences from it.
 NEAR_HUB = 0.5
 #: Pairs of buckets of up to so many members are settled one by one, those of larger ones by way of a hub.
@@ -83,7 +86,12 @@ def _circulant(coordinates: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[: coordinates - 1]]), coordinates)
 
 
-def signature(shingles: np.ndarray, coordinates: int = BANDS * ROWS) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    """As many bands as leave a pair of similarity ``percent`` without a common one with chance MISS at most: 25 at 85, 37 at 80."""
+    return math.ceil(math.log(MISS) / math.log1p(-min((percent / 100) ** ROWS, 1 - MISS)))
+
+
+def signature(shingles: np.ndarray, coordinates: int = 125) -> np.ndarray:
     """Circulant MinHash: coordinate k is the least value of the second permutation, shifted by k, over the set that the
     first permutation scatters. The first is a bijection of the 64-bit hashes, cut to the universe's bits."""
     rows = _circulant(coordinates)
@@ -96,19 +104,24 @@ def signature(shingles: np.ndarray, coordinates: int = BANDS * ROWS) -> np.ndarr
 
 def band_keys(sig: np.ndarray) -> list[int]:
     """A signed 64-bit key for each band."""
-    return [int.from_bytes(xxhash.xxh64_digest(band.tobytes(), seed=b), "little", signed=True) for b, band in enumerate(sig.reshape(BANDS, ROWS))]
+    return [int.from_bytes(xxhash.xxh64_digest(band.tobytes(), seed=b), "little", signed=True) for b, band in enumerate(sig.reshape(-1, ROWS))]
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(percent: int):
     """id, extra, text -> id, extra, word digest, set size, band keys."""
-    for b in batches:
-        keys, sizes, bands = [], [], []
-        for t in _texts(b["text"]):
-            s, key = shingle_set(t)
-            keys.append(key)
-            sizes.append(len(s))
-            bands.append(band_keys(signature(s)) if len(s) else [])
-        yield pa.RecordBatch.from_arrays([b["id"], b["extra"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "extra", "key", "n", "bands"])
+    coordinates = bands_for(percent) * ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, sizes, bands = [], [], []
+            for t in _texts(b["text"]):
+                s, key = shingle_set(t)
+                keys.append(key)
+                sizes.append(len(s))
+                bands.append(band_keys(signature(s, coordinates)) if len(s) else [])
+            yield pa.RecordBatch.from_arrays([b["id"], b["extra"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "extra", "key", "n", "bands"])
+
+    return run
 
 
 def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, carry: tuple[Column, ...
 def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], id_col: str, text_col: str) -> DataFrame:
     x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("extra"))
     kind, extra = x.schema["id"].dataType.simpleString(), x.schema["extra"].dataType.simpleString()
-    signed = written(x.mapInArrow(_signed, f"id {kind}, extra {extra}, key binary, n long, bands array<long>"), "signed")
+    signed = written(x.mapInArrow(_signed(percent), f"id {kind}, extra {extra}, key binary, n long, bands array<long>"), "signed")
     same = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands"))
     classes = written(same.withColumn("node", F.monotonically_increasing_id()), "classes")
     buckets = classes.select("node", F.explode("bands").alias("bucket"))

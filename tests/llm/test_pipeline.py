@@ -1,11 +1,13 @@
 """The pipeline's stages on the smallest tables: what each keeps follows from its own input."""
 
 import os
+import random
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
+from duskfield.llm import minhash
 
 DATA = "/root/testdata/sf0.001"
 
@@ -25,6 +27,43 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, docs.where("false"), DATA).count() == 0
 
 
+def _similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_dedup_takes_similarity_of_four_fifths(spark):
+    words = lambda c: [f"{c}{i}" for i in range(104)]
+    texts = []
+    for c, cut in (("a", 80 + 4), ("b", 79 + 4), ("c", 83 + 4)):  # the copy is the first words only
+        texts += [" ".join(words(c)), " ".join(words(c)[:cut])]
+    assert [_similarity(texts[k], texts[k + 1]) for k in (0, 2, 4)] == [0.8, 0.79, 0.83]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect()) == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("small", [3, 64])
+def test_links_of_four_fifths_hold(spark, monkeypatch, small):
+    """A group of copies at all distances has brute force's classes at the stage's threshold, by hubs and by pairs."""
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", small)
+    random.seed(4)
+    texts = []
+    for i in range(90):
+        x = [f"b{i}" for i in range(150)]
+        for _ in range(random.choice([0, 1, 2, 3, 4, 5, 6, 8, 10])):
+            x[random.randrange(len(x))] = random.choice(["p", "q", f"r{i}"])
+        texts.append(" ".join(x))
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if _similarity(texts[a], texts[b]) >= 0.8 and root[a] != root[b]:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), percent=80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(root))
+    assert (minhash.bands_for(85), minhash.bands_for(80)) == (25, 37)
+    assert all((1 - (p / 100) ** minhash.ROWS) ** minhash.bands_for(p) <= minhash.MISS for p in (80, 85))
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_run(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near dedup", "mixing", "packing"]
