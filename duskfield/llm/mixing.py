@@ -1,13 +1,14 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact length; what whole copies leave of a source's budget is filled first in proportion,
-then from the longest lengths down, and the last words by a bounded-knapsack dynamic programme; seeded documents
-are then selected by the count each length got.
+then from the longest lengths down, and the last words by a bounded-knapsack dynamic programme, which takes over more
+of them as long as the budget isn't hit; seeded documents are then selected by the count each length got.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,69 +17,98 @@ from pyspark.sql import functions as F
 
 from .common import WS_CLASS, ship, written
 
-#: The last words of a budget go to the dynamic programme: so many at most.
-DP_WORDS = 1 << 16
+#: The last words of a budget go to the dynamic programme: so many at first, or what LONGEST of the longest documents
+#: hold, and MORE times as many as long as the budget is missed.
+DP_WORDS, LONGEST, MORE = 1 << 16, 4, 8
 
 
 def reach(lengths: np.ndarray, counts: np.ndarray, goal: int, most: int) -> dict[int, int]:
     """Counts by length, each at most its bound, whose words come nearest to ``goal`` without passing ``most``.
 
-    Bounded knapsack: counts are split into powers of two; ``first[s]`` is the item that first reached the sum ``s``,
-    so going back from a sum meets each item once. Ends early when ``goal`` is hit.
+    Bounded knapsack: counts are split into powers of two, and the sums that the first items reach are the bits of a
+    number, in units of the lengths' common divisor. Ends early when no sum could be nearer. Going back, an item is in a
+    sum if the items before don't reach it; their bits are made anew by halves, so that few such numbers are held.
     """
-    first = np.full(most + 1, -1, np.int32)
-    ok = np.zeros(most + 1, bool)
-    ok[0] = True
-    items: list[tuple[int, int]] = []
-    for length, count in zip(lengths.tolist(), counts.tolist(), strict=True):
-        if ok[goal]:
+    unit = math.gcd(*lengths.tolist()) or 1
+    near, top, items, bits = goal // unit + (2 * (goal % unit) > unit), most // unit, [], 1
+    for length, k in _split(lengths, counts, most):
+        if bits >> near & 1:
             break
+        items.append((length, k))
+        bits = _add(bits, length * k // unit, top)
+    below = (bits & ((2 << goal // unit) - 1)).bit_length() - 1
+    above = bits >> goal // unit + 1
+    above = (above & -above).bit_length() + goal // unit if above else below
+    out: dict[int, int] = {}
+
+    def back(bits: int, lo: int, hi: int, at: int) -> int:
+        if hi - lo > 1:
+            mid, later = (lo + hi) // 2, bits
+            for length, k in items[lo:mid]:
+                later = _add(later, length * k // unit, at)
+            return back(bits, lo, mid, back(later, mid, hi, at))
+        if hi == lo or bits >> at & 1:
+            return at
+        length, k = items[lo]
+        out[length] = out.get(length, 0) + k
+        return at - length * k // unit
+
+    back(1, 0, len(items), above if 0 < above * unit - goal < goal - below * unit else below)
+    return out
+
+
+def _add(bits: int, w: int, top: int) -> int:
+    """The sums with one more item of ``w``, up to ``top``."""
+    return bits | (bits & ((1 << max(top - w + 1, 0)) - 1)) << w
+
+
+def _split(lengths: np.ndarray, counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(length, k): each count, as far as it fits, in powers of two and a rest."""
+    for length, count in zip(lengths.tolist(), counts.tolist(), strict=True):
         left, k = min(count, most // length), 1
-        while left > 0 and not ok[goal]:
+        while left > 0:
             k = min(k, left)
-            w = k * length
-            if w <= most:
-                new = np.flatnonzero(ok[: most + 1 - w] & ~ok[w:]) + w
-                first[new] = len(items)
-                ok[new] = True
-                items.append((length, k))
+            yield length, k
             left -= k
             k *= 2
-    sums = np.flatnonzero(ok)
-    at = int(sums[np.argmin(np.abs(sums - goal))])
-    out: dict[int, int] = {}
-    while at:
-        length, k = items[first[at]]
-        out[length] = out.get(length, 0) + k
-        at -= length * k
-    return out
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come near ``budget``."""
+    """How many documents of each length to take so that their words come near ``budget``.
+
+    Of the documents that the proportional part leaves, those whose words come nearest to what is missing, above or below:
+    a plan that hits it is one, and without such a plan the dynamic programme goes over all of them in the end.
+    """
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
-    take = np.array([c * budget // total for c in counts.tolist()], np.int64)
-    rest = budget - int((lengths * take).sum())
+    part = np.array([c * budget // total for c in counts.tolist()], np.int64)
     order = np.argsort(-lengths, kind="stable")
-    for j in order:
-        if rest < DP_WORDS:
-            break
-        k = min(int(counts[j] - take[j]), (rest - DP_WORDS // 2) // int(lengths[j]))
-        if k > 0:
-            take[j] += k
-            rest -= k * int(lengths[j])
-    spare = counts - take
-    most = min(2 * rest, rest + DP_WORDS) + 1
-    if rest > 0 and most <= 4 * DP_WORDS:
-        use = np.array([j for j in order if spare[j] > 0 and lengths[j] <= most], np.int64)
+    missing = budget - int((lengths * part).sum())
+    last = max(DP_WORDS, LONGEST * int(lengths.max()))
+    best, miss = part, missing
+    while miss:
+        take, rest = part.copy(), missing
+        for j in order:
+            if rest < last:
+                break
+            k = min(int(counts[j] - take[j]), (rest - last // 2) // int(lengths[j]))
+            if k > 0:
+                take[j] += k
+                rest -= k * int(lengths[j])
+        spare = counts - take
+        use = np.array([j for j in order if spare[j] > 0], np.int64)
+        most = rest + min(rest, int(lengths[use[0]]))  # of more words, one document could go
         by = {int(lengths[j]): j for j in use}
         for length, k in reach(lengths[use], spare[use], rest, most).items():
             take[by[length]] += k
-    return take
-
-
+        left = abs(budget - int((lengths * take).sum()))
+        if left < miss:
+            best, miss = take, left
+        if last > missing:
+            break
+        last *= MORE
+    return best
 
 
 def _plan(x: pd.DataFrame) -> pd.DataFrame:

@@ -258,6 +258,24 @@ def test_knapsack():
         assert abs(sum(k * v for k, v in got.items()) - goal) == best and all(v <= counts[list(lengths).index(k)] for k, v in got.items())
 
 
+def test_budget_of_long_documents():
+    """What the proportional part leaves is settled as near as any choice, above or below, whatever the lengths."""
+    assert mixing.fit_budget(np.array([250_000]), np.array([5]), 740_000).tolist() == [3]
+    assert mixing.fit_budget(np.array([200_000, 300_000]), np.array([2, 1]), 400_000).tolist() == [2, 0]
+    rng = random.Random(8)
+    for _ in range(200):
+        lengths = sorted(rng.sample(range(1, rng.choice([50, 70_000, 900_000])), rng.randint(1, 6)))
+        counts = [rng.randint(1, 4) for _ in lengths]
+        total = sum(a * n for a, n in zip(lengths, counts, strict=True))
+        budget = rng.randrange(total)
+        sums = {0}
+        for a, n in zip(lengths, counts, strict=True):
+            sums = {s + a * k for s in sums for k in range(n * budget // total, n + 1)}
+        take = mixing.fit_budget(np.array(lengths), np.array(counts), budget)
+        assert all(0 <= k <= n for k, n in zip(take.tolist(), counts, strict=True))
+        assert abs(int(take @ np.array(lengths)) - budget) == min(abs(s - budget) for s in sums)
+
+
 def test_token_counts(docs, rows, empty):
     tok = Tokenizer.from_file(WORD_BPE)
     want = Counter((i, len((t or "").encode()), n := len(tok.encode(t or "", add_special_tokens=False).ids), n > 100) for i, t, _ in rows)
