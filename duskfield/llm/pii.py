@@ -1,14 +1,16 @@
 """Personal data: base patterns, and identifiers that bootstrapped contexts discover.
 
-Seeds (the base entities, and long runs of hexadecimal digits) induce lexical patterns: the words and signs that lead up to them
-after a sign such as = or :. Spark scores the graph of patterns and instances in rounds, and what stands in a pattern
+Seeds (the base entities, and long runs of hexadecimal digits) induce lexical patterns: the words and signs that lead up to them.
+Spark scores the graph of patterns and instances in rounds, and what stands in a pattern
 of high confidence and has an identifier's shape becomes a span of kind ``secret``.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -32,7 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NON_DIGIT = re.compile(r"[^0-9]+")
-_CANDIDATE = re.compile(r"[=:#\"'][\x20\t]?[\"']?([A-Za-z0-9_-]{12,})")
+_CANDIDATE = re.compile(r"[A-Za-z0-9_-]++(?:(?<=[0-9])\x20[0-9][A-Za-z0-9_-]*+)*+")
 _HEX = re.compile(r"(?:[0-9a-f]{32,}|[0-9A-F]{32,})\Z")
 _ANCHOR = re.compile(r"[=:#\"'][\x20\t]?[\"']?\Z")
 _CONTEXT = 64
@@ -81,41 +83,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def context(text: str, start: int) -> str | None:
-    """The pattern that leads up to ``start``: its sign and the last word before, lower-cased, digits as 0; None without a sign."""
+    """The pattern that leads up to ``start``: its sign, if any, and the last word before, lower-cased, digits as 0; None without
+    a sign or word."""
     before = text[max(0, start - _CONTEXT) : start]
-    if not _ANCHOR.search(before):
-        return None
+    sign = _ANCHOR.search(before)
     words = re.sub("[0-9]+", "0", before.lower()).split()
     k = 1
     while k < len(words) and not any(c.isalnum() for c in " ".join(words[-k:])):
         k += 1
     led = " ".join(words[-k:])
+    if not sign:
+        return led.strip("!\"'(),.;?[]{}") or None
     m = re.search(r"[^\s=:#\"'|,;({\[]*[\s=:#\"']+\Z", led)
     return m[0] if m else led
 
 
 def identifier(word: str) -> bool:
-    """The shape of an unseen identifier: letters and at least three digits."""
-    digits = sum(c.isdigit() for c in word)
-    return digits >= 3 and any(c.isalpha() for c in word)
+    """The shape of an unseen identifier: at least three digits."""
+    return sum(map(word.count, "0123456789")) >= 3
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[str, int, bool, int, int]]:
-    """(pattern, instance hash, seed, start, end) of what stands in a context with a sign; base entities are seeds without
-    a span of their own."""
+    """(pattern, instance hash, seed, start, end) of what stands in a context; base entities are seeds without a span
+    of their own."""
     out = []
     for _, s, e in base:
         p = context(text, s)
         if p is not None:
             out.append((p, xxhash.xxh64_intdigest(text[s:e].encode("utf-8", "surrogatepass")) - (1 << 63), True, -1, -1))
-    taken = [(s, e) for _, s, e in base]
+    taken = sorted((s, e) for _, s, e in base)
+    starts, ends = [s for s, _ in taken], list(accumulate((e for _, e in taken), max, initial=-1))
     for m in _CANDIDATE.finditer(text):
-        s, e = m.span(1)
-        if not identifier(m[1]) or any(a < e and s < b for a, b in taken):
+        s, e = m.span()
+        if not identifier(m[0]) or ends[bisect_left(starts, e)] > s:
             continue
         p = context(text, s)
         if p is not None:
-            out.append((p, xxhash.xxh64_intdigest(m[1].encode()) - (1 << 63), bool(_HEX.match(m[1])), s, e))
+            out.append((p, xxhash.xxh64_intdigest(m[0].encode()) - (1 << 63), bool(_HEX.match(m[0])), s, e))
     return out
 
 

@@ -311,6 +311,14 @@ def test_personal_data(spark, docs, empty):
     assert pii.find_personal_data(docs).count() == docs.count() and pii.find_personal_data(empty).count() == 0
 
 
+def test_contexts_of_words_and_short_identifiers(spark):
+    rows = [(k, f"please call +49 30 555 01{k}{k} soon, in 199{k} or phone: +49 40 555 02{k}{k}") for k in range(9)]
+    rows += [(20, "please call 0151 2345678 soon"), (21, "his phone: 0151 2345678"), (22, "phone: X1234567"), (23, "see page 1234")]
+    got = {r["id"]: [dict(rows)[r["id"]][s["start"] : s["end"]] for s in r["more"]] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[20] == got[21] == ["0151 2345678"] and got[22] == ["X1234567"]
+    assert not got[23] and not any(got[k] for k in range(9))
+
+
 def test_long_runs_stay_quick():
     for t in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "1.1." * 30_000, "=" * 50_000):
         pii.candidates(t, pii.base_spans(t))
