@@ -72,10 +72,16 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 _shipped: set[str] = set()
+#: Bytes that pass to Python at a time, where the session doesn't say otherwise: texts differ in length a thousandfold.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, which they then import as modules, so that workers keep what they cache."""
+    """Gives the executors this package, which they then import as modules, so that workers keep what they cache; and bounds
+    the session's Arrow batches by bytes, unless it has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

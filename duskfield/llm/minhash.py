@@ -28,7 +28,7 @@ MISS = 5e-7
 #: Members up to this Jaccard distance from their hub are told apart by their differences from it.
 NEAR_HUB = 0.5
 #: Pairs of buckets of up to so many members are settled one by one, those of larger ones by way of a hub.
-SMALL_BUCKET = 64
+SMALL_BUCKET = 512
 #: So many distinct words a worker keeps the hashes of before it starts anew.
 WORD_CACHE = 1 << 16
 #: Rows that pass to Python at a time.
@@ -177,7 +177,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _with_hubs(buckets: DataFrame) -> DataFrame:
-    """(hub, node) for the members of each bucket but its hub, the least of them."""
+    """(bucket, hub, node) for the members of each bucket but its hub, the least of them."""
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("bucket", "hub")
     return buckets.join(hubs, "bucket").where("node <> hub").select("bucket", "hub", "node")
 
@@ -191,24 +191,26 @@ def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _prefixes(x: DataFrame, c: float) -> DataFrame:
-    """(hub, node, n, ok, e, small, a, b): of each member's elements, the first ``prefix``, rarest within the hub first, that
-    others have too, and whether among the first ``small``. ``x``: hub, node, n, ok, elements, prefix, small. Elements
+    """(grp, node, n, ok, e, small, a, b): of each member's elements, the first ``prefix``, rarest within the group first, that
+    others have too, and whether among the first ``small``. ``x``: grp, node, n, ok, elements, prefix, small. Elements
     that one member has alone only take up places.
 
     A linked pair shares (a(x) + a(y)) / 2 elements at least, a = elements - c n; it can't share more than either has in
     common with any other, so a(x) <= b(y) and a(y) <= b(x), b = 2 * shareable elements - a.
     """
-    one = x.select("hub", "node", "n", "ok", F.size("elements").alias("all"), "prefix", "small", F.explode("elements").alias("e"))
-    rare = one.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    own = Window.partitionBy("hub", "node")
-    shared = one.join(rare, ["hub", "e"]).withColumn("common", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("df", "e")) + F.col("all") - F.col("common"))
+    one = x.select("grp", "node", "n", "ok", F.size("elements").alias("all"), "prefix", "small", F.explode("elements").alias("e"))
+    rare = one.groupBy("grp", "e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = Window.partitionBy("grp", "node")
+    shared = one.join(rare, ["grp", "e"]).withColumn("common", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("df", "e")) + F.col("all") - F.col("common"))
     least = F.col("all") - c * F.col("n")
-    return shared.where("r <= prefix").select("hub", "node", "n", "ok", "e", (F.col("r") <= F.col("small")).alias("small"), least.alias("a"), (2 * F.col("common") - least).alias("b"))
+    return shared.where("r <= prefix").select("grp", "node", "n", "ok", "e", (F.col("r") <= F.col("small")).alias("small"), least.alias("a"), (2 * F.col("common") - least).alias("b"))
 
 
-def _residual(compared: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """New buckets for the pairs of one hub's members that no comparison has settled: the small ones as links (a, b) that
-    hold, the large ones as buckets (bucket, node).
+def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """New buckets for the pairs within each of ``groups`` (grp, hub, node) that no comparison with its hub has settled: the
+    small ones as links (a, b) that hold, the large ones as buckets (bucket, node).
+
+    A new bucket lies within one group and lacks its hub, so that the rounds narrow down to nothing.
 
     Two sets that share k elements share one of the first |A| - k + 1 and |B| - k + 1 in any one order; rarest first is
     taken. For the smaller set of a pair k is larger, so that a shorter prefix (``small``) does; a bucket in which all are
@@ -225,26 +227,27 @@ def _residual(compared: DataFrame, labels: DataFrame, percent: int) -> tuple[Dat
     t = percent / 100
     c = (1 - t) / (1 + t)
     x = compared.join(labels, "node").join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub")
-    apart = x.where("label <> hub_label").select("hub").distinct()
-    x = written(x.join(apart, "hub", "left_semi"), "apart")
+    x = groups.join(x, ["hub", "node"])
+    apart = x.where("label <> hub_label").select("grp").distinct()
+    x = written(x.join(apart, "grp", "left_semi"), "apart")
     n, d = F.col("n"), F.size("diff")
-    far = x.where(F.size("own") > 0).select("hub", "node", "n", F.lit(False).alias("ok"), F.col("own").alias("elements"), (n - F.ceil(t * n - 1e-9) + 1).alias("prefix"), (n - F.ceil(2 * t / (1 + t) * n - 1e-9) + 1).alias("small"))
+    far = x.where(F.size("own") > 0).select("grp", "node", "n", F.lit(False).alias("ok"), F.col("own").alias("elements"), (n - F.ceil(t * n - 1e-9) + 1).alias("prefix"), (n - F.ceil(2 * t / (1 + t) * n - 1e-9) + 1).alias("small"))
     reach = F.floor(n * (1 / t - 1) + 1e-9)
     own = F.greatest(F.lit(1), F.ceil((1 - c) * d / 2 - 1e-9))
     loose = F.greatest(F.lit(1), F.ceil((d + F.greatest(F.lit(1), d - reach) - reach) / 2 - 1e-9))
     share = F.when(F.col("ok"), F.greatest(own, loose)).otherwise(loose)
     smaller = F.greatest(share, F.ceil(d - reach / 2 - 1e-9))
-    near = x.where(d > 0).select("hub", "node", "n", "ok", F.col("diff").alias("elements"), (d - share + 1).alias("prefix"), (d - smaller + 1).alias("small"))
+    near = x.where(d > 0).select("grp", "node", "n", "ok", F.col("diff").alias("elements"), (d - share + 1).alias("prefix"), (d - smaller + 1).alias("small"))
     keys = _prefixes(far, c).withColumn("near", F.lit(False)).unionByName(_prefixes(near, c).withColumn("near", F.lit(True)))
-    keys = written(keys.join(labels, "node").withColumn("bucket", F.xxhash64("hub", "e", "near")), "keys")
+    keys = written(keys.join(labels, "node").withColumn("bucket", F.xxhash64("grp", "e", "near")), "keys")
     for _ in range(2):
         keys = keys.join(_possible(keys), "bucket").where("a <= most_b + 1e-6 and b >= least_a - 1e-6").drop("most_b", "least_a", "many")
     keys = written(keys.join(_possible(keys).select("bucket", "many"), "bucket"), "keys")
-    few = keys.where(F.col("many") <= SMALL_BUCKET).select("bucket", "hub", "near", "node", "label", "ok", "small", "a", "b")
+    few = keys.where(F.col("many") <= SMALL_BUCKET).select("bucket", "grp", "near", "node", "label", "ok", "small", "a", "b")
     other = few.select("bucket", *[F.col(v).alias(f"{v}2") for v in ("node", "label", "ok", "small", "a", "b")])
-    pairs = few.join(other, "bucket").where("node < node2 and label <> label2 and (small or small2) and not (ok and ok2) and a <= b2 + 1e-6 and a2 <= b + 1e-6").select("hub", "near", "node", "node2").distinct()
-    elements = x.select("hub", "node", "n", F.lit(True).alias("near"), F.col("diff").alias("v")).unionByName(x.select("hub", "node", "n", F.lit(False).alias("near"), F.col("own").alias("v")))
-    both = pairs.join(elements, ["hub", "near", "node"]).join(elements.select("hub", "near", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("v").alias("v2")), ["hub", "near", "node2"])
+    pairs = few.join(other, "bucket").where("node < node2 and label <> label2 and (small or small2) and not (ok and ok2) and a <= b2 + 1e-6 and a2 <= b + 1e-6").select("grp", "near", "node", "node2").distinct()
+    elements = x.select("grp", "node", "n", F.lit(True).alias("near"), F.col("diff").alias("v")).unionByName(x.select("grp", "node", "n", F.lit(False).alias("near"), F.col("own").alias("v")))
+    both = pairs.join(elements, ["grp", "near", "node"]).join(elements.select("grp", "near", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("v").alias("v2")), ["grp", "near", "node2"])
     apart_by = F.size("v") + F.size("v2") - 2 * F.size(F.array_intersect("v", "v2"))
     inter = (F.col("n") + F.col("n2") - apart_by) / 2
     links = both.where(100 * inter >= percent * (F.col("n") + F.col("n2") - inter)).select(F.col("node").alias("a"), F.col("node2").alias("b"))
@@ -311,10 +314,13 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     labels = used.select("node", F.col("node").alias("label"))
     labels = joined(labels, compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub"))))
     left = written(_unsettled(inside, labels), "left")
+    first = True
     while left.limit(1).count():
-        found = compared(_with_hubs(left).select("hub", "node").distinct())
+        groups = _with_hubs(left).select(F.col("hub" if first else "bucket").alias("grp"), "hub", "node").distinct()
+        groups, first = written(groups, "groups"), False
+        found = compared(groups.select("hub", "node").distinct())
         labels = joined(labels, found)
-        links, left = _residual(found, labels, percent)
+        links, left = _residual(found, groups, labels, percent)
         links, left = written(links, "links"), written(left, "left")
         if links.limit(1).count():
             labels = components(labels, links)
