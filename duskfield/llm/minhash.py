@@ -29,6 +29,9 @@ MISS = 5e-7
 NEAR_HUB = 0.5
 #: Pairs of buckets of up to so many members are settled one by one, those of larger ones by way of a hub.
 SMALL_BUCKET = 512
+#: Rows of a large bucket that go to one task; float cells that a comparison inside a bucket holds at a time.
+SALT_ROWS = 512
+COMPARED_CELLS = 1 << 21
 #: So many distinct words a worker keeps the hashes of before it starts anew.
 WORD_CACHE = 1 << 16
 #: Rows that pass to Python at a time.
@@ -176,18 +179,28 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return now
 
 
+def _salted(members: DataFrame) -> DataFrame:
+    """Members (bucket, node, many) of large buckets dealt to as many salts as their bucket's size ``many`` asks for."""
+    return members.withColumn("salt", F.expr(f"pmod(xxhash64(node), many div {SALT_ROWS} + 1)"))
+
+
+def _for_salts(buckets: DataFrame) -> DataFrame:
+    """A row of each bucket (bucket, many, ...) for each of its salts."""
+    return buckets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"many div {SALT_ROWS}")))).drop("many")
+
+
 def _with_hubs(buckets: DataFrame) -> DataFrame:
-    """(bucket, hub, node) for the members of each bucket but its hub, the least of them."""
-    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("bucket", "hub")
-    return buckets.join(hubs, "bucket").where("node <> hub").select("bucket", "hub", "node")
+    """(bucket, hub, node) for the members of each bucket but its hub, the least of them. ``buckets``: bucket, node, many."""
+    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most"), F.max("many").alias("many")).where("hub < most").select("bucket", "hub", "many")
+    return _salted(buckets).join(_for_salts(hubs), ["bucket", "salt"]).where("node <> hub").select("bucket", "hub", "node")
 
 
 def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """The buckets (bucket, node) whose members have more than one label, and with column ``small`` one that is true."""
+    """The buckets (bucket, node, many) whose members have more than one label, and with column ``small`` one that is true."""
     x = buckets.join(labels, "node")
     small = F.max("small") if "small" in buckets.columns else F.lit(True)
-    mixed = x.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), small.alias("any")).where("a < b and any").select("bucket")
-    return x.join(mixed, "bucket", "left_semi").select("bucket", "node")
+    mixed = x.groupBy("bucket").agg(F.min("label").alias("p"), F.max("label").alias("q"), small.alias("any"), F.max("many").alias("many")).where("p < q and any").select("bucket", "many")
+    return _salted(x).join(_for_salts(mixed), ["bucket", "salt"], "left_semi").select("bucket", "node", "many")
 
 
 def _prefixes(x: DataFrame, c: float) -> DataFrame:
@@ -208,7 +221,7 @@ def _prefixes(x: DataFrame, c: float) -> DataFrame:
 
 def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """New buckets for the pairs within each of ``groups`` (grp, hub, node) that no comparison with its hub has settled: the
-    small ones as links (a, b) that hold, the large ones as buckets (bucket, node).
+    small ones as links (a, b) that join what holds together, the large ones as buckets (bucket, node, many).
 
     A new bucket lies within one group and lacks its hub, so that the rounds narrow down to nothing.
 
@@ -244,17 +257,56 @@ def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent
         keys = keys.join(_possible(keys), "bucket").where("a <= most_b + 1e-6 and b >= least_a - 1e-6").drop("most_b", "least_a", "many")
     keys = written(keys.join(_possible(keys).select("bucket", "many"), "bucket"), "keys")
     few = keys.where(F.col("many") <= SMALL_BUCKET).select("bucket", "grp", "near", "node", "label", "ok", "small", "a", "b")
-    other = few.select("bucket", *[F.col(v).alias(f"{v}2") for v in ("node", "label", "ok", "small", "a", "b")])
-    pairs = few.join(other, "bucket").where("node < node2 and label <> label2 and (small or small2) and not (ok and ok2) and a <= b2 + 1e-6 and a2 <= b + 1e-6").select("grp", "near", "node", "node2").distinct()
     elements = x.select("grp", "node", "n", F.lit(True).alias("near"), F.col("diff").alias("v")).unionByName(x.select("grp", "node", "n", F.lit(False).alias("near"), F.col("own").alias("v")))
-    both = pairs.join(elements, ["grp", "near", "node"]).join(elements.select("grp", "near", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("v").alias("v2")), ["grp", "near", "node2"])
-    apart_by = F.size("v") + F.size("v2") - 2 * F.size(F.array_intersect("v", "v2"))
-    inter = (F.col("n") + F.col("n2") - apart_by) / 2
-    links = both.where(100 * inter >= percent * (F.col("n") + F.col("n2") - inter)).select(F.col("node").alias("a"), F.col("node2").alias("b"))
-    many = keys.where(F.col("many") > SMALL_BUCKET).groupBy("bucket", "node").agg(F.max("small").alias("small"))
+    few = few.join(elements, ["grp", "near", "node"]).select("bucket", "node", "label", "ok", "small", "a", "b", "n", "v")
+    links = few.groupBy("bucket").applyInArrow(_links_within(percent), "a long, b long").distinct()
+    many = keys.where(F.col("many") > SMALL_BUCKET).groupBy("bucket", "node").agg(F.max("small").alias("small"), F.max("many").alias("many"))
     return links, many
 
 
+def _links_within(percent: int):
+    """The links (a, b) inside one bucket of at most SMALL_BUCKET members, which leave as a spanning forest: one for each
+    member at most."""
+
+    def run(t: pa.Table) -> pa.Table:
+        node, label, n, a, b = (t[c].to_numpy() for c in ("node", "label", "n", "a", "b"))
+        ok, small = (t[c].to_numpy(zero_copy_only=False) for c in ("ok", "small"))
+        open_ = (label[:, None] != label) & (small[:, None] | small) & ~(ok[:, None] & ok) & (a[:, None] <= b + 1e-6) & (a <= b[:, None] + 1e-6)
+        use = np.flatnonzero(open_.any(axis=1))
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if len(use) < 2:
+            return none
+        sets = t["v"].combine_chunks().take(pa.array(use))
+        sizes = sets.value_lengths().to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(len(use)), sizes)
+        of, at = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        shared = np.zeros((len(use), len(use)), np.float32)
+        step = max(1, COMPARED_CELLS // len(use))  # elements at a time
+        for first in range(0, len(of), step):
+            lo, hi = np.searchsorted(at, (first, first + step))
+            has = np.zeros((len(use), step), np.float32)
+            has[owner[lo:hi], at[lo:hi] - first] = 1
+            shared += has @ has.T
+        total = (n[use][:, None] + n[use]).astype(np.int64)
+        inter = (total - (sizes[:, None] + sizes - 2 * shared.astype(np.int64))) / 2
+        linked = open_[np.ix_(use, use)] & (100 * inter >= percent * (total - inter))
+        out, seen = [], np.zeros(len(use), bool)
+        for root in range(len(use)):
+            todo = [] if seen[root] else [root]
+            seen[root] = True
+            while todo:
+                i = todo.pop()
+                new = np.flatnonzero(linked[i] & ~seen)
+                seen[new] = True
+                todo += new.tolist()
+                out += [(node[use[i]], node[use[j]]) for j in new]
+        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())}) if out else none
+
+    return run
+
+
 def _possible(keys: DataFrame) -> DataFrame:
     """What the members of a bucket that may yet hold a link need of each other, for buckets that do."""
     x = keys.groupBy("bucket").agg(F.max("b").alias("most_b"), F.min("a").alias("least_a"), F.count(F.lit(1)).alias("many"), F.min("label").alias("p"), F.max("label").alias("q"), F.max("small").alias("s"), F.min("ok").alias("o"))
@@ -294,7 +346,7 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     company = members.groupBy("node").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "node")
     ranked = written(company.select(F.col("node").alias("old"), F.monotonically_increasing_id().alias("node")), "ranked")
     used = written(ranked.join(classes.select(F.col("node").alias("old"), "key", "least"), "old").select("node", "key", "least"), "used")
-    inside = written(members.select("bucket", F.col("node").alias("old")).join(ranked, "old").select("bucket", "node"), "inside")
+    inside = written(members.select("bucket", F.col("node").alias("old"), "many").join(ranked, "old").select("bucket", "node", "many"), "inside")
     ids = used.select(F.col("least").alias("id")).distinct()
     if used.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -329,6 +381,7 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     roots = named.groupBy("label").agg(F.min("least").alias("root"))
     roots = named.join(roots, "label").select("key", "root")
     found = classes.select("key", "least").join(roots, "key", "left").select("key", F.coalesce("root", "least").alias("component"))
-    out = signed.select("id", "extra", "key", "n").join(found, "key", "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
+    rows = signed.select("id", "extra", "key", "n")  # texts without words, which all have one key, don't meet
+    out = rows.where("n > 0").join(found, "key").unionByName(rows.where("n = 0").withColumn("component", F.col("id")))
+    component = F.col("component")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *[F.col("extra").getField(c).alias(c) for c in x.schema["extra"].dataType.names[1:]])
