@@ -56,6 +56,16 @@ def mjd(unix: Column) -> Column:
     return unix / 86400 + MJD_UNIX_EPOCH
 
 
+def julian_date(jd: Column, mjd_obs: Column) -> Column:
+    """A header's Julian date: JD if it has one, else from MJD-OBS, else null."""
+    return F.coalesce(jd, mjd_obs + MJD_JD)
+
+
+def exposure_middle(start: Column, exposure: Column) -> Column:
+    """The middle of an exposure in seconds; an unknown length is none."""
+    return start + F.coalesce(exposure, F.lit(0.0)) / 2
+
+
 def moved(ra: Column, dec: Column, pmra_mas: Column, pmdec_mas: Column, years: Column | float) -> tuple[Column, Column]:
     """Position after ``years`` of proper motion; an unknown motion is none."""
     a, d = F.coalesce(F.nanvl(pmra_mas, F.lit(0.0)), F.lit(0.0)), F.coalesce(F.nanvl(pmdec_mas, F.lit(0.0)), F.lit(0.0))

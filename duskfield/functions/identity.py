@@ -33,6 +33,13 @@ def observation_id(meta_ids: list[Column], path: Column) -> Column:
     return clean_observation_id(F.coalesce(*meta_ids, word, name))
 
 
+def campaign_id(own: list[Column], sibling: list[Column], path: Column, meta_ids: list[Column] | None = None) -> Column:
+    """The name of an exposure's target, which holds for a whole campaign: OBJECT or TARGET (``own``), else the science
+    sibling's, else the general observation id."""
+    safe = lambda v: F.nullif(F.trim(F.regexp_replace(v, "[^a-zA-Z0-9_]", "_"), F.lit("_")), F.lit(""))
+    return F.coalesce(safe(F.coalesce(*[F.nullif(v, F.lit("")) for v in own])), safe(F.coalesce(*[F.nullif(v, F.lit("")) for v in sibling])), observation_id(meta_ids or [], path))
+
+
 def candidate_id(text: Column) -> Column:
     """Safe for file names: up to 50 characters, with a digest where that is needed."""
     safe = _squeezed(text, r"a-zA-Z0-9_\-.", "_.")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Typical colours between neighbouring bands, the colour transformation of the Sloan bands and its range,
@@ -88,7 +89,110 @@ def response_model(terms: Column, colours: list[Column]) -> Column:
     return out
 
 
-TERM = re.compile(r"^(P\d?[A-D]|P\d?[XYR]|Z|S[XY]{1,2}|SC|XC|GA|GW|EA|EW|R[SOC])(:\d+)?$")
+# Fixed values of the fitted model: the counts that magnitudes are relative to, what is added to counts before their
+# logarithm, the zero point's shift, and the scales of the radial terms.
+MODEL_COUNTS, MODEL_OFFSET, MODEL_ZERO, GAUSS_SCALE = 10000.0, 0.01, 10.0, 25.0
+
+
+def relative_magnitude(mag: Column) -> Column:
+    """An instrumental magnitude relative to the model's reference counts."""
+    return -2.5 * F.log10((F.pow(F.lit(10.0), -0.4 * mag) + MODEL_OFFSET) / MODEL_COUNTS)
+
+
+def _blend(value: float, c1: Column, c2: Column, c3: Column, smooth: bool) -> Column:
+    """The colour term that runs through three colours as its parameter grows, with or without smooth seams."""
+    low, high = (-0.5, 1.5) if smooth else (0.0, 1.0)
+    if value < low:
+        return value * c1
+    if value > high:
+        return c2 + (value - 1) * c3
+    if not smooth:
+        return value * c2
+    rise = (1 + math.sin(value * math.pi)) / 2
+    if value < 0.5:
+        return value * ((1 - rise) * c1 + rise * c2)
+    return c2 + (value - 1) * (rise * c2 + (1 - rise) * c3)
+
+
+def _product(name: str, factors: dict[str, Column]) -> Column:
+    """``P2XY``: x squared times y. A digit is the power of the letter after it; letters without a meaning are 1."""
+    out = F.lit(1.0)
+    for power, letter in re.findall(r"(\d?)([A-Z])", name[1:]):
+        if letter in factors:
+            out = out * F.pow(factors[letter], F.lit(float(power or 1)))
+    return out
+
+
+def fitted_model(terms: dict[str, float], mag: Column, airmass: Column, x: Column, y: Column, colours: list[Column], cat_x: Column, cat_y: Column, image: Column) -> Column:
+    """Magnitude by a fitted response: the sum of its terms over the columns. ``image`` counts from 0; a term that ends in
+    ``:n`` holds for the n-th image only. ``colours``: four of them.
+
+    Z: zero point. P...: products of powers of airmass (A), colours (C to F), place (X, Y, R for the squared radius) and
+    relative magnitude (N). SX, SY, SXY: sines of the place within a pixel. XC, SC: a blend of three colours. GA with GW
+    (a Gaussian of the radius) and EA with EW (an exponential of it) come in pairs. RS, RO, RC: a rational function of
+    the relative magnitude.
+    """
+    rel, radius = relative_magnitude(mag), x * x + y * y
+    factors = {"A": airmass, "R": radius, "X": x, "Y": y, "N": rel} | dict(zip("CDEF", colours, strict=True))
+    wave = lambda v: F.sin(F.pi() * (v - F.floor(v)))
+    sines = {"SX": wave(cat_x), "SY": wave(cat_y), "SXY": wave(cat_x) * wave(cat_y)}
+    out, whole = rel, {}
+    for term, value in terms.items():
+        name, _, number = term.partition(":")
+        if name == "Z":
+            part = F.lit(value - MODEL_ZERO)
+        elif name in sines:
+            part = value * sines[name]
+        elif name in ("XC", "SC"):
+            part = _blend(value, *colours[:3], smooth=name == "SC")
+        elif name.startswith("P"):
+            part = value * _product(name, factors)
+        else:  # parameters of what follows hold for all images
+            whole[name] = value
+            continue
+        out = out + (F.when(image == int(number) - 1, part).otherwise(0.0) if number else part)
+    if {"GA", "GW"} <= whole.keys():
+        out = out + whole["GA"] * F.exp(-GAUSS_SCALE * radius / 10 ** whole["GW"])
+    if {"EA", "EW"} <= whole.keys():
+        z = F.sqrt(radius / whole["EW"])
+        out = out + whole["EA"] * (F.exp(z) / (z + 1) - 1)
+    if any(whole.get(k) for k in ("RS", "RO", "RC")):
+        z = -rel - whole.get("RO", 0.0)
+        out = out + whole.get("RS", 0.0) * z / (1 + whole.get("RC", 0.0) * z * z + 1e-10)
+    return out
+
+
+def flat_mesh(spark: SparkSession, terms: dict[str, float], width: int, height: int, step: int, centre: tuple[float, float], unit: float) -> DataFrame:
+    """(px, py, flat): what the terms of place add on a mesh of pixels, without zero point, colours and magnitude.
+
+    Coordinates of the model are pixels from ``centre`` in units of ``unit``.
+    """
+    mesh = spark.range(0, width, step).select(F.col("id").alias("px")).withColumn("py", F.explode(F.sequence(F.lit(0), F.lit(height - 1), F.lit(step))))
+    x, y, none = (F.col("px") - centre[0]) / unit, (F.col("py") - centre[1]) / unit, F.lit(0.0)
+    place = {k: v for k, v in terms.items() if re.match(r"^(P[\dXYR]+|GA|GW|EA|EW|S[XY]{1,2})(:\d+)?$", k)}
+    level = -2.5 * math.log10((1 + MODEL_OFFSET) / MODEL_COUNTS)  # of magnitude 0, which is no place
+    return mesh.select("px", F.col("py").cast("long").alias("py"), (fitted_model(place, none, none, x, y, [none] * 4, F.col("px").cast("double"), F.col("py").cast("double"), F.lit(0)) - level).alias("flat"))
+
+
+def calibrated(mag_calib: Column, err_calib: Column, mag_auto: Column, err_auto: Column, zero: Column) -> tuple[Column, Column]:
+    """A difference image's magnitude and error: its own where it has them, else the instrumental ones with the zero point."""
+    return F.coalesce(mag_calib, mag_auto + zero), F.when(mag_calib.isNotNull(), err_calib).otherwise(F.when((mag_auto + zero).isNotNull(), err_auto))
+
+
+def zero_point(matched: DataFrame, group: str, clip: float = 3.0) -> DataFrame:
+    """(group, n_good, zero_point, zero_error) from matched stars (star_mag, mag): the median difference, stars within
+    ``clip`` robust deviations of it are good, and the error is their deviation over the root of their number less one
+    (null for fewer than two)."""
+    x = matched.withColumn("_z", F.col("star_mag") - F.col("mag")).where("_z is not null and not isnan(_z)")
+    mid = x.groupBy(group).agg(F.percentile("_z", F.lit(0.5)).alias("_m"))
+    x = x.join(mid, group)
+    mad = x.groupBy(group).agg((F.percentile(F.abs(F.col("_z") - F.col("_m")), F.lit(0.5)) / 0.67).alias("_s"))
+    good = x.join(mad, group).where(F.abs(F.col("_z") - F.col("_m")) <= clip * F.col("_s"))
+    n = F.count(F.lit(1))
+    return good.groupBy(group).agg(n.alias("n_good"), F.percentile("_z", F.lit(0.5)).alias("zero_point"), F.when(n > 1, F.stddev_pop("_z") / F.sqrt(n - 1)).alias("zero_error"))
+
+
+TERM = re.compile(r"^(P(\d?[A-FNRXY])+|Z|S[XY]|SXY|SC|XC|GA|GW|EA|EW|R[SOC])(:\d+)?$")
 
 
 def parse_response(text: str) -> dict[str, float]:
@@ -104,3 +208,53 @@ def parse_response(text: str) -> dict[str, float]:
 
 def format_response(terms: dict[str, float]) -> str:
     return ",".join(f"{k}={v:g}" for k, v in terms.items())
+
+
+def model_table(spark: SparkSession, terms: dict[str, tuple[float, float]]) -> DataFrame:
+    """(term, val, err): a fitted model as a table, which any writer saves."""
+    return spark.createDataFrame([(k, float(v), float(e)) for k, (v, e) in terms.items()], "term string, val double, err double")
+
+
+def model_terms(table: DataFrame) -> dict[str, tuple[float, float]]:
+    """The same read back; a model has a few dozen terms. Names outside the grammar are refused."""
+    out = {}
+    for r in table.select("term", "val", "err").collect():  # a row per term
+        if not TERM.match(r["term"]):
+            raise ValueError(f"term {r['term']!r}")
+        out[r["term"]] = (r["val"], r["err"])
+    return out
+
+
+class TermList:
+    """The terms of a fit: each free or held at a value."""
+
+    def __init__(self, free: dict[str, float] | None = None, held: dict[str, float] | None = None):
+        self.free, self.held = dict(free or {}), dict(held or {})
+
+    def _known(self, name: str) -> None:
+        if not TERM.match(name):
+            raise ValueError(f"term {name!r}")
+
+    def fit(self, name: str, value: float = 0.0) -> None:
+        """``name`` is free, from its present value on if it has one."""
+        self._known(name)
+        self.free[name] = self.held.pop(name, self.free.get(name, value))
+
+    def hold(self, name: str, value: float | None = None) -> None:
+        self._known(name)
+        now = self.free.pop(name, self.held.get(name, 0.0))
+        self.held[name] = now if value is None else value
+
+    def hold_all(self) -> None:
+        for name in list(self.free):
+            self.hold(name)
+
+    def remove(self, name: str) -> None:
+        self.free.pop(name, None)
+        self.held.pop(name, None)
+
+    def value(self, name: str) -> float:
+        return (self.free | self.held)[name]
+
+    def line(self) -> str:
+        return format_response(self.free | self.held)

@@ -5,14 +5,29 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder. Where both
+    are unset, a temporary one if all runs on this machine; on a cluster that is an error, as executors couldn't see it."""
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        held = sc._jsc.sc().getCheckpointDir()
+        if held.isDefined():
+            return held.get()
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+        where = "file://" + tempfile.mkdtemp(prefix="duskfield-")
+        sc.setCheckpointDir(where)
+    return where
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under ``spark.checkpoint.dir`` (a temporary folder where that is unset) and read back:
-    the lineage ends there, and a lost executor loses nothing."""
+    """``df`` written as Parquet under ``shared_dir`` and read back: the lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="duskfield-")
+    top = shared_dir(spark)
     path = f"{top.rstrip('/')}/duskfield-{uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,23 +9,26 @@ from pyspark.sql import functions as F
 
 from ..functions.photometry import DETECTION_FLOOR, systematic_error
 from .features import TYPE_PRIORITY, passes
+from ..functions.tables import written
 from .graph import connected_components, greedy_split
 from .spatial import radius_anti, radius_join, self_pairs
 
 
-def new_sources(det: DataFrame, stars: DataFrame, radius: float, siglim: float, key: str = "det_id") -> DataFrame:
+def new_sources(det: DataFrame, stars: DataFrame, radius: float, siglim: float) -> DataFrame:
     """Significant detections without a star in reach."""
-    return radius_anti(det.where(passes(F.col("err"), siglim)), stars, radius, key, right_on=("sx", "sy"))
+    return radius_anti(det.where(passes(F.col("err"), siglim)), stars, radius, right_on=("sx", "sy"))
 
 
-def classify(det: DataFrame, stars: DataFrame, radius: float, siglim: float, new_siglim: float, least_change: float, catalog: str, key: str = "det_id") -> DataFrame:
+def classify(det: DataFrame, stars: DataFrame, radius: float, siglim: float, new_siglim: float, least_change: float, catalog: str, key: str = "det_id", own_radius: str | None = None) -> DataFrame:
     """(key, candidate_type, magnitude_difference): new sources and significant changes against one catalogue.
 
-    ``stars``: sx, sy, star_mag (null where the star can't be used). A detection without a match is new at
-    ``new_siglim``; one with usable matches is a candidate if some change is significant, and the largest counts; one
-    whose matches are all unusable is new with an unknown (NaN) difference.
+    ``stars``: sx, sy, star_mag (null where the star can't be used). ``own_radius`` names a column with each detection's
+    match radius, to which ``radius`` is a bound. A detection without a match is new at ``new_siglim``; one with usable
+    matches is a candidate if some change is significant, and the largest counts; one whose matches are all unusable is
+    new with an unknown (NaN) difference.
     """
-    near = radius_join(det.select(key, "x", "y", "mag", "err"), stars, radius, right_on=("sx", "sy"))
+    own = {} if own_radius is None else {"row_radius": F.col(own_radius)}
+    near = radius_join(det.select(key, "x", "y", "mag", "err", *([own_radius] if own_radius else [])), stars, radius, right_on=("sx", "sy"), **own)
     change = F.col("mag") - F.col("star_mag")
     sigma = F.sqrt(F.col("err") * F.col("err") + F.lit(DETECTION_FLOOR**2) + F.pow(systematic_error(F.lit(catalog)), 2))
     big = (F.abs(change) >= least_change) & (F.abs(change) / sigma > siglim)
@@ -68,20 +71,47 @@ def vote(candidates: DataFrame, radius: float, n_catalogs: int, share: float, ke
     ``candidates``: key, epoch_id, x, y, r (own radius), catalog. Two are joined within the smaller of their radii. The
     number of catalogues is the configured one, so that a failed catalogue counts against.
     """
-    pairs = self_pairs(candidates, radius, key, carry=("r",), by=("epoch_id",)).where(F.col("dist") <= F.least("r", "r2"))
-    comp = connected_components(candidates, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
+    x = candidates.join(vote_groups(candidates, radius, key), key)
+    return _voted(x, "component", n_catalogs, share)
+
+
+def vote_groups(candidates: DataFrame, radius: float, key: str = "cand_id", system: str = "pixel") -> DataFrame:
+    """(key, component) of each exposure's candidates, joined within the smaller of their radii ``r``, up to ``radius``."""
+    pairs = self_pairs(candidates, radius, key, carry=("r",), by=("epoch_id",), system=system).where(F.col("dist") <= F.least("r", "r2"))
+    return connected_components(candidates, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
+
+
+def _voted(members: DataFrame, group: str, n_catalogs: int, share: float) -> DataFrame:
     need = max(1, math.ceil(share * n_catalogs))
-    votes = candidates.join(comp, key).groupBy("component").agg(F.count_distinct("catalog").alias("votes"), F.count(F.lit(1)).alias("n_members"), F.min("epoch_id").alias("epoch_id"))
+    votes = members.groupBy(group).agg(F.count_distinct("catalog").alias("votes"), F.count(F.lit(1)).alias("n_members"), F.min("epoch_id").alias("epoch_id"))
     return votes.where(F.col("votes") >= need)
 
 
+def vote_candidates(candidates: DataFrame, radius: float, n_catalogs: int, share: float, key: str = "cand_id") -> DataFrame:
+    """One row for each source of an exposure that enough catalogues agree on: its best candidate's row with ``votes``, the
+    type of highest priority and that type's largest change.
+
+    ``candidates``: key, epoch_id, ra, dec, r (own radius, arcsec, up to ``radius``), catalog, quality, candidate_type,
+    magnitude_difference.
+    """
+    x = written(candidates.join(vote_groups(candidates, radius, key, "sky"), key), "members")
+    votes = _voted(x, "component", n_catalogs, share).select("component", "votes")
+    best = representatives(x, "component", key).join(votes, "component").select(key, "votes", "candidate_type", "magnitude_difference")
+    return candidates.drop("candidate_type", "magnitude_difference").join(best, key)
+
+
+def valid_positions(rows: DataFrame) -> DataFrame:
+    """The rows with a finite position on the sky."""
+    return rows.where("ra >= 0 and ra <= 360 and dec >= -90 and dec <= 90 and not isnan(ra) and not isnan(dec)")
+
+
 def cross_epoch(candidates: DataFrame, radius: float, least: int, key: str = "det_id") -> DataFrame:
     """(key, component, sub): clusters over exposures. ``candidates``: key, epoch_id, ra, dec, r, quality.
 
     Members join within min(r, r', 0.6 radius); components whose centroids are within ``radius`` and whose exposures don't
     meet are merged; components are split into groups of one member per exposure; groups under ``least`` go.
     """
-    valid = candidates.where("ra >= 0 and ra <= 360 and dec >= -90 and dec <= 90 and not isnan(ra) and not isnan(dec)")
+    valid = valid_positions(candidates)
     pairs = self_pairs(valid, 0.6 * radius, key, carry=("r",), system="sky").where(F.col("dist") <= F.least("r", "r2"))
     first = connected_components(valid, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
     x = valid.join(first, key)

@@ -7,6 +7,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import exposure_middle, mjd
+from ..functions.identity import exposure_from_name, grid_key
+from ..functions.tables import written
+
 
 def depth(mag: Column, error: Column, most_error: float = 0.2) -> Column:
     """Limiting magnitude: the 90th percentile of the well measured."""
@@ -56,23 +60,91 @@ def needs_stack(n_epochs: int, stacked: int | None, best_score: float | None, fi
 def fit_terms(rows: DataFrame, group: str, y: str, err: str, terms: dict[str, Column], rounds: int = 8) -> DataFrame:
     """(group, term, value, error): robust weighted linear fit per group, Cauchy weights in rounds.
 
-    A group's normal equations are small; its rows come to one task, so groups are exposures, not tables.
+    Each round adds up the normal equations by partial sums and solves a small matrix per group, so that no group's rows
+    come to one task. Where the equations are singular, the solution of least norm is taken and its errors are those of
+    the pseudo-inverse. A row with an unknown value or error is left out.
     """
-    x = rows.select(group, F.col(y).alias("_y"), F.col(err).alias("_e"), *[c.cast("double").alias(f"t_{k}") for k, c in terms.items()])
     names = list(terms)
-
-    def solve(p: pd.DataFrame) -> pd.DataFrame:
-        a, b, e = p[[f"t_{k}" for k in names]].to_numpy(), p["_y"].to_numpy(), p["_e"].to_numpy()
-        w = 1 / e**2
-        for _ in range(rounds):
-            gram = a.T @ (a * w[:, None])
-            cov = np.linalg.pinv(gram)
-            beta = cov @ (a.T @ (b * w))
-            res = (b - a @ beta) / e
-            w = 1 / e**2 / (1 + res**2)
-        return pd.DataFrame({group: p[group].iloc[0], "term": names, "value": beta, "error": np.sqrt(np.clip(np.diag(cov), 0, None))})
-
-    return x.groupBy(group).applyInPandas(solve, f"{group} {x.schema[group].dataType.simpleString()}, term string, value double, error double")
+    k = len(names)
+    x = rows.select(group, F.col(y).alias("_y"), F.col(err).alias("_e"), *[c.cast("double").alias(f"_t{i}") for i, c in enumerate(terms.values())])
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    x = x.where(known("_y") & known("_e") & (F.col("_e") > 0))
+    for i in range(k):
+        x = x.where(known(f"_t{i}"))
+    x = written(x, "fit_rows")
+    kind = x.schema[group].dataType.simpleString()
+
+    def solved(batches):
+        for p in batches:
+            for row in p.itertuples(index=False):
+                gram = np.zeros((k, k))
+                gram[np.triu_indices(k)] = row.gram
+                gram = gram + np.triu(gram, 1).T
+                cov = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+                yield pd.DataFrame({group: [row[0]], "beta": [cov @ np.asarray(row.side)], "error": [np.sqrt(np.clip(np.diag(cov), 0, None))]})
+
+    now = None
+    for _ in range(rounds):
+        z = x if now is None else x.join(now.select(group, "beta"), group)
+        w = 1 / F.pow("_e", 2)
+        if now is not None:
+            model = sum((F.get("beta", F.lit(i)) * F.col(f"_t{i}") for i in range(k)), F.lit(0.0))
+            w = w / (1 + F.pow((F.col("_y") - model) / F.col("_e"), 2))
+        z = z.withColumn("_w", w)
+        gram = [F.sum(F.col("_w") * F.col(f"_t{a}") * F.col(f"_t{b}")) for a in range(k) for b in range(a, k)]
+        side = [F.sum(F.col("_w") * F.col(f"_t{a}") * F.col("_y")) for a in range(k)]
+        sums = z.groupBy(group).agg(F.array(*gram).alias("gram"), F.array(*side).alias("side"))
+        now = written(sums.mapInPandas(solved, f"{group} {kind}, beta array<double>, error array<double>"), "fit")
+    each = F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("term"), F.col("beta").alias("value"), F.col("error").alias("error")))
+    return now.select(group, each.alias("t")).select(group, "t.term", "t.value", "t.error")
+
+
+def sample_frames(frames: DataFrame, group: str, most: int) -> DataFrame:
+    """At most ``most`` frames of each group: the first, the last, the one likely to be brightest, and an even stride of the
+    rest, in order of ``position``. ``frames``: group, position, name, size (bytes). All are taken where they are few.
+
+    Likely brightest: by the exposure in the name (a hundredth a second), the size (1 for 100 MiB), closeness to the middle
+    (up to a half), and 10 less for calibration frames; none if all are below -1.
+    """
+    all_of = Window.partitionBy(group)
+    order = all_of.orderBy("position", "name")
+    x = frames.withColumns({"_i": F.row_number().over(order) - 1, "_n": F.count(F.lit(1)).over(all_of)})
+    lower = F.lower("name")
+    calibration = lower.contains("bias") | lower.contains("dark") | lower.contains("flat")
+    middle = 1 - F.abs(F.col("_i") - F.col("_n") / 2) / (F.col("_n") / 2)
+    score = F.coalesce(exposure_from_name(lower) / 100, F.lit(0.0)) + F.coalesce(F.col("size") / float(100 << 20), F.lit(0.0)) - F.when(calibration, 10.0).otherwise(0.0) + 0.5 * middle
+    x = x.withColumn("_score", score)
+    best = F.first(F.when(F.col("_score") > -1, F.col("_i")), ignorenulls=True).over(all_of.orderBy(F.desc("_score"), "_i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    x = x.withColumn("_best", best)
+    fixed = (F.col("_i") == 0) | (F.col("_i") == F.col("_n") - 1) | (F.col("_i") == F.coalesce("_best", F.lit(0)))
+    x = x.withColumn("_fixed", fixed)
+    x = x.withColumns({"_held": F.sum(F.col("_fixed").cast("int")).over(all_of), "_r": F.row_number().over(all_of.orderBy("_fixed", "_i")) - 1})
+    slots = F.lit(most) - F.col("_held")
+    step = F.greatest(F.lit(1), F.floor((F.col("_n") - F.col("_held")) / F.greatest(slots, F.lit(1))))
+    even = ~F.col("_fixed") & (slots > 0) & (F.col("_r") % step == 0) & (F.col("_r") / step < slots)
+    few = F.col("_n") <= most
+    taken = x.where(few | F.col("_fixed") | even)
+    place = F.row_number().over(all_of.orderBy("name", "position"))
+    return taken.withColumn("_p", place).where((F.col("_n") <= most) | (F.col("_p") <= most)).drop("_i", "_n", "_score", "_best", "_fixed", "_held", "_r", "_p")
+
+
+def missing_differences(science: DataFrame, done: DataFrame, template: DataFrame | None = None) -> DataFrame:
+    """(epoch_id, template_id) of the science exposures that have no difference yet, each with its field's template; an
+    exposure isn't its own template. ``template``: field, template_id (none: survey templates, by field)."""
+    x = science.join(done.select("epoch_id").distinct(), "epoch_id", "left_anti")
+    if template is None:
+        return x.select("epoch_id", F.concat(F.lit("survey:"), F.col("field")).alias("template_id"))
+    x = x.join(template, "field")
+    return x.where(F.col("epoch_id").cast("string") != F.col("template_id").cast("string")).select("epoch_id", F.col("template_id").cast("string").alias("template_id"))
+
+
+def templates_by_cell(fields: DataFrame, templates: DataFrame, cell: float = 0.02) -> DataFrame:
+    """``fields`` (ra, dec, band, ...) with the survey template of the same grid cell and band (``tile``), null without one;
+    the newest of several."""
+    key = lambda ra, dec, band: grid_key([(ra, cell), (dec, cell)], band)
+    own = templates.select(key(F.col("ra"), F.col("dec"), F.col("band")).alias("_key"), "tile", "made")
+    last = own.groupBy("_key").agg(F.max_by("tile", F.struct("made", "tile")).alias("tile"))
+    return fields.withColumn("_key", key(F.col("ra"), F.col("dec"), F.col("band"))).join(last, "_key", "left").drop("_key")
 
 
 def borrow_headers(diff: DataFrame, science: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,3 +169,18 @@ def replay(epochs: DataFrame, number: str = "number") -> DataFrame:
     if total is None:
         return epochs.select(F.lit(0).alias("step"), "*").where("false")
     return epochs.select(F.explode(F.sequence(F.col(number) + 1, F.lit(total + 1))).alias("step"), "*")
+
+
+def annotate(det: DataFrame, headers: DataFrame) -> DataFrame:
+    """Detections with their exposure's middle ``obs_time``, ``mjd`` and ``source_file``. ``headers``: epoch_id, ctime, exptime,
+    filename."""
+    mid = exposure_middle(F.col("ctime"), F.col("exptime"))
+    own = headers.select("epoch_id", mid.alias("obs_time"), mjd(mid).alias("mjd"), F.coalesce("filename", F.lit("unknown")).alias("source_file"))
+    return det.join(own, "epoch_id")
+
+
+def template_provenance(chosen: DataFrame, names: DataFrame) -> DataFrame:
+    """(epoch_id, provenance) of chosen reference exposures (epoch_id, and contaminated if a target was asked for); ``names``:
+    epoch_id, stem."""
+    spoilt = F.coalesce("contaminated", F.lit(False)) if "contaminated" in chosen.columns else F.lit(False)
+    return chosen.join(names, "epoch_id").select("epoch_id", F.concat(F.lit("own_epoch:"), F.col("stem"), F.when(spoilt, ":target-contaminated").otherwise("")).alias("provenance"))

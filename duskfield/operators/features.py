@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import clip, flat_separation
-from .spatial import radius_join
+from ..functions.tables import written
+from .spatial import nearest_any, radius_join
 
 SATURATED, BLENDED, NEAR_BRIGHT = 4, 2, 8
 #: Magnitude error times signal to noise.
@@ -76,21 +77,25 @@ def cluster_radius(fwhm: Column, a: Column, snr: Column, sigma: float, scale: Co
     return clip(sigma * size * F.sqrt(10 / s), 1, 8) * F.lit(scale)
 
 
-def capped_radius(df: DataFrame, radius: str, by: tuple[str, ...] = (), share: float = 0.95) -> DataFrame:
-    """``radius`` held to its 95th percentile per group: neighbours are only sought that far."""
+def capped_radius(df: DataFrame, radius: str, by: tuple[str, ...] = ("epoch_id",), share: float = 0.95, default: float | None = None) -> DataFrame:
+    """``radius`` held to its 95th percentile per exposure: neighbours are only sought that far. An unknown radius counts as
+    ``default``, if there is one. Percentiles are taken over counts of distinct radii, which are partial sums."""
+    if default is not None:
+        df = df.withColumn(radius, F.when((F.col(radius) > 0) & ~F.isnan(radius), F.col(radius)).otherwise(F.lit(float(default))))
     cap = df.groupBy(*by).agg(F.percentile(radius, F.lit(share)).alias("_cap"))
-    out = df.join(cap, list(by)) if by else df.join(F.broadcast(cap))  # one row
-    return out.withColumn(radius, F.least(radius, "_cap")).drop("_cap")
+    return df.join(cap, list(by)).withColumn(radius, F.least(radius, "_cap")).drop("_cap")
 
 
-def neighbour_stats(det: DataFrame, stars: DataFrame, radius: float, key: str = "det_id", nearest_within: float | None = None) -> DataFrame:
-    """(key, nearby_sources, source_density, nearest_source_dist): stars within ``radius``; the distance is infinite where
-    none is within ``nearest_within`` (``radius`` unless given)."""
-    reach = nearest_within or radius
-    pairs = radius_join(det.select(key, "x", "y"), stars.select(F.col("x").alias("sx"), F.col("y").alias("sy")), reach, right_on=("sx", "sy"))
-    got = pairs.groupBy(key).agg(F.count(F.when(F.col("dist") <= radius, 1)).alias("n"), F.min("dist").alias("d"))
+def neighbour_stats(det: DataFrame, stars: DataFrame, radius: float, key: str = "det_id") -> DataFrame:
+    """(key, nearby_sources, source_density, nearest_source_dist): stars within ``radius``, and the distance to the nearest
+    however far; infinite without a star. Rows with a star in reach are settled by the count's own pairs."""
+    at = stars.select(F.col("x").alias("sx"), F.col("y").alias("sy"))
+    pairs = radius_join(det.select(key, "x", "y"), at, radius, right_on=("sx", "sy"))
+    got = written(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("d")), "near")
+    lone = det.select(key, "x", "y").join(got.select(key), key, "left_anti")
+    far = nearest_any(lone, at.withColumn("_at", F.struct("sx", "sy")), 2 * radius, key, "_at", right_on=("sx", "sy")).select(key, F.lit(0).cast("long").alias("n"), F.col("dist").alias("d"))
     n = F.coalesce("n", F.lit(0))
-    return det.select(key).join(got, key, "left").select(key, n.cast("long").alias("nearby_sources"), (n / (F.pi() * radius * radius)).alias("source_density"), F.coalesce("d", F.lit(float("inf"))).alias("nearest_source_dist"))
+    return det.select(key).join(got.unionByName(far), key, "left").select(key, n.cast("long").alias("nearby_sources"), (n / (F.pi() * radius * radius)).alias("source_density"), F.coalesce("d", F.lit(float("inf"))).alias("nearest_source_dist"))
 
 
 def base_score(cols: set[str], weights: dict[str, float] = WEIGHTS, fallback: Column | None = None) -> Column:
@@ -139,6 +144,31 @@ def band_stats(det: DataFrame, stars: DataFrame, radius: float, bands: list[str]
     return det.select(key).join(got, key, "left")
 
 
+def in_reference_frame(x: Column, y: Column, width: Column | float, height: Column | float, margin: float = 10) -> Column:
+    """Whether a position lies in the reference image or at most ``margin`` outside: low edges count, high ones don't."""
+    inside = lambda v, size: (v >= -margin) & (v < F.lit(size) + margin)
+    return inside(x, width) & inside(y, height)
+
+
+def early_enough(start: Column, exposure: Column, trigger: Column | float, limit: float = 43200.0) -> Column:
+    """Whether the middle of an exposure is within ``limit`` seconds of the trigger (or before it)."""
+    return start + exposure / 2 - F.lit(trigger) <= limit
+
+
+def fwhm_or_default(fwhm: Column, default: float = 3.0) -> Column:
+    """A header's size in pixels; the default where it is absent, not finite or not positive."""
+    return F.when((fwhm > 0) & (fwhm < float("inf")), fwhm).otherwise(F.lit(default))
+
+
+def legacy_candidates(det: DataFrame, stars: DataFrame, radius: float, siglim: float, width: float, height: float, frame: float = 10, key: str = "det_id") -> DataFrame:
+    """The detections that the early per-row rule calls candidates: off the edges, significant, and without a star in reach
+    whose model magnitude agrees within ``siglim`` errors. ``stars``: sx, sy, star_mag; a null magnitude agrees with nothing."""
+    x = det.where(inside_frame(F.col("x"), F.col("y"), width, height, frame) & (F.col("err") < GATE / siglim))
+    near = radius_join(x.select(key, "x", "y", "mag", "err"), stars.select("sx", "sy", "star_mag").where("star_mag is not null"), radius, right_on=("sx", "sy"))
+    known = near.where(F.abs(F.col("star_mag") - F.col("mag")) <= siglim * F.col("err")).select(key).distinct()
+    return x.join(known, key, "left_anti")
+
+
 def target_epochs(det: DataFrame, ra: float, dec: float, radius: float = 5.0) -> DataFrame:
     """(epoch_id, present): whether anything is within ``radius`` arcsec of the target, on the flat sky."""
     near = flat_separation(F.col("ra"), F.col("dec"), F.lit(ra), F.lit(dec)) * 3600 <= radius

@@ -4,29 +4,44 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tables import written
+from .spatial import self_pairs
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "det_id") -> DataFrame:
     """(key, component): the least key that the edges (a, b) reach.
 
-    Each round takes the least label of the neighbours and then the label of the label, and is written: the plan stays
-    one round long. Only a flag comes to the driver.
+    Each round gives every node that still has an edge the neighbour, or itself, of the least hash, and contracts the
+    graph to these: a group of mutual neighbours is settled in one round, a long chain loses a share of its nodes in each.
+    Settled groups have no edges left and don't take part again; nodes without edges never do. Least neighbours are
+    partial minima, so a node of very many edges is a row for each task. Each round's tables are written: plans stay one
+    round long, and only a flag comes to the driver.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    now = nodes.select(F.col(key).alias("node"), F.col(key).alias("label"))
-    while True:
-        near = both.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
-        new = now.join(near, "node", "left").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old"))
-        up = new.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = written(new.join(up, "label", "left").select("node", F.least("label", "root").alias("label"), "old"), "labels")
-        now = new.select("node", "label")
-        if not new.where("label <> old").limit(1).count():
-            return now.select(F.col("node").alias(key), F.col("label").alias("component"))
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    reps = None
+    turn = 0
+    while both.limit(1).count():
+        ranked = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
+        least = both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
+        to = written(least.select("a", F.least("m", ranked("a"))["v"].alias("p")), "parents")
+        if reps is None:
+            reps = to.select(F.col("a").alias("node"), F.col("p").alias("rep"))
+        else:
+            reps = written(reps.join(to.select(F.col("a").alias("rep"), "p"), "rep", "left").select("node", F.coalesce("p", "rep").alias("rep")), "representatives")
+        half = both.join(to, "a").select(F.col("p").alias("a"), "b")
+        both = written(half.join(to.select(F.col("a").alias("b"), "p"), "b").select("a", F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        turn += 1
+    every = nodes.select(key)
+    if reps is None:
+        return every.select(key, F.col(key).alias("component"))
+    first = reps.groupBy("rep").agg(F.min("node").alias("component"))
+    named = reps.join(first, "rep").select(F.col("node").alias(key), "component")
+    return every.join(named, key, "left").select(key, F.coalesce("component", key).alias("component"))
 
 
 def greedy_split(members: DataFrame, radius: float, key: str = "det_id") -> DataFrame:
@@ -60,3 +75,37 @@ def greedy_split(members: DataFrame, radius: float, key: str = "det_id") -> Data
         return pd.DataFrame({"component": x["component"], key: x[key], "sub": sub})
 
     return members.select("component", key, "epoch_id", "quality", "ra", "dec").groupBy("component").applyInPandas(split, f"component long, {key} long, sub int")
+
+
+def source_list(det: DataFrame, radius: float, key: str = "det_id") -> DataFrame:
+    """(key, source): a list of sources that grows by exposure. A detection belongs to the first source within ``radius``
+    arcsec that earlier exposures opened, else it opens one, named by its key, at its position.
+
+    ``det``: key, epoch_id, ra, dec. What is decided depends on nothing beyond a detection's friends of friends, so each
+    of these groups is one task's rows, as in ``greedy_split``. A detection without a position has no row.
+    """
+    valid = det.where("ra is not null and dec is not null and not isnan(ra) and not isnan(dec)").select(key, "epoch_id", "ra", "dec")
+    pairs = self_pairs(valid, radius, key, system="sky")
+    x = valid.join(connected_components(valid, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key), key)
+    reach = 2 * math.sin(math.radians(radius / 3600) / 2)
+
+    def grow(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(["epoch_id", key])
+        a, d = np.radians(p["ra"].to_numpy()), np.radians(p["dec"].to_numpy())
+        at = np.column_stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
+        keys, epochs, out = p[key].to_numpy(), p["epoch_id"].to_numpy(), []
+        opened: list[int] = []
+        known = 0  # sources that earlier exposures opened
+        for i in range(len(p)):
+            if i and epochs[i] != epochs[i - 1]:
+                known = len(opened)
+            near = np.flatnonzero(np.linalg.norm(at[opened[:known]] - at[i], axis=1) <= reach) if known else ()
+            if len(near):
+                out.append(keys[opened[near[0]]])
+            else:
+                opened.append(i)
+                out.append(keys[i])
+        return pd.DataFrame({key: keys, "source": out})
+
+    kind = valid.schema[key].dataType.simpleString()
+    return x.groupBy("component").applyInPandas(grow, f"{key} {kind}, source {kind}")

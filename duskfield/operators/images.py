@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +43,51 @@ def psf_stamp(sigma: float, half: int) -> Column:
     side = 2 * half + 1
     raw = F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda i: F.exp(-(F.pow(F.floor(i / side) - half, 2) + F.pow(i % side - half, 2)) / (2 * sigma * sigma)))
     return F.transform(raw, lambda v: v / F.aggregate(raw, F.lit(0.0), lambda a, b: a + b))
+
+
+def masked_difference(science: Column, template: Column) -> Column:
+    """Pixel by pixel, NaN where either is NaN or null; null where the sizes differ."""
+    nan = F.lit(float("nan"))
+    one = lambda a, b: F.when(a.isNull() | b.isNull() | F.isnan(a) | F.isnan(b), nan).otherwise(a.cast("double") - b)
+    return F.when(F.size(science) == F.size(template), F.zip_with(science, template, one))
+
+
+#: How differences are made, by name: (science, template) -> pixels. PSF-matching engines are programs of their own and
+#: register themselves here.
+ENGINES: dict[str, Callable[[Column, Column], Column]] = {"aligned": difference, "masked": masked_difference}
+
+
+def subtract(engine: str, science: Column, template: Column) -> Column:
+    """The difference by the named engine; an unknown name is an error."""
+    if engine not in ENGINES:
+        raise ValueError(f"engine {engine!r}; known: {', '.join(sorted(ENGINES))}")
+    return ENGINES[engine](science, template)
+
+
+def section(stamp: Column, width: int, x0: Column | int, y0: Column | int, wide: int, high: int) -> Column:
+    """The sub-rectangle from (x0, y0) on, ``wide`` by ``high``, as a flat array. Pixels beyond the image are null."""
+    x0, y0 = F.lit(x0), F.lit(y0)
+    place = F.sequence(F.lit(0), F.lit(wide * high - 1))
+
+    def at(i: Column) -> Column:
+        px, py = x0 + i % wide, y0 + F.floor(i / wide).cast("int")
+        return F.when((px >= 0) & (px < width) & (py >= 0), F.get(stamp, py * width + px))
+
+    return F.transform(place, at)
+
+
+def levels(pix: DataFrame, key: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """(key, low, high): the levels to stretch each image between: two percentiles of its finite pixels, or their extremes
+    where these are equal. ``pix``: key and v, a row per pixel."""
+    v = F.when(~F.isnan("v") & (F.abs("v") < float("inf")), F.col("v"))
+    got = pix.groupBy(key).agg(F.percentile(v, F.lit(low)).alias("l"), F.percentile(v, F.lit(high)).alias("h"), F.min(v).alias("a"), F.max(v).alias("b"))
+    flat = F.col("l") == F.col("h")
+    return got.select(key, F.when(flat, F.col("a")).otherwise(F.col("l")).alias("low"), F.when(flat, F.col("b")).otherwise(F.col("h")).alias("high"))
+
+
+def merged_header(science: Column, sibling: Column, template: Column, keys: list[str]) -> Column:
+    """A difference's header: the science image's, with the named values of the sibling's table where it has them, and TEMPLATE."""
+    extra = F.map_filter(sibling, lambda k, v: k.isin(keys) & v.isNotNull())
+    named = F.create_map(F.lit("TEMPLATE"), template)
+    keep = F.map_filter(science, lambda k, v: ~F.map_contains_key(extra, k) & (k != "TEMPLATE"))
+    return F.map_concat(keep, F.map_filter(extra, lambda k, v: k != "TEMPLATE"), named)

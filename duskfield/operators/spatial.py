@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import unit_vector
@@ -31,12 +31,8 @@ def _keyed(df: DataFrame, on: tuple[str, str], cell: float, sky: bool, spread: b
     return out
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius: float, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None, by: tuple[str, ...] = (), row_radius: Column | None = None, strict: bool = False) -> DataFrame:
-    """Pairs within ``radius`` (pixels, or arcsec on the sky) with ``dist`` in the same unit.
-
-    ``by``: further equal columns. ``row_radius``: a narrower radius over the joined columns. Columns of both sides must
-    have different names, but for ``by``. Pass the smaller side as ``right``: it is the one exploded.
-    """
+def _cells(left: DataFrame, right: DataFrame, radius: float, system: str, left_on: tuple[str, str] | None, right_on: tuple[str, str] | None) -> tuple[DataFrame, DataFrame, list[str], Column]:
+    """Both sides with their cells, the cells' names, and the distance over the joined columns."""
     if system not in ("pixel", "sky"):
         raise ValueError(f"system {system!r}")
     sky = system == "sky"
@@ -45,18 +41,36 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, system: str =
     cell = max(reach * (1 + 1e-9), 1e-12)
     a, b = _keyed(left, left_on, cell, sky, False, "_l"), _keyed(right, right_on, cell, sky, True, "_r")
     n = 3 if sky else 2
-    joined = a.join(b, [*by, *[f"cell{k}" for k in range(n)]])
     square = sum(((F.col(f"_l{k}") - F.col(f"_r{k}")) * (F.col(f"_l{k}") - F.col(f"_r{k}")) for k in range(n)), F.lit(0.0))
     dist = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))) * 3600 if sky else F.sqrt(square)
-    joined = joined.withColumn("dist", dist)
+    return a, b, [f"cell{k}" for k in range(n)], dist
+
+
+def _bare(df: DataFrame) -> DataFrame:
+    return df.drop(*[f"cell{k}" for k in range(3)], *[f"_{s}{k}" for s in "lr" for k in range(3)])
+
+
+def radius_join(left: DataFrame, right: DataFrame, radius: float, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None, by: tuple[str, ...] = (), row_radius: Column | None = None, strict: bool = False) -> DataFrame:
+    """Pairs within ``radius`` (pixels, or arcsec on the sky) with ``dist`` in the same unit.
+
+    ``by``: further equal columns. ``row_radius``: a narrower radius over the joined columns. Columns of both sides must
+    have different names, but for ``by``. Pass the smaller side as ``right``: it is the one exploded.
+    """
+    a, b, cells, dist = _cells(left, right, radius, system, left_on, right_on)
     limit = F.lit(float(radius)) if row_radius is None else F.least(F.lit(float(radius)), row_radius)
-    joined = joined.where(F.col("dist") < limit if strict else F.col("dist") <= limit)
-    return joined.drop(*[f"cell{k}" for k in range(n)], *[f"_{s}{k}" for s in "lr" for k in range(n)])
+    joined = a.join(b, [*by, *cells]).withColumn("dist", dist)
+    return _bare(joined.where(F.col("dist") < limit if strict else F.col("dist") <= limit))
 
 
-def radius_anti(left: DataFrame, right: DataFrame, radius: float, key: str, **how) -> DataFrame:
-    """The rows of ``left`` with nothing of ``right`` within the radius. ``key`` is unique in ``left``."""
-    return left.join(radius_join(left, right, radius, **how).select(key).distinct(), key, "left_anti")
+def radius_anti(left: DataFrame, right: DataFrame, radius: float, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None, by: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+    """The rows of ``left`` with nothing of ``right`` within the radius: one anti-join on cells, with the distance as its
+    further condition, so that pairs are never made. Only positions and ``by`` of ``right`` are read."""
+    on = right_on or (SKY if system == "sky" else PIXEL)
+    other = right.select(*[F.col(c).alias(f"_p{k}") for k, c in enumerate(on)], *[F.col(c).alias(f"_b{k}") for k, c in enumerate(by)])
+    a, b, cells, dist = _cells(left, other, radius, system, left_on, ("_p0", "_p1"))
+    b = b.withColumnsRenamed({c: f"_{c}" for c in cells})
+    same = [F.col(c) == F.col(f"_{c}") for c in cells] + [F.col(c) == F.col(f"_b{k}") for k, c in enumerate(by)]
+    return _bare(a.join(b, [*same, dist < radius if strict else dist <= radius], "left_anti"))
 
 
 def self_pairs(df: DataFrame, radius: float, key: str, carry: tuple[str, ...] = (), system: str = "pixel", on: tuple[str, str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -69,19 +83,50 @@ def self_pairs(df: DataFrame, radius: float, key: str, carry: tuple[str, ...] =
 
 
 def nearest(left: DataFrame, right: DataFrame, radius: float, key: str, right_key: str, **how) -> DataFrame:
-    """Each left row's nearest right row within the radius; the smaller right key where two are as near."""
+    """Each left row's nearest right row within the radius; the smaller right key where two are as near. Minima are partial,
+    so that the pairs of a dense field aren't shuffled."""
     pairs = radius_join(left, right, radius, **how)
-    order = Window.partitionBy(key).orderBy("dist", right_key)
-    return pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    rest = [c for c in pairs.columns if c not in (key, "dist", right_key)]
+    best = pairs.groupBy(key).agg(F.min(F.struct("dist", right_key, *rest)).alias("_best"))
+    return best.select(key, *[F.col("_best").getField(c).alias(c) for c in ("dist", right_key, *rest)])
 
 
-def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, most: float, grow: float = 4.0, **how) -> DataFrame:
-    """Each left row's nearest right row up to the radius ``most``: rings grow, and only rows that have found nothing go on. Each ring is written, so that no ring is computed twice."""
-    found, rest, radius = None, written(left, "left"), first_radius
+def _extent(left: DataFrame, right: DataFrame, system: str, left_on: tuple[str, str] | None, right_on: tuple[str, str] | None) -> float:
+    """A radius that no pair is beyond: half the sky, or the diagonal of what both sides cover. One row comes to the driver."""
+    if system == "sky":
+        return 180 * 3600.0
+    both = left.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(left_on or PIXEL)]).union(right.select(*[F.col(c).cast("double") for c in right_on or PIXEL]))
+    got = both.where(~F.isnan("v0") & ~F.isnan("v1")).agg(*[f(f"v{k}").alias(f"{n}{k}") for k in (0, 1) for n, f in (("a", F.min), ("b", F.max))]).first()
+    return math.hypot(got["b0"] - got["a0"], got["b1"] - got["a1"]) * (1 + 1e-9) + 1e-9 if got["a0"] is not None else 0.0
+
+
+def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, grow: float = 2.0, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None, **how) -> DataFrame:
+    """Each left row's nearest right row, however far: rings grow, and only rows that have found nothing go on, until none is
+    left or the ring covers everything. Each ring is written, so that no ring is computed twice."""
+    how |= {"system": system, "left_on": left_on, "right_on": right_on}
+    found, rest, radius, most = None, written(left, "left"), first_radius, _extent(left, right, system, left_on, right_on)
     while True:
-        got = written(nearest(rest, right, min(radius, most), key, right_key, **how), "ring")
+        got = written(nearest(rest, right, min(radius, max(most, first_radius)), key, right_key, **how), "ring")
         found = got if found is None else found.unionByName(got)
-        if radius >= most:
-            return found
         rest = written(rest.join(got.select(key), key, "left_anti"), "rest")
+        if radius >= most or not rest.limit(1).count():
+            return found
         radius *= grow
+
+
+def image_matches(cands: DataFrame, det: DataFrame, radius: float = 5.0, key: str = "cand_id") -> DataFrame:
+    """(key, epoch_id, det_ids): the detections of every exposure within ``radius`` pixels of a candidate, sorted; exposures
+    without one have no row. ``cands``: key, cx, cy; ``det``: det_id, epoch_id, x, y."""
+    pairs = radius_join(det.select("det_id", "epoch_id", "x", "y"), cands.select(key, "cx", "cy"), radius, right_on=("cx", "cy"))
+    return pairs.groupBy(key, "epoch_id").agg(F.sort_array(F.collect_list("det_id")).alias("det_ids"))
+
+
+def region(df: DataFrame, ra: float, dec: float, width: float, height: float, on: tuple[str, str] = SKY) -> DataFrame:
+    """The rows in the box around the circle through a field's corners (degrees): two ranges where it crosses 0/360.
+
+    Plain comparisons, so that they reach a Parquet scan."""
+    reach = math.hypot(width, height) / 2
+    across = reach / max(math.cos(math.radians(dec)), 0.01)
+    low, high, a = ra - across, ra + across, F.col(on[0])
+    inside = (a >= low + 360) | (a <= high) if low < 0 else (a >= low) | (a <= high - 360) if high > 360 else a.between(low, high)
+    return df.where(inside & F.col(on[1]).between(dec - reach, dec + reach))

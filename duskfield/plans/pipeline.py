@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -24,28 +24,56 @@ class Strategy(Protocol):
 class CatalogVotes:
     """Each catalogue proposes candidates per exposure, votes settle them, and clusters over exposures get light curves.
 
-    ``catalogs``: name -> stars (sx, sy, star_mag). Three tables are written: the exposures' candidates, the clusters and
-    the points. ``extend`` may add columns to the candidates.
+    ``catalogs``: name -> stars (sx, sy, star_mag). ``movers``: epoch_id, mra, mdec, the solar system's bodies in each
+    exposure; ``variables``: vra, vdec, catalogued variable stars. ``frame``: width and height in pixels. ``scale``: arcsec
+    per pixel, over the detections' columns. ``ast_sigma``: the exposures' astrometric error in arcsec, likewise. Tables
+    are written in between: proposals, the exposures' candidates, the clusters and the points. ``extend`` may add columns
+    to the candidates.
     """
 
-    def __init__(self, catalogs: dict[str, DataFrame], settings: Settings | None = None, extend: Callable[[DataFrame, DataFrame], DataFrame] | None = None):
+    def __init__(self, catalogs: dict[str, DataFrame], settings: Settings | None = None, extend: Callable[[DataFrame, DataFrame], DataFrame] | None = None, movers: DataFrame | None = None, variables: DataFrame | None = None, frame: tuple[float, float] | None = None, edge: float = 10.0, scale: Column | None = None, ast_sigma: Column | float = 0.0):
         self.catalogs, self.settings, self.extend = catalogs, settings or Settings(), extend
+        self.movers, self.variables, self.frame, self.edge, self.ast_sigma = movers, variables, frame, edge, ast_sigma
+        self.scale = F.lit(self.settings.default_plate_scale_arcsec_per_px) if scale is None else scale
 
-    def epoch_candidates(self, det: DataFrame) -> DataFrame:
+    def match_radii(self, det: DataFrame) -> DataFrame:
+        """``det`` with ``match_px``, the radius within which it meets catalogue stars: from position errors where there are
+        any, else from size and signal to noise, held to a percentile of its exposure."""
+        s = self.settings
+        if not s.enable_adaptive_idlimit:
+            return det.withColumn("match_px", F.lit(float(s.idlimit_px)))
+        var = F.col("ast_var") if s.use_astvar and "ast_var" in det.columns else F.lit(1.0)
+        own = features.pixel_radius(F.col("ex2"), F.col("ey2"), s.adaptive_nsigma, var) if {"ex2", "ey2"} <= set(det.columns) else features.snr_pixel_radius(F.col("fwhm"), features.GATE / F.col("err"), s.adaptive_nsigma, var)
+        own = geo.clip(own, s.idlimit_min_px, s.idlimit_max_px)
+        return features.capped_radius(det.withColumn("match_px", own), "match_px", ("epoch_id",), s.adaptive_percentile / 100, s.idlimit_px)
+
+    def proposals(self, det: DataFrame) -> DataFrame:
+        """What each catalogue calls new or changed, scored and gated, with the clustering radius ``r`` in arcsec."""
         s = self.settings
-        base = features.detection_features(det)
+        x = self.match_radii(det)
+        if self.frame:
+            x = x.where(features.inside_frame(F.col("x"), F.col("y"), *self.frame, self.edge))
+        base = written(features.detection_features(x), "features")
         score = features.base_score({"fwhm_ratio", "axis_ratio", "snr_auto", "flags", "mag", "maglim", "candidate_type"}, s.weights)
+        most = max(s.idlimit_px, s.idlimit_max_px) if s.enable_adaptive_idlimit else s.idlimit_px
         out = None
         for k, (name, stars) in enumerate(self.catalogs.items()):
-            kinds = cluster.classify(det, stars, s.idlimit_px, s.siglim, s.new_source_siglim or s.siglim, s.mag_change_threshold, name)
-            x = base.join(kinds, "det_id").where(features.bright_enough(F.col("mag"), F.col("maglim"), s.maglim_filter_multiplier))
-            x = x.withColumns({"quality": score, "catalog": F.lit(name), "cand_id": F.col("det_id") * len(self.catalogs) + k})
-            x = x.where(~F.isnan("quality") & (F.col("quality") >= s.min_quality))
-            out = x if out is None else out.unionByName(x)
-        out = written(out.withColumn("r", features.cluster_radius(F.col("fwhm"), F.col("a"), F.col("snr_auto"), s.adaptive_nsigma, 1.0)), "proposed")
-        won = cluster.vote(out, 8.0, len(self.catalogs), s.min_catalogs_fraction)
-        best = out.join(won.select(F.col("component").alias("cand_id"), "votes"), "cand_id")
-        return written(best, "epoch_candidates")
+            kinds = cluster.classify(base, stars, most, s.siglim, s.new_source_siglim or s.siglim, s.mag_change_threshold, name, own_radius="match_px")
+            y = base.join(kinds, "det_id").where(features.bright_enough(F.col("mag"), F.col("maglim"), s.maglim_filter_multiplier))
+            y = y.withColumns({"quality": score, "catalog": F.lit(name), "cand_id": F.col("det_id") * len(self.catalogs) + k})
+            y = y.where(~F.isnan("quality") & (F.col("quality") >= s.min_quality))
+            out = y if out is None else out.unionByName(y)
+        if self.movers is not None and s.vsx_filter_enabled:
+            out = spatial.radius_anti(out, self.movers, s.vsx_match_radius_arcsec, system="sky", right_on=("mra", "mdec"), by=("epoch_id",), strict=True)
+        r = features.cluster_radius(F.col("fwhm"), F.col("a"), F.col("snr_auto"), s.adaptive_nsigma, self.scale)
+        return written(out.withColumn("r", r), "proposed")
+
+    def epoch_candidates(self, det: DataFrame) -> DataFrame:
+        """One row for each source of an exposure that enough catalogues agree on."""
+        s = self.settings
+        proposed = self.proposals(det)
+        most = proposed.agg(F.max("r")).first()[0] or 1.0  # one number
+        return written(cluster.vote_candidates(proposed, most, len(self.catalogs), s.min_catalogs_fraction), "epoch_candidates")
 
     def run(self, det: DataFrame) -> tuple[DataFrame, DataFrame]:
         s = self.settings
@@ -57,10 +85,17 @@ class CatalogVotes:
         points = lightcurve.build(mean, det, s.position_match_radius_arcsec, "sky")
         long = points.groupBy("gid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= s.min_n_detections).select("gid")
         points = written(points.join(long, "gid", "left_semi"), "points")
-        rows = rep.join(mean, "gid").join(lightcurve.statistics(points), "gid").join(lightcurve.motion(points), "gid")
+        best = members.select("det_id", "gid", "ra", "dec")
+        rows = rep.join(best, ["det_id", "gid"]).join(lightcurve.statistics(points), "gid").join(lightcurve.trails(points, self.ast_sigma, least=s.trail), "gid")
+        moving = F.col("is_trail") & ~F.col("candidate_type").isin("brightening", "fading")
+        rows = rows.withColumn("candidate_type", F.when(moving, "trail").otherwise(F.col("candidate_type")))
         factor = features.light_curve_factor(F.col("mag_weighted_mean"), F.col("mag_range"), F.col("n_detections"), s.min_n_detections, s.weights)
-        rows = rows.withColumns({"quality_score": F.col("quality") * factor, "transient_id": ident.position_id(F.col("gra"), F.col("gdec"))})
-        rows = cluster.best_per_id(rows, "transient_id", "quality_score", "gid").where("quality_score >= %f" % s.min_quality)
+        rows = rows.withColumns({"quality_score": F.col("quality") * factor, "transient_id": ident.position_id(F.col("ra"), F.col("dec"))})
+        rows = cluster.best_per_id(rows, "transient_id", "quality_score", "gid")
+        if self.variables is not None and s.vsx_filter_enabled:
+            rows = spatial.radius_anti(rows, self.variables, s.vsx_match_radius_arcsec, system="sky", right_on=("vra", "vdec"), strict=True)
+        rows = written(rows.where(F.col("quality_score") >= s.min_quality), "final")
+        points = points.join(rows.select("gid"), "gid", "left_semi")
         if self.extend:
             rows = self.extend(rows, points)
         return rows.orderBy(F.desc("quality_score"), "transient_id"), points
@@ -73,11 +108,11 @@ def supernova_chain(cands: DataFrame, movers: DataFrame, stars: DataFrame, galax
     ``movers``: epoch_id, mra, mdec; ``stars``: sra, sdec, pmra, pmdec; ``galaxies``: gal_id, gra, gdec; ``known``: name, kra, kdec.
     """
     x = cands.where(features.good_shape(F.col("ellipticity"), F.col("fwhm_ratio")) & features.good_magnitude(F.col("mag"), F.col("maglim")))
-    x = spatial.radius_anti(x, movers, 10.0, "det_id", system="sky", right_on=("mra", "mdec"), by=("epoch_id",))
+    x = spatial.radius_anti(x, movers, 10.0, system="sky", right_on=("mra", "mdec"), by=("epoch_id",))
     fast = stars.where(F.sqrt(F.pow("pmra", 2) + F.pow("pmdec", 2)) >= 20)
     ra, dec = geo.moved(F.col("sra"), F.col("sdec"), F.col("pmra"), F.col("pmdec"), years)
-    x = spatial.radius_anti(x, fast.select(ra.alias("fra"), dec.alias("fdec")), 2.0, "det_id", system="sky", right_on=("fra", "fdec"))
-    host = spatial.nearest_any(x.select("det_id", "ra", "dec"), galaxies, 4.0, "det_id", "gal_id", 1024.0, system="sky", right_on=("gra", "gdec"))
+    x = spatial.radius_anti(x, fast.select(ra.alias("fra"), dec.alias("fdec")), 2.0, system="sky", right_on=("fra", "fdec"))
+    host = spatial.nearest_any(x.select("det_id", "ra", "dec"), galaxies, 4.0, "det_id", "gal_id", system="sky", right_on=("gra", "gdec"))
     x = x.join(host.select("det_id", F.col("dist").alias("galaxy_sep_arcsec")), "det_id", "left")
     sep = F.col("galaxy_sep_arcsec")
     x = x.withColumn("galaxy_flag", F.when(sep <= 2, "nuclear").when(sep <= 30, "in_galaxy").otherwise("isolated"))

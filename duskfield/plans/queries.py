@@ -1,84 +1,18 @@
-"""The registered queries of the core operators, over astronomy-shaped views of the driver's tables, and their SQL.
-
-Views (``det``, ``gaia``, ``usno`` ...) are one list of expressions each, valid in both engines; only the time function
-differs. Whole tables go in: there is no sampling or cap.
-"""
+"""The registered queries of the core operators and their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
 from ..operators import cluster, epochs, features, graph, images, lightcurve, spatial
-
-T0 = "1704067200.0E0"
-DET = f"""event_id as det_id; cast(floor(($us/1000000.0E0-{T0})/259200.0E0) as int) as epoch_id; $us/1000000.0E0 as obs_time; user_id as truth;
-20.0E0+20.0E0*(user_id%50)+0.137E0*(event_id%11-5) as x; 20.0E0+20.0E0*floor(user_id/50)+0.137E0*(event_id%7-3) as y;
-180.0E0+(20.0E0+20.0E0*(user_id%50)+0.137E0*(event_id%11-5))/3600.0E0 as ra; 30.0E0+(20.0E0+20.0E0*floor(user_id/50)+0.137E0*(event_id%7-3))/3600.0E0 as dec;
-14.0E0+1.3E0*ln(1.0E0+value) as mag; 0.01E0+0.0031E0*(event_id%97) as err; 2.0E0+0.0131E0*(event_id%53) as fwhm; 1.0E0+0.0171E0*(event_id%31) as a;
-(1.0E0+0.0171E0*(event_id%31))*(0.5E0+0.0137E0*(event_id%29)) as b; 1.0E0*((event_id*7)%180) as theta; cast(event_id%16 as int) as flags; 0.0113E0*(event_id%61) as ellipticity;
-17.0E0+0.31E0*(event_id%13) as maglim; 0.011E0*(event_id%101) as ex2; 0.013E0*(event_id%89) as ey2; event_type as kind"""
-STAR = """p_partkey as star_id; 20.0E0+20.0E0*(p_partkey%50) as sx; 20.0E0+20.0E0*floor(p_partkey/50) as sy; 180.0E0+(20.0E0+20.0E0*(p_partkey%50))/3600.0E0 as sra;
-30.0E0+(20.0E0+20.0E0*floor(p_partkey/50))/3600.0E0 as sdec; case when p_partkey%10<>0 then 14.5E0+0.0171E0*(p_partkey%401) end as star_mag; 5.3E0*(p_partkey%17)-40.0E0 as pmra; 4.1E0*(p_partkey%23)-45.0E0 as pmdec"""
-TYPES = "case event_id%5 when 0 then 'new' when 1 then 'brightening' when 2 then 'fading' when 3 then 'trail' else 'unknown' end"
-GALAXY = "case event_id%3 when 0 then 'in_galaxy' when 1 then 'nuclear' else 'isolated' end"
-
-
-def _exprs(text: str, us: str) -> list[str]:
-    return [e.strip() for e in text.replace("$us", us).split(";")]
-
-
-def _sql(text: str, table: str, where: str = "") -> str:
-    return f"select {', '.join(_exprs(text, 'epoch_us(ts)'))} from {table}{' where ' + where if where else ''}"
-
-
-WITH = {
-    "det": _sql(DET, "events"),
-    "gaia": _sql(STAR, "part", "p_partkey%3<>0"),
-    "usno": _sql(STAR, "part", "p_partkey%4<>0"),
-    "cand": f"select det.*, {TYPES.replace('event_id', 'det_id')} as candidate_type, {GALAXY.replace('event_id', 'det_id')} as galaxy_flag, 1.0857E0/err as snr_auto, b/a as axis_ratio, 0.37E0*(det_id%9)-1.3E0 as magnitude_difference, 0.011E0*(det_id%307) as quality from det where err < 1.091E0/5.0E0",
-}
-
-
-def with_views(*names: str) -> str:
-    need = list(dict.fromkeys(n for x in names for n in (("det", "cand") if x == "cand" else (x,))))
-    return "with recursive " + ", ".join(f"{n} as ({WITH[n]})" for n in need)
-
-
-def det(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/events.parquet").selectExpr(*_exprs(DET, "unix_micros(cast(ts as timestamp))"))
-
-
-def stars(spark: SparkSession, d: str, every: int) -> DataFrame:
-    return spark.read.parquet(f"{d}/part.parquet").where(F.col("p_partkey") % every != 0).selectExpr(*_exprs(STAR, ""))
-
-
-def cand(spark: SparkSession, d: str) -> DataFrame:
-    x = det(spark, d).where(F.col("err") < 1.091 / 5.0)
-    return x.selectExpr("*", f"{TYPES.replace('event_id', 'det_id')} as candidate_type", f"{GALAXY.replace('event_id', 'det_id')} as galaxy_flag", "1.0857E0/err as snr_auto", "b/a as axis_ratio", "0.37E0*(det_id%9)-1.3E0 as magnitude_difference", "0.011E0*(det_id%307) as quality")
-
-
-def r(v: Column | str, digits: int = 5) -> Column:
-    return F.round(v, digits)
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
+from . import field_queries  # noqa: F401  (registers its own)
+from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
 
 
 # --- joins by distance ---------------------------------------------------------------------------------------------
@@ -89,17 +23,17 @@ def new_source_anti_match(spark, d):
     return cluster.new_sources(det(spark, d), stars(spark, d, 3), 3.0, 5.0).select("det_id", "epoch_id", r("mag").alias("mag"))
 
 
-@query(f"{with_views('det', 'gaia')} select det_id, star_id, round(sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)), 5) as dist from det join gaia on abs(x-sx) <= 0.6 and abs(y-sy) <= 0.6 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= 0.6E0")
+@query(f"{with_views('det', 'all_stars')} select det_id, star_id, round(sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)), 5) as dist from det join all_stars on abs(x-sx) <= 0.6 and abs(y-sy) <= 0.6 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= 0.6E0")
 def radius_pairs(spark, d):
-    return spatial.radius_join(det(spark, d), stars(spark, d, 3), 0.6, right_on=("sx", "sy")).select("det_id", "star_id", r("dist").alias("dist"))
+    return spatial.radius_join(det(spark, d), stars(spark, d), 0.6, right_on=("sx", "sy")).select("det_id", "star_id", r("dist").alias("dist"))
 
 
 _HAV = "degrees(2*asin(sqrt(pow(sin(radians(sdec-dec)/2),2)+cos(radians(dec))*cos(radians(sdec))*pow(sin(radians(sra-ra)/2),2))))*3600"
 
 
-@query(f"{with_views('det', 'usno')} select det_id, star_id, round({_HAV}, 4) as dist from det join usno on abs(dec-sdec) < 0.0003E0 and {_HAV} <= 0.53E0")
+@query(f"{with_views('det', 'all_stars')} select det_id, star_id, round({_HAV}, 4) as dist from det join all_stars on abs(dec-sdec) < 0.0003E0 and {_HAV} <= 0.53E0")
 def sky_pairs(spark, d):
-    return spatial.radius_join(det(spark, d), stars(spark, d, 4), 0.53, "sky", right_on=("sra", "sdec")).select("det_id", "star_id", r("dist", 4).alias("dist"))
+    return spatial.radius_join(det(spark, d), stars(spark, d), 0.53, "sky", right_on=("sra", "sdec")).select("det_id", "star_id", r("dist", 4).alias("dist"))
 
 
 @query(f"{with_views('cand')} select p.epoch_id, p.det_id, q.det_id as det_id2, round(sqrt((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)), 5) as dist from cand p join cand q on p.epoch_id=q.epoch_id and p.det_id<q.det_id and abs(p.x-q.x)<=2 and sqrt((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)) <= least(0.2E0+0.0071E0*(p.det_id%41), 0.2E0+0.0071E0*(q.det_id%41))")
@@ -108,8 +42,8 @@ def self_pairs_min_radius(spark, d):
     return spatial.self_pairs(x, 0.5, "det_id", carry=("rad",), by=("epoch_id",)).where("dist <= least(rad, rad2)").select("epoch_id", "det_id", "det_id2", r("dist").alias("dist"))
 
 
-@query(f"""{with_views('det', 'gaia')}, r0 as (select det_id, x, y, least(greatest(3.0E0*sqrt(ex2+ey2), 1), 8) as rad from det), cap as (select quantile_cont(rad, 0.95) as c from r0)
-select det_id, count(star_id) as n_matched, round(min(least(rad, c)), 5) as radius from r0 cross join cap left join gaia on sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= least(rad, c) group by det_id""")
+@query(f"""{with_views('det', 'gaia')}, r0 as (select det_id, epoch_id, x, y, least(greatest(3.0E0*sqrt(ex2+ey2), 1), 8) as rad from det), cap as (select epoch_id, quantile_cont(rad, 0.95) as c from r0 group by epoch_id)
+select det_id, count(star_id) as n_matched, round(min(least(rad, c)), 5) as radius from r0 join cap using (epoch_id) left join gaia on sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= least(rad, c) group by det_id""")
 def adaptive_radius_match(spark, d):
     x = det(spark, d).withColumn("rad", features.pixel_radius(F.col("ex2"), F.col("ey2"), 3.0, F.lit(1.0)))
     x = features.capped_radius(x, "rad")
@@ -117,18 +51,16 @@ def adaptive_radius_match(spark, d):
     return x.join(m.groupBy("det_id").agg(F.count(F.lit(1)).alias("n")), "det_id", "left").select("det_id", F.coalesce("n", F.lit(0)).alias("n_matched"), r("rad").alias("radius"))
 
 
-@query(f"""{with_views('det', 'gaia')}, p as (select det_id, sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) as d from det join gaia on abs(x-sx)<=45 and abs(y-sy)<=45),
-n as (select det_id, count(*) filter (where d<=20) as n, min(d) as d from p where d<=45 group by det_id)
+@query(f"""{with_views('det', 'all_stars')}, n as (select det_id, count(*) filter (where (x-sx)*(x-sx)+(y-sy)*(y-sy)<=400) as n, min(sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))) as d from det cross join all_stars group by det_id)
 select det_id, coalesce(n, 0) as nearby_sources, round(coalesce(n, 0)/(pi()*400), 6) as source_density, round(d, 5) as nearest from det left join n using (det_id)""")
 def neighbour_stats(spark, d):
-    x = features.neighbour_stats(det(spark, d), stars(spark, d, 3).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0, nearest_within=45.0)
+    x = features.neighbour_stats(det(spark, d), stars(spark, d).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0)
     return x.select("det_id", "nearby_sources", r("source_density", 6).alias("source_density"), F.when(F.col("nearest_source_dist") < float("inf"), r("nearest_source_dist")).alias("nearest"))
 
 
-@query(f"""{with_views('det', 'gaia')}, p as (select det_id, star_id, sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) as d from det join gaia on abs(x-sx)<=64 and abs(y-sy)<=64)
-select det_id, star_id, round(d, 5) as dist from p where d<=64 qualify row_number() over (partition by det_id order by d, star_id)=1""")
+@query(f"""{with_views('det', 'all_stars')} select det_id, arg_min(star_id, struct_pack(a := round(sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)), 9), b := star_id)) as star_id, round(min(sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))), 5) as dist from det cross join all_stars group by det_id""")
 def nearest_star(spark, d):
-    return spatial.nearest_any(det(spark, d).select("det_id", "x", "y"), stars(spark, d, 3).select("star_id", "sx", "sy"), 4.0, "det_id", "star_id", 64.0, right_on=("sx", "sy")).select("det_id", "star_id", r("dist").alias("dist"))
+    return spatial.nearest_any(det(spark, d).select("det_id", "x", "y"), stars(spark, d).select("star_id", "sx", "sy"), 4.0, "det_id", "star_id", right_on=("sx", "sy")).select("det_id", "star_id", r("dist").alias("dist"))
 
 
 # --- features, gates and scores ------------------------------------------------------------------------------------
@@ -259,9 +191,7 @@ select gid, epoch_id, det_id, round(d, 7) as dist from p where d<=3 qualify row_
 def lightcurve_nearest(spark, d):
     x = det(spark, d)
     g = x.groupBy(F.col("truth").alias("gid")).agg(F.avg("x").alias("gx"), F.avg("y").alias("gy"))
-    pairs = spatial.radius_join(x, g, 3.0, right_on=("gx", "gy")).withColumn("dist", F.round("dist", 7))
-    order = Window.partitionBy("gid", "epoch_id").orderBy("dist", "det_id")
-    return pairs.withColumn("n", F.row_number().over(order)).where("n = 1").select("gid", "epoch_id", "det_id", "dist")
+    return lightcurve.build(g, x, 3.0).select("gid", "epoch_id", "det_id", "dist")
 
 
 @query(f"""{with_views('det')}, s as (select *, abs(mag-lag(mag) over (partition by truth order by obs_time, det_id)) as step, sum(mag/(err*err)) over (partition by truth)/sum(1/(err*err)) over (partition by truth) as wm from det)
@@ -273,34 +203,53 @@ def lightcurve_stats(spark, d):
     return x.select("gid", "n_detections", "n_epochs", *[r(c, 4).alias(c) for c in ("time_span_hours", "position_scatter_arcsec", "mag_schizo", "mag_weighted_mean", "mag_range", "mag_std")], r("mag_chi2_reduced", 3).alias("mag_chi2_reduced"), "is_variable")
 
 
-@query(f"""{with_views('det')}, f as (select truth, ra, dec, obs_time from det qualify row_number() over (partition by truth order by 1/err desc, det_id)=1),
+_MOTION = """f as (select truth, ra, dec, obs_time from det qualify row_number() over (partition by truth order by 1/err desc, det_id)=1),
 x as (select det.truth, det_id, (det.obs_time-f.obs_time)/3600 as t, (det.ra-f.ra)*cos(radians(f.dec))*3600 as da, (det.dec-f.dec)*3600 as dd from det join f using (truth)),
-s as (select truth, regr_slope(da,t) as sa, regr_intercept(da,t) as ia, regr_slope(dd,t) as sd, regr_intercept(dd,t) as idd from x group by truth),
+s0 as (select truth, regr_slope(da,t) as sa, regr_intercept(da,t) as ia, regr_slope(dd,t) as sd, regr_intercept(dd,t) as idd from x group by truth), s as (select * from s0 where sa is not null and not isnan(sa)),
 q as (select x.truth, da-sa*t-ia as ra, dd-sd*t-idd as rd from x join s using (truth)), m as (select truth, median(ra) as ma, median(rd) as md from q group by truth),
-v as (select truth, sqrt(pow(median(abs(ra-ma))/0.67E0,2)+pow(median(abs(rd-md))/0.67E0,2)) as sigma from q join m using (truth) group by truth)
-select truth as gid, round(case when isnan(coalesce(sa,0)) then 0 else coalesce(sa,0) end, 4)+0 as motion_ra_as_per_hr, round(case when isnan(coalesce(sd,0)) then 0 else coalesce(sd,0) end, 4)+0 as motion_dec_as_per_hr, round(case when isnan(coalesce(sigma,0)) then 0 else coalesce(sigma,0) end, 4)+0 as motion_sigma_as from s join v using (truth)""")
+v as (select truth, sqrt(pow(median(abs(ra-ma))/0.67E0,2)+pow(median(abs(rd-md))/0.67E0,2)) as sigma from q join m using (truth) group by truth),
+w as (select truth, count(*) filter (where sqrt(ra*ra+rd*rd) <= 2*sigma+1e-7) as moving from q join v using (truth) group by truth),
+mo as (select g.truth, coalesce(sa,0) as sa, coalesce(sd,0) as sd, sqrt(coalesce(sa,0)*coalesce(sa,0)+coalesce(sd,0)*coalesce(sd,0)) as rate, coalesce(sigma,0) as sigma, case when sa is null then 0 else sqrt(sa*sa+sd*sd)/greatest(coalesce(sigma,0),1e-6) end as sig, coalesce(moving,0) as moving
+ from (select distinct truth from det) g left join s using (truth) left join v using (truth) left join w using (truth))"""
+
+
+@query(f"{with_views('det')}, {_MOTION} select truth as gid, round(sa, 4)+0 as motion_ra_as_per_hr, round(sd, 4)+0 as motion_dec_as_per_hr, round(rate, 4)+0 as motion_total_as_per_hr, round(sigma, 4)+0 as motion_sigma_as, round(sig, 2)+0 as motion_significance, moving as n_epochs_moving from mo")
 def motion_fit(spark, d):
     x = lightcurve.motion(det(spark, d).withColumnRenamed("truth", "gid"))
-    return x.select("gid", *[(r(c, 4) + 0).alias(c) for c in ("motion_ra_as_per_hr", "motion_dec_as_per_hr", "motion_sigma_as")])
+    return x.select("gid", *[(r(c, 4) + 0).alias(c) for c in ("motion_ra_as_per_hr", "motion_dec_as_per_hr", "motion_total_as_per_hr", "motion_sigma_as")], (r("motion_significance", 2) + 0).alias("motion_significance"), "n_epochs_moving")
 
 
 _ANGLE = "(case when abs(((truth*13)%180)-theta)>90 then 180-abs(((truth*13)%180)-theta) else abs(((truth*13)%180)-theta) end)"
 
 
-@query(f"{with_views('det')} select truth as gid, round(avg(least(greatest(1-b/a,0),1)), 5) as elongation_mean, round(avg(1-{_ANGLE}/90.0E0), 5) as align_mean from det group by truth")
+@query(f"{with_views('det')} select truth as gid, round(avg(least(greatest(1-b/a,0),1)), 5) as elongation_mean, round(avg(fwhm)/median(fwhm), 5) as fwhm_ratio_mean, round(avg(1-{_ANGLE}/90.0E0), 5) as align_mean from det group by truth")
 def trail_shape(spark, d):
     x = det(spark, d).withColumnRenamed("truth", "gid")
     pa = x.select("gid").distinct().withColumn("pa", ((F.col("gid") * 13) % 180).cast("double"))
-    return lightcurve.trail_shape(x, pa).select("gid", r("elongation_mean").alias("elongation_mean"), r("align_mean").alias("align_mean"))
+    return lightcurve.trail_shape(x, pa).select("gid", *[r(c).alias(c) for c in ("elongation_mean", "fwhm_ratio_mean", "align_mean")])
+
 
+_TRAILS = f"""{_MOTION}, an as (select truth, case when sa=0 and sd=0 then null when degrees(atan2(sa,sd))<0 then degrees(atan2(sa,sd))+180 when degrees(atan2(sa,sd))>=180 then degrees(atan2(sa,sd))-180 else degrees(atan2(sa,sd)) end as pa from mo),
+sh as (select truth, avg(least(greatest(1-b/a,0),1)) as el, coalesce(avg(1-(case when abs(pa-theta)>90 then 180-abs(pa-theta) else abs(pa-theta) end)/90.0E0), 0) as al, (max(obs_time)-min(obs_time))/3600 as h, min(0.2E0+0.01E0*(truth%5)) as ast from det join an using (truth) group by truth),
+tr as (select truth, moving, sigma, sig, el, al, ast, case when h>0 then rate*h/ast else 0 end as disp, rate from mo join sh using (truth)),
+ts as (select *, 0.35E0*least(greatest(el,0),1)+0.30E0*least(greatest(sig/10,0),1)+0.15E0*least(greatest(al,0),1)+0.20E0*least(greatest(disp/5,0),1) as score from tr),
+td as (select *, moving>=3 and ((sigma>=0.5E0 and sig>=3 and score>=0.7E0) or disp>=3) as is_trail from ts)"""
 
-_TRAIL = "0.35E0*(det_id%10)/10.0E0+0.30E0*least(greatest(snr_auto/10,0),1)+0.15E0*axis_ratio+0.20E0*least(greatest(quality/5,0),1)"
+
+def _trails(spark, d):
+    x = det(spark, d).withColumnRenamed("truth", "gid")
+    return lightcurve.trails(x, 0.2 + 0.01 * (F.col("gid") % 5))
 
 
-@query(f"{with_views('cand')} select det_id, round({_TRAIL}, 8) as trail_score, (flags>=3 and quality>=0.5E0 and snr_auto>=3 and {_TRAIL}>=0.7E0) or (maglim>0 and quality>=3 and flags>=3) as is_trail from cand")
+@query(f"{with_views('det')}, {_TRAILS} select truth as gid, round(score, 5) as trail_score, round(disp, 3) as displacement, is_trail from td")
 def trail_decision(spark, d):
-    x = cand(spark, d).withColumn("score", lightcurve.trail_score(F.col("det_id") % 10 / 10, F.col("snr_auto"), F.col("axis_ratio"), F.col("quality")))
-    return x.select("det_id", r("score", 8).alias("trail_score"), lightcurve.is_trail(F.col("flags"), F.col("quality"), F.col("snr_auto"), F.col("score"), F.col("maglim"), F.col("quality")).alias("is_trail"))
+    return _trails(spark, d).select("gid", r("trail_score").alias("trail_score"), r("displacement", 3).alias("displacement"), "is_trail")
+
+
+@query(f"{with_views('det')}, {_TRAILS} select count(*) filter (where is_trail) as n_trails, count(*) as n_total, round(min(rate) filter (where is_trail), 4) as rate_min, round(median(rate) filter (where is_trail), 4) as rate_median, round(max(rate) filter (where is_trail), 4) as rate_max, round(median(sig) filter (where is_trail), 3) as significance_median from td")
+def trail_summary(spark, d):
+    x = _trails(spark, d).withColumn("candidate_type", F.when(F.col("is_trail"), "trail").otherwise("new"))
+    return lightcurve.trail_summary(x).select("n_trails", "n_total", *[r(c, 4).alias(c) for c in ("rate_min", "rate_median", "rate_max")], r("significance_median", 3).alias("significance_median"))
 
 
 @query(f"""{with_views('det')}, s as (select truth, sum(mag/(err*err))/sum(1/(err*err)) as wm, max(mag)-min(mag) as rg, count(*) as n from det group by truth)
@@ -318,10 +267,16 @@ def final_gate_dedup(spark, d):
     return cluster.best_per_id(x, "transient_id", "quality", "det_id").select("transient_id", "det_id", r("quality").alias("quality"))
 
 
-@query(f"""{with_views('det')}, t as (select truth as gid, regr_slope(ra*3600, obs_time/3600) as sa, regr_slope(dec*3600, obs_time/3600) as sd, sum(mag/(err*err))/sum(1/(err*err)) as wm, stddev_pop(mag)/avg(err) as mv, count(*) as n from det group by truth)
-select gid, round(wm, 4) as mag_weighted, round(mv, 4) as mag_var, n from t""")
+@query(f"""{with_views('det')}, sp as (select truth, (min(obs_time)+max(obs_time))/2 as mid, max(obs_time)-min(obs_time) as dt, sum(mag/(err*err))/sum(1/(err*err)) as wm from det group by truth), x as (select det.*, (obs_time-mid)/3600 as t, dt, wm from det join sp using (truth)),
+f0 as (select truth, regr_slope(ra,t) as sr, regr_intercept(ra,t) as ir, regr_slope(dec,t) as sd, regr_intercept(dec,t) as idd, avg(ra) as ar, avg(dec) as ad from x group by truth),
+f as (select truth, case when sr is null or isnan(sr) then 0 else sr end as sr, case when ir is null or isnan(ir) then ar else ir end as ir, case when sd is null or isnan(sd) then 0 else sd end as sd, case when idd is null or isnan(idd) then ad else idd end as idd from f0),
+g as (select truth, count(*) as n, min(ir) as ra, min(idd) as dec, min(sr)*3600 as rs, min(sd)*3600 as ds, median(abs(ra-sr*t-ir))/0.67E0*3600 as rsc, median(abs(dec-sd*t-idd))/0.67E0*3600 as dsc, min(dt)/3600 as h, min(wm) as wm, sqrt(avg(pow((mag-wm)/err,2))) as mv from x join f using (truth) group by truth),
+p as (select *, sqrt(ds*ds+pow(rs*cos(radians(dec)),2))*h as dpos from g)
+select truth as gid, n, round(ra, 7) as ra, round(dec, 7) as dec, round(rs, 4)+0 as ra_speed, round(ds, 4)+0 as dec_speed, round(rsc, 4)+0 as ra_scatter, round(dsc, 4)+0 as dec_scatter, round(dpos, 4)+0 as dpos, round(wm, 4) as mag_weighted, round(mv, 4) as mag_var,
+case when mv<3 and dpos>1 then '*- ' when mv<3 then ' - ' when dpos>1 then '*  ' else '!!!' end as status from p""")
 def source_fit(spark, d):
-    return lightcurve.source_fit(det(spark, d).withColumnRenamed("truth", "gid")).select("gid", r("mag_weighted", 4).alias("mag_weighted"), r("mag_var", 4).alias("mag_var"), "n")
+    x = lightcurve.source_fit(det(spark, d).withColumnRenamed("truth", "gid"))
+    return x.select("gid", "n", r("ra", 7).alias("ra"), r("dec", 7).alias("dec"), *[(r(c, 4) + 0).alias(c) for c in ("ra_speed", "dec_speed", "ra_scatter", "dec_scatter", "dpos")], r("mag_weighted", 4).alias("mag_weighted"), r("mag_var", 4).alias("mag_var"), "status")
 
 
 @query()
@@ -353,13 +308,13 @@ def _variables(spark, d):
 
 @query(f"{with_views('cand')}, {_VAR} select det_id from cand where not exists (select 1 from v where sqrt((x-vx)*(x-vx)+(y-vy)*(y-vy)) < 0.5E0)")
 def variable_reject(spark, d):
-    return spatial.radius_anti(cand(spark, d), _variables(spark, d), 0.5, "det_id", right_on=("vx", "vy"), strict=True).select("det_id")
+    return spatial.radius_anti(cand(spark, d), _variables(spark, d), 0.5, right_on=("vx", "vy"), strict=True).select("det_id")
 
 
 @query(f"{with_views('cand')}, m as (select c_custkey%10 as epoch_id, 20.0E0+20.0E0*(c_custkey%50) as mx, 20.0E0+20.0E0*floor((c_custkey%200)/50) as my from customer) select det_id from cand c where not exists (select 1 from m where m.epoch_id=c.epoch_id and sqrt((x-mx)*(x-mx)+(y-my)*(y-my)) <= 0.7E0)")
 def mover_reject_by_epoch(spark, d):
     m = spark.read.parquet(f"{d}/customer.parquet").selectExpr("cast(c_custkey%10 as int) as epoch_id", "20.0E0+20.0E0*(c_custkey%50) as mx", "20.0E0+20.0E0*floor((c_custkey%200)/50) as my")
-    return spatial.radius_anti(cand(spark, d), m, 0.7, "det_id", right_on=("mx", "my"), by=("epoch_id",)).select("det_id")
+    return spatial.radius_anti(cand(spark, d), m, 0.7, right_on=("mx", "my"), by=("epoch_id",)).select("det_id")
 
 
 _PM = "g2 as (select star_id, sra+pmra/3.6E6/cos(radians(sdec))*8.0E0 as sra, sdec+pmdec/3.6E6*8.0E0 as sdec from gaia where sqrt(pmra*pmra+pmdec*pmdec) >= 20)"
@@ -369,15 +324,14 @@ _PM = "g2 as (select star_id, sra+pmra/3.6E6/cos(radians(sdec))*8.0E0 as sra, sd
 def proper_motion_reject(spark, d):
     s = stars(spark, d, 3).where("sqrt(pmra*pmra+pmdec*pmdec) >= 20")
     ra, dec = geo.moved(F.col("sra"), F.col("sdec"), F.col("pmra"), F.col("pmdec"), 8.0)
-    return spatial.radius_anti(cand(spark, d), s.select(ra.alias("mra"), dec.alias("mdec")), 0.6, "det_id", system="sky", right_on=("mra", "mdec")).select("det_id")
+    return spatial.radius_anti(cand(spark, d), s.select(ra.alias("mra"), dec.alias("mdec")), 0.6, system="sky", right_on=("mra", "mdec")).select("det_id")
 
 
-@query(f"""{with_views('cand')}, {_VAR}, p as (select det_id, var_id, sqrt((x-vx)*(x-vx)+(y-vy)*(y-vy)) as d from cand join v on abs(x-vx)<=256 and abs(y-vy)<=256),
-n as (select det_id, var_id, d from p where d<=256 qualify row_number() over (partition by det_id order by round(d,7), var_id)=1)
+@query(f"""{with_views('cand')}, {_VAR}, n as (select det_id, min(sqrt((x-vx)*(x-vx)+(y-vy)*(y-vy))) as d from cand cross join v group by det_id)
 select det_id, round(d, 4) as galaxy_sep, case when d<=2 then 'nuclear' when d<=30 then 'in_galaxy' else 'isolated' end as galaxy_flag from cand left join n using (det_id)""")
 def galaxy_proximity(spark, d):
     x = cand(spark, d).select("det_id", "x", "y")
-    n = spatial.nearest_any(x, _variables(spark, d), 16.0, "det_id", "var_id", 256.0, right_on=("vx", "vy"))
+    n = spatial.nearest_any(x, _variables(spark, d), 16.0, "det_id", "var_id", right_on=("vx", "vy"))
     sep = F.col("dist")
     return x.select("det_id").join(n.select("det_id", "dist"), "det_id", "left").select("det_id", r(sep, 4).alias("galaxy_sep"), F.when(sep <= 2, "nuclear").when(sep <= 30, "in_galaxy").otherwise("isolated").alias("galaxy_flag"))
 
@@ -401,7 +355,7 @@ select det_id from cand where not exists (select 1 from u where m<17 and sqrt((x
 def three_phase_reject(spark, d):
     x, u = cand(spark, d), _variables(spark, d).withColumn("m", 12.0 + 0.17 * (F.col("var_id") % 50))
     for limit, radius in ((17, 0.4), (16, 4.0), (13, 10.0)):
-        x = spatial.radius_anti(x, u.where(F.col("m") < limit), radius, "det_id", right_on=("vx", "vy"))
+        x = spatial.radius_anti(x, u.where(F.col("m") < limit), radius, right_on=("vx", "vy"))
     return x.select("det_id")
 
 
@@ -549,16 +503,16 @@ def response_model(spark, d):
     return p.select("star_id", r(F.col("m") + phot.response_model(F.col("terms"), [F.col("c")])).alias("mag"))
 
 
-@query(f"""{with_views('det', 'gaia')}, p as (select det_id, star_mag as m from det join gaia on abs(x-sx)<=20 and abs(y-sy)<=20 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=20.0E0)
+@query(f"""{with_views('det', 'all_stars')}, p as (select det_id, star_mag as m from det join all_stars on abs(x-sx)<=20 and abs(y-sy)<=20 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=20.0E0)
 select det_id, round(avg(m), 5) as mean_star_mag, round(stddev_pop(m), 5) as std_star_mag from det left join p using (det_id) group by det_id""")
 def band_statistics(spark, d):
-    x = features.band_stats(det(spark, d), stars(spark, d, 3).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0, ["star_mag"])
+    x = features.band_stats(det(spark, d), stars(spark, d).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0, ["star_mag"])
     return x.select("det_id", r("mean_star_mag").alias("mean_star_mag"), r("std_star_mag").alias("std_star_mag"))
 
 
-@query(f"{with_views('det')} select epoch_id, max(sqrt(pow((ra-180.0123E0)*cos(radians(30.0067E0)),2)+pow(dec-30.0067E0,2))*3600 <= 5) as present from det where err<0.05E0 group by epoch_id")
+@query(f"{with_views('det')} select epoch_id, max(sqrt(pow((ra-180.0123E0)*cos(radians(30.0067E0)),2)+pow(dec-30.0067E0,2))*3600 <= 5) as present from det group by epoch_id")
 def target_presence(spark, d):
-    return features.target_epochs(det(spark, d).where("err < 0.05E0"), 180.0123, 30.0067)
+    return features.target_epochs(det(spark, d), 180.0123, 30.0067)
 
 
 @query("""with s as (select 'img_'||cast(o_orderkey as varchar) as stem, o_totalprice as maglim, o_orderpriority as phfilter from orders where o_orderkey%5<>0), x as (select 'img_'||cast(o_orderkey as varchar)||'h' as stem, case when o_orderkey%3=0 then 20.0E0 end as maglim, cast(null as varchar) as phfilter from orders)
@@ -571,10 +525,10 @@ def borrowed_headers(spark, d):
     return epochs.borrow_headers(diff, science, ["maglim", "phfilter"])
 
 
-@query("""with o as (select o_custkey%7 as grp, o_orderkey as epoch_id, epoch_us(o_orderdate)/1000000.0E0 as obs_time, o_totalprice/400000.0E0 as score from orders where o_totalprice<390000), w as (select *, count(*) over s as n, max(score) over s as best from o window s as (partition by grp order by obs_time, epoch_id rows unbounded preceding))
+@query("""with o as (select o_custkey%7 as grp, o_orderkey as epoch_id, epoch_us(o_orderdate)/1000000.0E0 as obs_time, o_totalprice/400000.0E0 as score from orders), w as (select *, count(*) over s as n, max(score) over s as best from o window s as (partition by grp order by obs_time, epoch_id rows unbounded preceding))
 select grp, epoch_id, n, n>=10 and (n-10)%5=0 and not best>=1 as due from w""")
 def stack_trigger(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet").where("o_totalprice < 390000").selectExpr("o_custkey%7 as grp", "o_orderkey as epoch_id", "unix_micros(cast(o_orderdate as timestamp))/1000000.0E0 as obs_time", "o_totalprice/400000.0E0 as score")
+    o = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_custkey%7 as grp", "o_orderkey as epoch_id", "unix_micros(cast(o_orderdate as timestamp))/1000000.0E0 as obs_time", "o_totalprice/400000.0E0 as score")
     return epochs.stack_due(o, "grp").select("grp", "epoch_id", "n", "due")
 
 
@@ -608,7 +562,16 @@ def catalog_pipeline(spark, d):
     return rows.select("transient_id", "candidate_type", "n_detections", "n_epochs", r("quality_score").alias("quality_score"))
 
 
-@query()
+@query(f"""{with_views('cand', 'gaia')}, {_VAR}, c as (select * from cand where ellipticity < 0.4E0 and fwhm/2.3E0 between 0.5E0 and 2.0E0 and mag > 14),
+mv as (select c_custkey%10 as epoch_id, 180.0E0+(40.0E0+20.0E0*(c_custkey%50))/3600.0E0 as sra, 30.0E0+(10.0E0+20.0E0*floor((c_custkey%200)/50))/3600.0E0 as sdec from customer),
+{_PM}, k as (select var_id, 180.0E0+vx/3600 as sra, 30.0E0+vy/3600 as sdec from v),
+c1 as (select * from c where not exists (select 1 from mv where mv.epoch_id=c.epoch_id and abs(dec-sdec)<0.003E0 and {_HAV} <= 10)),
+c2 as (select * from c1 where not exists (select 1 from g2 where abs(dec-sdec)<0.001E0 and {_HAV} <= 2)),
+h as (select det_id, min({_HAV}) as sep from c2 cross join k group by det_id),
+t as (select det_id, 'AT'||cast(var_id as varchar) as tns_name from c2 join k on sra>180.1E0 and abs(dec-sdec)<0.002E0 and {_HAV} <= 5 qualify row_number() over (partition by det_id order by round({_HAV}, 7), 'AT'||cast(var_id as varchar))=1),
+f as (select c2.*, h.sep, tns_name, case when h.sep<=2 then 'nuclear' when h.sep<=30 then 'in_galaxy' else 'isolated' end as flag, sqrt(pow((ra-180.1E0)*cos(radians(30.0E0)),2)+pow(dec-30.0E0,2)) as apart from c2 join h using (det_id) left join t using (det_id))
+select det_id, flag as galaxy_flag, tns_name, round_even(quality*(case candidate_type when 'new' then 1 when 'brightening' then 0.8E0 when 'fading' then 0.2E0 when 'trail' then 0 else 0.3E0 end)
++(case flag when 'in_galaxy' then 0.4E0 when 'nuclear' then 0.1E0 else 0 end)+0.2E0*least(greatest(axis_ratio,0),1)+0.5E0*least(greatest(1-apart/4,0),1), 4) as sn_score from f where apart <= 0.2E0""")
 def supernova_pipeline(spark, d):
     from .pipeline import supernova_chain
 

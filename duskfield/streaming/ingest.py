@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from ..functions.tables import written
+from ..sources.tables import single_writer
 
 
 def debounced(arrivals: DataFrame, key: str, time: str, gap: str = "30 seconds", watermark: str | None = None) -> DataFrame:
@@ -41,3 +48,84 @@ def run_bursts(arrivals: DataFrame, key: str, checkpoint: str, handle: Callable[
 def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Writes the partitions that ``df`` has anew and leaves the others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def run_keys(spark: SparkSession, keys: Iterable, work: Callable[[object], None], workers: int = 4, timeout: float | None = 900.0) -> dict:
+    """``work`` for each key, up to ``workers`` at once, each as a Spark job group that is cancelled when it runs over
+    ``timeout`` seconds; keys that come twice are done once. Gives each key's outcome: ``done``, ``timeout`` or the error.
+
+    The work itself is distributed; this only starts it. A key that fails doesn't keep the others.
+    """
+    sc = spark.sparkContext
+
+    def one(key: object) -> None:
+        sc.setJobGroup(f"key-{key}", f"observation {key}", interruptOnCancel=True)
+        work(key)
+
+    out: dict = {}
+    with ThreadPoolExecutor(workers) as pool:
+        begun: dict = {}
+
+        def timed(key: object) -> None:
+            begun[key] = time.monotonic()
+            inheritable_thread_target(spark)(one)(key)
+
+        waiting = {pool.submit(timed, k): k for k in dict.fromkeys(keys)}
+        late: set = set()
+        while waiting:
+            done, _ = wait(waiting, timeout=0.2, return_when=FIRST_COMPLETED)
+            for f in done:
+                k, e = waiting.pop(f), f.exception()
+                out[k] = "timeout" if k in late else "done" if e is None else f"{type(e).__name__}: {e}"
+            for k in waiting.values():
+                if timeout is not None and k in begun and k not in late and time.monotonic() - begun[k] > timeout:
+                    late.add(k)
+                    sc.cancelJobGroup(f"key-{k}")
+    return out
+
+
+def publish_changed(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """Writes the rows whose content differs from what ``path`` has last published for their key, as a new version, and gives
+    these rows. ``path``: a Parquet table of key, version, digest and the columns."""
+    spark = rows.sparkSession
+    rest = sorted(c for c in rows.columns if c != key)
+    x = rows.withColumn("digest", F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256))
+    with single_writer(spark, path):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            last = spark.read.parquet(path).groupBy(key).agg(F.max("version").alias("_v"), F.max_by("digest", "version").alias("_d"))
+            x = x.join(last, key, "left").where(F.col("_d").isNull() | (F.col("_d") != F.col("digest")))
+            x = x.withColumn("version", F.coalesce(F.col("_v") + 1, F.lit(1))).drop("_v", "_d")
+        else:
+            x = x.withColumn("version", F.lit(1))
+        new = written(x, "changed")
+        new.write.mode("append").parquet(path)
+    return new
+
+
+class Counters(StreamingQueryListener):
+    """Counts of what the streams have done since the start: batches, rows, failures, and rows by stream."""
+
+    def __init__(self) -> None:
+        self.batches = self.rows = self.failures = self.running = 0
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.running += 1
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.batches += 1
+        self.rows += p.numInputRows
+        name = p.name or str(p.id)
+        self.by_query[name] = self.by_query.get(name, 0) + p.numInputRows
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.running -= 1
+        self.failures += event.exception is not None
+
+    def line(self) -> str:
+        return f"running {self.running}, batches {self.batches}, rows {self.rows}, failures {self.failures}"

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from duskfield.functions import geometry as geo
 from duskfield.functions import identity as ident
 from duskfield.functions import photometry as phot
 from duskfield.operators import cluster, epochs, features, graph, images, lightcurve, spatial
+from duskfield.plans import pipeline
 from duskfield.streaming import ingest
 
 
@@ -77,7 +79,7 @@ def test_pixel_join_and_system(spark):
     b = spark.createDataFrame([(1, 3.0, 0.0), (2, -3.0, 0.0)], "j long, u double, v double")
     assert {(r["i"], r["j"]) for r in spatial.radius_join(a, b, 3.0, right_on=("u", "v")).collect()} == {(1, 1), (1, 2), (2, 1)}
     assert {(r["i"], r["j"]) for r in spatial.radius_join(a, b, 3.0, right_on=("u", "v"), strict=True).collect()} == {(2, 1)}
-    assert [r["i"] for r in spatial.radius_anti(a, b.where("j = 2"), 3.0, "i", right_on=("u", "v")).collect()] == [2]
+    assert [r["i"] for r in spatial.radius_anti(a, b.where("j = 2"), 3.0, right_on=("u", "v")).collect()] == [2]
     with pytest.raises(ValueError):
         spatial.radius_join(a, b, 1.0, "galactic")
 
@@ -147,3 +149,330 @@ def test_vote(spark):
     rows = [(0, 0, 1.0, 1.0, 0.5, "gaia"), (1, 0, 1.1, 1.0, 0.5, "usno"), (2, 0, 9.0, 9.0, 0.5, "gaia"), (3, 1, 9.0, 9.0, 0.5, "usno")]
     got = cluster.vote(spark.createDataFrame(rows, "cand_id long, epoch_id int, x double, y double, r double, catalog string"), 0.5, 2, 1.0).collect()
     assert [(r["component"], r["votes"]) for r in got] == [(0, 2)]
+
+
+# --- against brute force -------------------------------------------------------------------------------------------
+
+
+def sep(a, d, b, e):
+    a, d, b, e = map(math.radians, (a, d, b, e))
+    h = math.sin((e - d) / 2) ** 2 + math.cos(d) * math.cos(e) * math.sin((b - a) / 2) ** 2
+    return math.degrees(2 * math.asin(math.sqrt(h))) * 3600
+
+
+def classes(keys, linked):
+    root = {k: k for k in keys}
+    for a in keys:
+        for b in keys:
+            if a < b and root[a] != root[b] and linked(a, b):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return root
+
+
+def split_greedily(members, radius):
+    """members: (key, epoch, quality, ra, dec) -> key -> number of its group."""
+    groups, out = [], {}
+    for key, epoch, _, ra, dec in sorted(members, key=lambda m: (-m[2], m[0])):
+        for k, g in enumerate(groups):
+            mid = [sum(m[i] for m in g) / len(g) for i in (3, 4)]
+            if epoch not in {m[1] for m in g} and sep(*mid, ra, dec) <= radius:
+                g.append((key, epoch, 0, ra, dec))
+                out[key] = k
+                break
+        else:
+            groups.append([(key, epoch, 0, ra, dec)])
+            out[key] = len(groups) - 1
+    return out
+
+
+def field(seed, n=160, epochs_=5):
+    """Detections around a few positions: (det_id, epoch_id, ra, dec, r, quality)."""
+    g = random.Random(seed)
+    spots = [(g.uniform(10, 10.004), g.uniform(20, 20.004)) for _ in range(25)]
+    out = []
+    for i in range(n):
+        a, d = g.choice(spots)
+        out.append((i, g.randrange(epochs_), a + g.gauss(0, 0.7) / 3600, d + g.gauss(0, 0.7) / 3600, g.uniform(0.5, 2.0), round(g.random(), 3)))
+    return out
+
+
+def brute_cross_epoch(rows, radius, least):
+    by = {x[0]: x for x in rows}
+    first = classes(by, lambda a, b: sep(*by[a][2:4], *by[b][2:4]) <= min(by[a][4], by[b][4], 0.6 * radius))
+    groups = {}
+    for k, c in first.items():
+        groups.setdefault(c, []).append(by[k])
+    mid = {c: [sum(m[i] for m in g) / len(g) for i in (2, 3)] for c, g in groups.items()}
+    apart = lambda a, b: not {m[1] for m in groups[a]} & {m[1] for m in groups[b]}
+    merged = classes(groups, lambda a, b: sep(*mid[a], *mid[b]) <= radius and apart(a, b))
+    out = {}
+    for c in set(merged.values()):
+        members = [m for k, g in groups.items() if merged[k] == c for m in g]
+        if len(members) >= least:
+            got = split_greedily([(m[0], m[1], m[5], m[2], m[3]) for m in members], radius)
+            for k, s in got.items():
+                if sum(v == s for v in got.values()) >= least:
+                    out[k] = (c, s)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cross_epoch_is_brute_force(spark, seed):
+    rows = field(seed) + [(1000, 0, float("nan"), 20.0, 1.0, 0.5), (1001, 0, 10.0, 95.0, 1.0, 0.5)]
+    got = cluster.cross_epoch(spark.createDataFrame(rows, "det_id long, epoch_id int, ra double, dec double, r double, quality double"), 2.0, 2).collect()
+    want = brute_cross_epoch(rows[:-2], 2.0, 2)
+    assert want and {r["det_id"]: (r["component"], r["sub"]) for r in got} == want
+
+
+def test_greedy_split_is_brute_force(spark):
+    rows = [(i % 6, *x) for i, x in enumerate(field(9, 240))]
+    got = graph.greedy_split(spark.createDataFrame(rows, "component long, det_id long, epoch_id int, ra double, dec double, r double, quality double"), 6.0).collect()
+    want = {}
+    for c in range(6):
+        want |= split_greedily([(x[1], x[2], x[6], x[3], x[4]) for x in rows if x[0] == c], 6.0)
+    assert {r["det_id"]: r["sub"] for r in got} == want
+
+
+def test_source_list_is_brute_force(spark):
+    rows = [x[:4] for x in field(4, 300, 7)] + [(900, 1, None, None)]
+    got = {r["det_id"]: r["source"] for r in graph.source_list(spark.createDataFrame(rows, "det_id long, epoch_id int, ra double, dec double"), 1.5).collect()}
+    opened, want = [], {}
+    for e in range(7):
+        known = list(opened)
+        for k, _, a, d in sorted(x for x in rows if x[1] == e and x[2] is not None):
+            near = [s for s in known if sep(a, d, s[1], s[2]) <= 1.5]
+            want[k] = near[0][0] if near else k
+            if not near:
+                opened.append((k, a, d))
+    # a source's number in the list is its order of opening, by exposure and then key
+    assert got == want
+
+
+def test_terms_are_fitted_robustly(spark):
+    g = np.random.default_rng(3)
+    rows = []
+    for e in range(3):
+        for _ in range(80):
+            x, y = g.uniform(-1, 1, 2)
+            v = 20 + e + 0.3 * x - 0.1 * y + g.normal(0, 0.02) + (5.0 if g.random() < 0.05 else 0.0)
+            rows.append((e, float(v), float(g.uniform(0.01, 0.05)), float(x), float(y)))
+    rows += [(7, 1.0, 0.1, 0.5, 0.5), (7, 1.2, 0.1, 0.5, 0.5), (0, None, 0.1, 0.0, 0.0), (1, 1.0, float("nan"), 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "epoch_id int, m double, e double, x double, y double").repartition(5)
+    got = {}
+    for r in epochs.fit_terms(df, "epoch_id", "m", "e", {"Z": F.lit(1.0), "PX": F.col("x"), "PY": F.col("y")}).collect():
+        got[r["epoch_id"], r["term"]] = (r["value"], r["error"])
+    for e in (0, 1, 2, 7):
+        own = np.array([r[1:] for r in rows if r[0] == e and r[1] is not None and r[2] == r[2]], float)
+        a, w = np.column_stack([np.ones(len(own)), own[:, 2:]]), 1 / own[:, 1] ** 2
+        for _ in range(8):
+            cov = np.linalg.pinv(a.T @ (a * w[:, None]), rcond=1e-12, hermitian=True)
+            beta = cov @ (a.T @ (own[:, 0] * w))
+            w = 1 / own[:, 1] ** 2 / (1 + ((own[:, 0] - a @ beta) / own[:, 1]) ** 2)
+        for k, t in enumerate(("Z", "PX", "PY")):
+            assert got[e, t] == pytest.approx((beta[k], math.sqrt(max(cov[k, k], 0))), rel=1e-6, abs=1e-9)
+    assert abs(got[1, "PX"][0] - 0.3) < 0.05 and abs(got[2, "Z"][0] - 22) < 0.05  # outliers don't pull
+
+
+def test_votes_are_brute_force(spark):
+    g = random.Random(6)
+    rows = []
+    for i, (k, e, a, d, r, q) in enumerate(field(8, 200, 3)):
+        kind = g.choice(["new", "brightening", "fading", "unknown"])
+        rows.append((i, k, e, a, d, r, g.choice(["gaia", "usno", "atlas"]), q, kind, g.choice([float("nan"), 0.0, -1.5, 0.7])))
+    df = spark.createDataFrame(rows, "cand_id long, det_id long, epoch_id int, ra double, dec double, r double, catalog string, quality double, candidate_type string, magnitude_difference double")
+    got = {r["cand_id"]: r for r in cluster.vote_candidates(df, 2.0, 3, 0.6).collect()}
+    by = {x[0]: x for x in rows}
+    comp = classes(by, lambda a, b: by[a][2] == by[b][2] and sep(*by[a][3:5], *by[b][3:5]) <= min(by[a][5], by[b][5]))
+    want = {}
+    for c in set(comp.values()):
+        own = [by[k] for k in by if comp[k] == c]
+        votes = len({m[6] for m in own})
+        if votes >= 2:
+            best = max(own, key=lambda m: (m[7], -m[0]))
+            kind = max(own, key=lambda m: (features.TYPE_PRIORITY[m[8]], m[7], -m[0]))[8]
+            sized = [m for m in own if m[8] == kind and m[9] == m[9]]
+            want[best[0]] = (votes, kind, max(sized, key=lambda m: (abs(m[9]), -m[0]))[9] if sized else None)
+    assert want and {k: (r["votes"], r["candidate_type"], r["magnitude_difference"]) for k, r in got.items()} == want
+
+
+def test_nearest_has_no_bound(spark):
+    a = spark.createDataFrame([(1, 0.0, 0.0), (2, 5000.0, 3.0), (3, float("nan"), 0.0)], "i long, x double, y double")
+    b = spark.createDataFrame([(7, 1.0, 0.0), (8, -1.0, 0.0), (9, 100.0, 0.0)], "j long, u double, v double")
+    got = {r["i"]: (r["j"], r["dist"]) for r in spatial.nearest_any(a, b, 0.5, "i", "j", right_on=("u", "v")).collect()}
+    assert got == {1: (7, 1.0), 2: (9, math.hypot(4900, 3))}
+    assert spatial.nearest_any(a, b.where("false"), 0.5, "i", "j", right_on=("u", "v")).count() == 0
+    sky = spatial.nearest_any(spark.createDataFrame([(1, 359.9, 0.0)], "i long, ra double, dec double"), spark.createDataFrame([(7, 179.9, 0.0), (8, 0.2, 1.0)], "j long, u double, v double"), 1.0, "i", "j", system="sky", right_on=("u", "v")).first()
+    assert sky["j"] == 8
+
+
+def test_anti_is_one_join(spark):
+    a = spark.createDataFrame([(i, float(i), 0.0, i % 2) for i in range(10)], "i long, x double, y double, e int")
+    b = spark.createDataFrame([(2.0, 0.0, 0), (7.0, 0.0, 0)], "u double, v double, e int")
+    x = spatial.radius_anti(a, b, 1.0, right_on=("u", "v"), by=("e",))
+    assert sorted(r["i"] for r in x.collect()) == [0, 1, 3, 4, 5, 7, 9] and x.columns == a.columns
+    plan = x._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftAnti") >= 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_terms_of_a_fit():
+    t = phot.TermList({"Z": 25.0, "PX": 0.1})
+    t.hold("PX")
+    t.fit("GA", 0.2)
+    t.hold("Z", 24.0)
+    t.fit("Z")
+    assert t.free == {"GA": 0.2, "Z": 24.0} and t.held == {"PX": 0.1} and t.value("PX") == 0.1
+    t.hold_all()
+    t.remove("GA")
+    assert t.free == {} and phot.parse_response(t.line()) == {"Z": 24.0, "PX": 0.1}
+    with pytest.raises(ValueError):
+        t.fit("QQ")
+
+
+def test_model_table(spark):
+    x = phot.model_table(spark, {"Z": (24.0, 0.1), "P2C": (0.5, 0.0)})
+    assert x.columns == ["term", "val", "err"] and phot.model_terms(x) == {"Z": (24.0, 0.1), "P2C": (0.5, 0.0)}
+
+
+def test_unknown_engine():
+    with pytest.raises(ValueError):
+        images.subtract("nothing", None, None)
+
+
+def test_bodies_variables_and_trails_leave_the_plan(spark):
+    """A steady new source, one on a variable star, a moving body that the ephemeris knows, and a moving one that it doesn't."""
+    g, rows, k = random.Random(2), [], 0
+    spots = {"steady": (10.0, 20.0, 0.0), "variable": (10.01, 20.0, 0.0), "body": (10.02, 20.0, 0.0), "mover": (10.03, 20.0, 1.2)}
+    for e in range(6):
+        for name, (a, d, rate) in spots.items():
+            a += rate * e / 3600 / math.cos(math.radians(20))
+            mag = 17.0 + 0.5 * (e % 2) + g.gauss(0, 0.01)
+            x, y = (a - 9.99) * 3600 * math.cos(math.radians(20)) * 3, (d - 19.99) * 3600 * 3
+            rows.append((k, e, 3600.0 * e, a, d + g.gauss(0, 0.02) / 3600, x, y, mag, 0.02, 3.0, 1.5, 1.4, 0.0, 0, 20.0, name))
+            k += 1
+    det = spark.createDataFrame(rows, "det_id long, epoch_id int, obs_time double, ra double, dec double, x double, y double, mag double, err double, fwhm double, a double, b double, theta double, flags int, maglim double, name string")
+    none = spark.createDataFrame([(5000.0, 5000.0, 15.0)], "sx double, sy double, star_mag double")
+    bodies = spark.createDataFrame([(e, 10.02, 20.0) for e in range(6)], "epoch_id int, mra double, mdec double")
+    variables = spark.createDataFrame([(10.01, 20.0)], "vra double, vdec double")
+    s = pipeline.Settings(position_match_radius_arcsec=8.0, min_quality=0.001, adaptive_nsigma=6.0)
+    rows_, points = pipeline.CatalogVotes({"gaia": none, "usno": none}, s, movers=bodies, variables=variables, frame=(4000.0, 4000.0), ast_sigma=0.3).run(det)
+    found = {r["name"]: r for r in rows_.join(det.select("det_id", "name"), "det_id").collect()}
+    assert set(found) == {"steady", "mover"} and found["steady"]["votes"] if "votes" in rows_.columns else set(found) == {"steady", "mover"}
+    assert found["steady"]["candidate_type"] == "new" and found["mover"]["candidate_type"] == "trail"
+    assert found["steady"]["n_detections"] == 6 and points.select("gid").distinct().count() == 2
+    plain, _ = pipeline.CatalogVotes({"gaia": none, "usno": none}, s, extend=lambda r, p: r.withColumn("seen", F.lit(p.count()))).run(det)
+    assert plain.count() == 4 and plain.first()["seen"] == 24
+    edge, _ = pipeline.CatalogVotes({"gaia": none, "usno": none}, s, frame=(150.0, 4000.0)).run(det)
+    assert {r["det_id"] % 4 for r in edge.collect()} == {0}
+
+
+def percentile(values, q):
+    v = sorted(values)
+    at = q * (len(v) - 1)
+    low = math.floor(at)
+    return v[low] + (v[min(low + 1, len(v) - 1)] - v[low]) * (at - low)
+
+
+def brute_catalog_votes(rows, catalogs, bodies, variables, s, frame, ast_sigma):
+    """The plan in plain loops: rows are dicts of the detections' columns."""
+    clip = lambda v, a, b: min(max(v, a), b)
+    out = []
+    for e in sorted({r["epoch_id"] for r in rows}):
+        own = [r | {"match": clip(s.adaptive_nsigma * math.sqrt(r["ex2"] + r["ey2"]), 1, 8)} for r in rows if r["epoch_id"] == e]
+        cap = percentile([r["match"] for r in own], s.adaptive_percentile / 100)
+        own = [r for r in own if not (r["x"] < 10 or r["y"] < 10 or r["x"] > frame[0] - 10 or r["y"] > frame[1] - 10)]
+        med = percentile([r["fwhm"] for r in own], 0.5)
+        for k, (name, stars) in enumerate(catalogs.items()):
+            floor = {"gaia": 0.01, "usno": 0.1}[name]
+            for r in own:
+                near = [m for x, y, m in stars if math.hypot(r["x"] - x, r["y"] - y) <= min(r["match"], cap)]
+                usable = [m for m in near if m is not None]
+                sigma = math.sqrt(r["err"] ** 2 + 0.01**2 + floor**2)
+                big = [r["mag"] - m for m in usable if abs(r["mag"] - m) >= s.mag_change_threshold and abs(r["mag"] - m) / sigma > s.siglim]
+                change = max(big, key=abs) if big else None
+                if not near:
+                    kind, size, ok = "new", 0.0, r["err"] < 1.091 / s.new_source_siglim
+                elif not usable:
+                    kind, size, ok = "new", None, r["err"] < 1.091 / s.siglim
+                else:
+                    kind, size, ok = ("brightening" if big and change < 0 else "fading"), change, bool(big) and r["err"] < 1.091 / s.siglim
+                if not ok or r["mag"] > s.maglim_filter_multiplier * r["maglim"]:
+                    continue
+                fr, ar, snr = r["fwhm"] / med, r["b"] / r["a"], 1.0857 / r["err"]
+                q = math.exp(-((fr - 1) ** 2) / 0.5) * 1.5 * clip(ar, 0, 1) * 1.5 * clip(snr / 20, 0, 1) * 2 * (0.5 if r["flags"] > 0 else 1) * clip(1 + 0.2 * (r["maglim"] - r["mag"]), 0.5, 2)
+                if q < s.min_quality or any(b[0] == e and sep(r["ra"], r["dec"], b[1], b[2]) < s.vsx_match_radius_arcsec for b in bodies):
+                    continue
+                reach = clip(s.adaptive_nsigma * r["fwhm"] / 2.35 * math.sqrt(10 / max(snr, 3)), 1, 8) * s.default_plate_scale_arcsec_per_px
+                out.append(r | {"cand": r["det_id"] * len(catalogs) + k, "cat": name, "kind": kind, "size": size, "q": q, "r": reach})
+    by = {c["cand"]: c for c in out}
+    comp = classes(by, lambda a, b: by[a]["epoch_id"] == by[b]["epoch_id"] and sep(by[a]["ra"], by[a]["dec"], by[b]["ra"], by[b]["dec"]) <= min(by[a]["r"], by[b]["r"]))
+
+    def best_of(members, key):
+        best = max(members, key=lambda m: (m["q"], -m[key]))
+        kind = max(members, key=lambda m: (features.TYPE_PRIORITY[m["kind"]], m["q"], -m[key]))["kind"]
+        sized = [m for m in members if m["kind"] == kind and m["size"] is not None]
+        return best | {"kind": kind, "size": max(sized, key=lambda m: (abs(m["size"]), -m[key]))["size"] if sized else None}
+
+    cands = []
+    for c in set(comp.values()):
+        own = [by[k] for k in by if comp[k] == c]
+        if len({m["cat"] for m in own}) >= max(1, math.ceil(s.min_catalogs_fraction * len(catalogs))):
+            cands.append(best_of(own, "cand"))
+    groups = brute_cross_epoch([(c["det_id"], c["epoch_id"], c["ra"], c["dec"], c["r"], c["q"]) for c in cands], s.position_match_radius_arcsec, s.min_n_detections)
+    final = {}
+    for g in set(groups.values()):
+        own = [c for c in cands if groups.get(c["det_id"]) == g]
+        rep, mid = best_of(own, "det_id"), [sum(c[k] for c in own) / len(own) for k in ("ra", "dec")]
+        points = []
+        for e in {r["epoch_id"] for r in rows}:
+            near = [(round(sep(*mid, r["ra"], r["dec"]), 7), r["det_id"], r) for r in rows if r["epoch_id"] == e and sep(*mid, r["ra"], r["dec"]) <= s.position_match_radius_arcsec]
+            points += [min(near, key=lambda n: n[:2])[2]] if near else []
+        if len(points) < s.min_n_detections:
+            continue
+        ref = min(points, key=lambda p: (p["err"], p["det_id"]))
+        t = np.array([(p["obs_time"] - ref["obs_time"]) / 3600 for p in points])
+        off = np.array([[(p["ra"] - ref["ra"]) * math.cos(math.radians(ref["dec"])) * 3600, (p["dec"] - ref["dec"]) * 3600] for p in points])
+        fit = [np.polyfit(t, off[:, k], 1) for k in (0, 1)]
+        res = np.column_stack([off[:, k] - np.polyval(fit[k], t) for k in (0, 1)])
+        sigma = math.hypot(*[np.median(np.abs(res[:, k] - np.median(res[:, k]))) / 0.67 for k in (0, 1)])
+        rate, moving = math.hypot(fit[0][0], fit[1][0]), int((np.hypot(res[:, 0], res[:, 1]) <= 2 * sigma + 1e-7).sum())
+        angle = math.degrees(math.atan2(fit[0][0], fit[1][0])) % 180
+        turn = [abs(angle - p["theta"]) for p in points]
+        align = np.mean([1 - (180 - v if v > 90 else v) / 90 for v in turn])
+        hours = (max(p["obs_time"] for p in points) - min(p["obs_time"] for p in points)) / 3600
+        far, sig = rate * hours / ast_sigma, rate / max(sigma, 1e-6)
+        score = 0.35 * np.mean([clip(1 - p["b"] / p["a"], 0, 1) for p in points]) + 0.3 * clip(sig / 10, 0, 1) + 0.15 * clip(align, 0, 1) + 0.2 * clip(far / 5, 0, 1)
+        if moving >= 3 and ((sigma >= 0.5 and sig >= 3 and score >= 0.7) or far >= 3) and rep["kind"] not in ("brightening", "fading"):
+            rep["kind"] = "trail"
+        w = [1 / p["err"] ** 2 for p in points]
+        mean, spread = sum(p["mag"] * v for p, v in zip(points, w, strict=True)) / sum(w), max(p["mag"] for p in points) - min(p["mag"] for p in points)
+        rep["score"] = rep["q"] * math.exp(-(mean - 15) / 3) * min(spread / 0.5, 3) * spread * math.sqrt(len(points) / s.min_n_detections)
+        rep["n"] = len(points)
+        ident_ = (round(rep["ra"] * 1000), round(rep["dec"] * 1000))
+        if ident_ not in final or rep["score"] > final[ident_]["score"]:
+            final[ident_] = rep
+    return {r["det_id"]: (r["kind"], r["n"], r["score"]) for r in final.values() if r["score"] >= s.min_quality and not any(sep(r["ra"], r["dec"], *v) < s.vsx_match_radius_arcsec for v in variables)}
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_catalog_votes_are_brute_force(spark, seed):
+    g, rows, k = random.Random(seed), [], 0
+    spots = [(10 + 0.004 * (i % 8) + g.uniform(0, 0.001), 20 + 0.004 * (i // 8), g.choice([0, 0, 0, 1.0]), g.uniform(15, 18)) for i in range(40)]
+    for e in range(6):
+        for a, d, rate, mag in spots:
+            if g.random() < 0.9:
+                a2, d2 = a + (rate * e + g.gauss(0, 0.05)) / 3600, d + g.gauss(0, 0.05) / 3600
+                err = g.choice([0.01, 0.03, 0.05, 0.3])
+                rows.append({"det_id": k, "epoch_id": e, "obs_time": 3600.0 * e + 10 * g.random(), "ra": a2, "dec": d2, "x": (a2 - 9.99) * 3600 * 3, "y": (d2 - 19.99) * 3600 * 3, "mag": mag + g.gauss(0, 0.4), "err": err + 0.0001 * g.random(), "fwhm": g.uniform(2, 4), "a": 1.6, "b": g.uniform(1, 1.5), "theta": g.uniform(0, 180), "flags": g.choice([0, 0, 1]), "maglim": g.uniform(14, 20), "ex2": g.uniform(0, 0.4), "ey2": g.uniform(0, 0.4)})
+                k += 1
+    star = lambda known: [((a - 9.99) * 10800 + g.uniform(-2, 2), (d - 19.99) * 10800 + g.uniform(-2, 2), g.choice([None, m, m, m + 1.5])) for a, d, _, m in spots if g.random() < known]
+    catalogs = {"gaia": star(0.6), "usno": star(0.4)}
+    bodies, variables = [(e, spots[3][0], spots[3][1]) for e in range(6)], [spots[5][:2], spots[9][:2]]
+    s = pipeline.Settings(position_match_radius_arcsec=4.0, min_quality=0.02, min_catalogs_fraction=0.5, adaptive_nsigma=4.0, new_source_siglim=4.0)
+    det = spark.createDataFrame([tuple(r.values()) for r in rows], list(rows[0])).withColumns({"epoch_id": F.col("epoch_id").cast("int"), "flags": F.col("flags").cast("int")})
+    tables = {n: spark.createDataFrame(v, "sx double, sy double, star_mag double") for n, v in catalogs.items()}
+    plan = pipeline.CatalogVotes(tables, s, movers=spark.createDataFrame(bodies, "epoch_id int, mra double, mdec double"), variables=spark.createDataFrame(variables, "vra double, vdec double"), frame=(360.0, 2000.0), ast_sigma=0.3)
+    got = {r["det_id"]: (r["candidate_type"], r["n_detections"], r["quality_score"]) for r in plan.run(det)[0].collect()}
+    want = brute_catalog_votes(rows, catalogs, bodies, variables, s, (360.0, 2000.0), 0.3)
+    assert len(want) > 8 and {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+    assert all(got[i][2] == pytest.approx(want[i][2], rel=1e-6) for i in want)
