@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, ship
 
-#: An index up to so many bytes is shipped to the executors; beyond, url keys are joined to the rules.
+#: An index of more bytes is cut by ranges of digests into several files.
 MAX_INDEX_BYTES = 256 << 20
 MAGIC = b"DIGIDX01"
 _placed: dict[str, str] = {}
 
 
-def write_index(rules: list[tuple[str, str, str]]) -> bytes:
-    """Index of (verdict, host, path) rules: digests sorted, then offsets, verdicts and the strings, then path lengths."""
+def write_index(rules: list[tuple[str, str, str]], most: int = MAX_INDEX_BYTES) -> list[bytes]:
+    """Files of (verdict, host, path) rules, each of about ``most`` bytes or one rule: digests sorted over all files, then
+    offsets, verdicts and the strings, then the lengths of all rules' paths."""
     seen: dict[str, str] = {}
     for verdict, host, path in rules:
         if verdict not in ("allow", "block"):
@@ -37,17 +38,29 @@ def write_index(rules: list[tuple[str, str, str]]) -> bytes:
         seen[f"{host}{path}"] = verdict if seen.get(f"{host}{path}", verdict) == verdict else "block"  # a rule given both ways blocks
     hosts = {f"{h}{p}": h for _, h, p in rules}
     rows = sorted((xxhash.xxh64_intdigest(k.encode()), k) for k in seen)
-    texts = [k.encode() for _, k in rows]
-    offsets = np.zeros(len(rows) + 1, "<i8")
-    offsets[1:] = np.cumsum([len(t) for t in texts])
-    host_bytes = np.array([len(hosts[k].encode()) for _, k in rows], "<i4")
     lengths = np.array(sorted({len(p) for _, _, p in rules}), "<i4")
-    head = MAGIC + struct.pack("<qq", len(rows), len(lengths))
-    return b"".join([head, np.array([d for d, _ in rows], "<u8").tobytes(), offsets.tobytes(), host_bytes.tobytes(), np.array([seen[k] == "allow" for _, k in rows], "u1").tobytes(), lengths.tobytes(), *texts])
+    cuts, held = [0], 0
+    for i, (_, k) in enumerate(rows):
+        size = len(k.encode()) + 21
+        if held and held + size > most:
+            cuts.append(i)
+            held = 0
+        held += size
+    cuts.append(len(rows))
+    files = []
+    for first, last in zip(cuts, cuts[1:], strict=False):
+        own = rows[first:last]
+        texts = [k.encode() for _, k in own]
+        offsets = np.zeros(len(own) + 1, "<i8")
+        offsets[1:] = np.cumsum([len(t) for t in texts])
+        host_bytes = np.array([len(hosts[k].encode()) for _, k in own], "<i4")
+        head = MAGIC + struct.pack("<qq", len(own), len(lengths))
+        files.append(b"".join([head, np.array([d for d, _ in own], "<u8").tobytes(), offsets.tobytes(), host_bytes.tobytes(), np.array([seen[k] == "allow" for _, k in own], "u1").tobytes(), lengths.tobytes(), *texts]))
+    return files
 
 
 class DigestIndex:
-    """The mapped file. ``find`` gives, for candidate strings and their hosts' byte counts, the rule's row or -1."""
+    """A mapped file."""
 
     def __init__(self, path: str):
         raw = np.memmap(path, np.uint8, "r")
@@ -66,30 +79,26 @@ class DigestIndex:
     def text(self, row: int) -> bytes:
         return self.texts[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
-    def find(self, keys: list[bytes], hosts: list[int]) -> np.ndarray:
-        out = np.full(len(keys), -1, np.int64)
+    def find(self, probes: np.ndarray, keys: list[bytes], hosts: list[int]) -> Iterator[tuple[int, int]]:
+        """(candidate, row) of the candidates that are rules, by one binary search for all."""
         if not len(self.digests) or not keys:
-            return out
-        probes = np.fromiter((xxhash.xxh64_intdigest(k) for k in keys), np.uint64, len(keys))
+            return
         at = np.searchsorted(self.digests, probes)
-        hit = np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == probes)
-        for j in hit:
+        for j in np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == probes):
             row = int(at[j])
             while row < len(self.digests) and self.digests[row] == probes[j]:  # equal digests lie side by side
                 if self.text(row) == keys[j] and self.host_bytes[row] == hosts[j]:
-                    out[j] = row
+                    yield int(j), row
                     break
                 row += 1
-        return out
 
 
-def _lookup(name: str):
-    index: list[DigestIndex] = []
+def _lookup(names: list[str]):
+    files: list[DigestIndex] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not index:
-            index.append(DigestIndex(SparkFiles.get(name)))
-        x = index[0]
+        if not files:
+            files.extend(DigestIndex(SparkFiles.get(n)) for n in names)
         for batch in batches:
             keys: list[bytes] = []
             hosts: list[int] = []
@@ -97,22 +106,23 @@ def _lookup(name: str):
             for j, (host, path) in enumerate(zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True)):
                 parts = host.split(".")
                 suffixes = [".".join(parts[k:]).encode() for k in range(len(parts))]
-                for n in x.lengths:
+                for n in files[0].lengths:
                     if n <= len(path):
                         p = path[:n].encode()
                         for s in suffixes:
                             keys.append(s + p)
                             hosts.append(len(s))
                             owner.append(j)
-            found = x.find(keys, hosts)
-            best: list[int] = [-1] * batch.num_rows
-            for c in np.flatnonzero(found >= 0):
-                j, row = owner[c], int(found[c])
-                size = lambda r: (x.offsets[r + 1] - x.offsets[r], x.host_bytes[r])
-                if best[j] < 0 or size(row) > size(best[j]):
-                    best[j] = row
-            rule = [x.text(r).decode() if r >= 0 else None for r in best]
-            verdict = [("allow" if x.allow[r] else "block") if r >= 0 else None for r in best]
+            probes = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
+            best: list[tuple[int, int, bytes, bool] | None] = [None] * batch.num_rows
+            for x in files:
+                for c, row in x.find(probes, keys, hosts):
+                    found = (len(keys[c]), hosts[c], keys[c], bool(x.allow[row]))
+                    j = owner[c]
+                    if best[j] is None or found > best[j]:
+                        best[j] = found
+            rule = [b[2].decode() if b else None for b in best]
+            verdict = [("allow" if b[3] else "block") if b else None for b in best]
             yield pa.RecordBatch.from_arrays([batch["row"], batch["host"], batch["path"], pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=["row", "host", "path", "rule", "verdict"])
 
     return run
@@ -134,37 +144,22 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     cases: a null url, or one without ``://``, has an empty host and path, which no rule fits; repeated rows are
     judged each; an empty table, or no rules, works.
 
-    Scale: one pass without a shuffle. The index travels as a file that each executor fetches once and its workers
-    map, so they share its pages; an index over ``max_index_bytes`` isn't shipped, and the keys are joined instead.
+    Scale: one pass without a shuffle. The index travels as files, of ``max_index_bytes`` each at most, that an executor
+    fetches once and its workers map, so they share the pages; more rules make more files, and every one is searched.
     """
     ship(pages.sparkSession)
     host, path = url_parts(F.col(url_col))
     x = pages.select(F.col(id_col).alias("row"), host.alias("host"), path.alias("path"))
-    size = sum(len(h.encode()) + len(p.encode()) + 21 for _, h, p in rules)
-    if size > max_index_bytes:
-        out = _joined(x, rules)
-    else:
-        raw = write_index(rules)
+    names = []
+    for raw in write_index(rules, max_index_bytes):
         name = f"rules-{hashlib.sha256(raw).hexdigest()[:24]}.idx"
         if name not in _placed:  # one path for a name, as Spark's file server wants it
             _placed[name] = os.path.join(tempfile.mkdtemp(prefix="duskfield-"), name)
             with open(_placed[name], "wb") as f:
                 f.write(raw)
         pages.sparkSession.sparkContext.addFile(_placed[name])
-        kind = x.schema["row"].dataType.simpleString()
-        out = x.mapInArrow(_lookup(name), f"row {kind}, host string, path string, rule string, verdict string")
+        names.append(name)
+    kind = x.schema["row"].dataType.simpleString()
+    out = x.mapInArrow(_lookup(names), f"row {kind}, host string, path string, rule string, verdict string")
     return out.select(F.col("row").alias(id_col), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
-
-def _joined(x: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """The same by joining candidate keys to the rules, for rule sets too large to ship."""
-    spark = x.sparkSession
-    r = spark.createDataFrame(rules, "v string, h string, p string").groupBy("h", "p").agg(F.min(F.col("v") == "allow").alias("ok"))
-    lengths = sorted({len(p) for _, _, p in rules})
-    labels = F.split("host", r"\.", -1)
-    suffix = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda i: F.concat_ws(".", F.slice("labels", i, F.size("labels"))))
-    urls = x.select("host", "path").distinct().withColumn("labels", labels)
-    cand = urls.select("host", "path", F.explode(suffix).alias("h")).select("host", "path", "h", F.explode(F.array(*[F.when(F.char_length("path") >= n, F.substring("path", 1, n)) for n in lengths])).alias("p"))
-    key = F.concat("h", "p")
-    best = cand.where("p is not null").join(r, ["h", "p"]).groupBy("host", "path").agg(F.max(F.struct(F.octet_length(key).alias("n"), F.octet_length("h").alias("hn"), key.alias("rule"), "ok")).alias("b"))
-    return x.join(best, ["host", "path"], "left").select("row", "host", "path", F.col("b.rule").alias("rule"), F.when(F.col("b.ok"), "allow").when(~F.col("b.ok"), "block").alias("verdict"))
