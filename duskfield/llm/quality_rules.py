@@ -3,6 +3,8 @@ and host verdicts joined back. DataFrame operations only."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from .common import WS, WS_CLASS, written
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 WINDOW = 5
+#: A host is bad beyond so high a failure rate, or so many deviations above the others.
+MAX_RATE, SIGMAS = 0.5, 2.0
 
 
 def text_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -43,17 +47,19 @@ def rule_failures() -> dict[str, F.Column]:
     }
 
 
-def host_rates(scored: DataFrame, host: str = "host") -> DataFrame:
-    """Per host: documents, and per rule the failure rate shrunk towards all hosts' rate.
+def host_rates(scored: DataFrame, host: str = "host", max_rate: float = MAX_RATE, sigmas: float = SIGMAS) -> DataFrame:
+    """Per host: documents, per rule the failure rate shrunk towards all hosts' rate, and whether the host is ``bad``.
 
     The beta prior of each rule is fitted by moments over the hosts' raw rates; where the hosts differ no more than
-    chance has it, the prior's strength is 1000 documents. One row of moments comes to the driver.
+    chance has it, the prior's strength is 1000 documents. A host is bad if for some rule its shrunk rate, less ``sigmas``
+    of its own deviations, is above the prior's mean and ``sigmas`` of the prior's deviations, or above ``max_rate`` if
+    that is less. One row of moments comes to the driver.
     """
     rules = list(rule_failures())
     hosts = written(scored.groupBy(host).agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"fail_{r}").cast("long")).alias(r) for r in rules]), "hosts")
     many = F.sum("n")
     got = hosts.agg(many.alias("n"), F.count(F.lit(1)).alias("hosts"), *[F.sum(r).alias(r) for r in rules], *[F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_sq") for r in rules]).first()
-    out = hosts
+    out, bad = hosts, F.lit(False)
     for r in rules:
         total, k = got["n"] or 0, got["hosts"]
         mean = (got[r] or 0) / total if total else 0.0
@@ -61,31 +67,42 @@ def host_rates(scored: DataFrame, host: str = "host") -> DataFrame:
         chance = mean * (1 - mean) * k / total if total else 0.0
         spread = between - chance
         strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1000.0) if spread > 1e-12 else 1000.0
+        limit = min(max_rate, mean + sigmas * math.sqrt(mean * (1 - mean) / (strength + 1)))
+        rate = F.col(f"rate_{r}")
         out = out.withColumn(f"rate_{r}", (F.col(r) + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
-    return out.select(host, F.col("n").alias("host_docs"), *[f"rate_{r}" for r in rules])
+        bad = bad | (rate - sigmas * F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(strength + 1))) > F.lit(limit))
+    return out.select(host, F.col("n").alias("host_docs"), *[f"rate_{r}" for r in rules], bad.alias("host_bad"))
 
 
-def host_quality(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text_col: str = "text", host_col: str = "source", max_rate: float = 0.5) -> DataFrame:
-    """One row per row of ``docs``: the columns of ``carry``, FEATURES (long), ``base_failed`` and ``kept`` (boolean).
+def host_quality(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text_col: str = "text", host_col: str = "source", max_rate: float = MAX_RATE, sigmas: float = SIGMAS, rates: bool = False) -> DataFrame:
+    """One row per row of ``docs``: the columns of ``carry``, FEATURES (long), ``base_failed`` and ``kept`` (boolean); with
+    ``rates`` also ``host_docs``, the shrunk rates of its host and ``host_bad``.
 
     A document is dropped if it has under 10 words or over 20 % of them in repeated windows (``base_failed``), or if
-    its host's shrunk failure rate of some rule is over ``max_rate`` and the document itself fails a rule: a bad host
-    gets no benefit of the doubt, a clean document on it stays. Defined cases: null text has no words; null hosts form
-    one host; repeated rows are judged each; an empty table gives an empty table; carried columns may have any name.
+    its host is bad (see ``host_rates``) and the document itself fails a rule: a bad host gets no benefit of the doubt,
+    a clean document on it stays. Defined cases: null text has no words; null hosts form one host; repeated rows are
+    judged each; an empty table gives an empty table; carried columns may have any name.
 
-    Scale: texts are read once and never shuffled; the counts are written, summed by host with partial sums, and the
-    host table joins back by a join that Spark broadcasts if its measured size allows and splits where a host is hot.
+    Scale: texts are read once and not shuffled: the counts are written, with what is carried, and summed by host with
+    partial sums. Only documents that fail a rule without failing the base meet the bad hosts, which are the few rows that
+    Spark broadcasts if their measured size allows. With ``rates``, all documents meet all hosts.
     """
     held = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    names = [f"c{i}" for i in range(len(carry))]
     x = text_counts(docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("t"), *held), "t").drop("t")
     rules = rule_failures()
-    x = written(x.select("host", *[f"c{i}" for i in range(len(carry))], *FEATURES, *[v.alias(f"fail_{r}") for r, v in rules.items()]), "counts")
-    rates = host_rates(x)
-    bad = rates.select(F.col("host").alias("bad_host"), (F.greatest(*[F.col(f"rate_{r}") for r in rules]) > max_rate).alias("bad"))
-    joined = x.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left")
-    base = F.col("fail_short") | F.col("fail_repeats")
-    own = [F.col(f"fail_{r}") for r in rules]
-    some = own[0]
-    for v in own[1:]:
-        some = some | v
-    return joined.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], *FEATURES, base.alias("base_failed"), (~base & ~(F.coalesce("bad", F.lit(False)) & some)).alias("kept"))
+    failed = F.lit(False)
+    for v in rules.values():
+        failed = failed | v
+    x = x.select("host", *names, *FEATURES, *[v.alias(f"fail_{r}") for r, v in rules.items()], (rules["short"] | rules["repeats"]).alias("base_failed"), failed.alias("failed"))
+    x = written(x, "counts")
+    hosts = written(host_rates(x, "host", max_rate, sigmas), "rates")
+    out = [*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], *FEATURES, "base_failed"]
+    if rates:
+        more = ["host_docs", *[f"rate_{r}" for r in rules], "host_bad"]
+        y = x.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
+        return y.select(*out, (~F.col("base_failed") & ~(F.col("host_bad") & F.col("failed"))).alias("kept"), *more)
+    suspect = F.col("failed") & ~F.col("base_failed")
+    bad = hosts.where("host_bad").select(F.col("host").alias("h"), "host_bad")
+    judged = x.where(suspect).join(bad, F.col("host").eqNullSafe(F.col("h")), "left").select(*out, F.col("host_bad").isNull().alias("kept"))
+    return x.where(~suspect).select(*out, (~F.col("base_failed")).alias("kept")).unionByName(judged)

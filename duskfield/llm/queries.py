@@ -43,8 +43,9 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """See ``host_quality``: counts, base rules and the verdict that the document's host has a part in."""
-    got = host_quality(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    got = host_quality(table(spark, sf_dir, "documents"), rates=True)
+    rates = [F.round(c, 6).alias(c) for c in got.columns if c.startswith("rate_")]
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_docs", *rates, "host_bad")
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(3).alias("n_phone"),
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.concat("base", "more")).alias("spans"),
+        F.size("more").cast("long").alias("n_secret"),
+        (F.size("base") + F.size("more")).cast("long").alias("n_spans"),
     )
 
 
@@ -131,10 +134,13 @@ long as (select source, u.r as r, u.v as v from r, lateral (select unnest([1, 2,
 hosts as (select source, r, count(*) * 1.0E0 as n, sum(v::int) * 1.0E0 as x from long group by source, r),
 mom as (select r, sum(n) as n, count(*) as k, sum(x) / sum(n) as m, sum(x * x / n) / sum(n) as sq from hosts group by r),
 pri as (select r, m, case when greatest(sq - m * m, 0) - m * (1 - m) * k / n > 1e-12 then least(greatest(m * (1 - m) / (greatest(sq - m * m, 0) - m * (1 - m) * k / n) - 1, 1), 1000) else 1000 end as s from mom),
-bad as (select source, max((x + m * s) / (n + s)) > 0.5E0 as bad from hosts join pri using (r) group by source)
+post as (select source, r, n, m, s, (x + m * s) / (n + s) as rate from hosts join pri using (r)),
+bad as (select source, cast(max(n) as bigint) as host_docs, max(rate - 2 * sqrt(rate * (1 - rate) / (n + s + 1)) - least(0.5E0, m + 2 * sqrt(m * (1 - m) / (s + 1)))) > 0 as host_bad,
+  round(max(case when r = 1 then rate end), 6) as rate_short, round(max(case when r = 2 then rate end), 6) as rate_repeats, round(max(case when r = 3 then rate end), 6) as rate_symbols, round(max(case when r = 4 then rate end), 6) as rate_word_length, round(max(case when r = 5 then rate end), 6) as rate_dup_lines
+  from post group by source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1 or f2) as base_failed,
-  not (f1 or f2) and not (coalesce(bad, false) and (f1 or f2 or f3 or f4 or f5)) as kept
-from r left join bad on r.source is not distinct from bad.source
+  not (f1 or f2) and not (host_bad and (f1 or f2 or f3 or f4 or f5)) as kept, host_docs, rate_short, rate_repeats, rate_symbols, rate_word_length, rate_dup_lines, host_bad
+from r join bad on r.source is not distinct from bad.source
 """
 
 OP10_SQL = r"""
