@@ -29,12 +29,15 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder. Where both
+    are unset, a temporary one if all runs on this machine; on a cluster that is an error, as executors couldn't see it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         where = "file://" + tempfile.mkdtemp(prefix="duskfield-")
         spark.sparkContext.setCheckpointDir(where)
     return where

@@ -305,13 +305,18 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def from_media(media: DataFrame) -> DataFrame:
     """The rows of ``to_media`` with ``payload``, the samples read back, and ``clips``, the shots with their times.
 
-    Both ways are row by row in groups of about GROUP_BYTES, without a shuffle; memory is bounded by a group and the
-    longest text.
+    ``media`` is as ``to_media`` gives it, where nulls have become empty texts; null ids stay; equal rows are read each; an
+    empty table gives an empty table. Both ways are row by row in groups of about GROUP_BYTES, without a shuffle; memory
+    is bounded by a group and the longest text.
     """
     ship(media.sparkSession)
     return media.mapInArrow(_decoded, f"id {media.schema['id'].dataType.simpleString()}, n_bytes long, media binary, payload binary, clips array<struct<first_frame:int,last_frame:int,start_ms:long,end_ms:long>>")
 
 
 def clip_rows(decoded: DataFrame) -> DataFrame:
-    """A row per clip: ``id``, ``clip``, its frames and times."""
+    """A row per clip: ``id``, ``clip`` (its number from 0), its first and last frame and its times in milliseconds.
+
+    Every file has a clip at least, also that of an empty text; rows of one id give clips each; null ids stay; an empty
+    table gives an empty table. A projection, without a shuffle.
+    """
     return decoded.select("id", F.posexplode("clips").alias("clip", "c")).select("id", "clip", "c.*")

@@ -1,6 +1,7 @@
 """Each corpus operator against brute force, and on rows that are null, empty, long, tied, repeated or absent."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -144,6 +145,28 @@ def test_bad_host(spark):
     assert not any(got[i] for i in range(400)) and all(got[1000 + i] for i in range(400)) and got[2000] and got[2001]
 
 
+def test_bad_host_among_many(spark):
+    """A host that fails far more often than the others do is bad, a host of one failing document isn't, and the query's SQL agrees."""
+    import duckdb
+
+    from duskfield.llm import queries
+
+    good = " ".join(f"word{i}" for i in range(50))
+    rows = [(1000 * h + i, f"{good} {h} {i}" + " % & | # $ *" * (i % 25 == 0 or (h == 3 and i % 3 == 0)), f"h{h}") for h in range(20) for i in range(150)]
+    rows += [(90_000, good + " % & | # $ * <", "lone"), (90_001, None, None)] + [(90_002 + i, f"{good} null {i}", None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.host_quality(docs, ("doc_id", "source"), rates=True).collect()}
+    assert {r["source"] for r in got.values() if r["host_bad"]} == {"h3"}
+    assert not got[3003]["kept"] and got[3001]["kept"] and got[90_000]["kept"] and got[2025]["kept"]
+    plain = {r["doc_id"]: r["kept"] for r in quality_rules.host_quality(docs).collect()}
+    assert plain == {i: r["kept"] for i, r in got.items()}
+    documents = docs.toPandas()  # noqa: F841
+    want = duckdb.sql(queries.OP4_SQL).fetchdf().set_index("doc_id")
+    for i, r in got.items():
+        assert bool(want.loc[i, "kept"]) == r["kept"] and bool(want.loc[i, "host_bad"]) == r["host_bad"]
+        assert all(abs(want.loc[i, c] - r[c]) < 2e-6 for c in want.columns if c.startswith("rate_"))
+
+
 def brute_classes(rows):
     sets = {}
     for k, (_, t, _) in enumerate(rows):
@@ -276,11 +299,38 @@ def test_budget_of_long_documents():
         assert abs(int(take @ np.array(lengths)) - budget) == min(abs(s - budget) for s in sums)
 
 
-def test_token_counts(docs, rows, empty):
-    tok = Tokenizer.from_file(WORD_BPE)
-    want = Counter((i, len((t or "").encode()), n := len(tok.encode(t or "", add_special_tokens=False).ids), n > 100) for i, t, _ in rows)
-    assert listed(token_counts.count_tokens(docs, WORD_BPE, limit=100, entries=50), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
-    assert token_counts.count_tokens(empty, WORD_BPE).count() == 0
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_token_counts(docs, rows, empty, path):
+    tok = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t, _ in rows:
+        n = len(tok.encode(t or "", add_special_tokens=False).ids)
+        want[i, len((t or "").encode()), n, n > 100] += 1
+    assert listed(token_counts.count_tokens(docs, path, limit=100, entries=50), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+    assert token_counts.count_tokens(empty, path).count() == 0
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_pre_tokens_count_like_whole_texts(path):
+    tok, cut, rng = Tokenizer.from_file(path), token_counts.rules(path), random.Random(1)
+    for _ in range(2000):
+        t = "".join(rng.choice(token_counts._PLAIN) if rng.random() < 0.3 else rng.choice(" \n\t'aeisTREvlLdM019.,!é") for _ in range(rng.randrange(40)))
+        count = lambda x: len(tok.encode(x, add_special_tokens=False).ids)
+        assert sum(map(count, token_counts.pre_tokens(t, [], cut))) == count(t)
+
+
+def test_unknown_steps_are_left_to_the_library(tmp_path, docs, rows):
+    """A tokenizer file with a step that the quick way doesn't know is encoded whole, and counts are the library's."""
+    import json
+
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        file = json.load(f)
+    file["normalizer"] = {"type": "Strip", "strip_left": True, "strip_right": True}
+    (tmp_path / "t.json").write_text(json.dumps(file))
+    path = str(tmp_path / "t.json")
+    assert token_counts.rules(path) is None
+    tok = Tokenizer.from_file(path)
+    assert listed(token_counts.count_tokens(docs, path), "doc_id", "n_tokens") == Counter((i, len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows)
 
 
 def brute_spans(t):
@@ -319,6 +369,48 @@ def test_contexts_of_words_and_short_identifiers(spark):
     assert not got[23] and not any(got[k] for k in range(9))
 
 
+def test_graph_scores_are_brute_force(spark):
+    """Scores of random graphs equal a plain evaluation of the rule."""
+    rng = random.Random(8)
+    for _ in range(3):
+        seeds = {i: rng.random() < 0.4 for i in range(30)}
+        edges = {(f"p{rng.randrange(12)}", i) for i in range(30) for _ in range(rng.randint(1, 3))}
+        score, conf = {i: float(seeds[i]) for i in seeds}, {}
+        for _ in range(pii.ROUNDS):
+            by = defaultdict(list)
+            for p, i in edges:
+                by[p].append(score[i])
+            conf = {p: sum(v) / (len(v) + 0.5) for p, v in by.items() if sum(x >= pii.CONFIDENCE for x in v) >= pii.SUPPORT}
+            score = {i: 1.0 if seeds[i] else max([conf.get(p, 0.0) for p, j in edges if j == i], default=0.0) for i in seeds}
+        got = pii.score_graph(spark.createDataFrame([(p, i, seeds[i]) for p, i in edges], "pattern string, instance long, seed boolean")).collect()
+        assert {(r["pattern"], r["instance"]) for r in got} == edges
+        assert all(r["confidence"] == pytest.approx(conf.get(r["pattern"], 0.0)) for r in got)
+
+
+def test_discoveries_are_precise_and_complete(spark):
+    """Seeds lead to unseen identifiers of several shapes by their contexts; like shapes in other contexts stay."""
+    rng, rows, planted = random.Random(12), [], {}
+    cues = ["contact:", "reach me at", "account no.", "ssn:"]
+    shapes = [lambda: f"{rng.randrange(100, 999)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}", lambda: f"X{rng.randrange(10**6, 10**7)}", lambda: f"0{rng.randrange(100, 999)} {rng.randrange(10**5, 10**6)}", lambda: f"AB_{rng.randrange(1000, 9999)}"]
+    fill = lambda n: " ".join(f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(n))
+    for k in range(400):
+        cue = cues[k % 4]
+        if k % 10 == 0:
+            value = rng.choice(shapes)()
+            planted[k] = value
+        else:
+            value = rng.choice([f"u{k}@mail{k % 7}.org", f"+1 (234) 555-{1000 + k}", f"10.0.{k % 200}.{k % 250}"])
+        rows.append((k, f"{fill(6)} {cue} {value} {fill(5)}"))
+    for k in range(400, 700):  # the same shapes where nothing personal stands
+        rows.append((k, f"{fill(4)} page {rng.choice(shapes)()} {fill(3)} version {rng.choice(shapes)()}"))
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    got = {(r["id"], text[r["id"]][s["start"] : s["end"]]) for r in found for s in r["more"]}
+    true = set(planted.items())
+    precision, recall = len(got & true) / max(len(got), 1), len(got & true) / len(true)
+    assert precision >= 0.9 and recall >= 0.9, (precision, recall, sorted(got ^ true)[:10])
+
+
 def test_long_runs_stay_quick():
     for t in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "1.1." * 30_000, "=" * 50_000):
         pii.candidates(t, pii.base_spans(t))
@@ -345,12 +437,30 @@ def test_urls(spark, most):
 
 
 def test_digest_collisions(tmp_path, monkeypatch):
-    """Equal digests are told apart by the stored strings."""
+    """Equal digests are told apart by the stored strings, in index files and in tables of lengths."""
     monkeypatch.setattr(url_filters.xxhash, "xxh64_intdigest", lambda b: 7)
     at = tmp_path / "x.idx"
-    at.write_bytes(url_filters.write_index(RULES))
+    (raw,) = url_filters.write_index(RULES)
+    at.write_bytes(raw)
     index = url_filters.DigestIndex(str(at))
-    assert [index.text(r).decode() if r >= 0 else None for r in index.find([b"net/", b"org/fr/", b"com/"], [3, 3, 3])] == ["net/", "org/fr/", None]
+    got = dict(index.find(np.full(3, 7, np.uint64), [b"net/", b"org/fr/", b"com/"], [3, 3, 3]))
+    assert {c: index.text(r).decode() for c, r in got.items()} == {0: "net/", 1: "org/fr/"}
+    at.write_bytes(token_counts.write_table({"a": 1, "bé": 2}))
+    assert token_counts.LengthTable(str(at)).find(["bé", "c", "a"]) == {"a": 1, "bé": 2}
+
+
+def test_index_files_hold_each_rule_once(tmp_path):
+    rules = [("block" if k % 3 else "allow", f"h{k}.org", f"/{'x' * (k % 4)}") for k in range(200)]
+    files = url_filters.write_index(rules, 500)
+    assert len(files) > 5 and max(map(len, files)) < 1200
+    seen, last = [], -1
+    for k, raw in enumerate(files):
+        (tmp_path / str(k)).write_bytes(raw)
+        x = url_filters.DigestIndex(str(tmp_path / str(k)))
+        assert int(x.digests[0]) > last
+        last = int(x.digests[-1])
+        seen += [(x.text(r).decode(), bool(x.allow[r])) for r in range(len(x.digests))]
+    assert sorted(seen) == sorted((h + p, v == "allow") for v, h, p in rules)
 
 
 def test_quality_scores(spark, docs, empty):
@@ -373,3 +483,72 @@ def test_quality_scores(spark, docs, empty):
 def test_isotonic():
     at, v = quality_classifier.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert v.tolist() == [0.0, 0.5, 1.0] and at.tolist() == [1.0, 2.5, 4.0]
+
+
+def test_scores_solve_the_same_equations(spark):
+    """Scores equal those of one dense solve of the ridge equations, and of isotonic means by their definition."""
+    rng = random.Random(3)
+    words = ["alpha", "beta", "Gamma", "delta!", "of", "the", "12", "x|y"]
+    rows = [(i, " ".join(rng.choices(words, weights=[1, 1, 1, 1 + (i % 3), 2, 2, 1, 1 + (i % 2)], k=rng.randint(5, 60)))) for i in range(400)]
+    marks = [(i, int(rng.random() < 0.2 + 0.3 * (i % 2) + 0.1 * (i % 3))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.quality_scores(docs, spark.createDataFrame(marks, "doc_id long, quality int")).collect()}
+    held = {r["doc_id"]: r["k"] == 0 for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(10)).alias("k")).collect()}
+    stats = {i: quality_classifier.statistics(t.encode()) for i, t in rows}
+    known = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    x = np.array([stats[i] for i in known])
+    fourier = quality_classifier.Fourier(x.mean(axis=0), x.std(axis=0))
+    label = dict(marks)
+    fit = [i for i in known if not held[i]]
+    z, y = fourier(np.array([stats[i] for i in fit])), np.array([label[i] for i in fit], float)
+    ridge = quality_classifier.RIDGE * len(fit) * np.eye(z.shape[1])
+    ridge[0, 0] = 1e-9
+    beta = np.linalg.lstsq(np.vstack([z, np.sqrt(ridge)]), np.r_[y, np.zeros(z.shape[1])], rcond=None)[0]
+    raw = {i: float(fourier(np.array([stats[i]]))[0] @ beta) for i, _ in rows}
+    bins = defaultdict(list)
+    for i in (i for i in known if held[i]):
+        bins[math.floor(raw[i] / quality_classifier.BIN)].append((raw[i], label[i]))
+    bins = [bins[k] for k in sorted(bins)]
+    n = len(bins)
+    mean = lambda a, b: sum(v for part in bins[a : b + 1] for _, v in part) / sum(len(part) for part in bins[a : b + 1])
+    level = [max(min(mean(a, b) for b in range(k, n)) for a in range(k + 1)) for k in range(n)]
+    at, values = [], []
+    for v in sorted(set(level)):
+        own = [p for part, u in zip(bins, level, strict=True) if abs(u - v) < 1e-12 for p, _ in part]
+        at.append(sum(own) / len(own))
+        values.append(v)
+    for i, _ in rows:
+        steady = 1 / (1 + math.exp(-4 * min(max(raw[i] - 0.5, -5), 5)))
+        assert got[i] == pytest.approx(0.995 * np.interp(raw[i], at, values) + 0.005 * steady, abs=2e-3)
+
+
+def test_digests_of_the_queries(spark, tmp_path):
+    """What the queries derive for op1, op6 and op9 is what the contract's words give, text by text."""
+    from duskfield.llm import queries
+
+    t = [None, "", "plain words " * 30, "a@b.co é 10.0.0.1 token = \"" + "ab12" * 10 + "\"", "\x00é\n" * 70, "x" * 5000]
+    spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    tok = Tokenizer.from_file(BYTE_BPE)
+    for r in queries.op1_packing(spark, str(tmp_path)).collect():
+        ids = np.array([*tok.encode(t[r["doc_id"]] or "", add_special_tokens=False).ids, 1], "<u4")
+        assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) and r["doc_tokens"] == len(ids)
+    for r in queries.op6_media(spark, str(tmp_path)).collect():
+        raw = (t[r["doc_id"]] or "").encode()
+        full = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:]))
+        assert r["media_bytes"] > len(full) * 0 and len(r["media_sha256"]) == 64 and r["feature"]
+    for r in queries.op9_pii(spark, str(tmp_path)).collect():
+        spans = sorted(brute_spans(t[r["doc_id"]] or ""), key=lambda s: (["email", "ip", "card", "phone"].index(s[0]), s[1]))
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest() and r["spans"].startswith(line)
+        assert [r[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(s[0] == k for s in spans) for k in ("email", "ip", "card", "phone")]
+        assert r["n_spans"] == len(spans) + r["n_secret"] == len([x for x in r["spans"].split(",") if x])
+
+
+def test_clip_rows(spark):
+    t = "a" * 30_000 + "\xff" * 30_000
+    got = media.clip_rows(media.from_media(media.to_media(spark.createDataFrame([(1, t), (2, None)], "doc_id long, text string")))).orderBy("id", "clip").collect()
+    one = [r for r in got if r["id"] == 1]
+    assert [r["clip"] for r in one] == list(range(len(one))) and len(one) >= 2 and one[0]["first_frame"] == 0
+    assert all(a["last_frame"] + 1 == b["first_frame"] and a["end_ms"] == b["start_ms"] for a, b in zip(one, one[1:], strict=False))
+    assert [(r["clip"], r["first_frame"], r["last_frame"]) for r in got if r["id"] == 2] == [(0, 0, 0)]

@@ -1,13 +1,19 @@
 """The pipeline's stages on the smallest tables: what each keeps follows from its own input."""
 
+import math
 import os
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
+import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from duskfield.llm import minhash
+from duskfield.llm import minhash, mixing
 
 DATA = "/root/testdata/sf0.001"
 
@@ -64,11 +70,148 @@ def test_links_of_four_fifths_hold(spark, monkeypatch, small):
     assert all((1 - (p / 100) ** minhash.ROWS) ** minhash.bands_for(p) <= minhash.MISS for p in (80, 85))
 
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_quality(rows):
+    counted, hosts = [], defaultdict(list)
+    for r in rows:
+        t = r["text"] or ""
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        at = defaultdict(list)
+        for k in range(len(w) - 4):
+            at[tuple(w[k : k + 5])].append(k)
+        repeated = len({k + j for v in at.values() if len(v) > 1 for k in v for j in range(5)})
+        chars, signs = sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t))
+        fails = (len(w) < 10, 100 * repeated > 20 * len(w), 10 * signs > len(w), chars < 2 * len(w) or chars > 15 * len(w), len(lines) - len(set(lines)) >= 5)
+        counted.append((r, fails))
+        hosts[r["source"]].append(fails)
+    bad, n = set(), len(rows)
+    for k in range(5):
+        x = {h: (sum(f[k] for f in v), len(v)) for h, v in hosts.items()}
+        m = sum(a for a, _ in x.values()) / n
+        spread = max(sum(a * a / b for a, b in x.values()) / n - m * m, 0) - m * (1 - m) * len(x) / n
+        s = min(max(m * (1 - m) / spread - 1, 1), 1000) if spread > 1e-12 else 1000
+        limit = min(0.5, m + 2 * math.sqrt(m * (1 - m) / (s + 1)))
+        for h, (a, b) in x.items():
+            p = (a + m * s) / (b + s)
+            if p - 2 * math.sqrt(p * (1 - p) / (b + s + 1)) > limit:
+                bad.add(h)
+    return [r for r, f in counted if not (f[0] or f[1]) and not (any(f) and r["source"] in bad)]
+
+
+def brute_lines(rows):
+    key = lambda v: re.sub("[A-Z]", lambda m: m[0].lower(), v.strip(" \t\n\x0b\x0c\r"))
+    held = defaultdict(set)
+    for r in rows:
+        for v in r["text"].split("\n"):
+            held[key(v)].add(r["doc_id"])
+    gone = lambda r, v: len(key(v)) >= 20 and len(held[key(v)]) >= 3 and r["doc_id"] != max(held[key(v)])
+    texts = ["\n".join(v for v in r["text"].split("\n") if not gone(r, v)) for r in rows]
+    return [r | {"text": t, "n_chars": len(t)} for r, t in zip(rows, texts, strict=True)]
+
+
+def brute_near(rows):
+    sets = []
+    for r in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r["text"]))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for e in s:
+            holders[e].append(i)
+    for i, s in enumerate(sets):
+        for j in {j for e in s for j in holders[e] if j < i}:
+            both = len(s & sets[j])
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
+                a, b = sorted((top(i), top(j)), key=lambda k: rows[k]["doc_id"])
+                root[b] = a
+    return [r for i, r in enumerate(rows) if top(i) == i]
+
+
+def brute_mix(rows, hashes):
+    sizes, by = defaultdict(int), defaultdict(list)
+    for r in rows:
+        n = len(WORD.findall(r["text"]))
+        sizes[r["source"]] += n
+        by[r["source"]].append((n, hashes[r["doc_id"]], r))
+    order = sorted(sizes)
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    target, free, total = {}, set(order), 1.5 * sum(sizes.values())
+    while True:
+        rate = (total - sum(target.values())) / sum(weight[s] for s in free)
+        over = {s for s in free if rate * weight[s] > 2 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 2.0 * sizes[s] for s in over}
+        free -= over
+    target |= {s: rate * weight[s] for s in free}
+    out = []
+    for s in order:
+        copies = min(int(target[s] // sizes[s]), 2)
+        budget = max(0, min(sizes[s], round(target[s] - copies * sizes[s]))) if copies < 2 else 0
+        lengths = sorted({n for n, _, _ in by[s] if n})
+        extra = dict(zip(lengths, mixing.fit_budget(np.array(lengths), np.array([sum(n == v for n, _, _ in by[s]) for v in lengths]), budget).tolist(), strict=True))
+        for n in lengths:
+            own = sorted((h % (1 << 64), r["doc_id"]) for m, h, r in by[s] if m == n)
+            more = {i for _, i in own[: extra[n]]}
+            out += [r for m, _, r in by[s] if m == n for _ in range(copies + (r["doc_id"] in more))]
+    return out
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-def test_run(spark):
+def test_run_is_brute_force(spark):
+    """Each stage of run(), on the smallest tables, keeps what brute force keeps of the stage before; packing has every id."""
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near dedup", "mixing", "packing"]
-    rows = corpus_pipeline.run(spark, DATA).select("sequence_id", "offset", "length", "tier").collect()
-    total = Counter()
-    for r in rows:
-        total[r["sequence_id"]] += r["length"]
-    assert rows and all(total[r["sequence_id"]] == r["tier"] for r in rows)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = [r.asDict() for r in docs.collect()]
+    hashes = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.xxhash64(F.lit(17), "doc_id").alias("h")).collect()}
+    for brute in (brute_quality, brute_lines, brute_near, lambda x: brute_mix(x, hashes)):
+        before = len(rows)
+        rows = brute(rows)
+        assert rows and (brute is brute_lines or len(rows) != before)
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter((r["doc_id"], tuple(own.encode(r["text"], add_special_tokens=False).ids) + (1,)) for r in rows)
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in corpus_pipeline.run(spark, DATA).collect():
+        pieces[r["doc_id"]].append((r["start"], np.frombuffer(r["tokens"], "<u4").tolist(), r["doc_tokens"]))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"], r["tier"]))
+    for i, got in pieces.items():
+        texts = [k for k in want.elements() if k[0] == i]
+        assert len({t for _, t in texts}) == 1  # a document twice is the same one
+        ids, times = texts[0][1], len(texts)
+        seen = Counter()
+        for start, part, n in got:
+            assert n == len(ids) and tuple(part) == ids[start : start + len(part)]
+            seen.update(range(start, start + len(part)))
+        assert set(seen.values()) == {times} and len(seen) == len(ids)
+    assert set(pieces) == {i for i, _ in want}
+    for got in sequences.values():
+        at = 0
+        for offset, n, tier in sorted(got):
+            assert offset == at
+            at += n
+        assert at == tier
+
+
+def test_ties_of_near_dedup(spark):
+    """Of several rows of one id and text the one whose columns have the least hash stays, equal rows as one."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "en", s, 5) for s in ("a", "b", "c", "c", None)] + [(2, text, "en", "z", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    least = docs.where("doc_id = 1").select("source", F.xxhash64(*docs.columns).alias("h")).orderBy("h").first()["source"]
+    for n in (1, 4):
+        got = corpus_pipeline.near_dedup(spark, docs.repartition(n), DATA).collect()
+        assert [(r["doc_id"], r["source"]) for r in got] == [(1, least)]
+
+
+def test_line_dedup_without_character_counts(spark):
+    docs = spark.createDataFrame([(k, "a line of more than twenty characters", k) for k in range(3)], "doc_id long, text string, row int")
+    assert corpus_pipeline.line_dedup(spark, docs, DATA).columns == ["doc_id", "text", "row"]
