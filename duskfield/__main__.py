@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import identity as ident
 from .plans import viewer
-from .plans.pipeline import CatalogVotes, supernova_chain
+from .plans.pipeline import STRATEGIES, DifferenceCandidates, supernova_chain
 from .sources.config import Settings
 
 
@@ -24,7 +24,9 @@ def parser() -> argparse.ArgumentParser:
     sub = top.add_subparsers(dest="plan", required=True)
     v = sub.add_parser("votes", help="votes of catalogues over exposures, with light curves")
     v.add_argument("--detections", required=True)
-    v.add_argument("--catalog", action="append", required=True, metavar="NAME=PATH", help="stars: sx, sy, star_mag")
+    v.add_argument("--catalog", action="append", default=[], metavar="NAME=PATH", help="stars: sx, sy, star_mag")
+    v.add_argument("--strategy", choices=sorted(STRATEGIES), help="subtraction: the detections are of difference images")
+    v.add_argument("--template", default="unknown", help="what difference images were made with")
     v.add_argument("--movers", help="epoch_id, mra, mdec")
     v.add_argument("--variables", help="vra, vdec")
     v.add_argument("--frame", nargs=2, type=float, metavar=("WIDTH", "HEIGHT"))
@@ -52,14 +54,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.plan == "votes":
         given = {"min_catalogs_fraction": a.min_catalogs, "min_n_detections": a.min_found, "siglim": a.siglim}
         settings = replace(settings, **{k: v for k, v in given.items() if v is not None})
-        catalogs = {name: read(path) for name, _, path in (c.partition("=") for c in a.catalog)}
-        plan = CatalogVotes(catalogs, settings, movers=read(a.movers), variables=read(a.variables), frame=tuple(a.frame) if a.frame else None, edge=a.edge)
+        how = {"movers": read(a.movers), "variables": read(a.variables), "frame": tuple(a.frame) if a.frame else None, "edge": a.edge}
+        kind = STRATEGIES[a.strategy or settings.strategy]
+        if kind is DifferenceCandidates:
+            plan = kind(settings, a.template, **how)
+        else:
+            plan = kind({name: read(path) for name, _, path in (c.partition("=") for c in a.catalog)}, settings, **how)
         rows, points = plan.run(read(a.detections))
         points = points.join(rows.select("gid", "transient_id"), "gid")
         viewer.save_results(rows, points, a.output, settings.max_candidates)
         viewer.nested_json(rows, points, settings.max_candidates).select("value").write.mode("overwrite").text(f"{a.output}/candidates_json")
     else:
-        rows = supernova_chain(read(a.candidates), read(a.movers), read(a.stars), read(a.galaxies), read(a.known), [tuple(t) for t in a.target], a.years, a.within)
+        rows = supernova_chain(read(a.candidates), read(a.movers), read(a.stars), read(a.galaxies), read(a.known), [tuple(t) for t in a.target], a.years, a.within, settings)
         rows = rows.withColumn("transient_id", ident.position_id(F.col("ra"), F.col("dec"), "sn"))
         rows.write.mode("overwrite").parquet(f"{a.output}/candidates")
         viewer.report_rows(rows).select("report").write.mode("overwrite").text(f"{a.output}/report_lines")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -101,13 +101,69 @@ class CatalogVotes:
         return rows.orderBy(F.desc("quality_score"), "transient_id"), points
 
 
-def supernova_chain(cands: DataFrame, movers: DataFrame, stars: DataFrame, galaxies: DataFrame, known: DataFrame, targets: list[tuple[float, float]], years: float, cut_degrees: float = 4.0) -> DataFrame:
+class DifferenceCandidates(CatalogVotes):
+    """The same over difference images: what is significant there is new, whatever catalogues have, and one table votes.
+
+    ``det``: difference detections with calibrated mag and err, ellipticity and fwhm; rows with a true ``dipole`` column are
+    residuals of bad subtraction and go. ``provenance`` names the template and stands for the catalogue.
+    """
+
+    def __init__(self, settings: Settings | None = None, provenance: str = "unknown", **how):
+        super().__init__({provenance: None}, settings, **how)
+
+    def proposals(self, det: DataFrame) -> DataFrame:
+        s = self.settings
+        x = det.where(~F.coalesce("dipole", F.lit(False))) if "dipole" in det.columns else det
+        if self.frame:
+            x = x.where(features.inside_frame(F.col("x"), F.col("y"), *self.frame, self.edge))
+        x = features.difference_features(x.where(features.passes(F.col("err"), s.new_source_siglim or s.siglim)))
+        x = x.withColumns({"candidate_type": F.lit("new"), "magnitude_difference": F.lit(None).cast("double")})
+        score = features.base_score({"fwhm_ratio", "axis_ratio", "snr_auto", "flags", "mag", "maglim", "candidate_type"} & set(x.columns), s.weights)
+        (name,) = self.catalogs
+        x = x.withColumns({"quality": score, "catalog": F.lit(name), "cand_id": F.col("det_id")})
+        x = x.where(~F.isnan("quality") & (F.col("quality") >= s.min_quality))
+        if self.movers is not None and s.vsx_filter_enabled:
+            x = spatial.radius_anti(x, self.movers, s.vsx_match_radius_arcsec, system="sky", right_on=("mra", "mdec"), by=("epoch_id",), strict=True)
+        size = F.col("a") if "a" in x.columns else F.lit(None).cast("double")
+        r = features.cluster_radius(F.col("fwhm"), size, F.col("snr_auto"), s.adaptive_nsigma, self.scale)
+        return written(x.withColumn("r", r), "proposed")
+
+
+#: The strategies by their names in the settings.
+STRATEGIES: dict[str, type[CatalogVotes]] = {"blind_multicatalog": CatalogVotes, "subtraction": DifferenceCandidates}
+
+
+def stack_plan(frames: DataFrame, scores: DataFrame, done: DataFrame, settings: Settings | None = None, group: str = "field") -> DataFrame:
+    """(group, epoch_id) of the frames to be stacked now: of each group that has enough exposures, enough new ones since its
+    last stack, and no candidate that is good already, the latest of one filter and exposure time.
+
+    ``frames``: group, epoch_id, filter, exptime, obs_time; ``scores``: group, score; ``done``: group, n (exposures in the
+    last stack).
+    """
+    s = settings or Settings()
+    if not s.stacking_enabled:
+        return frames.select(group, "epoch_id").where("false")
+    x = frames.where("filter is not null and exptime is not null").withColumn("secs", F.bround("exptime", 1))
+    n = frames.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    best = scores.groupBy(group).agg(F.max("score").alias("_best"))
+    due = n.join(best, group, "left").join(done.select(group, F.col("n").alias("_done")), group, "left")
+    fresh = F.col("_done").isNull() | (F.col("_n") - F.col("_done") >= s.stacking_rebuild_interval)
+    due = due.where((F.col("_n") >= s.stacking_min_epochs) & fresh & ~(F.coalesce("_best", F.lit(0.0)) >= s.stacking_score_threshold)).select(group)
+    sets = x.join(due, group, "left_semi").groupBy(group, "filter", "secs").agg(F.count(F.lit(1)).alias("_k"))
+    top = sets.groupBy(group).agg(F.min(F.struct((-F.col("_k")).alias("k"), "filter", "secs")).alias("t")).select(group, "t.filter", "t.secs")
+    latest = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("obs_time"), "epoch_id"))
+    return x.join(top, [group, "filter", "secs"]).withColumn("_r", latest).where(F.col("_r") <= s.stacking_max_epochs).select(group, "epoch_id")
+
+
+def supernova_chain(cands: DataFrame, movers: DataFrame, stars: DataFrame, galaxies: DataFrame, known: DataFrame, targets: list[tuple[float, float]], years: float, cut_degrees: float = 4.0, settings: Settings | None = None) -> DataFrame:
     """Shape and magnitude filters, then movers, fast stars, host galaxies, known transients, targets and the score.
 
     ``cands``: key det_id, epoch_id, ra, dec, mag, maglim, ellipticity, fwhm_ratio, axis_ratio, candidate_type, quality;
     ``movers``: epoch_id, mra, mdec; ``stars``: sra, sdec, pmra, pmdec; ``galaxies``: gal_id, gra, gdec; ``known``: name, kra, kdec.
     """
-    x = cands.where(features.good_shape(F.col("ellipticity"), F.col("fwhm_ratio")) & features.good_magnitude(F.col("mag"), F.col("maglim")))
+    s = settings or Settings()
+    shape = features.good_shape(F.col("ellipticity"), F.col("fwhm_ratio"), s.morphology_max_ellipticity, s.morphology_fwhm_ratio_min, s.morphology_fwhm_ratio_max)
+    x = cands.where(shape & features.good_magnitude(F.col("mag"), F.col("maglim")))
     x = spatial.radius_anti(x, movers, 10.0, system="sky", right_on=("mra", "mdec"), by=("epoch_id",))
     fast = stars.where(F.sqrt(F.pow("pmra", 2) + F.pow("pmdec", 2)) >= 20)
     ra, dec = geo.moved(F.col("sra"), F.col("sdec"), F.col("pmra"), F.col("pmdec"), years)

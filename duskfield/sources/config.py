@@ -45,22 +45,15 @@ class Settings:
     vsx_filter_enabled: bool = True
     vsx_match_radius_arcsec: float = 2.5
     max_candidates: int = 100
-    max_cutouts_per_candidate: int = 20
-    max_workers: int = 4
     strategy: str = "blind_multicatalog"
-    template_source: str = "ps1"
-    subtraction_engine: str = "hotpants"
     morphology_max_ellipticity: float = 0.4
     morphology_fwhm_ratio_min: float = 0.5
     morphology_fwhm_ratio_max: float = 2.0
-    dipole_reject_radius_arcsec: float = 3.0
-    dipole_reject_flux_ratio: float = 0.5
     stacking_enabled: bool = True
     stacking_min_epochs: int = 10
     stacking_max_epochs: int = 20
     stacking_rebuild_interval: int = 5
     stacking_score_threshold: float = 1.0
-    max_age_days: float = 30.0
 
     @property
     def weights(self) -> dict[str, float]:

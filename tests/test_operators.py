@@ -476,3 +476,31 @@ def test_catalog_votes_are_brute_force(spark, seed):
     want = brute_catalog_votes(rows, catalogs, bodies, variables, s, (360.0, 2000.0), 0.3)
     assert len(want) > 8 and {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
     assert all(got[i][2] == pytest.approx(want[i][2], rel=1e-6) for i in want)
+
+
+def test_difference_candidates(spark):
+    """Steady sources of difference images become candidates with the template's name; dipoles and faint ones don't."""
+    g, rows, k = random.Random(5), [], 0
+    for e in range(5):
+        for i, (err, dipole) in enumerate([(0.02, False), (0.02, True), (0.9, False), (0.05, None)]):
+            rows.append((k, e, 3600.0 * e, 10 + 0.01 * i + g.gauss(0, 0.02) / 3600, 20.0, 100.0 * i + 50, 60.0, 17 + 0.4 * (e % 2), err, 3.0 + 0.1 * i, 0.1, 30.0, 1.5, 1.4, 0, 20.0, dipole))
+            k += 1
+    det = spark.createDataFrame(rows, "det_id long, epoch_id int, obs_time double, ra double, dec double, x double, y double, mag double, err double, fwhm double, ellipticity double, theta double, a double, b double, flags int, maglim double, dipole boolean")
+    plan = pipeline.STRATEGIES["subtraction"](pipeline.Settings(min_quality=0.001), "ps1_template")
+    assert {r["catalog"] for r in plan.proposals(det).select("catalog").distinct().collect()} == {"ps1_template"}
+    got, points = plan.run(det)
+    assert sorted(r["det_id"] % 4 for r in got.collect()) == [0, 3] and {r["candidate_type"] for r in got.collect()} == {"new"}
+    assert points.where("epoch_id = 2").count() == 2
+
+
+def test_stack_plan(spark):
+    frames = [("a", i, "r" if i % 3 else "g", 30.0 if i % 4 else 60.04, float(i)) for i in range(30)] + [("b", 100 + i, "r", 10.0, float(i)) for i in range(9)]
+    frames += [(f, 200 + 50 * k + i, "r", 10.0, float(i)) for k, f in enumerate("cde") for i in range(12)] + [("a", 99, None, 30.0, 99.0)]
+    x = spark.createDataFrame(frames, "field string, epoch_id long, filter string, exptime double, obs_time double")
+    scores = spark.createDataFrame([("c", 1.2), ("a", 0.3)], "field string, score double")
+    done = spark.createDataFrame([("d", 9), ("e", 7)], "field string, n long")
+    got = pipeline.stack_plan(x, scores, done, pipeline.Settings(stacking_max_epochs=4)).collect()
+    want = sorted((f for f in frames if f[0] == "a" and f[2] == "r" and f[3] == 30.0), key=lambda f: -f[4])[:4]
+    assert {r["epoch_id"] for r in got if r["field"] == "a"} == {f[1] for f in want}
+    assert {r["field"] for r in got} == {"a", "e"} and sum(r["field"] == "e" for r in got) == 4
+    assert pipeline.stack_plan(x, scores, done, pipeline.Settings(stacking_enabled=False)).count() == 0
