@@ -30,6 +30,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     top = shared_dir(spark)
     path = f"{top.rstrip('/')}/duskfield-{uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at.getParent())
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at.getParent())
-    return spark.read.schema(df.schema).parquet(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` gave and that nothing will read again: all that came of them is written itself."""
+    for t in tables:
+        fs, at = _file_system(t.sparkSession, t._written_at)
+        fs.delete(at.getParent(), True)

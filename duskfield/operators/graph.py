@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tables import written
+from ..functions.tables import dropped, written
 from .spatial import self_pairs
 
 
@@ -34,8 +34,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "det_id"
         else:
             reps = written(reps.join(to.select(F.col("a").alias("rep"), "p"), "rep", "left").select("node", F.coalesce("p", "rep").alias("rep")), "representatives")
         half = both.join(to, "a").select(F.col("p").alias("a"), "b")
-        both = written(half.join(to.select(F.col("a").alias("b"), "p"), "b").select("a", F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        new = written(half.join(to.select(F.col("a").alias("b"), "p"), "b").select("a", F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        dropped(both)
+        both = new
+        if turn:
+            dropped(to)
         turn += 1
+    dropped(both)
     every = nodes.select(key)
     if reps is None:
         return every.select(key, F.col(key).alias("component"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.tables import written
+from .graph import connected_components
+
 
 def pixels(stamps: DataFrame, key: str, column: str, width: int) -> DataFrame:
     """(key, py, px, v): the long form, rows and columns from 0."""
@@ -91,3 +96,79 @@ def merged_header(science: Column, sibling: Column, template: Column, keys: list
     named = F.create_map(F.lit("TEMPLATE"), template)
     keep = F.map_filter(science, lambda k, v: ~F.map_contains_key(extra, k) & (k != "TEMPLATE"))
     return F.map_concat(keep, F.map_filter(extra, lambda k, v: k != "TEMPLATE"), named)
+
+
+def sources(pix: DataFrame, key: str, sigma: float = 5.0, least: int = 5) -> DataFrame:
+    """(key, source, n_pixels, flux, peak, x, y, a, b, theta): sources of images given as pixels (key, py, px, v).
+
+    The background is an image's median, its noise 1.4826 times the median deviation; pixels more than ``sigma`` above it
+    that touch, also at corners, are a source if there are ``least`` of them. Position and shape are moments weighted
+    with what is above the background (pixels from 0; theta in degrees from x to y). Pixels that aren't finite don't
+    count. ``source`` is the first pixel, row by row.
+    """
+    v = F.when(~F.isnan("v") & (F.abs("v") < float("inf")), F.col("v"))
+    good = pix.select(key, "py", "px", v.alias("v")).where("v is not null")
+    mid = good.groupBy(key).agg(F.percentile("v", F.lit(0.5)).alias("_m"))
+    x = good.join(mid, key).withColumn("f", F.col("v") - F.col("_m"))
+    noise = x.groupBy(key).agg((1.4826 * F.percentile(F.abs("f"), F.lit(0.5))).alias("_s"))
+    bright = written(x.join(noise, key).where(F.col("f") > sigma * F.col("_s")).select(key, "py", "px", "f", F.struct(key, "py", "px").alias("node")), "bright")
+    step = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) > (0, 0)])
+    ahead = bright.select(key, F.col("node").alias("a"), "py", "px", F.explode(step).alias("d")).select(key, "a", (F.col("py") + F.col("d.dy")).alias("py"), (F.col("px") + F.col("d.dx")).alias("px"))
+    edges = ahead.join(bright.select(key, "py", "px", F.col("node").alias("b")), [key, "py", "px"]).select("a", "b")
+    own = bright.join(connected_components(bright.select("node"), edges, "node"), "node")
+    total = F.sum("f")
+    mean = lambda v: F.sum(F.col("f") * v) / total
+    px, py = F.col("px"), F.col("py")
+    got = own.groupBy(key, "component").agg(F.count(F.lit(1)).alias("n_pixels"), total.alias("flux"), F.max("f").alias("peak"), mean(px).alias("x"), mean(py).alias("y"), mean(px * px).alias("_xx"), mean(py * py).alias("_yy"), mean(px * py).alias("_xy"))
+    xx, yy, xy = F.col("_xx") - F.col("x") * F.col("x"), F.col("_yy") - F.col("y") * F.col("y"), F.col("_xy") - F.col("x") * F.col("y")
+    spread = F.sqrt(F.pow((xx - yy) / 2, 2) + xy * xy)
+    size = lambda sign: F.sqrt(F.greatest((xx + yy) / 2 + sign * spread, F.lit(0.0)))
+    out = got.where(F.col("n_pixels") >= least)
+    return out.select(key, F.struct("component.py", "component.px").alias("source"), "n_pixels", "flux", "peak", "x", "y", size(1).alias("a"), size(-1).alias("b"), (F.degrees(F.atan2(2 * xy, xx - yy)) / 2).alias("theta"))
+
+
+def zscale(values: np.ndarray, contrast: float = 0.25, samples: int = 1000, reject: float = 0.5, least: int = 5, clip: float = 2.5, rounds: int = 5) -> tuple[float, float] | None:
+    """The display levels of the z-scale method: a line is fitted through the sorted sample of pixels, outliers and their
+    neighbours are left out in rounds, and its slope over ``contrast`` gives the levels around the median. None without
+    finite pixels or where too few are left."""
+    v = values[np.isfinite(values)]
+    if not len(v):
+        return None
+    v = np.sort(v[:: max(1, len(v) // samples)][:samples])
+    n = len(v)
+    place, good, enough = np.arange(n), np.ones(n, bool), max(least, int(n * reject))
+    grow, before, slope = max(1, int(n * 0.01)), n + 1, 0.0
+    for _ in range(rounds):
+        if not enough <= good.sum() < before:
+            break
+        before = good.sum()
+        slope, level = np.polyfit(place[good], v[good], 1)
+        off = v - level - slope * place
+        bad = ~good | (np.abs(off) > clip * off[good].std())
+        good = np.convolve(bad, np.ones(grow), "same") < 0.5
+    if good.sum() < enough:
+        return None
+    centre, step, mid = (n - 1) // 2, slope / contrast, float(np.median(v))
+    return max(float(v[0]), mid - (centre - 1) * step), min(float(v[-1]), mid + (n - centre) * step)
+
+
+def display_levels(stamps: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, low, high) to stretch each image between: by z-scale, else the 1st and 99th percentile of its finite pixels, else
+    their extremes; null without any. An image is one row of one task."""
+    kind = stamps.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, p in zip(b[key], b["p"], strict=True):
+                v = np.array([], float) if p is None else np.asarray(p, float)
+                v = v[np.isfinite(v)]
+                pair = zscale(v)
+                if pair is None or not pair[0] < pair[1]:
+                    pair = tuple(np.percentile(v, (1, 99))) if len(v) else (None, None)
+                if len(v) and not pair[0] < pair[1]:
+                    pair = (float(v.min()), float(v.max()))
+                rows.append((k, *pair))
+            yield pd.DataFrame(rows, columns=[key, "low", "high"])
+
+    return stamps.select(key, F.col(column).alias("p")).mapInPandas(run, f"{key} {kind}, low double, high double")

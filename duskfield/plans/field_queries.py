@@ -336,3 +336,16 @@ def frame_positions(spark, d):
     x = det(spark, d).select(F.col("truth").alias("gid"), F.concat(F.lit("/a/e_"), F.col("epoch_id").cast("string"), F.lit(".ecsv")).alias("source_file"), F.col("det_id").alias("x"), "y")
     f = det(spark, d).where("epoch_id % 2 = 0").select(F.concat(F.lit("/b/e_"), F.col("epoch_id").cast("string"), F.lit(".fits")).alias("path"))
     return viewer.frame_positions(x, f).select("gid", "stem", F.col("x").alias("det_id"))
+
+
+@query("""with recursive p as (select vec_id, unnest(embedding)::double as v, unnest(range(64)) as i from embeddings), m as (select vec_id, median(v) as m from p group by vec_id), f as (select vec_id, i, v-m as f from p join m using (vec_id)),
+n as (select vec_id, 1.4826E0*median(abs(f)) as s from f group by vec_id), b as (select vec_id, i, f from f join n using (vec_id) where f > 0.8E0*s),
+e as (select p.vec_id, p.i as a, q.i as b from b p join b q on p.vec_id=q.vec_id and p.i<>q.i and abs(p.i//8-q.i//8)<=1 and abs(p.i%8-q.i%8)<=1),
+reach as (select vec_id, i, i as root from b union select e.vec_id, e.b, reach.root from reach join e on e.vec_id=reach.vec_id and e.a=reach.i), c as (select vec_id, i, min(root) as root from reach group by vec_id, i),
+g as (select vec_id, root, count(*) as k, sum(f) as fl, max(f) as pk, sum(f*(i%8))/sum(f) as x, sum(f*(i//8))/sum(f) as y, sum(f*(i%8)*(i%8))/sum(f) as xx, sum(f*(i//8)*(i//8))/sum(f) as yy, sum(f*(i%8)*(i//8))/sum(f) as xy from c join b using (vec_id, i) group by vec_id, root),
+h as (select *, xx-x*x as vx, yy-y*y as vy, xy-x*y as vxy from g)
+select vec_id, cast(root//8 as int) as py, cast(root%8 as int) as px, k as n_pixels, round(fl, 5) as flux, round(pk, 5) as peak, round(x, 5) as x, round(y, 5) as y, round(sqrt(greatest((vx+vy)/2+sqrt(pow((vx-vy)/2,2)+vxy*vxy), 0)), 4) as a from h where k>=3""")
+def image_sources(spark, d):
+    pix = images.pixels(spark.read.parquet(f"{d}/embeddings.parquet"), "vec_id", "embedding", 8)
+    x = images.sources(pix, "vec_id", 0.8, 3)
+    return x.select("vec_id", F.col("source.py").cast("int").alias("py"), F.col("source.px").cast("int").alias("px"), "n_pixels", *[r(c).alias(c) for c in ("flux", "peak", "x", "y")], r("a", 4).alias("a"))

@@ -504,3 +504,26 @@ def test_stack_plan(spark):
     assert {r["epoch_id"] for r in got if r["field"] == "a"} == {f[1] for f in want}
     assert {r["field"] for r in got} == {"a", "e"} and sum(r["field"] == "e" for r in got) == 4
     assert pipeline.stack_plan(x, scores, done, pipeline.Settings(stacking_enabled=False)).count() == 0
+
+
+def test_sources_of_an_image(spark):
+    g = np.random.default_rng(4)
+    y, x = np.mgrid[0:40, 0:60]
+    img = 100 + g.normal(0, 1, x.shape)
+    for cx, cy, f in ((12.3, 10.0, 80), (40.0, 25.5, 50)):
+        img += f * np.exp(-((x - cx) ** 2 / 2 + (y - cy) ** 2 / 8) / 2)
+    img[5, 50] = np.nan
+    img[30, 5] = 500.0  # a hot pixel is too small
+    pix = spark.createDataFrame([(1, int(j), int(i), float(img[j, i])) for j in range(40) for i in range(60)], "img long, py int, px int, v double")
+    got = images.sources(pix, "img", 5.0, 5).orderBy("x").collect()
+    assert [(round(r["x"], 0), round(r["y"], 0)) for r in got] == [(12, 10), (40, 26)] or [(round(r["x"], 0), round(r["y"], 0)) for r in got] == [(12, 10), (40, 25)]
+    assert all(abs(abs(r["theta"]) - 90) < 12 and r["a"] > r["b"] for r in got) and got[0]["peak"] > got[1]["peak"]
+
+
+def test_display_levels(spark):
+    g = np.random.default_rng(1)
+    sky = np.r_[g.normal(100, 5, 900), np.full(100, 5000.0)]
+    rows = [(1, sky.tolist()), (2, [3.0] * 20), (3, []), (4, None), (5, [1.0, float("nan"), 2.0]), (6, [0.0] * 99 + [1.0])]
+    got = {r["k"]: (r["low"], r["high"]) for r in images.display_levels(spark.createDataFrame(rows, "k long, p array<double>"), "k", "p").collect()}
+    assert 70 < got[1][0] < 100 < got[1][1] < 500  # bright pixels don't stretch the sky
+    assert got[2] == (3.0, 3.0) and got[3] == got[4] == (None, None) and 1.0 <= got[5][0] < got[5][1] <= 2.0 and got[6][0] == 0.0 and got[6][1] > 0
