@@ -20,6 +20,8 @@ from .common import WS_CLASS, ship, written
 #: The last words of a budget go to the dynamic programme: so many at first, or what LONGEST of the longest documents
 #: hold, and MORE times as many as long as the budget is missed.
 DP_WORDS, LONGEST, MORE = 1 << 16, 4, 8
+#: Rates tried in a round of sharing.
+TRIED = 16
 
 
 def reach(lengths: np.ndarray, counts: np.ndarray, goal: int, most: int) -> dict[int, int]:
@@ -125,7 +127,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), sha
 
     Targets are in proportion to the weights, which repeat by rank; a target stops at ``cap`` times its source's size
     and the excess is shared anew by weight until none is above. Ranking is by range partition with the partitions'
-    row counts added up, and each round of sharing sums over all sources and brings one row to the driver.
+    row counts added up, and each of a few rounds of sharing sums over all sources and brings one row to the driver.
     """
     spark = sources.sparkSession
     sorted_ = sources.select("source", "source_size", F.col("source").isNull().alias("last")).orderBy("last", "source")
@@ -138,13 +140,24 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), sha
     shift = spark.createDataFrame(rows, "p int, shift long")
     w = F.get(F.array(*[F.lit(float(v)) for v in weights]), F.pmod("k", F.lit(len(weights))).cast("int"))
     x = written(ranked.join(shift, "p").select("source", "source_size", (F.col("i") + F.col("shift")).alias("k")).withColumn("w", w), "weights")
-    got = x.agg(F.sum("source_size").alias("all"), F.sum("w").alias("w")).first()
+    limit = cap * F.col("source_size")
+    got = x.agg(F.sum("source_size").alias("all"), F.sum("w").alias("w"), F.max(limit / F.col("w")).alias("most")).first()
     total = share * (got["all"] or 0)
-    rate = total / got["w"] if got["w"] else 0.0
-    while True:  # the rate only grows, and each round caps one source more at least
-        over = F.col("w") * rate > cap * F.col("source_size")
-        got = x.agg(F.sum(F.when(over, cap * F.col("source_size")).otherwise(0.0)).alias("capped"), F.sum(F.when(over, 0.0).otherwise(F.col("w"))).alias("free")).first()
-        new = (total - got["capped"]) / got["free"] if got["free"] else rate
+    rate, most = (total / got["w"] if got["w"] else 0.0), got["most"] or 0.0
+    while True:
+        # What is shared grows with the rate, ever more slowly as sources reach their limits. Of TRIED rates between a low and
+        # a high one, the last that shares too little is the next low one, and what its free sources would have to take
+        # is still too low or right; so a round leaves a TRIED-th of the range, whatever the number of sources.
+        tried = [rate + (most - rate) * k / TRIED for k in range(TRIED)] if most > rate else [rate]
+        over = [F.col("w") * F.lit(v) > limit for v in tried]
+        got = x.agg(*[F.sum(F.when(o, limit).otherwise(0.0)).alias(f"capped{k}") for k, o in enumerate(over)], *[F.sum(F.when(o, 0.0).otherwise(F.col("w"))).alias(f"free{k}") for k, o in enumerate(over)]).first()
+        new = rate
+        for k, v in enumerate(tried):
+            capped, free = got[f"capped{k}"] or 0.0, got[f"free{k}"] or 0.0
+            if capped + free * v > total:
+                most = v
+                break
+            new = max(v, (total - capped) / free if free else v)
         if not new > rate * (1 + 1e-12):
             break
         rate = new
