@@ -47,15 +47,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read back.
 
     Cuts the lineage, survives a lost executor, lets readers prune columns and gives the optimiser true sizes.
-    The files go when the application's JVM ends.
+    The files go by ``dropped``, or when the application's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/duskfield-{uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at.getParent())
-    return spark.read.schema(df.schema).parquet(path)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at.getParent())
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` gave and that nothing will read again: all that came of them is written itself."""
+    for t in tables:
+        fs, at = _file_system(t.sparkSession, t._written_at)
+        fs.delete(at.getParent(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ship, written
+from .common import arrow_batches, dropped, ship, written
 
 WORDS_PER_SHINGLE = 5
 UNIVERSE_BITS = 20
@@ -167,15 +167,17 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     both = written(both, "edges")
-    now = written(nodes.select("node", "label"), "labels")
+    now = held = written(nodes.select("node", "label"), "labels")
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         new = now.join(near, "node", "left").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old"))
         up = new.select(F.col("node").alias("label"), F.col("label").alias("root"))
         new = written(new.join(up, "label", "left").select("node", F.least("label", "root").alias("label"), "old"), "labels")
         changed = new.where("label <> old").limit(1).count()
-        now = new.select("node", "label")
+        dropped(held)
+        now, held = new.select("node", "label"), new
         if not changed:
+            dropped(both)
             return now
 
 
@@ -219,11 +221,12 @@ def _prefixes(x: DataFrame, c: float) -> DataFrame:
     return shared.where("r <= prefix").select("grp", "node", "n", "ok", "e", (F.col("r") <= F.col("small")).alias("small"), least.alias("a"), (2 * F.col("common") - least).alias("b"))
 
 
-def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """New buckets for the pairs within each of ``groups`` (grp, hub, node) that no comparison with its hub has settled: the
     small ones as links (a, b) that join what holds together, the large ones as buckets (bucket, node, many).
 
-    A new bucket lies within one group and lacks its hub, so that the rounds narrow down to nothing.
+    A new bucket lies within one group and lacks its hub, so that the rounds narrow down to nothing. Also the tables that
+    both read, to be dropped when they are written.
 
     Two sets that share k elements share one of the first |A| - k + 1 and |B| - k + 1 in any one order; rarest first is
     taken. For the smaller set of a pair k is larger, so that a shorter prefix (``small``) does; a bucket in which all are
@@ -253,15 +256,17 @@ def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent
     near = x.where(d > 0).select("grp", "node", "n", "ok", F.col("diff").alias("elements"), (d - share + 1).alias("prefix"), (d - smaller + 1).alias("small"))
     keys = _prefixes(far, c).withColumn("near", F.lit(False)).unionByName(_prefixes(near, c).withColumn("near", F.lit(True)))
     keys = written(keys.join(labels, "node").withColumn("bucket", F.xxhash64("grp", "e", "near")), "keys")
+    first = keys
     for _ in range(2):
         keys = keys.join(_possible(keys), "bucket").where("a <= most_b + 1e-6 and b >= least_a - 1e-6").drop("most_b", "least_a", "many")
     keys = written(keys.join(_possible(keys).select("bucket", "many"), "bucket"), "keys")
+    dropped(first)
     few = keys.where(F.col("many") <= SMALL_BUCKET).select("bucket", "grp", "near", "node", "label", "ok", "small", "a", "b")
     elements = x.select("grp", "node", "n", F.lit(True).alias("near"), F.col("diff").alias("v")).unionByName(x.select("grp", "node", "n", F.lit(False).alias("near"), F.col("own").alias("v")))
     few = few.join(elements, ["grp", "near", "node"]).select("bucket", "node", "label", "ok", "small", "a", "b", "n", "v")
     links = few.groupBy("bucket").applyInArrow(_links_within(percent), "a long, b long").distinct()
     many = keys.where(F.col("many") > SMALL_BUCKET).groupBy("bucket", "node").agg(F.max("small").alias("small"), F.max("many").alias("many"))
-    return links, many
+    return links, many, [x, keys]
 
 
 def _links_within(percent: int):
@@ -338,15 +343,20 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     kind, extra = x.schema["id"].dataType.simpleString(), x.schema["extra"].dataType.simpleString()
     signed = written(x.mapInArrow(_signed(percent), f"id {kind}, extra {extra}, key binary, n long, bands array<long>"), "signed")
     same = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands"))
-    classes = written(same.withColumn("node", F.monotonically_increasing_id()), "classes")
-    buckets = classes.select("node", F.explode("bands").alias("bucket"))
+    banded = written(same.withColumn("node", F.monotonically_increasing_id()), "classes")
+    rows = written(signed.select("id", "extra", "key", "n"), "rows")  # without the bands, which take most of the room
+    dropped(signed)
+    buckets = banded.select("node", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     members = written(buckets.join(sizes, "bucket"), "members")
+    classes = written(banded.drop("bands"), "classes")
+    dropped(banded)
     # Nodes are numbered anew, those with the most company first: the likely middles of their groups, which make good hubs.
     company = members.groupBy("node").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "node")
     ranked = written(company.select(F.col("node").alias("old"), F.monotonically_increasing_id().alias("node")), "ranked")
     used = written(ranked.join(classes.select(F.col("node").alias("old"), "key", "least"), "old").select("node", "key", "least"), "used")
     inside = written(members.select("bucket", F.col("node").alias("old"), "many").join(ranked, "old").select("bucket", "node", "many"), "inside")
+    dropped(members, ranked)
     ids = used.select(F.col("least").alias("id")).distinct()
     if used.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -364,24 +374,29 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
 
     # First each node with the least of its hubs, which settles most buckets; then whole buckets, as long as any is left.
     labels = used.select("node", F.col("node").alias("label"))
-    labels = joined(labels, compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub"))))
+    found = compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub")))
+    labels = joined(labels, found)
     left = written(_unsettled(inside, labels), "left")
+    dropped(found, inside)
     first = True
     while left.limit(1).count():
         groups = _with_hubs(left).select(F.col("hub" if first else "bucket").alias("grp"), "hub", "node").distinct()
         groups, first = written(groups, "groups"), False
         found = compared(groups.select("hub", "node").distinct())
         labels = joined(labels, found)
-        links, left = _residual(found, groups, labels, percent)
-        links, left = written(links, "links"), written(left, "left")
+        links, new, read = _residual(found, groups, labels, percent)
+        links, new = written(links, "links"), written(new, "left")
+        dropped(found, groups, left, *read)
         if links.limit(1).count():
             labels = components(labels, links)
-        left = written(_unsettled(left, labels), "left")
+        left = written(_unsettled(new, labels), "left")
+        dropped(links, new)
+    dropped(left, sets)
     named = used.join(labels, "node")
     roots = named.groupBy("label").agg(F.min("least").alias("root"))
     roots = named.join(roots, "label").select("key", "root")
     found = classes.select("key", "least").join(roots, "key", "left").select("key", F.coalesce("root", "least").alias("component"))
-    rows = signed.select("id", "extra", "key", "n")  # texts without words, which all have one key, don't meet
+    # Texts without words, which all have one key, don't meet.
     out = rows.where("n > 0").join(found, "key").unionByName(rows.where("n = 0").withColumn("component", F.col("id")))
     component = F.col("component")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *[F.col("extra").getField(c).alias(c) for c in x.schema["extra"].dataType.names[1:]])
