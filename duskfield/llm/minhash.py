@@ -31,6 +31,7 @@ NEAR_HUB = 0.5
 SMALL_BUCKET = 512
 #: Rows of a large bucket that go to one task; float cells that a comparison inside a bucket holds at a time.
 SALT_ROWS = 512
+LABEL_SALTS = 8
 COMPARED_CELLS = 1 << 21
 #: So many distinct words a worker keeps the hashes of before it starts anew.
 WORD_CACHE = 1 << 16
@@ -159,6 +160,14 @@ def _compare(percent: int):
     return run
 
 
+def _label_salted(nodes: DataFrame) -> DataFrame:
+    return nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
+
+
+def _for_label_salts(labels: DataFrame) -> DataFrame:
+    return labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``nodes`` (node, label) with ``label`` lowered to the least of its component along ``edges`` (a, b).
 
@@ -171,8 +180,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         new = now.join(near, "node", "left").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old"))
-        up = new.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = written(new.join(up, "label", "left").select("node", F.least("label", "root").alias("label"), "old"), "labels")
+        # A label that many nodes have is dealt to LABEL_SALTS tasks; only those that have a lesser label themselves are met.
+        up = _for_label_salts(new.where("label < node").select(F.col("node").alias("label"), F.col("label").alias("root")))
+        new = written(_label_salted(new).join(up, ["label", "salt"], "left").select("node", F.least("label", "root").alias("label"), "old"), "labels")
         changed = new.where("label <> old").limit(1).count()
         dropped(held)
         now, held = new.select("node", "label"), new
@@ -393,8 +403,8 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
         dropped(links, new)
     dropped(left, sets)
     named = used.join(labels, "node")
-    roots = named.groupBy("label").agg(F.min("least").alias("root"))
-    roots = named.join(roots, "label").select("key", "root")
+    roots = _for_label_salts(named.groupBy("label").agg(F.min("least").alias("root")))
+    roots = _label_salted(named).join(roots, ["label", "salt"]).select("key", "root")
     found = classes.select("key", "least").join(roots, "key", "left").select("key", F.coalesce("root", "least").alias("component"))
     # Texts without words, which all have one key, don't meet.
     out = rows.where("n > 0").join(found, "key").unionByName(rows.where("n = 0").withColumn("component", F.col("id")))
