@@ -504,10 +504,10 @@ def response_model(spark, d):
 
 
 @query(f"""{with_views('det', 'all_stars')}, p as (select det_id, star_mag as m from det join all_stars on abs(x-sx)<=20 and abs(y-sy)<=20 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=20.0E0)
-select det_id, round(avg(m), 5) as mean_star_mag, round(stddev_pop(m), 5) as std_star_mag from det left join p using (det_id) group by det_id""")
+select det_id, round(avg(m), 7) as mean_star_mag, round(stddev_pop(m), 5) as std_star_mag from det left join p using (det_id) group by det_id""")
 def band_statistics(spark, d):
     x = features.band_stats(det(spark, d), stars(spark, d).withColumnsRenamed({"sx": "x", "sy": "y"}), 20.0, ["star_mag"])
-    return x.select("det_id", r("mean_star_mag").alias("mean_star_mag"), r("std_star_mag").alias("std_star_mag"))
+    return x.select("det_id", r("mean_star_mag", 7).alias("mean_star_mag"), r("std_star_mag").alias("std_star_mag"))
 
 
 @query(f"{with_views('det')} select epoch_id, max(sqrt(pow((ra-180.0123E0)*cos(radians(30.0067E0)),2)+pow(dec-30.0067E0,2))*3600 <= 5) as present from det group by epoch_id")
