@@ -25,6 +25,7 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 ROUNDS = 3
 #: A pattern counts once it has led to so many different positive instances; instances from this confidence on are spans.
 SUPPORT, CONFIDENCE = 2, 0.8
+PATTERN_SALTS = 16
 
 # The base patterns. Where a run could be entered in the middle, the entry is held to its start, and
 # repeats that can't give back are possessive: the same matches, in a time that grows with the text only.
@@ -150,7 +151,10 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     for _ in range(rounds):
         positive = F.count(F.when(F.col("score") >= CONFIDENCE, 1))
         patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 0.5)).alias("c"), positive.alias("n")).where(F.col("n") >= SUPPORT).select("pattern", "c")
-        led = scored.select("pattern", "instance", "seed", "score").join(patterns, "pattern", "left").withColumn("c", F.coalesce("c", F.lit(0.0)))
+        # A pattern of very many instances is dealt to PATTERN_SALTS tasks.
+        salted = scored.select("pattern", "instance", "seed", "score", F.pmod(F.xxhash64("instance"), F.lit(PATTERN_SALTS)).cast("int").alias("salt"))
+        patterns = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PATTERN_SALTS - 1))))
+        led = salted.join(patterns, ["pattern", "salt"], "left").drop("salt").withColumn("c", F.coalesce("c", F.lit(0.0)))
         best = led.groupBy("instance").agg(F.max("c").alias("best"), F.max("seed").alias("known"))
         scored = written(led.join(best, "instance").select("pattern", "instance", "seed", "c", F.when(F.col("known"), 1.0).otherwise(F.col("best")).alias("score")), "round")
     return scored.select("pattern", "instance", F.col("c").alias("confidence"))
