@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .importance import resample
 from .line_dedup import dedup_lines
 from .media import from_media, to_media
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .pii import find_personal_data, listed
+from .prefix_trie import prefix_trie, sequences, with_heads
 from .quality_classifier import quality_scores
 from .quality_rules import host_quality
+from .secret_scan import find_secrets
+from .secret_scan import listed as listed_secrets
 from .token_counts import count_tokens
 from .url_filters import filter_urls
 
@@ -101,8 +105,34 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``find_secrets``: counts and digest of the base spans, and all spans."""
+    got = find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return got.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(listed_secrets(F.col("base")), 256).alias("base_sha256"),
+        listed_secrets(F.concat("base", "more")).alias("spans"),
+        F.size("more").cast("long").alias("n_random"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``prefix_trie``: the nodes of the conversations rebuilt with their groups' heads."""
+    return prefix_trie(with_heads(sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See ``resample``: documents drawn towards the words of ``benchmark``."""
+    got = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op6_media, op7_mixing, op8_token_counts, op9_pii, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_quality_classifier, op4_quality_rules, op5_minhash, op6_media, op7_mixing, op8_token_counts, op9_pii, op10_url_filters, op11_secrets, op12_prefix_trie, op13_importance)}
 
 
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -153,5 +183,49 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from hp
 """
 
 
+# CRC-32 by its table: a list of 256 numbers, and a fold over a text's bytes.
+_CRC_TABLE = "(select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t from range(256) r(i))"
+
+
+def _crc(text: str) -> str:
+    byte = f"16 * (instr('0123456789ABCDEF', hex({text})[2 * i + 1]) - 1) + instr('0123456789ABCDEF', hex({text})[2 * i + 2]) - 1"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(range(0, strlen({text})), lambda i: {byte})), lambda c, b: xor(c >> 8, t[1 + xor(c, b) % 256])), 4294967295)"
+
+
+OP12_SQL = f"""
+with crc as {_CRC_TABLE},
+own as (select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first) as turns from conversations where conv_id is not null group by conv_id),
+h as (select conv_id, turns, conv_id - conv_id % 100 as base, {_crc("cast(conv_id as varchar)")} % 6 as h from own, crc),
+seq as (select h.conv_id, list_concat(coalesce(b.turns, [])[1:h.h], h.turns[h.h + 1:]) as turns from h left join own b on b.conv_id = h.base),
+pre as (select conv_id, len(turns) as size, d, turns[1:d] as p from (select *, unnest(range(0, len(turns) + 1)) as d from seq)),
+nodes as (select d, p, min(conv_id) as conv_id, count(*) as n_convs, coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where size = d), '') as ends,
+  case when d > 0 then (count(*) - 1) * length(p[d].text) else 0 end as saved from pre group by d, p),
+kids as (select p[1:d - 1] as p, count(*) as n from nodes where d > 0 group by all),
+known as (select nodes.*, coalesce(n, 0) as n_children from nodes left join kids using (p)),
+up as (select b.d, b.p, unnest(range(0, b.d + 1)) as e, n_children, saved from known b),
+sub as (select e as d, p[1:e] as p, count(*) filter (where n_children = 0) as n_leaves, sum(saved) as saved_tokens from up group by all)
+select a.conv_id, a.d as depth, q.conv_id as parent_conv_id, a.n_convs, a.n_children, cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, sha256(a.ends) as ends_sha256
+from known a join sub on sub.p = a.p and sub.d = a.d left join nodes q on q.d = a.d - 1 and q.p = a.p[1:a.d - 1]
+"""
+
+OP13_SQL = rf"""
+with crc as {_CRC_TABLE},
+docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+goal as (select unnest(regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark),
+used as (select doc_id, word, count(*) as n from (select doc_id, unnest(w) as word from docs) group by all),
+target as (select word, count(*) as n from goal group by word),
+vocab as (select word, {_crc("word")} % 10000 as bucket from (select word from used union select word from target), crc),
+s as (select bucket, sum(n) as s from used join vocab using (word) group by bucket),
+t as (select bucket, sum(n) as t from target join vocab using (word) group by bucket),
+size as (select coalesce((select sum(s) from s), 0) as S_all, coalesce((select sum(t) from t), 0) as T_all),
+gain as (select bucket, floor(1000 * ln(cast((coalesce(t, 0) + 1) * (S_all + 10000) as double) / cast((s + 1) * (T_all + 10000) as double))) as gain from s left join t using (bucket), size),
+mean as (select doc_id, cast(floor(sum(n * gain) / sum(n)) as bigint) as weight from used join vocab using (word) join gain using (bucket) group by doc_id),
+scored as (select doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight,
+  coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || sha256('2024:' || doc_id)[1:8] as ubigint) + 0.5E0) / 4294967296.0E0))) as bigint) as score from docs left join mean using (doc_id)),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) as place, 10 * count(*) over () // 100 as drawn from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= drawn then place end as rank from scored left join placed using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_quality_rules": OP4_SQL, "op10_url_filters": OP10_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_quality_rules": OP4_SQL, "op10_url_filters": OP10_SQL, "op12_prefix_trie": OP12_SQL, "op13_importance": OP13_SQL}

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables"
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     got, want = queries.queries()[name](spark, DATA), con.sql(queries.oracle_sql()[name])
     assert sorted(got.columns) == sorted(want.columns)
