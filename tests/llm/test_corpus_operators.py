@@ -552,3 +552,40 @@ def test_clip_rows(spark):
     assert [r["clip"] for r in one] == list(range(len(one))) and len(one) >= 2 and one[0]["first_frame"] == 0
     assert all(a["last_frame"] + 1 == b["first_frame"] and a["end_ms"] == b["start_ms"] for a, b in zip(one, one[1:], strict=False))
     assert [(r["clip"], r["first_frame"], r["last_frame"]) for r in got if r["id"] == 2] == [(0, 0, 0)]
+
+
+def test_numbers_behind_common_words_are_no_secrets(spark):
+    """Numbers that fail Luhn stand where cards do, behind words that lead to anything; hexadecimal tokens behind their sign are
+    found, and so is an unseen shape there."""
+    rng = random.Random(3)
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+    vocab = ["of", "the", "in", "to", "and", "with", "eaed", "thion", "linge", "tor"]
+    rows, bad, hexed = [], {}, {}
+    for k in range(600):
+        words = rng.choices(vocab, k=40)
+        number = "".join(rng.choices("0123456789", k=16))
+        at = rng.randrange(3, 37)
+        if k % 3 == 0:
+            words[at] = number
+            if not luhn(number):
+                bad[k] = number
+        elif k % 3 == 1:
+            hexed[k] = hashlib.sha1(str(k).encode()).hexdigest() if k % 60 != 1 else f"Zx{k + 100}-q9"
+            words[at] = f'token = "{hexed[k]}"'
+        rows.append((k, " ".join(words)))
+    got = {r["id"]: [dict(rows)[r["id"]][s["start"] : s["end"]] for s in r["more"]] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(bad) > 150 and not any(got[k] for k in bad)
+    assert all(got[k] == [v] for k, v in hexed.items())
+
+
+def test_word_contexts_agree_with_patterns():
+    """The vectorised contexts of a text are those that the single spans have, each counted once for a token."""
+    rng = random.Random(6)
+    for _ in range(50):
+        text = " ".join(rng.choice(["abc", "De,", "(x1", "12", "é", "=", "or.", '"q"']) for _ in range(rng.randrange(30)))
+        tokens = [m.span() for m in re.finditer(r"\S+", text)]
+        want = Counter()
+        for i in range(len(tokens)):
+            h = [pii.word_hash(text[slice(*tokens[k])]) if 0 <= k < len(tokens) else 0 for k in (i - 2, i - 1, i + 1)]
+            want.update(p for p in (pii.paired(h[0], h[1], 0), pii.paired(h[1], h[2], 1)) if p is not None)
+        assert Counter(pii.word_contexts(text).tolist()) == want
