@@ -47,6 +47,8 @@ _TOKEN, _DIGITS = re.compile(r"\S+"), re.compile("[0-9]+")
 _MIX, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 #: Bits of the filter that holds back patterns of words that aren't asked for (2 MB), and hashes of words that a worker keeps.
 BLOOM, _CACHED = 1 << 24, 500_000
+#: Patterns are counted in every 64th text, those not yet ruled out in every 8th, and what is left in all.
+SHARES = (64, 8, 1)
 
 
 def luhn(digits: str) -> bool:
@@ -202,8 +204,8 @@ def word_contexts(text: str) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def word_totals(docs: DataFrame, asked: DataFrame, text_col: str) -> DataFrame:
-    """(pattern, n): how often each pattern of ``asked`` occurs around any token of the texts.
+def _counts(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(pattern, n): how often each pattern of ``asked`` occurs around any token of ``texts``.
 
     A Bloom filter of BLOOM bits, as large for any corpus, keeps others back in the tasks; the join on patterns does the rest.
     """
@@ -220,14 +222,27 @@ def word_totals(docs: DataFrame, asked: DataFrame, text_col: str) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b["text"]:
-                p = word_contexts(t.as_py() or "").view(np.uint64)
-                p, n = np.unique(p[has(p) & has(p >> np.uint64(24))].view(np.int64), return_counts=True)
-                if len(p):
-                    yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(n)], names=["pattern", "n"])
+            every = [word_contexts(t.as_py() or "").view(np.uint64) for t in b["text"]]
+            p = np.concatenate([p[has(p) & has(p >> np.uint64(24))] for p in every])
+            p, n = np.unique(p.view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(n)], names=["pattern", "n"])
 
-    got = docs.select(F.col(text_col).alias("text")).mapInArrow(counted, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    return got.join(asked, "pattern", "left_semi")
+    return texts.mapInArrow(counted, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).join(asked.select("pattern"), "pattern", "left_semi")
+
+
+def word_totals(docs: DataFrame, asked: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The patterns of ``asked`` (pattern, have, times) that may still be sure of something, and for those of words
+    (pattern, n): how often they lead to anything else.
+
+    What a pattern leads to in a share of the texts can be enough to rule it out, however the rest may be; the shares
+    of SHARES do so for common pairs of words. What is left is counted over all texts.
+    """
+    texts = docs.select(F.col(text_col).alias("text"))
+    for share in SHARES:
+        part = texts if share == 1 else texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+        rest = asked.select("pattern", "have", "times").join(_counts(part, asked), "pattern", "left").withColumn("n", F.greatest(F.coalesce("n", F.lit(0)) - F.col("times"), F.lit(0)))
+        asked = written(rest.where(F.col("have") / (F.col("have") + F.col("n") + 0.5) >= CONFIDENCE), "patterns")
+    return asked.select("pattern"), asked.where("n > 0").select("pattern", "n")
 
 
 def score_graph(edges: DataFrame, rounds: int = ROUNDS, others: DataFrame | None = None) -> DataFrame:
@@ -270,11 +285,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = x.schema["id"].dataType.simpleString()
     x = written(x.mapInArrow(_searched, f"id {kind}, row long, base array<struct<kind:int,start:long,end:long>>, found array<struct<pattern:long,instance:long,seed:boolean,start:long,end:long>>, others array<long>"), "found")
     each = x.where(F.size("found") > 0).select("row", F.explode("found").alias("f")).select("row", "f.*")
-    # Only patterns of enough instances can count; what else they lead to is counted for these.
-    edges = written(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")), "edges")
-    asked = written(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("have"), F.sum("times").alias("times")).where(F.col("have") >= SUPPORT), "patterns")
+    # Only patterns of enough instances, and of some that may become spans, can count; what else they lead to is counted.
+    edges = written(each.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times"), F.max(F.col("start") >= 0).alias("spans")), "edges")
+    asked = written(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("have"), F.sum("times").alias("times"), F.max("spans").alias("spans")).where((F.col("have") >= SUPPORT) & F.col("spans")), "patterns")
+    asked, words = word_totals(docs, asked.select("pattern", "have", "times"), text_col)
     signs = x.select(F.explode("others").alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(asked, "pattern", "left_semi")
-    words = word_totals(docs, asked.select("pattern"), text_col).join(asked.select("pattern", "times"), "pattern").select("pattern", F.greatest(F.col("n") - F.col("times"), F.lit(0)).alias("n"))
     others = written(signs.unionByName(words).groupBy("pattern").agg(F.sum("n").alias("n")), "others")
     edges = edges.join(asked, "pattern", "left_semi").select("pattern", "instance", "seed")
     sure = score_graph(edges, others=others).where(F.col("confidence") >= CONFIDENCE).select("pattern", "instance")
