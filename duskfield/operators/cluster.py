@@ -116,20 +116,26 @@ def cross_epoch(candidates: DataFrame, radius: float, least: int, key: str = "de
     first = connected_components(valid, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
     x = valid.join(first, key)
     mid = x.groupBy("component").agg(F.avg("ra").alias("ra"), F.avg("dec").alias("dec"), F.collect_set("epoch_id").alias("epochs"))
-    near = self_pairs(mid, radius, "component", carry=("epochs",), system="sky").where(~F.arrays_overlap("epochs", "epochs2"))
-    merged = _merge(mid, near)
-    x = x.join(merged, "component").drop("component").withColumnRenamed("root", "component")
-    big = x.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component")
-    split = greedy_split(x.join(big, "component", "left_semi"), radius, key)
-    enough = split.groupBy("component", "sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component", "sub")
-    return split.join(enough, ["component", "sub"], "left_semi").select(key, "component", "sub")
+    x = x.join(merged_components(mid, radius), "component").drop("component").withColumnRenamed("root", "component")
+    return split_components(x, radius, least, key)
 
 
-def _merge(mid: DataFrame, near: DataFrame) -> DataFrame:
+def merged_components(mid: DataFrame, radius: float) -> DataFrame:
+    """(component, root): components (component, ra, dec, epochs) whose centroids are within ``radius`` and whose exposures don't
+    meet are joined."""
+    near = self_pairs(mid, radius, "component", carry=("epochs",), system="sky").where(~F.arrays_overlap("epochs", "epochs2"))
     roots = connected_components(mid.select(F.col("component").alias("c")), near.select(F.col("component").alias("a"), F.col("component2").alias("b")), "c")
     return roots.select(F.col("c").alias("component"), F.col("component").alias("root"))
 
 
+def split_components(members: DataFrame, radius: float, least: int, key: str = "det_id") -> DataFrame:
+    """(key, component, sub) of the groups of at least ``least`` members that the greedy split gives."""
+    big = members.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component")
+    split = greedy_split(members.join(big, "component", "left_semi"), radius, key)
+    enough = split.groupBy("component", "sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component", "sub")
+    return split.join(enough, ["component", "sub"], "left_semi").select(key, "component", "sub")
+
+
 def best_per_id(rows: DataFrame, ident: str, score: str, key: str) -> DataFrame:
     """One row per id: the best score, the smaller key where two are as good."""
     order = Window.partitionBy(ident).orderBy(F.col(score).desc(), key)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,34 +15,64 @@ from ..functions.tables import dropped, written
 from .spatial import self_pairs
 
 
+#: Edges from which on one task finishes, whatever the size of the graph was: rounds over so few cost more than the task.
+FINISH = 200_000
+#: A node with more than this share of all edges is a hub; there are fewer than 1 / HUB of them.
+HUB = 0.001
+
+
+def _finished(edges: DataFrame) -> DataFrame:
+    """(a, p) of all nodes of at most FINISH edges: the least node that each reaches, by union-find in one task."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict = {}
+
+        def top(v):
+            while up.setdefault(v, v) != v:
+                up[v] = v = up[up[v]]
+            return v
+
+        for batch in batches:
+            for v, w in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+                low, high = sorted((top(v), top(w)))
+                up[high] = low
+        yield pa.RecordBatch.from_arrays([pa.array(list(up)), pa.array([top(v) for v in up])], names=["a", "p"])
+
+    return edges.coalesce(1).mapInArrow(united, f"a {kind}, p {kind}")
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "det_id") -> DataFrame:
-    """(key, component): the least key that the edges (a, b) reach.
+    """(key, component): the least key that the edges (a, b) reach. Nodes without edges are their own; no nodes, no rows.
 
     Each round gives every node that still has an edge the neighbour, or itself, of the least hash, and contracts the
     graph to these: a group of mutual neighbours is settled in one round, a long chain loses a share of its nodes in each.
     Settled groups have no edges left and don't take part again; nodes without edges never do. Least neighbours are
-    partial minima, so a node of very many edges is a row for each task. Each round's tables are written: plans stay one
-    round long, and only a flag comes to the driver.
+    partial minima, so a node of very many edges is a row for each task, and hubs are looked up by broadcast: their number
+    is bounded by HUB. The last FINISH edges are one task's. Each round's tables are written: plans stay one round long,
+    and only a count comes to the driver.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
     reps = None
     turn = 0
-    while both.limit(1).count():
-        ranked = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
-        least = both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
-        to = written(least.select("a", F.least("m", ranked("a"))["v"].alias("p")), "parents")
+    while n := both.count():
+        if n <= FINISH:
+            to = _finished(both)
+        else:
+            ranked = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
+            least = both.groupBy("a").agg(F.min(ranked("b")).alias("m"), F.count(F.lit(1)).alias("n"))
+            to = written(least.select("a", F.least("m", ranked("a"))["v"].alias("p"), (F.col("n") > HUB * n).alias("hub")), "parents")
         if reps is None:
-            reps = to.select(F.col("a").alias("node"), F.col("p").alias("rep"))
+            reps = written(to.select(F.col("a").alias("node"), F.col("p").alias("rep")), "representatives")
         else:
             reps = written(reps.join(to.select(F.col("a").alias("rep"), "p"), "rep", "left").select("node", F.coalesce("p", "rep").alias("rep")), "representatives")
-        half = both.join(to, "a").select(F.col("p").alias("a"), "b")
-        new = written(half.join(to.select(F.col("a").alias("b"), "p"), "b").select("a", F.col("p").alias("b")).where("a <> b").distinct(), "edges")
-        dropped(both)
+        if n <= FINISH:
+            break
+        half = _led(both, "a", to).select(F.col("p").alias("a"), "b")
+        new = written(_led(half, "b", to).select("a", F.col("p").alias("b")).where("a <> b").distinct(), "edges")
+        dropped(both, to)
         both = new
-        if turn:
-            dropped(to)
         turn += 1
-    dropped(both)
     every = nodes.select(key)
     if reps is None:
         return every.select(key, F.col(key).alias("component"))
@@ -49,6 +81,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "det_id"
     return every.join(named, key, "left").select(key, F.coalesce("component", key).alias("component"))
 
 
+def _led(edges: DataFrame, end: str, to: DataFrame) -> DataFrame:
+    """Edges with the parent ``p`` of one end; edges of hubs stay in their tasks."""
+    to = to.withColumnRenamed("a", end)
+    hubs = F.broadcast(to.where("hub").select(end, "p"))
+    return edges.join(hubs, end).unionByName(edges.join(hubs.select(end), end, "left_anti").join(to.where("not hub").select(end, "p"), end))
+
+
 def greedy_split(members: DataFrame, radius: float, key: str = "det_id") -> DataFrame:
     """(component, key, sub): each component dealt into groups of one member per epoch at most.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
+from ..functions.tables import shared_dir
 from ..operators import cluster, epochs, features, graph, images, lightcurve, spatial
+from ..operators.incremental import ClusterStore
 from . import field_queries  # noqa: F401  (registers its own)
 from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
 
@@ -291,6 +294,16 @@ def cross_epoch_clusters(spark, d):
     return cluster.cross_epoch(x, 0.6, 2)
 
 
+@query()
+def incremental_clusters(spark, d):
+    """The same clusters, with the last exposure added to what is kept of those before; what it touches is clustered again."""
+    x = cand(spark, d).withColumn("r", F.lit(0.25))
+    last = x.agg(F.max("epoch_id")).first()[0]
+    store = ClusterStore(spark, f"{shared_dir(spark)}/clusters-{uuid.uuid4().hex}", 0.6, 2, tile_degrees=0.02)
+    told = [store.add(x.where(c)) for c in (F.col("epoch_id") < last, F.col("epoch_id") == last)]
+    return store.clusters().select("*", F.lit(told[-1]["added"]).cast("long").alias("last_added"), F.lit(told[-1]["clustered"]).cast("long").alias("last_clustered"))
+
+
 @query()
 def term_fit(spark, d):
     x = det(spark, d)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -96,20 +97,28 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, float] | No
 
 
 @contextmanager
-def single_writer(spark: SparkSession, path: str, wait: float = 900.0, pause: float = 0.5) -> Iterator[None]:
+def single_writer(spark: SparkSession, path: str, wait: float = 900.0, pause: float = 0.5, stale: float = 21_600.0) -> Iterator[None]:
     """One writer of ``path`` at a time, on any file system that creates files exclusively: who makes the lock file beside it
-    goes on, others wait up to ``wait`` seconds. What was read before has to be read again inside."""
+    goes on, others wait up to ``wait`` seconds. What was read before has to be read again inside. The file names its owner;
+    one older than ``stale`` seconds is that of a run that was killed, and is broken."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".lock")
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     until = time.monotonic() + wait
+    owner = f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}"
     while True:
         try:
-            fs.create(at, False).close()
+            out = fs.create(at, False)
+            out.writeUTF(owner)
+            out.close()
             break
         except Py4JJavaError:
             if not fs.exists(at):
                 raise
+            if time.time() - fs.getFileStatus(at).getModificationTime() / 1000 > stale:
+                # Whoever renames it breaks it: two that wait can't both delete the same lock.
+                if fs.rename(at, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.lock.{uuid.uuid4().hex}")):
+                    continue
             if time.monotonic() > until:
                 raise TimeoutError(f"{path} is being written by another run") from None
             time.sleep(pause)
