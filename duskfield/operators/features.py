@@ -10,6 +10,8 @@ from ..functions.tables import written
 from .spatial import nearest_any, radius_join
 
 SATURATED, BLENDED, NEAR_BRIGHT = 4, 2, 8
+#: Pixels from which on a detection counts as isolated.
+ISOLATED = 10
 #: Magnitude error times signal to noise.
 POGSON = 1.0857
 #: The same as the gates have it.
@@ -112,7 +114,7 @@ def base_score(cols: set[str], weights: dict[str, float] = WEIGHTS, fallback: Co
     if "flags" in cols:
         out = out * F.when(c("flags") > 0, 0.5).otherwise(1.0)
     if "nearest_source_dist" in cols:
-        out = out * neutral(clip(c("nearest_source_dist") / 10, 0, 1) * weights["iso"])
+        out = out * neutral(clip(c("nearest_source_dist") / ISOLATED, 0, 1) * weights["iso"])
     if "mag" in cols:
         bare = clip(F.exp(-(c("mag") - 15) / 3) * weights["mag"], 0.1, 3)
         value = F.coalesce(clip(1 + 0.2 * (c("maglim") - c("mag")), 0.5, 2) * weights["mag"], bare) if "maglim" in cols else bare

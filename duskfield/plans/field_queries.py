@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
+from ..functions.tables import shared_dir, written
 from ..operators import epochs, features, images, lightcurve, spatial
 from ..sources import catalogs
 from . import viewer
@@ -127,6 +130,23 @@ def source_list(spark, d):
     return grow(det(spark, d), 0.5)
 
 
+@query()
+def source_list_stream(spark, d):
+    """The same list from a stream, an exposure at a time."""
+    from ..streaming.source_list import decisions, grow
+
+    top = f"{shared_dir(spark)}/sources-{uuid.uuid4().hex}"
+    x = written(det(spark, d).select("det_id", F.col("epoch_id").cast("long").alias("epoch_id"), "ra", "dec"), "detections")
+    for e in sorted(row[0] for row in x.select("epoch_id").distinct().collect()):
+        x.where(F.col("epoch_id") == e).coalesce(1).write.mode("append").parquet(f"{top}/arrivals")
+    stream = grow(spark, f"{top}/arrivals", top, 0.5)
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return decisions(spark, top)
+
+
 _FRAMES = "select o_orderkey as position, o_custkey%41 as grp, 'img_'||lpad(cast(o_orderkey as varchar), 9, '0')||'_'||(case when o_orderkey%5=0 then 'dark' when o_orderkey%3=0 then 'exp'||cast(o_orderkey%90 as varchar) else cast(o_orderkey%60 as varchar)||'sec' end) as name, cast(o_totalprice*1000 as bigint) as size from orders"
 
 

@@ -37,15 +37,19 @@ class CatalogVotes:
         self.scale = F.lit(self.settings.default_plate_scale_arcsec_per_px) if scale is None else scale
 
     def match_radii(self, det: DataFrame) -> DataFrame:
-        """``det`` with ``match_px``, the radius within which it meets catalogue stars: from position errors where there are
-        any, else from size and signal to noise, held to a percentile of its exposure."""
+        """``det`` with ``match_px``, the radius within which it meets catalogue stars: from position errors in an exposure that has
+        any valid ones, else from size and signal to noise, held to a percentile of its exposure."""
         s = self.settings
         if not s.enable_adaptive_idlimit:
             return det.withColumn("match_px", F.lit(float(s.idlimit_px)))
         var = F.col("ast_var") if s.use_astvar and "ast_var" in det.columns else F.lit(1.0)
-        own = features.pixel_radius(F.col("ex2"), F.col("ey2"), s.adaptive_nsigma, var) if {"ex2", "ey2"} <= set(det.columns) else features.snr_pixel_radius(F.col("fwhm"), features.GATE / F.col("err"), s.adaptive_nsigma, var)
+        own = features.snr_pixel_radius(F.col("fwhm"), features.GATE / F.col("err"), s.adaptive_nsigma, var)
+        if {"ex2", "ey2"} <= set(det.columns):
+            measured = features.pixel_radius(F.col("ex2"), F.col("ey2"), s.adaptive_nsigma, var)
+            det = det.join(det.groupBy("epoch_id").agg(F.max(measured.isNotNull()).alias("_measured")), "epoch_id")
+            own = F.when(F.col("_measured"), measured).otherwise(own)
         own = geo.clip(own, s.idlimit_min_px, s.idlimit_max_px)
-        return features.capped_radius(det.withColumn("match_px", own), "match_px", ("epoch_id",), s.adaptive_percentile / 100, s.idlimit_px)
+        return features.capped_radius(det.withColumn("match_px", own).drop("_measured"), "match_px", ("epoch_id",), s.adaptive_percentile / 100, s.idlimit_px)
 
     def proposals(self, det: DataFrame) -> DataFrame:
         """What each catalogue calls new or changed, scored and gated, with the clustering radius ``r`` in arcsec."""
@@ -53,16 +57,22 @@ class CatalogVotes:
         x = self.match_radii(det)
         if self.frame:
             x = x.where(features.inside_frame(F.col("x"), F.col("y"), *self.frame, self.edge))
-        base = written(features.detection_features(x), "features")
-        score = features.base_score({"fwhm_ratio", "axis_ratio", "snr_auto", "flags", "mag", "maglim", "candidate_type"}, s.weights)
+        base = written(x, "matched")
         most = max(s.idlimit_px, s.idlimit_max_px) if s.enable_adaptive_idlimit else s.idlimit_px
-        out = None
-        for k, (name, stars) in enumerate(self.catalogs.items()):
-            kinds = cluster.classify(base, stars, most, s.siglim, s.new_source_siglim or s.siglim, s.mag_change_threshold, name, own_radius="match_px")
+        out = stars = None
+        for k, (name, known) in enumerate(self.catalogs.items()):
+            kinds = cluster.classify(base, known, most, s.siglim, s.new_source_siglim or s.siglim, s.mag_change_threshold, name, own_radius="match_px")
             y = base.join(kinds, "det_id").where(features.bright_enough(F.col("mag"), F.col("maglim"), s.maglim_filter_multiplier))
-            y = y.withColumns({"quality": score, "catalog": F.lit(name), "cand_id": F.col("det_id") * len(self.catalogs) + k})
-            y = y.where(~F.isnan("quality") & (F.col("quality") >= s.min_quality))
-            out = y if out is None else out.unionByName(y)
+            y = y.withColumns({"catalog": F.lit(name), "cand_id": F.col("det_id") * len(self.catalogs) + k})
+            at = known.select(F.lit(name).alias("catalog"), "sx", "sy")
+            out, stars = (y, at) if out is None else (out.unionByName(y), stars.unionByName(at))
+        # Sizes are over the median of an exposure's candidates of one catalogue; stars beyond ISOLATED pixels count as none.
+        out = features.detection_features(written(out, "classified"), ("epoch_id", "catalog"))
+        near = spatial.radius_join(stars, out.select("cand_id", "catalog", "x", "y"), features.ISOLATED, left_on=("sx", "sy"), right_on=("x", "y"), by=("catalog",))
+        near = near.groupBy("cand_id").agg(F.min("dist").alias("_near"))
+        out = out.join(near, "cand_id", "left").withColumn("nearest_source_dist", F.coalesce("_near", F.lit(float("inf")))).drop("_near")
+        score = features.base_score({"fwhm_ratio", "axis_ratio", "snr_auto", "flags", "mag", "maglim", "candidate_type", "nearest_source_dist"}, s.weights)
+        out = out.withColumn("quality", score).where(~F.isnan("quality") & (F.col("quality") >= s.min_quality))
         if self.movers is not None and s.vsx_filter_enabled:
             out = spatial.radius_anti(out, self.movers, s.vsx_match_radius_arcsec, system="sky", right_on=("mra", "mdec"), by=("epoch_id",), strict=True)
         r = features.cluster_radius(F.col("fwhm"), F.col("a"), F.col("snr_auto"), s.adaptive_nsigma, self.scale)

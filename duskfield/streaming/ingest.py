@@ -24,6 +24,36 @@ def debounced(arrivals: DataFrame, key: str, time: str, gap: str = "30 seconds",
     return out.select(key, "first", "last", "n")
 
 
+MESSAGE = "ecsv_path string, fits_path string, _bad string"
+
+
+def arrival_messages(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(ecsv_path, fits_path, problem) from lines of JSON, one message each, as a socket or a folder of text files gives them;
+    works on tables and streams. ``problem`` says why a line is no message: it can't be parsed, or names no table."""
+    m = F.from_json(column, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    x = lines.select(m.alias("m"))
+    named = F.length(F.trim(F.coalesce("m.ecsv_path", F.lit("")))) > 0
+    problem = F.when(F.col("m._bad").isNotNull(), "not a JSON object").when(~named, "names no table")
+    return x.select("m.ecsv_path", "m.fits_path", problem.alias("problem"))
+
+
+def land(messages: DataFrame, read: Callable[[SparkSession, list[str]], DataFrame], path: str, checkpoint: str, once_only: bool = True) -> StreamingQuery:
+    """Reads the tables that each micro-batch's messages name, by ``read``, and writes their rows to ``path``/batch=number; messages
+    with a problem go to ``path``.problems. A batch that runs again overwrites its own rows; a table named twice in a batch
+    is read once. The list of a batch's paths comes to the driver, as Spark's readers need it there."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df = df.persist()
+        paths = [r[0] for r in df.where("problem is null").select("ecsv_path").distinct().orderBy("ecsv_path").collect()]
+        if paths:
+            read(df.sparkSession, paths).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        df.where("problem is not null").write.mode("overwrite").parquet(f"{path}.problems/batch={number}")
+        df.unpersist()
+
+    writer = messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once_only else writer).start()
+
+
 def unseen(rows: DataFrame, registry: DataFrame, digest: str) -> DataFrame:
     """Rows whose content the registry doesn't have."""
     return rows.join(registry.select(digest).distinct(), digest, "left_anti")

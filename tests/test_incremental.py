@@ -1,6 +1,5 @@
 """What is kept and brought up to date, against the same from all rows at once."""
 
-import math
 import random
 import time
 import uuid
@@ -101,3 +100,40 @@ def test_stale_lock_is_broken(spark):
         time.sleep(1.1)
         with tables.single_writer(spark, path, wait=0.2, pause=0.05, stale=1.0):
             pass
+
+
+def test_source_list_as_a_stream(spark):
+    """Exposures that arrive one by one, over a restart, give the batch's list; sources lie across borders of cells."""
+    from duskfield.streaming import source_list
+
+    rng = random.Random(9)
+    at = [(rng.uniform(-20, 20), rng.uniform(-20, 20)) for _ in range(25)]
+    rows = [(e * 1000 + k, e, (x + rng.gauss(0, 0.6)) / 3600 % 360, (y + rng.gauss(0, 0.6)) / 3600) for e in range(5) for k, (x, y) in enumerate(at) if rng.random() < 0.8]
+    rows.append((99_999, 2, float("nan"), 1.0))
+    x = spark.createDataFrame(rows, "det_id long, epoch_id long, ra double, dec double")
+    arrivals, top = folder(spark, "arrivals"), folder(spark, "sources")
+    for e in range(5):
+        x.where(F.col("epoch_id") == e).coalesce(1).write.mode("append").parquet(arrivals)
+        if e in (2, 4):
+            stream = source_list.grow(spark, arrivals, top, 1.0)
+            stream.processAllAvailable()
+            stream.stop()
+    got = {r["det_id"]: r["source"] for r in source_list.decisions(spark, top).collect()}
+    want = {r["det_id"]: r["source"] for r in graph.source_list(x, 1.0).collect()}
+    assert got == want and len(set(want.values())) < len(want)
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{top}/announced").count() > 0
+
+
+def test_messages_are_landed(spark):
+    """Lines that are no messages are kept aside with the reason; a second run reads nothing twice."""
+    from duskfield.streaming import ingest
+
+    lines, top = folder(spark, "lines"), folder(spark, "landed")
+    given = ['{"ecsv_path": "a.ecsv", "fits_path": "a.fits"}', '{"ecsv_path": "a.ecsv"}', "{broken", '{"fits_path": "b.fits"}', '{"ecsv_path": "b.ecsv", "fits_path": null}', "[]"]
+    spark.createDataFrame([(v,) for v in given], "value string").coalesce(1).write.text(lines)
+    read = lambda s, paths: s.createDataFrame([(p, k) for p in paths for k in range(2)], "path string, row int")
+    for _ in range(2):
+        ingest.land(ingest.arrival_messages(spark.readStream.text(lines)), read, f"{top}/rows", f"{top}/checkpoint").awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(f"{top}/rows").select("path", "row").collect())) == [("a.ecsv", 0), ("a.ecsv", 1), ("b.ecsv", 0), ("b.ecsv", 1)]
+    bad = spark.read.parquet(f"{top}/rows.problems").select("problem").collect()
+    assert sorted(r[0] for r in bad) == ["names no table", "not a JSON object", "not a JSON object"]

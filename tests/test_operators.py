@@ -381,9 +381,9 @@ def brute_catalog_votes(rows, catalogs, bodies, variables, s, frame, ast_sigma):
         own = [r | {"match": clip(s.adaptive_nsigma * math.sqrt(r["ex2"] + r["ey2"]), 1, 8)} for r in rows if r["epoch_id"] == e]
         cap = percentile([r["match"] for r in own], s.adaptive_percentile / 100)
         own = [r for r in own if not (r["x"] < 10 or r["y"] < 10 or r["x"] > frame[0] - 10 or r["y"] > frame[1] - 10)]
-        med = percentile([r["fwhm"] for r in own], 0.5)
         for k, (name, stars) in enumerate(catalogs.items()):
             floor = {"gaia": 0.01, "usno": 0.1}[name]
+            kept = []
             for r in own:
                 near = [m for x, y, m in stars if math.hypot(r["x"] - x, r["y"] - y) <= min(r["match"], cap)]
                 usable = [m for m in near if m is not None]
@@ -398,8 +398,11 @@ def brute_catalog_votes(rows, catalogs, bodies, variables, s, frame, ast_sigma):
                     kind, size, ok = ("brightening" if big and change < 0 else "fading"), change, bool(big) and r["err"] < 1.091 / s.siglim
                 if not ok or r["mag"] > s.maglim_filter_multiplier * r["maglim"]:
                     continue
-                fr, ar, snr = r["fwhm"] / med, r["b"] / r["a"], 1.0857 / r["err"]
-                q = math.exp(-((fr - 1) ** 2) / 0.5) * 1.5 * clip(ar, 0, 1) * 1.5 * clip(snr / 20, 0, 1) * 2 * (0.5 if r["flags"] > 0 else 1) * clip(1 + 0.2 * (r["maglim"] - r["mag"]), 0.5, 2)
+                kept.append((r, kind, size))
+            for r, kind, size in kept:
+                alone = min([math.hypot(r["x"] - x, r["y"] - y) for x, y, _ in stars], default=math.inf)
+                fr, ar, snr = r["fwhm"] / percentile([c["fwhm"] for c, *_ in kept], 0.5), r["b"] / r["a"], 1.0857 / r["err"]
+                q = math.exp(-((fr - 1) ** 2) / 0.5) * 1.5 * clip(ar, 0, 1) * 1.5 * clip(snr / 20, 0, 1) * 2 * (0.5 if r["flags"] > 0 else 1) * clip(1 + 0.2 * (r["maglim"] - r["mag"]), 0.5, 2) * clip(alone / 10, 0, 1)
                 if q < s.min_quality or any(b[0] == e and sep(r["ra"], r["dec"], b[1], b[2]) < s.vsx_match_radius_arcsec for b in bodies):
                     continue
                 reach = clip(s.adaptive_nsigma * r["fwhm"] / 2.35 * math.sqrt(10 / max(snr, 3)), 1, 8) * s.default_plate_scale_arcsec_per_px
@@ -527,3 +530,13 @@ def test_display_levels(spark):
     got = {r["k"]: (r["low"], r["high"]) for r in images.display_levels(spark.createDataFrame(rows, "k long, p array<double>"), "k", "p").collect()}
     assert 70 < got[1][0] < 100 < got[1][1] < 500  # bright pixels don't stretch the sky
     assert got[2] == (3.0, 3.0) and got[3] == got[4] == (None, None) and 1.0 <= got[5][0] < got[5][1] <= 2.0 and got[6][0] == 0.0 and got[6][1] > 0
+
+
+def test_radii_are_chosen_for_each_exposure(spark):
+    """Position errors count in an exposure that has a valid one; its other rows take the default, and other exposures sizes."""
+    nan = float("nan")
+    rows = [(0, 0, 2.0, 0.01, 1.0, 1.0), (1, 0, 2.0, 0.01, nan, 1.0), (2, 1, 2.35, 0.1091, None, None), (3, 1, 2.35, 0.1091, -1.0, 1.0)]
+    det = spark.createDataFrame(rows, "det_id long, epoch_id int, fwhm double, err double, ex2 double, ey2 double")
+    s = pipeline.Settings(enable_adaptive_idlimit=True, adaptive_nsigma=2.0, adaptive_percentile=100.0, idlimit_px=1.5, idlimit_min_px=0.1, idlimit_max_px=8.0)
+    got = {r["det_id"]: r["match_px"] for r in pipeline.CatalogVotes({}, s).match_radii(det).collect()}
+    assert got == pytest.approx({0: 2 * math.sqrt(2), 1: 1.5, 2: 1.0, 3: 1.0})
