@@ -152,26 +152,28 @@ def fitted_model(terms: dict[str, float], mag: Column, airmass: Column, x: Colum
             continue
         out = out + (F.when(image == int(number) - 1, part).otherwise(0.0) if number else part)
     if {"GA", "GW"} <= whole.keys():
-        out = out + whole["GA"] * F.exp(-GAUSS_SCALE * radius / 10 ** whole["GW"])
+        out = out + whole["GA"] * F.exp(-GAUSS_SCALE * radius * F.pow(F.lit(10.0), -F.lit(whole["GW"])))
     if {"EA", "EW"} <= whole.keys():
-        z = F.sqrt(radius / whole["EW"])
+        z = F.sqrt(F.try_divide(radius, F.lit(whole["EW"])))
         out = out + whole["EA"] * (F.exp(z) / (z + 1) - 1)
-    if any(whole.get(k) for k in ("RS", "RO", "RC")):
+    if whole.keys() & {"RS", "RO", "RC"}:
         z = -rel - whole.get("RO", 0.0)
         out = out + whole.get("RS", 0.0) * z / (1 + whole.get("RC", 0.0) * z * z + 1e-10)
     return out
 
 
-def flat_mesh(spark: SparkSession, terms: dict[str, float], width: int, height: int, step: int, centre: tuple[float, float], unit: float) -> DataFrame:
-    """(px, py, flat): what the terms of place add on a mesh of pixels, without zero point, colours and magnitude.
+def flat_mesh(frames: DataFrame, key: str, terms: dict[str, float], step: int, unit: float) -> DataFrame:
+    """(key, px, py, flat): what the terms of place add on a mesh of each frame's pixels, without zero point, colours and magnitude.
 
-    Coordinates of the model are pixels from ``centre`` in units of ``unit``.
+    ``frames``: key, width, height in pixels. Coordinates of the model are pixels from a frame's centre in units of ``unit``.
     """
-    mesh = spark.range(0, width, step).select(F.col("id").alias("px")).withColumn("py", F.explode(F.sequence(F.lit(0), F.lit(height - 1), F.lit(step))))
+    along = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c).cast("long") - 1, F.lit(step).cast("long")))
+    mesh = frames.where("width > 0 and height > 0").select(key, "width", "height", along("width").alias("px")).withColumn("py", along("height"))
+    centre = (F.col("width") / 2, F.col("height") / 2)
     x, y, none = (F.col("px") - centre[0]) / unit, (F.col("py") - centre[1]) / unit, F.lit(0.0)
     place = {k: v for k, v in terms.items() if re.match(r"^(P[\dXYR]+|GA|GW|EA|EW|S[XY]{1,2})(:\d+)?$", k)}
     level = -2.5 * math.log10((1 + MODEL_OFFSET) / MODEL_COUNTS)  # of magnitude 0, which is no place
-    return mesh.select("px", F.col("py").cast("long").alias("py"), (fitted_model(place, none, none, x, y, [none] * 4, F.col("px").cast("double"), F.col("py").cast("double"), F.lit(0)) - level).alias("flat"))
+    return mesh.select(key, "px", "py", (fitted_model(place, none, none, x, y, [none] * 4, F.col("px").cast("double"), F.col("py").cast("double"), F.lit(0)) - level).alias("flat"))
 
 
 def calibrated(mag_calib: Column, err_calib: Column, mag_auto: Column, err_auto: Column, zero: Column) -> tuple[Column, Column]:

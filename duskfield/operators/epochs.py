@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -99,6 +102,96 @@ def fit_terms(rows: DataFrame, group: str, y: str, err: str, terms: dict[str, Co
     return now.select(group, each.alias("t")).select(group, "t.term", "t.value", "t.error")
 
 
+def fit_model(rows: DataFrame, group: str, y: str, err: str, model: Callable[[dict[str, Column]], Column], start: dict[str, float], rounds: int = 40, robust: bool = True, tolerance: float = 1e-10) -> DataFrame:
+    """(group, term, value, error, rms, n_rows): a model that isn't linear in its terms, fitted per group by Levenberg-Marquardt.
+
+    ``model`` gives the value of a row from columns of the terms, which begin at ``start``. Its derivatives are central
+    differences of the same expression, so that a round is one pass of partial sums: normal equations, and the sum of
+    squares or of Cauchy's ln(1 + z^2). Each group has its own damping; a step that doesn't lower its sum is taken back and
+    damped more. Groups that stand still have no part in further rounds; the last round is the latest after ``rounds``.
+
+    A group stands still when a step lowers its sum by less than ``tolerance`` of it.
+
+    Errors are roots of the inverse normal equations, of their pseudo-inverse where these are singular, and scaled by the
+    rms of the weighted residuals; a term that nothing depends on keeps its start and has an error of 0. Rows with an
+    unknown value or an error that isn't positive are left out; a group without rows, or whose model isn't finite at the
+    start, has no result; an empty table gives none.
+    """
+    names, k = list(start), len(start)
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    x = written(rows.where(known(y) & known(err) & (F.col(err) > 0)), "fit_rows")
+    kind = x.schema[group].dataType.simpleString()
+    term = lambda i: F.get("trial", F.lit(i))
+    at = {n: term(i) for i, n in enumerate(names)}
+    step = lambda i: F.greatest(F.abs(term(i)), F.lit(1e-3)) * 6e-6
+    slope = lambda i: (model(at | {names[i]: term(i) + step(i)}) - model(at | {names[i]: term(i) - step(i)})) / (2 * step(i))
+    upper = np.triu_indices(k)
+    state = f"{group} {kind}, trial array<double>, best array<double>, gram array<double>, side array<double>, cost double, damp double, n_rows long, still boolean"
+
+    def stepped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                best, gram, side, cost, damp, still = r.best, r.gram, r.side, r.cost, r.damp, False
+                better = np.isfinite(r.new_cost) and np.isfinite(r.new_gram).all() and (best is None or r.new_cost <= cost)
+                if best is None and not better:
+                    continue
+                if better:
+                    still = best is not None and cost - r.new_cost <= tolerance * cost + 1e-15 * r.n_rows
+                    best, gram, side, cost, damp = r.trial, r.new_gram, r.new_side, r.new_cost, damp / 10
+                else:
+                    damp *= 10
+                    still = damp > 1e12
+                full = np.zeros((k, k))
+                full[upper] = gram
+                full += np.triu(full, 1).T
+                d = np.where(np.diag(full) > 0, np.diag(full), 1.0)
+                move = np.linalg.lstsq(full + damp * np.diag(d), np.asarray(side), rcond=None)[0]
+                out.append((r[0], np.asarray(best) + move, best, gram, side, cost, damp, r.n_rows, still))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in state.split(", ")])
+
+    groups = x.select(group).distinct()
+    empty = F.lit(None).cast("array<double>")
+    now = groups.select(group, F.array(*[F.lit(float(v)) for v in start.values()]).alias("trial"), empty.alias("best"), empty.alias("gram"), empty.alias("side"), F.lit(0.0).alias("cost"), F.lit(1e-3).alias("damp"))
+    done = None
+    for turn in range(rounds):
+        z = x.join(now.select(group, "trial"), group).withColumn("_r", (F.col(y) - model(at)) / F.col(err))
+        w = 1 / (1 + F.col("_r") * F.col("_r")) if robust else F.lit(1.0)
+        z = z.withColumns({"_w": w} | {f"_d{i}": slope(i) / F.col(err) for i in range(k)})
+        gram = F.array(*[F.sum(F.col("_w") * F.col(f"_d{a}") * F.col(f"_d{b}")) for a, b in zip(*upper, strict=True)])
+        side = F.array(*[F.sum(F.col("_w") * F.col(f"_d{i}") * F.col("_r")) for i in range(k)])
+        cost = F.sum(F.log1p(F.col("_r") * F.col("_r")) if robust else F.col("_r") * F.col("_r"))
+        sums = z.groupBy(group).agg(gram.alias("new_gram"), side.alias("new_side"), cost.alias("new_cost"), F.count(F.lit(1)).alias("n_rows"))
+        moved = written(now.join(sums, group).mapInPandas(stepped, state), "fit_state")
+        ended = moved if turn == rounds - 1 else moved.where("still")
+        done = ended if done is None else done.unionByName(ended)
+        now = moved.where("not still").drop("n_rows", "still")
+        if not now.limit(1).count():
+            break
+
+    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples(index=False):
+                full = np.zeros((k, k))
+                full[upper] = r.gram
+                full += np.triu(full, 1).T
+                try:
+                    cov = np.linalg.inv(full)
+                    if not (np.diag(cov) >= 0).all():
+                        raise np.linalg.LinAlgError
+                except np.linalg.LinAlgError:
+                    cov = np.linalg.pinv(full, rcond=1e-12, hermitian=True)
+                rms = math.sqrt(r.spread / max(r.n_rows - k, 1))
+                yield pd.DataFrame({group: [r[0]] * k, "term": names, "value": r.best, "error": np.sqrt(np.clip(np.diag(cov), 0, None)) * rms, "rms": rms, "n_rows": r.n_rows})
+
+    # The spread of the residuals at the end: weighted as the fit has them.
+    done = done.withColumn("trial", F.col("best"))
+    z = x.join(done.select(group, "trial"), group).withColumn("_r", (F.col(y) - model(at)) / F.col(err))
+    w = 1 / (1 + F.col("_r") * F.col("_r")) if robust else F.lit(1.0)
+    spread = z.groupBy(group).agg(F.sum(w * F.col("_r") * F.col("_r")).alias("spread"))
+    return done.join(spread, group).mapInPandas(errors, f"{group} {kind}, term string, value double, error double, rms double, n_rows long")
+
+
 def sample_frames(frames: DataFrame, group: str, most: int) -> DataFrame:
     """At most ``most`` frames of each group: the first, the last, the one likely to be brightest, and an even stride of the
     rest, in order of ``position``. ``frames``: group, position, name, size (bytes). All are taken where they are few.

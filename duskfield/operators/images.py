@@ -43,8 +43,8 @@ def stretched(stamp: Column, low: Column, high: Column, gamma: float = 1.0) -> C
     return F.transform(stamp, lambda v: F.when(span > 0, F.bround(255 * F.pow(F.least(F.greatest((v - low) / span, F.lit(0.0)), F.lit(1.0)), F.lit(gamma)))).otherwise(0).cast("int"))
 
 
-def psf_stamp(sigma: float, half: int) -> Column:
-    """A Gaussian of sum 1 as a flat array."""
+def psf_stamp(sigma: Column | float, half: int) -> Column:
+    """A Gaussian of sum 1 as a flat array; ``sigma`` in pixels."""
     side = 2 * half + 1
     raw = F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda i: F.exp(-(F.pow(F.floor(i / side) - half, 2) + F.pow(i % side - half, 2)) / (2 * sigma * sigma)))
     return F.transform(raw, lambda v: v / F.aggregate(raw, F.lit(0.0), lambda a, b: a + b))
@@ -57,8 +57,8 @@ def masked_difference(science: Column, template: Column) -> Column:
     return F.when(F.size(science) == F.size(template), F.zip_with(science, template, one))
 
 
-#: How differences are made, by name: (science, template) -> pixels. PSF-matching engines are programs of their own and
-#: register themselves here.
+#: How differences of aligned stamps are made, by name: (science, template) -> pixels. ``matching.ENGINES`` has those that
+#: match point spreads, over tables of pixels.
 ENGINES: dict[str, Callable[[Column, Column], Column]] = {"aligned": difference, "masked": masked_difference}
 
 

@@ -84,11 +84,13 @@ def fitted_response(spark, d):
     return det(spark, d).select("det_id", r(m).alias("mag"))
 
 
-@query("""with p as (select px::bigint as px, py::bigint as py, (px-512)/1024.0E0 as u, (py-512)/1024.0E0 as v from range(0, 1024, 64) a(px), range(0, 1024, 64) b(py))
-select px, py, round(0.2E0*u-0.1E0*u*v+0.05E0*(u*u+v*v)+0.03E0*exp(-(u*u+v*v)*25/pow(10.0E0,-0.5E0)), 6)+0 as flat from p""")
+@query("""with f as (select n_nationkey as frame, 256+64*(n_nationkey%5) as w, 192+32*(n_nationkey%7) as h from nation), a as (select *, unnest(range(0, w, 64)) as px from f), p as (select *, unnest(range(0, h, 64)) as py from a),
+q as (select *, (px-w/2.0E0)/1024.0E0 as u, (py-h/2.0E0)/1024.0E0 as v from p)
+select frame, px, py, round(0.2E0*u-0.1E0*u*v+0.05E0*(u*u+v*v)+0.03E0*exp(-(u*u+v*v)*25/pow(10.0E0,-0.5E0)), 6)+0 as flat from q""")
 def flat_mesh(spark, d):
-    x = phot.flat_mesh(spark, {"Z": 25.0, "PX": 0.2, "PXY": -0.1, "PR": 0.05, "GA": 0.03, "GW": -0.5, "PC": 3.0}, 1024, 1024, 64, (512.0, 512.0), 1024.0)
-    return x.select("px", "py", (r("flat", 6) + 0).alias("flat"))
+    frames = spark.read.parquet(f"{d}/nation.parquet").selectExpr("n_nationkey as frame", "256+64*(n_nationkey%5) as width", "192+32*(n_nationkey%7) as height")
+    x = phot.flat_mesh(frames, "frame", {"Z": 25.0, "PX": 0.2, "PXY": -0.1, "PR": 0.05, "GA": 0.03, "GW": -0.5, "PC": 3.0}, 64, 1024.0)
+    return x.select("frame", "px", "py", (r("flat", 6) + 0).alias("flat"))
 
 
 @query("""select l_orderkey as k, l_linenumber as n, round(2.5E0/(ln(10)*l_quantity*sqrt(l_extendedprice)), 8) as err, case when l_returnflag='A' then 0.01E0 when l_returnflag='R' then 0.10E0 when l_linestatus='F' then 0.03E0 else 0.02E0 end as floor from lineitem""")
@@ -230,9 +232,10 @@ def merged_headers(spark, d):
     return x.select("epoch_id", F.col("h")["FILTER"].alias("filter"), F.col("h")["OBJECT"].alias("object"), F.col("h")["TEMPLATE"].alias("template"))
 
 
-@query("with i as (select i, exp(-(pow(i//9-4, 2)+pow(i%9-4, 2))/(2*1.7E0*1.7E0)) as v from range(81) t(i)) select i::int as i, round(v/sum(v) over (), 8) as v from i")
+@query(f"{with_views('det')}, e as (select epoch_id, avg(fwhm)/2.35E0 as s from det group by epoch_id), i as (select epoch_id, i, exp(-(pow(i//9-4, 2)+pow(i%9-4, 2))/(2*s*s)) as v from e, range(81) t(i)) select epoch_id, i::int as i, round(v/sum(v) over (partition by epoch_id), 7) as v from i")
 def psf_stamp(spark, d):
-    return spark.range(1).select(F.posexplode(images.psf_stamp(1.7, 4)).alias("i", "v")).select("i", r("v", 8).alias("v"))
+    x = det(spark, d).groupBy("epoch_id").agg((F.avg("fwhm") / 2.35).alias("s"))
+    return x.select("epoch_id", F.posexplode(images.psf_stamp(F.col("s"), 4)).alias("i", "v")).select("epoch_id", "i", r("v", 7).alias("v"))
 
 
 # --- reports -------------------------------------------------------------------------------------------------------

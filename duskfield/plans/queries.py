@@ -12,7 +12,7 @@ from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
 from ..functions.tables import shared_dir
-from ..operators import cluster, epochs, features, graph, images, lightcurve, spatial
+from ..operators import cluster, epochs, features, graph, images, lightcurve, matching, spatial
 from ..operators.incremental import ClusterStore
 from . import field_queries  # noqa: F401  (registers its own)
 from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
@@ -310,6 +310,15 @@ def term_fit(spark, d):
     return epochs.fit_terms(x, "epoch_id", "mag", "err", {"Z": F.lit(1.0), "PX": F.col("x") / 1000, "PY": F.col("y") / 1000})
 
 
+@query()
+def response_fit(spark, d):
+    """Zero point, tilt and a Gaussian of the radius with its width, fitted robustly to each exposure's detections."""
+    x = det(spark, d).withColumns({"u": F.col("x") / 1000, "v": F.col("y") / 1000})
+    model = lambda p: p["Z"] + p["PX"] * F.col("u") + p["GA"] * F.exp(-phot.GAUSS_SCALE * (F.col("u") * F.col("u") + F.col("v") * F.col("v")) * F.pow(F.lit(10.0), -p["GW"]))
+    got = epochs.fit_model(x, "epoch_id", "mag", "err", model, {"Z": 17.0, "PX": 0.0, "GA": 0.1, "GW": 0.5}, rounds=12)
+    return got.select("epoch_id", "term", r("value", 3).alias("value"), "n_rows")
+
+
 # --- rejection and annotation --------------------------------------------------------------------------------------
 
 _VAR = "v as (select s_suppkey as var_id, 20.0E0+20.0E0*(s_suppkey%50) as vx, 20.0E0+20.0E0*floor(s_suppkey/50) as vy from supplier)"
@@ -430,6 +439,16 @@ def stamp_difference(spark, d):
     return y.select("vec_id", r(F.aggregate("dv", F.lit(0.0), lambda a, b: a + b), 4).alias("total"), r(F.array_min("dv")).alias("least_dv"), r(F.array_max("dv")).alias("most_dv"))
 
 
+@query()
+def matched_stamps(spark, d):
+    """Each stamp less its template, convolved with the kernel of nine pixels that fits it best."""
+    x = _stamps(spark, d).select("vec_id", "embedding", (F.floor(F.col("vec_id") / 10) * 10).alias("t"))
+    both = x.join(x.select(F.col("vec_id").alias("t"), F.col("embedding").alias("template")), "t")
+    got, kernels = matching.matched_difference(images.pixels(both, "vec_id", "embedding", 8), images.pixels(both, "vec_id", "template", 8), "vec_id")
+    size = got.groupBy("vec_id").agg(F.count("v").alias("n"), F.sqrt(F.avg(F.col("v") * F.col("v"))).alias("rms"))
+    return size.join(kernels.select("vec_id", F.size("coef").alias("n_coef")), "vec_id").select("vec_id", "n", r("rms").alias("rms"), "n_coef")
+
+
 @query("with p as (select label, unnest(embedding)::double as v, unnest(range(64)) as i from embeddings) select label, cast(i//8 as int) as py, cast(i%8 as int) as px, round(avg(v), 5) as v, count(*) as n from p group by all")
 def coadd(spark, d):
     e = _stamps(spark, d)
