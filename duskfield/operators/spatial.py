@@ -96,22 +96,60 @@ def _extent(left: DataFrame, right: DataFrame, system: str, left_on: tuple[str,
     if system == "sky":
         return 180 * 3600.0
     both = left.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(left_on or PIXEL)]).union(right.select(*[F.col(c).cast("double") for c in right_on or PIXEL]))
-    got = both.where(~F.isnan("v0") & ~F.isnan("v1")).agg(*[f(f"v{k}").alias(f"{n}{k}") for k in (0, 1) for n, f in (("a", F.min), ("b", F.max))]).first()
+    finite = lambda c: F.abs(c) < float("inf")
+    got = both.where(finite("v0") & finite("v1")).agg(*[f(f"v{k}").alias(f"{n}{k}") for k in (0, 1) for n, f in (("a", F.min), ("b", F.max))]).first()
     return math.hypot(got["b0"] - got["a0"], got["b1"] - got["a1"]) * (1 + 1e-9) + 1e-9 if got["a0"] is not None else 0.0
 
 
-def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, grow: float = 2.0, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None, **how) -> DataFrame:
-    """Each left row's nearest right row, however far: rings grow, and only rows that have found nothing go on, until none is
-    left or the ring covers everything. Each ring is written, so that no ring is computed twice."""
-    how |= {"system": system, "left_on": left_on, "right_on": right_on}
-    found, rest, radius, most = None, written(left, "left"), first_radius, _extent(left, right, system, left_on, right_on)
-    while True:
-        got = written(nearest(rest, right, min(radius, max(most, first_radius)), key, right_key, **how), "ring")
-        found = got if found is None else found.unionByName(got)
-        rest = written(rest.join(got.select(key), key, "left_anti"), "rest")
-        if radius >= most or not rest.limit(1).count():
-            return found
-        radius *= grow
+def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None) -> DataFrame:
+    """Each left row's nearest right row, however far, with ``dist``; the smaller right key where two are as near.
+
+    A pyramid of the cells that the right side occupies, each level twice as wide as the one before, tells every left cell
+    the first level at which it or a cell beside it holds something. That bounds the distance, and one join on cells four
+    times as wide finds the nearest: a row of the left side is joined at its own level only, one of the right side at each
+    level in use. The number of jobs doesn't depend on the distances. Rows without a finite position aren't found and
+    find nothing; without any right row there is no row. A left row far from all of the right side meets whatever lies
+    within four times that distance: ``first_radius`` should be what is usual.
+    """
+    sky = system == "sky"
+    n = 3 if sky else 2
+    left_on, right_on = left_on or (SKY if sky else PIXEL), right_on or (SKY if sky else PIXEL)
+    size = 2 * math.sin(math.radians(min(first_radius, 180 * 3600.0) / 3600) / 2) if sky else first_radius
+    most = 2.0 if sky else _extent(left, right, system, left_on, right_on)
+    levels = max(0, math.ceil(math.log2(max(most / size, 1.0)))) + 1
+
+    def placed(df: DataFrame, on: tuple[str, str], prefix: str) -> DataFrame:
+        finite = [~F.isnan(c) & (F.abs(c) < float("inf")) for c in on]
+        axes = unit_vector(F.col(on[0]), F.col(on[1])) if sky else (F.col(on[0]).cast("double"), F.col(on[1]).cast("double"))
+        return df.where(finite[0] & finite[1]).withColumns({f"{prefix}{k}": v for k, v in enumerate(axes)})
+
+    cell = lambda prefix, level: [F.floor(F.col(f"{prefix}{k}") / (F.lit(size) * F.pow(F.lit(2.0), level))).alias(f"c{k}") for k in range(n)]
+    coarser = lambda: [F.expr(f"shiftright(c{k}, level)").alias(f"c{k}") for k in range(n)]
+    every = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    names = [f"c{k}" for k in range(n)]
+
+    a, b = placed(left, left_on, "_l"), placed(right, right_on, "_r")
+    occupied = b.select(*cell("_r", F.lit(0))).distinct().select("*", every).select("level", *coarser()).distinct()
+    for k in range(n):
+        occupied = occupied.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
+    own = a.select(*cell("_l", F.lit(0))).distinct()
+    asked = own.select(*[F.col(c).alias(f"o{k}") for k, c in enumerate(names)], *names, every).select(*[f"o{k}" for k in range(n)], "level", *coarser())
+    found = asked.join(occupied.distinct(), ["level", *names], "left_semi").groupBy(*[f"o{k}" for k in range(n)]).agg(F.min("level").alias("level"))
+    found = written(found.withColumn("level", F.col("level") + 2), "levels")
+    used = sorted(r[0] for r in found.select("level").distinct().collect())  # one number a level
+
+    x = a.withColumns({f"o{k}": c for k, c in enumerate(cell("_l", F.lit(0)))}).join(found, [f"o{k}" for k in range(n)]).drop(*[f"o{k}" for k in range(n)])
+    x = x.withColumns(dict(zip(names, cell("_l", F.col("level")), strict=True)))
+    for k in range(n):
+        x = x.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
+    y = b.withColumn("level", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
+    y = y.withColumns(dict(zip(names, cell("_r", F.col("level")), strict=True)))
+    square = sum(((F.col(f"_l{k}") - F.col(f"_r{k}")) * (F.col(f"_l{k}") - F.col(f"_r{k}")) for k in range(n)), F.lit(0.0))
+    dist = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))) * 3600 if sky else F.sqrt(square)
+    pairs = x.join(y, ["level", *names]).withColumn("dist", dist).drop("level", *names, *[f"_{s}{k}" for s in "lr" for k in range(n)])
+    rest = [c for c in pairs.columns if c not in (key, "dist", right_key)]
+    best = pairs.groupBy(key).agg(F.min(F.struct("dist", right_key, *rest)).alias("_best"))
+    return best.select(key, *[F.col("_best").getField(c).alias(c) for c in ("dist", right_key, *rest)])
 
 
 def image_matches(cands: DataFrame, det: DataFrame, radius: float = 5.0, key: str = "cand_id") -> DataFrame:

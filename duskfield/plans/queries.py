@@ -45,12 +45,12 @@ def self_pairs_min_radius(spark, d):
     return spatial.self_pairs(x, 0.5, "det_id", carry=("rad",), by=("epoch_id",)).where("dist <= least(rad, rad2)").select("epoch_id", "det_id", "det_id2", r("dist").alias("dist"))
 
 
-@query(f"""{with_views('det', 'gaia')}, r0 as (select det_id, epoch_id, x, y, least(greatest(3.0E0*sqrt(ex2+ey2), 1), 8) as rad from det), cap as (select epoch_id, quantile_cont(rad, 0.95) as c from r0 group by epoch_id)
-select det_id, count(star_id) as n_matched, round(min(least(rad, c)), 5) as radius from r0 join cap using (epoch_id) left join gaia on sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= least(rad, c) group by det_id""")
+@query(f"""{with_views('det', 'all_stars')}, r0 as (select det_id, epoch_id, x, y, least(greatest(3.0E0*sqrt(ex2+ey2), 1), 8) as rad from det), cap as (select epoch_id, quantile_cont(rad, 0.95) as c from r0 group by epoch_id)
+select det_id, count(star_id) as n_matched, round(min(least(rad, c)), 5) as radius from r0 join cap using (epoch_id) left join all_stars on sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy)) <= least(rad, c) group by det_id""")
 def adaptive_radius_match(spark, d):
     x = det(spark, d).withColumn("rad", features.pixel_radius(F.col("ex2"), F.col("ey2"), 3.0, F.lit(1.0)))
     x = features.capped_radius(x, "rad")
-    m = spatial.radius_join(x.select("det_id", "x", "y", "rad"), stars(spark, d, 3), 8.0, right_on=("sx", "sy"), row_radius=F.col("rad"))
+    m = spatial.radius_join(x.select("det_id", "x", "y", "rad"), stars(spark, d), 8.0, right_on=("sx", "sy"), row_radius=F.col("rad"))
     return x.join(m.groupBy("det_id").agg(F.count(F.lit(1)).alias("n")), "det_id", "left").select("det_id", F.coalesce("n", F.lit(0)).alias("n_matched"), r("rad").alias("radius"))
 
 
@@ -339,12 +339,12 @@ def mover_reject_by_epoch(spark, d):
     return spatial.radius_anti(cand(spark, d), m, 0.7, right_on=("mx", "my"), by=("epoch_id",)).select("det_id")
 
 
-_PM = "g2 as (select star_id, sra+pmra/3.6E6/cos(radians(sdec))*8.0E0 as sra, sdec+pmdec/3.6E6*8.0E0 as sdec from gaia where sqrt(pmra*pmra+pmdec*pmdec) >= 20)"
+_PM = "g2 as (select star_id, sra+pmra/3.6E6/cos(radians(sdec))*8.0E0 as sra, sdec+pmdec/3.6E6*8.0E0 as sdec from all_stars where sqrt(pmra*pmra+pmdec*pmdec) >= 20)"
 
 
-@query(f"{with_views('cand', 'gaia')}, {_PM} select det_id from cand where not exists (select 1 from g2 where abs(dec-sdec)<0.001E0 and {_HAV} <= 0.6E0)")
+@query(f"{with_views('cand', 'all_stars')}, {_PM} select det_id from cand where not exists (select 1 from g2 where abs(dec-sdec)<0.001E0 and {_HAV} <= 0.6E0)")
 def proper_motion_reject(spark, d):
-    s = stars(spark, d, 3).where("sqrt(pmra*pmra+pmdec*pmdec) >= 20")
+    s = stars(spark, d).where("sqrt(pmra*pmra+pmdec*pmdec) >= 20")
     ra, dec = geo.moved(F.col("sra"), F.col("sdec"), F.col("pmra"), F.col("pmdec"), 8.0)
     return spatial.radius_anti(cand(spark, d), s.select(ra.alias("mra"), dec.alias("mdec")), 0.6, system="sky", right_on=("mra", "mdec")).select("det_id")
 
@@ -577,9 +577,16 @@ def json_values(spark, d):
     return x.select("event_id", ident.json_value(text).alias("k"))
 
 
-@query("select page_id, case when regexp_matches(url, '(?:^|_)(?:obs|obsid|field)_') then 'x' else coalesce(nullif(trim(regexp_replace(regexp_replace(split_part(case when regexp_matches(regexp_extract(url, '([^/]*)$', 1), '[^.]\\.[^.]*$') then regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') else regexp_extract(url, '([^/]*)$', 1) end, '.', 1), '[^a-zA-Z0-9_]', '_', 'g'), '_+', '_', 'g'), '_'), ''), 'unknown') end as obs_id from pages")
+_NAMED = "case page_id%5 when 1 then '/d/img_obs_N-'||page_id||'_r.fits' when 2 then 'x/Field_A.'||page_id||'.ecsv' when 3 then '/ObsID_'||page_id||'_obs_7.fits' when 4 then 'a_obs__'||page_id||'.fits' else url end"
+
+
+@query(rf"""with p as (select page_id, {_NAMED} as path from pages), f as (select page_id, regexp_extract(path, '([^/]*)$', 1) as f from p),
+s as (select page_id, case when regexp_matches(f, '[^.]\.[^.]*$') then regexp_replace(f, '\.[^.]*$', '') else f end as s from f),
+w as (select page_id, coalesce(nullif(regexp_extract(s, '(?i)(?:^|_)(?:obs|obsid|field)_([^_]*)', 1), ''), s) as w from s)
+select page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(split_part(w, '.', 1), '[^a-zA-Z0-9_]', '_', 'g'), '_+', '_', 'g'), '_'), ''), 'unknown') as obs_id from w""")
 def observation_ids(spark, d):
-    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", ident.observation_id([], F.col("url")).alias("obs_id"))
+    x = spark.read.parquet(f"{d}/pages.parquet").selectExpr("page_id", f"{_NAMED} as path")
+    return x.select("page_id", ident.observation_id([], F.col("path")).alias("obs_id"))
 
 
 # --- whole plans ---------------------------------------------------------------------------------------------------
@@ -594,7 +601,7 @@ def catalog_pipeline(spark, d):
     return rows.select("transient_id", "candidate_type", "n_detections", "n_epochs", r("quality_score").alias("quality_score"))
 
 
-@query(f"""{with_views('cand', 'gaia')}, {_VAR}, c as (select * from cand where ellipticity < 0.4E0 and fwhm/2.3E0 between 0.5E0 and 2.0E0 and mag > 14),
+@query(f"""{with_views('cand', 'all_stars')}, {_VAR}, c as (select * from cand where ellipticity < 0.4E0 and fwhm/2.3E0 between 0.5E0 and 2.0E0 and mag > 14),
 mv as (select c_custkey%10 as epoch_id, 180.0E0+(40.0E0+20.0E0*(c_custkey%50))/3600.0E0 as sra, 30.0E0+(10.0E0+20.0E0*floor((c_custkey%200)/50))/3600.0E0 as sdec from customer),
 {_PM}, k as (select var_id, 180.0E0+vx/3600 as sra, 30.0E0+vy/3600 as sdec from v),
 c1 as (select * from c where not exists (select 1 from mv where mv.epoch_id=c.epoch_id and abs(dec-sdec)<0.003E0 and {_HAV} <= 10)),
@@ -611,7 +618,7 @@ def supernova_pipeline(spark, d):
     v = _variables(spark, d)
     sky = lambda n: v.select(*([F.col("var_id").alias("gal_id")] if n == "g" else []), (180.0 + F.col("vx") / 3600).alias(f"{n}ra"), (30.0 + F.col("vy") / 3600).alias(f"{n}dec"), F.concat(F.lit("AT"), F.col("var_id").cast("string")).alias("name"))
     movers = spark.read.parquet(f"{d}/customer.parquet").selectExpr("cast(c_custkey%10 as int) as epoch_id", "180.0E0+(40.0E0+20.0E0*(c_custkey%50))/3600.0E0 as mra", "30.0E0+(10.0E0+20.0E0*floor((c_custkey%200)/50))/3600.0E0 as mdec")
-    return supernova_chain(x, movers, stars(spark, d, 3), sky("g").drop("name"), sky("k").where("kra > 180.1"), [(180.1, 30.0)], 8.0, 0.2).select("det_id", "galaxy_flag", "tns_name", "sn_score")
+    return supernova_chain(x, movers, stars(spark, d), sky("g").drop("name"), sky("k").where("kra > 180.1"), [(180.1, 30.0)], 8.0, 0.2).select("det_id", "galaxy_flag", "tns_name", "sn_score")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

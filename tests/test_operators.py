@@ -540,3 +540,25 @@ def test_radii_are_chosen_for_each_exposure(spark):
     s = pipeline.Settings(enable_adaptive_idlimit=True, adaptive_nsigma=2.0, adaptive_percentile=100.0, idlimit_px=1.5, idlimit_min_px=0.1, idlimit_max_px=8.0)
     got = {r["det_id"]: r["match_px"] for r in pipeline.CatalogVotes({}, s).match_radii(det).collect()}
     assert got == pytest.approx({0: 2 * math.sqrt(2), 1: 1.5, 2: 1.0, 3: 1.0})
+
+
+@pytest.mark.parametrize("system", ["pixel", "sky"])
+def test_nearest_over_gaps_is_brute_force(spark, system):
+    """Clumps far apart, ties, copies and a first radius that is far too small or too large."""
+    rng = random.Random(21)
+    far = 3000.0 if system == "pixel" else 60.0
+    spot = lambda: (rng.choice([0.0, 1.0, -1.0]) * far + rng.gauss(0, 1), rng.choice([0.0, 0.9]) * far + rng.gauss(0, 1))
+    a = [(k, *spot()) for k in range(60)] + [(900, float("nan"), 1.0), (901, 0.0, float("inf"))]
+    b = [(k, *spot()) for k in range(25)] + [(40, *a[3][1:]), (41, *a[3][1:]), (99, float("nan"), 0.0)]
+    if system == "sky":
+        turn = lambda r: (r[0], r[1] % 360, r[2])
+        a, b = list(map(turn, a)), list(map(turn, b))
+    axes = ("x", "y") if system == "pixel" else ("ra", "dec")
+    x, y = spark.createDataFrame(a, f"i long, {axes[0]} double, {axes[1]} double"), spark.createDataFrame(b, "j long, u double, v double")
+    dist = (lambda p, q: math.hypot(p[1] - q[1], p[2] - q[2])) if system == "pixel" else (lambda p, q: sep(*p[1:], *q[1:]))
+    fine = lambda r: all(map(math.isfinite, r[1:]))
+    want = {p[0]: min((round(dist(p, q), 6), q[0]) for q in b if fine(q)) for p in a if fine(p)}
+    for first in (0.01, 7.0, 1e5):
+        got = spatial.nearest_any(x, y, first, "i", "j", system=system, right_on=("u", "v")).collect()
+        assert {r["i"]: r["j"] for r in got} == {k: v[1] for k, v in want.items()}
+        assert all(r["dist"] == pytest.approx(want[r["i"]][0], abs=1e-4, rel=1e-6) for r in got)
