@@ -24,6 +24,7 @@ HUB = 0.001
 def _finished(edges: DataFrame) -> DataFrame:
     """(a, p) of all nodes of at most FINISH edges: the least node that each reaches, by union-find in one task."""
     kind = edges.schema["a"].dataType.simpleString()
+    parts = edges.schema["a"].dataType.fieldNames() if kind.startswith("struct") else None
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         up: dict = {}
@@ -34,10 +35,14 @@ def _finished(edges: DataFrame) -> DataFrame:
             return v
 
         for batch in batches:
-            for v, w in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            ends = ([tuple(v.values()) for v in batch[c].to_pylist()] if parts else batch[c].to_pylist() for c in "ab")
+            for v, w in zip(*ends, strict=True):
                 low, high = sorted((top(v), top(w)))
                 up[high] = low
-        yield pa.RecordBatch.from_arrays([pa.array(list(up)), pa.array([top(v) for v in up])], names=["a", "p"])
+        out = [list(up), [top(v) for v in up]]
+        if parts:
+            out = [[dict(zip(parts, v, strict=True)) for v in c] for c in out]
+        yield pa.RecordBatch.from_arrays([pa.array(c, batch["a"].type) for c in out], names=["a", "p"])
 
     return edges.coalesce(1).mapInArrow(united, f"a {kind}, p {kind}")
 
