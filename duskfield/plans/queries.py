@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
-from ..functions.tables import shared_dir
-from ..operators import cluster, epochs, features, graph, images, lightcurve, matching, spatial
+from ..functions.tables import shared_dir, written
+from ..operators import cluster, detection, epochs, features, graph, images, lightcurve, matching, spatial
 from ..operators.incremental import ClusterStore
 from . import field_queries  # noqa: F401  (registers its own)
 from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
@@ -439,6 +439,16 @@ def stamp_difference(spark, d):
     return y.select("vec_id", r(F.aggregate("dv", F.lit(0.0), lambda a, b: a + b), 4).alias("total"), r(F.array_min("dv")).alias("least_dv"), r(F.array_max("dv")).alias("most_dv"))
 
 
+@query()
+def stamp_objects(spark, d):
+    """Sources of each stamp over its background, parted where they blend, with the flux in a circle around each."""
+    pix = images.pixels(_stamps(spark, d), "vec_id", "embedding", 8)
+    flat = written(detection.without_background(pix, detection.background_mesh(pix, "vec_id", 8), "vec_id", 8), "flat")
+    got = written(detection.deblended(flat, "vec_id", 1.0, 3, 8, 0.02), "objects")
+    flux = detection.apertures(got, flat, "vec_id", "object", 1.5)
+    return got.join(flux, ["vec_id", "object"]).select("vec_id", "source", "object", "n_pixels", *[r(c).alias(c) for c in ("flux", "peak", "x", "y", "aperture_flux", "area")])
+
+
 @query()
 def matched_stamps(spark, d):
     """Each stamp less its template, convolved with the kernel of nine pixels that fits it best."""
