@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.geometry import unit_vector
+from .ingest import rocksdb
 
 _BITS = 21
 #: What goes in and comes out; no column is ever null, as pandas would make numbers of it that aren't whole.
@@ -115,16 +116,8 @@ def grow(spark: SparkSession, arrivals: str, top: str, radius: float, exposures_
             border.write.mode("overwrite").parquet(f"{announced}/batch={number}")
         batch.unpersist()
 
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:  # a stream keeps the settings that it was started with
+    with rocksdb(spark):
         return decided.writeStream.outputMode("append").foreachBatch(out).option("checkpointLocation", f"{top}/checkpoint").start()
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
 
 
 def decisions(spark: SparkSession, top: str) -> DataFrame:
