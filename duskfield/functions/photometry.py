@@ -79,19 +79,66 @@ def response_terms(response: Column) -> Column:
     return F.map_from_entries(F.transform(F.map_entries(pairs), lambda e: F.struct(F.trim(e["key"]).alias("key"), e["value"].try_cast("double").alias("value"))))
 
 
+def _colour_product(name: Column, colours: dict[str, Column]) -> Column:
+    """The product that a P term's name stands for at the frame's centre and airmass 1: a digit is the power of the letter
+    after it, and letters without a meaning are skipped."""
+    at = {"A": 1.0, "R": 0.0, "X": 0.0, "Y": 0.0, "N": NEUTRAL_LEVEL}
+    steps = F.regexp_extract_all(F.regexp_replace(F.substr(name, F.lit(2)), "[^0-9ACDEFNRXY]", ""), F.lit("[0-9]?[A-Z]"), F.lit(0))
+
+    def power(v: Column) -> Column:
+        letter, base = F.right(v, F.lit(1)), F.lit(1.0)
+        for k, c in (at | colours).items():
+            base = F.when(letter == k, c).otherwise(base)
+        return F.pow(base, F.when(F.length(v) > 1, F.left(v, F.lit(1)).try_cast("double")).otherwise(1.0))
+
+    return F.aggregate(steps, F.lit(1.0), lambda acc, v: acc * power(v))
+
+
 def response_model(terms: Column, colours: list[Column]) -> Column:
-    """What a response adds for colours (first, second ...): terms PA, PB, ... to the first power and P2A, ... to the second,
-    relative to none of them; other terms have no colour part."""
-    out = F.lit(0.0)
-    for k, c in enumerate(colours):
-        name = chr(ord("A") + k)
-        out = out + F.coalesce(terms[f"P{name}"], F.lit(0.0)) * c + F.coalesce(terms[f"P2{name}"], F.lit(0.0)) * c * c
-    return out
+    """What a response adds for a star's four colours against none, at the frame's centre: what makes its magnitude one of the
+    exposure's own system. ``terms``: a map as of ``response_terms``; the zero point, whatever holds no colour, terms of other
+    images than the first and values that are no numbers add nothing. Null colours give null, no terms 0.
+
+    The names are those of ``fitted_model``, here as data, so that each exposure has its own.
+    """
+    c1, c2, c3, _ = colours
+    actual, none = dict(zip("CDEF", colours, strict=True)), dict.fromkeys("CDEF", F.lit(0.0))
+    lean = lambda v: v * c1
+    far = lambda v: (v - 1) * c3 + c2
+
+    def part(e: Column) -> Column:
+        name, v = F.regexp_replace(e["key"], ":1$", ""), e["value"]
+        rise = (1 + F.sin(v * math.pi)) / 2
+        sharp = F.when(v < 0, lean(v)).when(v <= 1, v * c2).otherwise(far(v))
+        inner = F.when(v < 0.5, v * ((1 - rise) * c1 + rise * c2)).otherwise(c2 + (v - 1) * (rise * c2 + (1 - rise) * c3))
+        smooth = F.when(v < -0.5, lean(v)).when(v <= 1.5, inner).otherwise(far(v))
+        powers = v * (_colour_product(name, actual) - _colour_product(name, none))
+        return F.when(name == "XC", sharp).when(name == "SC", smooth).when(name.startswith("P"), powers).otherwise(0.0)
+
+    used = F.filter(F.map_entries(terms), lambda e: e["value"].isNotNull() & ~e["key"].rlike(":(?!1$)[0-9]+$"))
+    known_all = c1.isNotNull() & c2.isNotNull() & c3.isNotNull() & colours[3].isNotNull()
+    return F.when(known_all, F.coalesce(F.aggregate(used, F.lit(0.0), lambda acc, e: acc + part(e)), F.lit(0.0)))
+
+
+#: Bands that colours are made of, in order, and the one that detections are compared in.
+COLOUR_BANDS, COMPARED = ("Sloan_g", "Sloan_r", "Sloan_i", "Sloan_z", "J"), 1
+
+
+def with_colours(stars: DataFrame) -> DataFrame:
+    """Catalogue rows with ``base_mag`` (red) and ``c1`` to ``c4`` (neighbouring bands' differences), all null where fewer than
+    two of COLOUR_BANDS are known. Broad-band G, BP and RP give the Sloan g and r that a catalogue lacks."""
+    if {"G", "BP", "RP"} <= set(stars.columns):
+        made = sloan_from_gaia(F.col("G"), F.col("BP"), F.col("RP"))
+        stars = stars.withColumns({b: made[b.lower()] for b in COLOUR_BANDS[:2] if b not in stars.columns})
+    bands = fill_bands([F.col(b).cast("double") if b in stars.columns else F.lit(None).cast("double") for b in COLOUR_BANDS])
+    return stars.withColumns({"base_mag": bands[COMPARED]} | {f"c{k + 1}": bands[k] - bands[k + 1] for k in range(4)})
 
 
 # Fixed values of the fitted model: the counts that magnitudes are relative to, what is added to counts before their
 # logarithm, the zero point's shift, and the scales of the radial terms.
 MODEL_COUNTS, MODEL_OFFSET, MODEL_ZERO, GAUSS_SCALE = 10000.0, 0.01, 10.0, 25.0
+#: The relative magnitude of one count, where colours are compared.
+NEUTRAL_LEVEL = -2.5 * math.log10((1 + MODEL_OFFSET) / MODEL_COUNTS)
 
 
 def relative_magnitude(mag: Column) -> Column:
@@ -172,8 +219,7 @@ def flat_mesh(frames: DataFrame, key: str, terms: dict[str, float], step: int, u
     centre = (F.col("width") / 2, F.col("height") / 2)
     x, y, none = (F.col("px") - centre[0]) / unit, (F.col("py") - centre[1]) / unit, F.lit(0.0)
     place = {k: v for k, v in terms.items() if re.match(r"^(P[\dXYR]+|GA|GW|EA|EW|S[XY]{1,2})(:\d+)?$", k)}
-    level = -2.5 * math.log10((1 + MODEL_OFFSET) / MODEL_COUNTS)  # of magnitude 0, which is no place
-    return mesh.select(key, "px", "py", (fitted_model(place, none, none, x, y, [none] * 4, F.col("px").cast("double"), F.col("py").cast("double"), F.lit(0)) - level).alias("flat"))
+    return mesh.select(key, "px", "py", (fitted_model(place, none, none, x, y, [none] * 4, F.col("px").cast("double"), F.col("py").cast("double"), F.lit(0)) - NEUTRAL_LEVEL).alias("flat"))
 
 
 def calibrated(mag_calib: Column, err_calib: Column, mag_auto: Column, err_auto: Column, zero: Column) -> tuple[Column, Column]:

@@ -22,13 +22,15 @@ def new_sources(det: DataFrame, stars: DataFrame, radius: float, siglim: float)
 def classify(det: DataFrame, stars: DataFrame, radius: float, siglim: float, new_siglim: float, least_change: float, catalog: str, key: str = "det_id", own_radius: str | None = None) -> DataFrame:
     """(key, candidate_type, magnitude_difference): new sources and significant changes against one catalogue.
 
-    ``stars``: sx, sy, star_mag (null where the star can't be used). ``own_radius`` names a column with each detection's
+    ``stars``: sx, sy, star_mag (null where the star can't be used); with an epoch_id, stars as an exposure sees them, which
+    meet its detections only. ``own_radius`` names a column with each detection's
     match radius, to which ``radius`` is a bound. A detection without a match is new at ``new_siglim``; one with usable
     matches is a candidate if some change is significant, and the largest counts; one whose matches are all unusable is
     new with an unknown (NaN) difference.
     """
     own = {} if own_radius is None else {"row_radius": F.col(own_radius)}
-    near = radius_join(det.select(key, "x", "y", "mag", "err", *([own_radius] if own_radius else [])), stars, radius, right_on=("sx", "sy"), **own)
+    by = ("epoch_id",) if "epoch_id" in stars.columns else ()
+    near = radius_join(det.select(key, "x", "y", "mag", "err", *by, *([own_radius] if own_radius else [])), stars, radius, right_on=("sx", "sy"), by=by, **own)
     change = F.col("mag") - F.col("star_mag")
     sigma = F.sqrt(F.col("err") * F.col("err") + F.lit(DETECTION_FLOOR**2) + F.pow(systematic_error(F.lit(catalog)), 2))
     big = (F.abs(change) >= least_change) & (F.abs(change) / sigma > siglim)

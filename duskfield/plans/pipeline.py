@@ -12,6 +12,7 @@ from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions.tables import written
 from ..operators import cluster, features, lightcurve, spatial
+from ..sources.catalogs import frame_stars
 from ..sources.config import Settings
 
 
@@ -24,14 +25,17 @@ class Strategy(Protocol):
 class CatalogVotes:
     """Each catalogue proposes candidates per exposure, votes settle them, and clusters over exposures get light curves.
 
-    ``catalogs``: name -> stars (sx, sy, star_mag). ``movers``: epoch_id, mra, mdec, the solar system's bodies in each
+    ``catalogs``: name -> stars (sx, sy, star_mag; with an epoch_id, in all of them, those of each exposure). With
+    ``exposures`` (see ``catalogs.frame_stars``) they are catalogue rows, which are placed in each exposure and compared in
+    its own system. ``movers``: epoch_id, mra, mdec, the solar system's bodies in each
     exposure; ``variables``: vra, vdec, catalogued variable stars. ``frame``: width and height in pixels. ``scale``: arcsec
     per pixel, over the detections' columns. ``ast_sigma``: the exposures' astrometric error in arcsec, likewise. Tables
     are written in between: proposals, the exposures' candidates, the clusters and the points. ``extend`` may add columns
     to the candidates.
     """
 
-    def __init__(self, catalogs: dict[str, DataFrame], settings: Settings | None = None, extend: Callable[[DataFrame, DataFrame], DataFrame] | None = None, movers: DataFrame | None = None, variables: DataFrame | None = None, frame: tuple[float, float] | None = None, edge: float = 10.0, scale: Column | None = None, ast_sigma: Column | float = 0.0):
+    def __init__(self, catalogs: dict[str, DataFrame], settings: Settings | None = None, extend: Callable[[DataFrame, DataFrame], DataFrame] | None = None, movers: DataFrame | None = None, variables: DataFrame | None = None, frame: tuple[float, float] | None = None, edge: float = 10.0, scale: Column | None = None, ast_sigma: Column | float = 0.0, exposures: DataFrame | None = None):
+        self.exposures = exposures
         self.catalogs, self.settings, self.extend = catalogs, settings or Settings(), extend
         self.movers, self.variables, self.frame, self.edge, self.ast_sigma = movers, variables, frame, edge, ast_sigma
         self.scale = F.lit(self.settings.default_plate_scale_arcsec_per_px) if scale is None else scale
@@ -60,15 +64,19 @@ class CatalogVotes:
         base = written(x, "matched")
         most = max(s.idlimit_px, s.idlimit_max_px) if s.enable_adaptive_idlimit else s.idlimit_px
         out = stars = None
+        by: tuple[str, ...] = ("catalog",)
         for k, (name, known) in enumerate(self.catalogs.items()):
+            if self.exposures is not None:
+                known = written(frame_stars(known, self.exposures), "stars")
+            by = ("catalog", "epoch_id") if "epoch_id" in known.columns else by
             kinds = cluster.classify(base, known, most, s.siglim, s.new_source_siglim or s.siglim, s.mag_change_threshold, name, own_radius="match_px")
             y = base.join(kinds, "det_id").where(features.bright_enough(F.col("mag"), F.col("maglim"), s.maglim_filter_multiplier))
             y = y.withColumns({"catalog": F.lit(name), "cand_id": F.col("det_id") * len(self.catalogs) + k})
-            at = known.select(F.lit(name).alias("catalog"), "sx", "sy")
+            at = known.select(F.lit(name).alias("catalog"), "sx", "sy", *by[1:])
             out, stars = (y, at) if out is None else (out.unionByName(y), stars.unionByName(at))
         # Sizes are over the median of an exposure's candidates of one catalogue; stars beyond ISOLATED pixels count as none.
         out = features.detection_features(written(out, "classified"), ("epoch_id", "catalog"))
-        near = spatial.radius_join(stars, out.select("cand_id", "catalog", "x", "y"), features.ISOLATED, left_on=("sx", "sy"), right_on=("x", "y"), by=("catalog",))
+        near = spatial.radius_join(stars, out.select("cand_id", *by, "x", "y"), features.ISOLATED, left_on=("sx", "sy"), right_on=("x", "y"), by=by)
         near = near.groupBy("cand_id").agg(F.min("dist").alias("_near"))
         out = out.join(near, "cand_id", "left").withColumn("nearest_source_dist", F.coalesce("_near", F.lit(float("inf")))).drop("_near")
         score = features.base_score({"fwhm_ratio", "axis_ratio", "snr_auto", "flags", "mag", "maglim", "candidate_type", "nearest_source_dist"}, s.weights)

@@ -14,6 +14,7 @@ from ..functions import photometry as phot
 from ..functions.tables import shared_dir, written
 from ..operators import cluster, detection, epochs, features, graph, images, lightcurve, matching, spatial
 from ..operators.incremental import ClusterStore
+from ..sources import catalogs
 from . import field_queries  # noqa: F401  (registers its own)
 from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
 
@@ -540,9 +541,9 @@ def union_missing_columns(spark, d):
 
 @query("with t as (select p_partkey as star_id, 0.01E0*(p_partkey%7) as pa, 0.013E0*(p_partkey%90) as c, 12.0E0+0.013E0*(p_partkey%500) as m from part) select star_id, round(m+pa*c+0.002E0*c*c, 5) as mag from t")
 def response_model(spark, d):
-    p = spark.read.parquet(f"{d}/part.parquet").selectExpr("p_partkey as star_id", "concat('Z=25.0,PA=', cast(0.01E0*(p_partkey%7) as string), ',P2A=0.002') as response", "0.013E0*(p_partkey%90) as c", "12.0E0+0.013E0*(p_partkey%500) as m")
+    p = spark.read.parquet(f"{d}/part.parquet").selectExpr("p_partkey as star_id", "concat('Z=25.0,PC=', cast(0.01E0*(p_partkey%7) as string), ',P2C=0.002,PXD=0.3,PA=0.2,PD:2=9') as response", "0.013E0*(p_partkey%90) as c", "12.0E0+0.013E0*(p_partkey%500) as m")
     p = p.withColumn("terms", phot.response_terms(F.col("response")))
-    return p.select("star_id", r(F.col("m") + phot.response_model(F.col("terms"), [F.col("c")])).alias("mag"))
+    return p.select("star_id", r(F.col("m") + phot.response_model(F.col("terms"), [F.col("c"), *[F.lit(0.1)] * 3])).alias("mag"))
 
 
 @query(f"""{with_views('det', 'all_stars')}, p as (select det_id, star_mag as m from det join all_stars on abs(x-sx)<=20 and abs(y-sy)<=20 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=20.0E0)
@@ -599,6 +600,43 @@ def observation_ids(spark, d):
     return x.select("page_id", ident.observation_id([], F.col("path")).alias("obs_id"))
 
 
+# --- catalogue rows to candidates ----------------------------------------------------------------------------------
+
+# A catalogue with gaps in its bands, and exposures with a projection and a response each.
+_ROWS = ["p_partkey as star_id", "180.0E0+(1000.0E0-(20.0E0+20.0E0*(p_partkey%50)))/3600.0E0/cos(radians(30.0E0)) as radeg", "30.0E0+(20.0E0+20.0E0*floor(p_partkey/50))/3600.0E0 as decdeg", "case when p_partkey%4<>0 then 15.0E0+0.0171E0*(p_partkey%401) end as g", "case when p_partkey%3<>0 then 14.5E0+0.0171E0*(p_partkey%401) end as r", "case when p_partkey%5<>0 then 14.1E0+0.0171E0*(p_partkey%401) end as z"]
+_FRAMES = "epoch_id, 1000.0E0+0.05E0*(epoch_id%5) as px0, 0.03E0*(epoch_id%7) as py0, 0.01E0*(epoch_id%7) as pc, 0.1E0*(epoch_id%3)-0.1E0 as xc"
+_CHAIN = f"""{with_views('det')}, k as (select {', '.join(_ROWS)} from part), f1 as (select *, (g is not null)::int+(r is not null)::int+(z is not null)::int >= 2 as ok, coalesce(r, g+0.6E0) as r1 from k),
+f2 as (select *, r1+0.3E0 as i1, coalesce(z, r1+0.5E0) as z1 from f1), f3 as (select *, coalesce(i1, z1-0.2E0) as i2 from f2), f4 as (select *, coalesce(r1, i2-0.3E0) as r2 from f3), m as (select star_id, radeg, decdeg, ok, r2, coalesce(g, r2-0.6E0)-r2 as c1, r2-i2 as c2, i2-z1 as c3 from f4),
+e as (select {_FRAMES} from (select distinct epoch_id from det) u), p as (select *, radians(radeg-180.0E0) as da, radians(decdeg) as d1, radians(30.0E0) as d0 from m cross join e),
+w as (select *, sin(d0)*sin(d1)+cos(d0)*cos(d1)*cos(da) as w from p),
+s as (select epoch_id, star_id, px0-degrees(cos(d1)*sin(da)/w)*3600 as sx, py0+degrees((cos(d0)*sin(d1)-sin(d0)*cos(d1)*cos(da))/w)*3600 as sy, case when ok then r2+pc*c1+0.02E0*c2*c2+(case when xc<0 then xc*c1 else xc*c2 end) end as star_mag from w),
+t as (select * from s where sx between -20 and 1120 and sy between -20 and 10020)"""
+
+
+def _field(spark, d):
+    rows = spark.read.parquet(f"{d}/part.parquet").selectExpr(*_ROWS).withColumnsRenamed({b: f"Sloan_{b}" for b in "grz"})
+    frames = det(spark, d).select("epoch_id").distinct().selectExpr(*_FRAMES.split(", "))
+    response = F.concat(F.lit("Z=25.0,FILTER=r,PC="), F.col("pc").cast("string"), F.lit(",P2D=0.02,PXC=0.3,XC="), F.col("xc").cast("string"))
+    return rows, frames.select("epoch_id", F.lit(180.0).alias("ra0"), F.lit(30.0).alias("dec0"), F.lit(1.0).alias("scale"), "px0", "py0", F.lit(1100.0).alias("width"), F.lit(10000.0).alias("height"), response.alias("response"))
+
+
+@query(f"{_CHAIN} select epoch_id, star_id, round(sx, 5) as sx, round(sy, 5) as sy, round(star_mag, 5) as star_mag from t")
+def frame_stars(spark, d):
+    x = catalogs.frame_stars(*_field(spark, d))
+    return x.select("epoch_id", "star_id", *[r(c).alias(c) for c in ("sx", "sy", "star_mag")])
+
+
+@query(f"""{_CHAIN}, n as (select det_id, err, mag-star_mag as dm, star_mag from det left join t on det.epoch_id=t.epoch_id and abs(x-sx)<=2 and abs(y-sy)<=2 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=2.0E0),
+q as (select det_id, any_value(err) as err, count(dm) as usable, arg_max(dm, abs(dm)) filter (where abs(dm)>=0.3E0 and abs(dm)/sqrt(err*err+0.0001E0+0.0004E0)>5) as best from n group by det_id),
+u as (select det_id, count(t.star_id) as near from det left join t on det.epoch_id=t.epoch_id and abs(x-sx)<=2 and abs(y-sy)<=2 and sqrt((x-sx)*(x-sx)+(y-sy)*(y-sy))<=2.0E0 group by det_id)
+select det_id, case when near=0 or usable=0 then 'new' when best<0 then 'brightening' else 'fading' end as candidate_type, round(case when near=0 then 0 when usable=0 then -99 else best end, 4) as magnitude_difference from q join u using (det_id)
+where (near=0 and err < 1.091E0/7) or (near>0 and err < 1.091E0/5 and (usable=0 or best is not null))""")
+def catalogue_candidates(spark, d):
+    seen = catalogs.frame_stars(*_field(spark, d))
+    x = cluster.classify(det(spark, d), seen.drop("star_id"), 2.0, 5.0, 7.0, 0.3, "panstarrs")
+    return x.select("det_id", "candidate_type", r(F.nanvl("magnitude_difference", F.lit(-99.0)), 4).alias("magnitude_difference"))
+
+
 # --- whole plans ---------------------------------------------------------------------------------------------------
 
 

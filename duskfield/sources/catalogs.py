@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import photometry as phot
-from ..operators.spatial import region
+from ..functions.geometry import tan_pixel
+from ..operators.spatial import radius_join, region
 
 
 @dataclass(frozen=True)
@@ -104,3 +105,27 @@ class CatalogStore:
                 self.fetch(name, *centre, width + GRID, height + GRID, limit).write.mode("overwrite").parquet(at)
             self.held[key] = self.spark.read.parquet(at)
         return self.held[key]
+
+
+def frame_stars(stars: DataFrame, exposures: DataFrame, margin: float = 20.0) -> DataFrame:
+    """(epoch_id, star_id if there is one, sx, sy, star_mag): the catalogue as each exposure sees it.
+
+    ``stars``: radeg, decdeg and bands as of ``reference_stars``. ``exposures``: epoch_id, ra0, dec0, scale (arcsec per
+    pixel), px0, py0, width, height, response. A star is placed by a gnomonic projection and kept within ``margin`` pixels
+    of the frame; its magnitude is the red one in the exposure's own system (``response_model`` of its filled colours),
+    null where fewer than two bands are known, and without a response the red one itself. Exposures without a position or
+    a size see nothing.
+
+    Stars meet exposures by sky cells as wide as the widest frame's reach, one number that comes to the driver; the
+    result is as large as the sum of all exposures' stars.
+    """
+    ids = ["star_id"] if "star_id" in stars.columns else []
+    x = phot.with_colours(stars).select(*ids, "radeg", "decdeg", "base_mag", *[f"c{k}" for k in range(1, 5)])
+    e = exposures.select("epoch_id", "ra0", "dec0", "scale", "px0", "py0", "width", "height", "response").where("ra0 is not null and dec0 is not null and width > 0 and height > 0")
+    far = lambda at, size: F.greatest(F.abs(F.col(at)), F.abs(F.col(size) - F.col(at))) + margin
+    reach = e.agg(F.max(F.hypot(far("px0", "width"), far("py0", "height")) * F.abs("scale"))).first()[0] or 0.0
+    x = radius_join(x, e, reach * (1 + 1e-9), "sky", left_on=("radeg", "decdeg"), right_on=("ra0", "dec0"))
+    sx, sy = tan_pixel(F.col("radeg"), F.col("decdeg"), F.col("ra0"), F.col("dec0"), F.col("scale"), F.col("px0"), F.col("py0"))
+    mag = F.col("base_mag") + phot.response_model(phot.response_terms(F.col("response")), [F.col(f"c{k}") for k in range(1, 5)])
+    x = x.withColumns({"sx": sx, "sy": sy}).where(F.col("sx").between(-margin, F.col("width") + margin) & F.col("sy").between(-margin, F.col("height") + margin))
+    return x.select("epoch_id", *ids, "sx", "sy", mag.alias("star_mag"))

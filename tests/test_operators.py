@@ -12,6 +12,8 @@ from duskfield.functions import identity as ident
 from duskfield.functions import photometry as phot
 from duskfield.operators import cluster, epochs, features, graph, images, lightcurve, spatial
 from duskfield.plans import pipeline
+from duskfield.sources import catalogs
+from duskfield.sources.config import Settings
 from duskfield.streaming import ingest
 
 
@@ -49,6 +51,49 @@ def test_bands_and_response(spark):
         phot.parse_response("Q=1")
 
 
+def test_response_of_stars_is_the_fitted_model(spark):
+    """Colours against none by the names in a map, next to the model that is built from a dict."""
+    colours, level = [0.7, -0.2, 0.35, 1.1], F.lit(0.0)
+    half, zero = F.lit(0.5), F.lit(0.0)
+    model = lambda t, c: phot.fitted_model(t, zero, F.lit(1.0), zero, zero, [F.lit(v) for v in c], half, half, F.lit(0))
+    for line in ("Z=25.0", "PC=0.3,P2D=-0.1,PX=0.4,PXC=9", "P2CD=0.3,PAE=0.2,PNF=0.01", "PD:1=0.2,PD:2=7", *(f"{n}={v}" for n in ("XC", "SC") for v in (-0.7, -0.3, 0.2, 0.8, 1.2, 1.8)), "GA=0.1,GW=-1,RS=0.2,RC=0.1"):
+        terms = phot.parse_response(line)
+        got = one(spark, phot.response_model(phot.response_terms(F.col("t")), [F.lit(c) for c in colours]), t=line)
+        assert got == pytest.approx(one(spark, model(terms, colours) - model(terms, [0.0] * 4) + level, t=line), abs=1e-9), line
+    text = F.col("t")
+    assert one(spark, phot.response_model(phot.response_terms(text), [F.lit(c) for c in colours]), t="FILTER=r,PC=x,,SCHEMA") == 0.0
+    assert one(spark, phot.response_model(phot.response_terms(text), [F.lit(None).cast("double"), *[F.lit(0.1)] * 3]), t="PC=1") is None
+    assert one(spark, phot.response_model(F.lit(None).cast("map<string,double>"), [F.lit(0.1)] * 4), t="") == 0.0
+
+
+def test_stars_as_exposures_see_them(spark):
+    stars = spark.createDataFrame([(1, 10.0, 20.0, 15.0, 14.6, None), (2, 10.01, 20.0, None, 14.0, None), (3, 190.0, -20.0, 15.0, 14.0, 13.9), (4, None, 20.0, 15.0, 14.0, 13.9)], "star_id int, radeg double, decdeg double, Sloan_g double, Sloan_r double, Sloan_z double")
+    frames = spark.createDataFrame([(0, 10.0, 20.0, 1.0, 50.0, 60.0, 100, 120, "PC=0.5"), (1, 10.0, 20.0, 1.0, 50.0, 60.0, 100, 120, None), (2, None, 20.0, 1.0, 50.0, 60.0, 100, 120, "PC=0.5")], "epoch_id int, ra0 double, dec0 double, scale double, px0 double, py0 double, width int, height int, response string")
+    got = {(r["epoch_id"], r["star_id"]): r for r in catalogs.frame_stars(stars, frames).collect()}
+    assert set(got) == {(0, 1), (0, 2), (1, 1), (1, 2)}
+    assert (got[0, 1]["sx"], got[0, 1]["sy"]) == pytest.approx((50.0, 60.0), abs=1e-6) and got[0, 1]["star_mag"] == pytest.approx(14.6 + 0.5 * 0.4)
+    assert got[0, 2]["star_mag"] is None and got[1, 1]["star_mag"] == pytest.approx(14.6)
+    assert got[0, 2]["sx"] == pytest.approx(50.0 - 36 * math.cos(math.radians(20)), abs=1e-3)
+    assert catalogs.frame_stars(stars.limit(0), frames).count() == 0 and catalogs.frame_stars(stars, frames.limit(0)).count() == 0
+
+
+def test_votes_from_catalogue_rows(spark):
+    """Catalogue rows placed in each exposure give what stars placed beforehand give."""
+    g = random.Random(4)
+    rows = [(e * 100 + k, e, 3600.0 * e, 10 + (k % 10) * 0.01, 20 + (k // 10) * 0.01, 15.0 + g.gauss(0, 0.3), 0.02, 3.0, 1.5, 1.4, 0.0, 0, 19.0) for e in range(4) for k in range(40)]
+    det = spark.createDataFrame(rows, "det_id long, epoch_id int, obs_time double, ra double, dec double, mag double, err double, fwhm double, a double, b double, theta double, flags int, maglim double")
+    x, y = geo.tan_pixel(F.col("ra"), F.col("dec"), 10.0, 20.0, 1.0, 400.0, 10.0)
+    det = det.withColumns({"x": x, "y": y})
+    stars = det.where("epoch_id = 0 and det_id % 3 <> 0").select(F.col("det_id").alias("star_id"), F.col("ra").alias("radeg"), F.col("dec").alias("decdeg"), F.lit(15.4).alias("Sloan_g"), F.lit(15.0).alias("Sloan_r"))
+    frames = det.select("epoch_id").distinct().select("epoch_id", F.lit(10.0).alias("ra0"), F.lit(20.0).alias("dec0"), F.lit(1.0).alias("scale"), F.lit(400.0).alias("px0"), F.lit(10.0).alias("py0"), F.lit(800).alias("width"), F.lit(400).alias("height"), F.lit("PC=0.25").alias("response"))
+    s = Settings(min_quality=0.0, min_n_detections=2)
+    seen, _ = pipeline.CatalogVotes({"panstarrs": stars}, s, exposures=frames).run(det)
+    placed = stars.withColumns(dict(zip(("sx", "sy"), geo.tan_pixel(F.col("radeg"), F.col("decdeg"), 10.0, 20.0, 1.0, 400.0, 10.0), strict=True))).select("sx", "sy", F.lit(15.1).alias("star_mag"))
+    known, _ = pipeline.CatalogVotes({"panstarrs": placed}, s).run(det)
+    plain = lambda t: sorted((r["transient_id"], r["candidate_type"], round(r["quality_score"], 9)) for r in t.collect())
+    assert plain(seen) == plain(known) and len({r[1] for r in plain(seen)}) >= 2
+
+
 def test_names(spark):
     want = {" 94249.01 ": "94249", "a--b": "a_b", "...": "unknown", "__x__": "x"}
     for text, out in want.items():
