@@ -15,6 +15,7 @@ from ..functions.tables import shared_dir, written
 from ..operators import cluster, detection, epochs, features, graph, images, lightcurve, matching, spatial
 from ..operators.incremental import ClusterStore
 from ..sources import catalogs
+from ..sources.cells import CellCatalog
 from . import field_queries  # noqa: F401  (registers its own)
 from .views import ORACLES, QUERIES, cand, det, query, r, stars, with_views
 
@@ -40,6 +41,13 @@ def sky_pairs(spark, d):
     return spatial.radius_join(det(spark, d), stars(spark, d), 0.53, "sky", right_on=("sra", "sdec")).select("det_id", "star_id", r("dist", 4).alias("dist"))
 
 
+@query(ORACLES["sky_pairs"])
+def stored_cell_pairs(spark, d):
+    """The same from a catalogue that is kept by cell."""
+    kept = CellCatalog.save(stars(spark, d), f"{shared_dir(spark).rstrip('/')}/duskfield-{uuid.uuid4().hex}/cells", 30.0, on=("sra", "sdec"), levels=3, most=100, buckets=8)
+    return kept.match(det(spark, d), 0.53).select("det_id", "star_id", r("dist", 4).alias("dist"))
+
+
 @query(f"{with_views('cand')} select p.epoch_id, p.det_id, q.det_id as det_id2, round(sqrt((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)), 5) as dist from cand p join cand q on p.epoch_id=q.epoch_id and p.det_id<q.det_id and abs(p.x-q.x)<=2 and sqrt((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y)) <= least(0.2E0+0.0071E0*(p.det_id%41), 0.2E0+0.0071E0*(q.det_id%41))")
 def self_pairs_min_radius(spark, d):
     x = cand(spark, d).withColumn("rad", 0.2 + 0.0071 * (F.col("det_id") % 41))
