@@ -159,12 +159,28 @@ def image_matches(cands: DataFrame, det: DataFrame, radius: float = 5.0, key: st
     return pairs.groupBy(key, "epoch_id").agg(F.sort_array(F.collect_list("det_id")).alias("det_ids"))
 
 
-def region(df: DataFrame, ra: float, dec: float, width: float, height: float, on: tuple[str, str] = SKY) -> DataFrame:
-    """The rows in the box around the circle through a field's corners (degrees): two ranges where it crosses 0/360.
-
-    Plain comparisons, so that they reach a Parquet scan."""
+def field_ranges(ra: float, dec: float, width: float, height: float) -> tuple[list[tuple[float, float]], tuple[float, float]]:
+    """Ranges of right ascension and the range of declination of the box around the circle through a field's corners
+    (degrees): two of the former where it crosses 0/360, all of the circle where it is wider than that."""
     reach = math.hypot(width, height) / 2
     across = reach / max(math.cos(math.radians(dec)), 0.01)
-    low, high, a = ra - across, ra + across, F.col(on[0])
-    inside = (a >= low + 360) | (a <= high) if low < 0 else (a >= low) | (a <= high - 360) if high > 360 else a.between(low, high)
-    return df.where(inside & F.col(on[1]).between(dec - reach, dec + reach))
+    low, high = ra - across, ra + across
+    if across >= 180:
+        ranges = [(-math.inf, math.inf)]
+    elif low < 0:
+        ranges = [(low + 360, math.inf), (-math.inf, high)]
+    elif high > 360:
+        ranges = [(low, math.inf), (-math.inf, high - 360)]
+    else:
+        ranges = [(low, high)]
+    return ranges, (dec - reach, dec + reach)
+
+
+def region(df: DataFrame, ra: float, dec: float, width: float, height: float, on: tuple[str, str] = SKY) -> DataFrame:
+    """The rows in a field's box (see ``field_ranges``). Plain comparisons, so that they reach a Parquet scan."""
+    ranges, (bottom, top) = field_ranges(ra, dec, width, height)
+    inside = F.lit(False)
+    for low, high in ranges:
+        own = [F.col(on[0]) >= low] * (low > -math.inf) + [F.col(on[0]) <= high] * (high < math.inf)
+        inside = inside | (own[0] & own[1] if len(own) == 2 else own[0] if own else F.col(on[0]).isNotNull())
+    return df.where(inside & F.col(on[1]).between(bottom, top))
