@@ -29,6 +29,51 @@ def coadd(pix: DataFrame, group: str) -> DataFrame:
     return pix.groupBy(group, "py", "px").agg(F.avg("v").alias("v"), F.count("v").alias("n"))
 
 
+#: Overlaps of less of a pixel than this are rounding.
+TOUCH = 1e-12
+
+
+def _overlap(edges: Column, gx: Column, gy: Column) -> Column:
+    """The area of a polygon within a grid pixel, by the areas between its edges (x1, y1 to x2, y2) and the pixel's lower side:
+    each edge is held to the pixel's columns, and its mean height there to the pixel's rows."""
+    bound = lambda v: F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))
+    local = F.transform(edges, lambda e: F.struct((e["x1"] - gx + 0.5).alias("x1"), (e["y1"] - gy + 0.5).alias("y1"), (e["x2"] - gx + 0.5).alias("x2"), (e["y2"] - gy + 0.5).alias("y2")))
+    at = lambda e, x: e["y1"] + (e["y2"] - e["y1"]) * (bound(e[x]) - e["x1"]) / (e["x2"] - e["x1"])
+    ends = F.transform(F.filter(local, lambda e: e["x1"] != e["x2"]), lambda e: F.struct((bound(e["x2"]) - bound(e["x1"])).alias("w"), at(e, "x1").alias("a"), at(e, "x2").alias("b")))
+    held = F.transform(ends, lambda e: F.struct(e["w"].alias("w"), F.least(e["a"], e["b"]).alias("low"), F.greatest(e["a"], e["b"]).alias("high")))
+    rise = lambda e: (bound(e["high"]) - bound(e["low"])) * (bound(e["high"]) + bound(e["low"])) / 2 + F.greatest(e["high"] - F.greatest(e["low"], F.lit(1.0)), F.lit(0.0))
+    mean = lambda e: F.when(e["high"] > e["low"], rise(e) / (e["high"] - e["low"])).otherwise(bound(e["low"]))
+    return F.abs(F.aggregate(held, F.lit(0.0), lambda acc, e: acc + e["w"] * mean(e)))
+
+
+def resampled(pix: DataFrame, frames: DataFrame, key: str) -> DataFrame:
+    """(key, py, px, v, area): stamps on a common grid; each pixel's flux is dealt by the areas in which it, projected,
+    overlaps the grid's pixels, so that the sum of fluxes is kept. ``area`` is how much of a grid pixel is covered.
+
+    ``pix``: key, py, px, v as of ``pixels``. ``frames``: key and a to f, doubles, which place (px, py) at
+    (a px + b py + c, d px + e py + f): shift, turn, scale, shear or mirror image. Unknown pixels (null, NaN) give nothing;
+    stamps without a frame, or whose frame has no area, have no rows; equal keys in ``frames`` give each its own share.
+
+    A pixel becomes a row for each grid pixel in its bounds, and these are summed with partial sums.
+    """
+    x = pix.where("v is not null and not isnan(v)").join(frames.select(key, *"abcdef").where("abs(a * e - b * d) > 0"), key)
+    at = lambda dx, dy: (F.col("a") * (F.col("px") + dx) + F.col("b") * (F.col("py") + dy) + F.col("c"), F.col("d") * (F.col("px") + dx) + F.col("e") * (F.col("py") + dy) + F.col("f"))
+    corners = [at(*c) for c in ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5))]
+    edges = [F.struct(p[0].alias("x1"), p[1].alias("y1"), q[0].alias("x2"), q[1].alias("y2")) for p, q in zip(corners, corners[1:] + corners[:1], strict=True)]
+    x = x.select(key, "v", F.abs(F.col("a") * F.col("e") - F.col("b") * F.col("d")).alias("whole"), F.array(*edges).alias("edges"))
+    along = lambda c: F.explode(F.sequence(F.floor(F.array_min(F.col("edges")[c]) + 0.5), F.floor(F.array_max(F.col("edges")[c]) + 0.5)))
+    x = x.withColumn("gx", along("x1")).withColumn("gy", along("y1"))
+    x = x.withColumn("area", _overlap(F.col("edges"), F.col("gx"), F.col("gy"))).where(F.col("area") > TOUCH)
+    return x.groupBy(key, F.col("gy").alias("py"), F.col("gx").alias("px")).agg(F.sum(F.col("v") * F.col("area") / F.col("whole")).alias("v"), F.sum("area").alias("area"))
+
+
+def resampled_coadd(pix: DataFrame, frames: DataFrame, key: str, group: str) -> DataFrame:
+    """(group, py, px, v, n): the mean of stamps on a common grid (see ``resampled``), weighted by how much of a grid pixel each
+    covers; ``n`` stamps reach it. ``frames`` also has the group of each stamp."""
+    x = resampled(pix, frames, key).join(frames.select(key, group), key)
+    return x.groupBy(group, "py", "px").agg((F.sum("v") / F.sum("area")).alias("v"), F.count(F.lit(1)).alias("n"))
+
+
 def is_dipole(stamp: Column, width: int, cx: Column, cy: Column, half: int, flux: Column, ratio: float = 0.5) -> Column:
     """Whether the box around (cx, cy) has a trough of ``ratio`` of the source's flux; no trough or no flux: no."""
     rows = F.sequence(F.greatest(cy - half, F.lit(0)), F.least(cy + half, F.lit(width - 1)))

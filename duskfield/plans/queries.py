@@ -475,6 +475,15 @@ def coadd(spark, d):
     return images.coadd(pix, "label").select("label", "py", "px", r("v").alias("v"), "n")
 
 
+@query("""with p as (select vec_id, label, unnest(embedding)::double as v, unnest(range(64)) as i from embeddings), w as (select label, vec_id, i//8+dy as py, i%8+dx as px, v, (case dx when 0 then 1-0.1E0*(vec_id%10) else 0.1E0*(vec_id%10) end)*(case dy when 0 then 1-0.07E0*(vec_id%9) else 0.07E0*(vec_id%9) end) as w from p, (values (0), (1)) a(dx), (values (0), (1)) b(dy))
+select label, py, px, round(sum(v*w)/sum(w), 5) as v, count(distinct vec_id) as n from w where w > 1e-9 group by all""")
+def resampled_coadd(spark, d):
+    e = _stamps(spark, d)
+    place = {"a": "1.0E0", "b": "0.0E0", "c": "0.1E0*(vec_id%10)", "d": "0.0E0", "e": "1.0E0", "f": "0.07E0*(vec_id%9)"}
+    frames = e.selectExpr("vec_id", "label", *[f"{v} as {k}" for k, v in place.items()])
+    return images.resampled_coadd(images.pixels(e, "vec_id", "embedding", 8), frames, "vec_id", "label").select("label", "py", "px", r("v").alias("v"), "n")
+
+
 # --- identity, state, viewer ---------------------------------------------------------------------------------------
 
 
