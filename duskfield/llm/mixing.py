@@ -171,7 +171,8 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (3,
     Every document of a source is taken as often as the target holds the whole source, and seeded documents once more
     until the source's words are as near the target as the lengths allow. Defined cases: null and empty texts have
     size 0 and are not taken; null sources are one source, last; rows of one id are documents of their own, and equal
-    rows share a hash, so that which of them is taken doesn't show; an empty table gives an empty table.
+    rows share a hash, so that which of them is taken doesn't show; rows of one id and size that differ in what is carried
+    are ordered by it (by columns that can be ordered); an empty table gives an empty table.
 
     Scale: texts are read once for their sizes. Lengths are counted with partial sums; a task plans one source, whose
     rows are its distinct lengths and not its documents. Selection splits every (source, length) group, however hot,
@@ -200,7 +201,7 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (3,
     joined = x.join(dealt, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("b")))
     edges = (F.col("more") > 0) & (F.col("more") < F.col("n"))
     out = lambda d, extra: d.select("doc_id", "size", "source_size", "target", (F.col("copies") + extra).alias("copies"), ((F.col("copies") + extra) * F.col("size")).cast("long").alias("taken"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
-    rank = F.row_number().over(Window.partitionBy("k", "size", "bucket").orderBy("h", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("k", "size", "bucket").orderBy("h", "doc_id", *[f"c{i}" for i in range(len(carry))]))
     inner = out(joined.where(~edges), F.when(F.col("more") > 0, 1).otherwise(0))
     on_edge = out(joined.where(edges).withColumn("r", rank), F.when(F.col("r") <= F.col("more"), 1).otherwise(0))
     return inner.unionByName(on_edge)

@@ -272,6 +272,16 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_orders_rows_of_one_id_by_what_is_carried(spark):
+    """Rows of one id, source and size whose texts differ: whatever order they come in, the same ones are taken."""
+    rows = [(7, f"{w} b c", "s", w) for w in "mnopqrstuvwxyz"] + [(8, "a " * 40, "t", "long")]
+    taken = lambda x: sorted(map(tuple, mixing.mix_sources(x, carry=("digest",)).select("digest", "copies").collect()))
+    kind = "doc_id long, text string, source string, digest string"
+    first = taken(spark.createDataFrame(rows, kind).repartition(1))
+    assert len(first) == 15 and len({c for _, c in first}) > 1
+    assert first == taken(spark.createDataFrame(rows[::-1], kind).repartition(1)) == taken(spark.createDataFrame(rows[5:] + rows[:5], kind).repartition(3))
+
+
 def test_knapsack():
     lengths, counts = np.array([9, 7, 4]), np.array([2, 1, 3])
     sums = {9 * a + 7 * b + 4 * c for a in range(3) for b in range(2) for c in range(4)}
