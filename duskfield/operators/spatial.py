@@ -1,9 +1,10 @@
 """Joins by distance, planned as equi-joins on cells.
 
 A plain distance predicate plans as a nested loop. Here one side carries the cell that it lies in, the other is exploded
-over the neighbouring cells, and the exact predicate follows the equi-join, which Spark sorts, broadcasts or splits as
-sizes have it. Cells are as wide as the largest radius, so a pair meets exactly once. On the sky, cells cut unit vectors,
-so neither the 0/360 seam nor the poles need care.
+over the cells that its reach touches, and the exact predicate follows the equi-join. Cells are wider than twice the
+largest radius, so that a row touches two along each axis at most, and a pair meets exactly once. Spark sizes an exploded
+table as if it weren't; the joins are marked to be sorted, so that it isn't broadcast through the driver. On the sky, cells
+cut unit vectors, so neither the 0/360 seam nor the poles need care.
 """
 
 from __future__ import annotations
@@ -17,17 +18,21 @@ from ..functions.geometry import unit_vector
 from ..functions.tables import written
 
 PIXEL, SKY = ("x", "y"), ("ra", "dec")
+#: Width of a cell in radii. Wider cells mean fewer copies of the exploded side and more pairs to look at.
+WIDTH = 2.5
 
 
-def _keyed(df: DataFrame, on: tuple[str, str], cell: float, sky: bool, spread: bool, prefix: str) -> DataFrame:
+def _keyed(df: DataFrame, on: tuple[str, str], cell: float, sky: bool, reach: float | None, prefix: str) -> DataFrame:
     axes = unit_vector(F.col(on[0]), F.col(on[1])) if sky else (F.col(on[0]), F.col(on[1]))
     names = [f"{prefix}{k}" for k in range(len(axes))]
     out = df.withColumns(dict(zip(names, axes, strict=True)))
-    cells = [F.floor(F.col(n) / F.lit(cell)) for n in names]
-    if not spread:
-        return out.withColumns({f"cell{k}": c for k, c in enumerate(cells)})
-    for k, c in enumerate(cells):
-        out = out.withColumn(f"cell{k}", F.explode(F.array(*[c + d for d in (-1, 0, 1)])))
+    at = lambda v: F.floor(v / F.lit(cell))
+    if reach is None:
+        return out.withColumns({f"cell{k}": at(F.col(n)) for k, n in enumerate(names)})
+    for k, n in enumerate(names):
+        v = F.col(n)
+        pad = F.lit(reach * (1 + 1e-9)) + F.abs(v) * 1e-15  # more than rounding takes off a distance
+        out = out.withColumn(f"cell{k}", F.explode(F.sequence(at(v - pad), at(v + pad))))
     return out
 
 
@@ -38,12 +43,12 @@ def _cells(left: DataFrame, right: DataFrame, radius: float, system: str, left_o
     sky = system == "sky"
     left_on, right_on = left_on or (SKY if sky else PIXEL), right_on or (SKY if sky else PIXEL)
     reach = 2 * math.sin(math.radians(radius / 3600) / 2) if sky else radius
-    cell = max(reach * (1 + 1e-9), 1e-12)
-    a, b = _keyed(left, left_on, cell, sky, False, "_l"), _keyed(right, right_on, cell, sky, True, "_r")
+    cell = max(reach * WIDTH, 1e-9 if sky else 1e-3)
+    a, b = _keyed(left, left_on, cell, sky, None, "_l"), _keyed(right, right_on, cell, sky, reach, "_r")
     n = 3 if sky else 2
     square = sum(((F.col(f"_l{k}") - F.col(f"_r{k}")) * (F.col(f"_l{k}") - F.col(f"_r{k}")) for k in range(n)), F.lit(0.0))
     dist = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))) * 3600 if sky else F.sqrt(square)
-    return a, b, [f"cell{k}" for k in range(n)], dist
+    return a, b.hint("merge"), [f"cell{k}" for k in range(n)], dist
 
 
 def _bare(df: DataFrame) -> DataFrame:
