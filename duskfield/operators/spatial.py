@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import unit_vector
@@ -109,49 +109,65 @@ def _extent(left: DataFrame, right: DataFrame, system: str, left_on: tuple[str,
 def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str, right_key: str, system: str = "pixel", left_on: tuple[str, str] | None = None, right_on: tuple[str, str] | None = None) -> DataFrame:
     """Each left row's nearest right row, however far, with ``dist``; the smaller right key where two are as near.
 
-    A pyramid of the cells that the right side occupies, each level twice as wide as the one before, tells every left cell
-    the first level at which it or a cell beside it holds something. That bounds the distance, and one join on cells four
-    times as wide finds the nearest: a row of the left side is joined at its own level only, one of the right side at each
-    level in use. The number of jobs doesn't depend on the distances. Rows without a finite position aren't found and
-    find nothing; without any right row there is no row. A left row far from all of the right side meets whatever lies
-    within four times that distance: ``first_radius`` should be what is usual.
+    Right cells form a pyramid, each level twice as wide as the one before. A left cell starts a level above the first that
+    holds something where it lies, which bounds its distance, and goes down two levels at a time: of the cells below those
+    that it holds, it keeps the ones that may be as near as the nearest surely is. So a left cell far from all of the right
+    side keeps a few cells of the near edge, not all within its distance, and the number of jobs grows with the logarithm
+    of the distances. Rows meet at the end, by left cell. Rows without a finite position aren't found and find nothing;
+    without any right row there is no row.
     """
     sky = system == "sky"
     n = 3 if sky else 2
     left_on, right_on = left_on or (SKY if sky else PIXEL), right_on or (SKY if sky else PIXEL)
     size = 2 * math.sin(math.radians(min(first_radius, 180 * 3600.0) / 3600) / 2) if sky else first_radius
     most = 2.0 if sky else _extent(left, right, system, left_on, right_on)
-    levels = max(0, math.ceil(math.log2(max(most / size, 1.0)))) + 1
+    top = max(0, math.ceil(math.log2(max(most / size, 1.0)))) + 1  # here the cells beside a cell hold all
+    own, names = [f"o{k}" for k in range(n)], [f"c{k}" for k in range(n)]
 
-    def placed(df: DataFrame, on: tuple[str, str], prefix: str) -> DataFrame:
+    def placed(df: DataFrame, on: tuple[str, str], prefix: str, cells: list[str]) -> DataFrame:
         finite = [~F.isnan(c) & (F.abs(c) < float("inf")) for c in on]
         axes = unit_vector(F.col(on[0]), F.col(on[1])) if sky else (F.col(on[0]).cast("double"), F.col(on[1]).cast("double"))
-        return df.where(finite[0] & finite[1]).withColumns({f"{prefix}{k}": v for k, v in enumerate(axes)})
-
-    cell = lambda prefix, level: [F.floor(F.col(f"{prefix}{k}") / (F.lit(size) * F.pow(F.lit(2.0), level))).alias(f"c{k}") for k in range(n)]
-    coarser = lambda: [F.expr(f"shiftright(c{k}, level)").alias(f"c{k}") for k in range(n)]
-    every = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
-    names = [f"c{k}" for k in range(n)]
-
-    a, b = placed(left, left_on, "_l"), placed(right, right_on, "_r")
-    occupied = b.select(*cell("_r", F.lit(0))).distinct().select("*", every).select("level", *coarser()).distinct()
-    for k in range(n):
-        occupied = occupied.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
-    own = a.select(*cell("_l", F.lit(0))).distinct()
-    asked = own.select(*[F.col(c).alias(f"o{k}") for k, c in enumerate(names)], *names, every).select(*[f"o{k}" for k in range(n)], "level", *coarser())
-    found = asked.join(occupied.distinct(), ["level", *names], "left_semi").groupBy(*[f"o{k}" for k in range(n)]).agg(F.min("level").alias("level"))
-    found = written(found.withColumn("level", F.col("level") + 2), "levels")
-    used = sorted(r[0] for r in found.select("level").distinct().collect())  # one number a level
-
-    x = a.withColumns({f"o{k}": c for k, c in enumerate(cell("_l", F.lit(0)))}).join(found, [f"o{k}" for k in range(n)]).drop(*[f"o{k}" for k in range(n)])
-    x = x.withColumns(dict(zip(names, cell("_l", F.col("level")), strict=True)))
-    for k in range(n):
-        x = x.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
-    y = b.withColumn("level", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
-    y = y.withColumns(dict(zip(names, cell("_r", F.col("level")), strict=True)))
+        out = df.where(finite[0] & finite[1]).withColumns({f"{prefix}{k}": v for k, v in enumerate(axes)})
+        return out.withColumns({c: F.floor(F.col(f"{prefix}{k}") / F.lit(size)) for k, c in enumerate(cells)})
+
+    def nearer(df: DataFrame, low: list[Column], high: list[Column]) -> DataFrame:
+        """Per left cell, the boxes (bounds in cells of level 0) that may be as near to one of its rows as the nearest surely is."""
+        gap = [F.greatest(F.lit(0.0), a - F.col(o) - 1, F.col(o) - b) for o, a, b in zip(own, low, high, strict=True)]
+        far = [F.greatest(b - F.col(o), F.col(o) + 1 - a) for o, a, b in zip(own, low, high, strict=True)]
+        length = lambda vs: F.sqrt(sum((v * v for v in vs), F.lit(0.0)))
+        x = df.withColumns({"_least": length(gap), "_most": F.min(length(far)).over(Window.partitionBy(*own))})
+        return x.where(F.col("_least") <= F.col("_most") * (1 + 1e-9) + 1e-6).drop("_least", "_most")
+
+    higher = lambda cells, by: [F.expr(f"shiftright({c}, {by})").alias(f"c{k}") for k, c in enumerate(cells)]
+    every = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level")
+    a, b = placed(left, left_on, "_l", own), placed(right, right_on, "_r", names)
+    tree = written(b.select(*names).distinct().select("*", every).select("level", *higher(names, "level")).distinct(), "tree")
+    asked = a.select(*own).distinct()
+    met = asked.select(*own, every).select(*own, "level", *higher(own, "level")).join(tree.hint("merge"), ["level", *names], "left_semi")
+    first = met.groupBy(*own).agg(F.min("level").alias("level"))
+    begin = asked.join(first, own, "left").select(*own, F.least(F.coalesce("level", F.lit(top)) + 1, F.lit(top)).alias("level"))
+    begin = begin.select(*own, "level", *higher(own, "level"))
+    for c in names:
+        begin = begin.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
+    held = written(begin.join(tree.hint("merge"), ["level", *names]).select(*own, "level", *names), "held")
+
+    below = [tree.select((F.col("level") + 2).alias("_up"), *[F.expr(f"shiftright({c}, 2)").alias(f"_{c}") for c in names], "level", *names)]
+    below.append(tree.where("level = 0").select(F.lit(1).alias("_up"), *[F.expr(f"shiftright({c}, 1)").alias(f"_{c}") for c in names], "level", *names))
+    below = below[0].unionByName(below[1]).hint("merge")
+    settled = held.where("level = 0")
+    for _ in range((held.agg(F.max("level")).first()[0] or 0) + 1 >> 1):  # one number
+        up = held.where("level > 0").select(*own, F.col("level").alias("_up"), *[F.col(c).alias(f"_{c}") for c in names])
+        x = up.join(below, ["_up", *[f"_{c}" for c in names]]).select(*own, "level", *names)
+        low = [F.expr(f"shiftleft({c}, level)").cast("double") for c in names]
+        high = [F.expr(f"shiftleft({c} + 1, level)").cast("double") for c in names]
+        held = written(nearer(x, low, high), "held")
+        settled = settled.unionByName(held.where("level = 0"))
+
+    at = [F.col(f"_r{k}") / F.lit(size) for k in range(n)]
+    y = nearer(settled.drop("level").join(b.hint("merge"), names), at, at).drop(*names)
     square = sum(((F.col(f"_l{k}") - F.col(f"_r{k}")) * (F.col(f"_l{k}") - F.col(f"_r{k}")) for k in range(n)), F.lit(0.0))
     dist = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))) * 3600 if sky else F.sqrt(square)
-    pairs = x.join(y, ["level", *names]).withColumn("dist", dist).drop("level", *names, *[f"_{s}{k}" for s in "lr" for k in range(n)])
+    pairs = a.join(y.hint("merge"), own).withColumn("dist", dist).drop(*own, *[f"_{s}{k}" for s in "lr" for k in range(n)])
     rest = [c for c in pairs.columns if c not in (key, "dist", right_key)]
     best = pairs.groupBy(key).agg(F.min(F.struct("dist", right_key, *rest)).alias("_best"))
     return best.select(key, *[F.col("_best").getField(c).alias(c) for c in ("dist", right_key, *rest)])

@@ -607,3 +607,21 @@ def test_nearest_over_gaps_is_brute_force(spark, system):
         got = spatial.nearest_any(x, y, first, "i", "j", system=system, right_on=("u", "v")).collect()
         assert {r["i"]: r["j"] for r in got} == {k: v[1] for k, v in want.items()}
         assert all(r["dist"] == pytest.approx(want[r["i"]][0], abs=1e-4, rel=1e-6) for r in got)
+
+
+def _most_joined(plan):
+    """The most rows that a join of an executed plan put out."""
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        return _most_joined(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return _most_joined(plan.plan())
+    n = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    return max([n, *[_most_joined(plan.children().apply(k)) for k in range(plan.children().size())]])
+
+
+def test_nearest_from_far_meets_the_edge_only(spark):
+    a = spark.range(400).selectExpr("id as i", "20.0D*(id%20) as x", "3000.0D+20*floor(id/20) as y")
+    b = spark.range(1600).selectExpr("id as j", "20.0D*(id%40) as u", "20.0D*floor(id/40) as v")
+    got = spatial.nearest_any(a, b, 16.0, "i", "j", right_on=("u", "v"))
+    assert all(r["j"] == 1560 + r["i"] % 20 for r in got.collect())
+    assert _most_joined(got._jdf.queryExecution().executedPlan()) < 400 * 100  # not 400 * 1600
