@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.photometry import DETECTION_FLOOR, systematic_error
 from .features import TYPE_PRIORITY, passes
 from ..functions.tables import written
-from .graph import connected_components, greedy_split
+from .graph import connected_components, greedy_split, near_components
 from .spatial import radius_anti, radius_join, self_pairs
 
 
@@ -79,8 +79,7 @@ def vote(candidates: DataFrame, radius: float, n_catalogs: int, share: float, ke
 
 def vote_groups(candidates: DataFrame, radius: float, key: str = "cand_id", system: str = "pixel") -> DataFrame:
     """(key, component) of each exposure's candidates, joined within the smaller of their radii ``r``, up to ``radius``."""
-    pairs = self_pairs(candidates, radius, key, carry=("r",), by=("epoch_id",), system=system).where(F.col("dist") <= F.least("r", "r2"))
-    return connected_components(candidates, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
+    return near_components(candidates, radius, key, "r", ("epoch_id",), system)
 
 
 def _voted(members: DataFrame, group: str, n_catalogs: int, share: float) -> DataFrame:
@@ -114,9 +113,7 @@ def cross_epoch(candidates: DataFrame, radius: float, least: int, key: str = "de
     meet are merged; components are split into groups of one member per exposure; groups under ``least`` go.
     """
     valid = valid_positions(candidates)
-    pairs = self_pairs(valid, 0.6 * radius, key, carry=("r",), system="sky").where(F.col("dist") <= F.least("r", "r2"))
-    first = connected_components(valid, pairs.select(F.col(key).alias("a"), F.col(f"{key}2").alias("b")), key)
-    x = valid.join(first, key)
+    x = valid.join(near_components(valid, 0.6 * radius, key, "r", system="sky"), key)
     mid = x.groupBy("component").agg(F.avg("ra").alias("ra"), F.avg("dec").alias("dec"), F.collect_set("epoch_id").alias("epochs"))
     x = x.join(merged_components(mid, radius), "component").drop("component").withColumnRenamed("root", "component")
     return split_components(x, radius, least, key)
@@ -133,7 +130,7 @@ def merged_components(mid: DataFrame, radius: float) -> DataFrame:
 def split_components(members: DataFrame, radius: float, least: int, key: str = "det_id") -> DataFrame:
     """(key, component, sub) of the groups of at least ``least`` members that the greedy split gives."""
     big = members.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component")
-    split = greedy_split(members.join(big, "component", "left_semi"), radius, key)
+    split = written(greedy_split(members.join(big, "component", "left_semi"), radius, key), "split")
     enough = split.groupBy("component", "sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("component", "sub")
     return split.join(enough, ["component", "sub"], "left_semi").select(key, "component", "sub")
 

@@ -625,3 +625,22 @@ def test_nearest_from_far_meets_the_edge_only(spark):
     got = spatial.nearest_any(a, b, 16.0, "i", "j", right_on=("u", "v"))
     assert all(r["j"] == 1560 + r["i"] % 20 for r in got.collect())
     assert _most_joined(got._jdf.queryExecution().executedPlan()) < 400 * 100  # not 400 * 1600
+
+
+def test_copies_of_a_position_add_no_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    at = [(rng.randrange(6) * 0.5, rng.randrange(4) * 0.5) for _ in range(12)]
+    rows = [(k, k % 3, *rng.choice(at), rng.choice([0.3, 0.6, -1.0, 0.0, None])) for k in range(150)] + [(900 + k, 1, float("nan"), 0.0, 0.5) for k in range(2)]
+    seen = []
+    plain = graph.connected_components
+    monkeypatch.setattr(graph, "connected_components", lambda nodes, edges, key: (seen.append(edges.count()), plain(nodes, edges, key))[1])
+    got = graph.near_components(spark.createDataFrame(rows, "det_id long, epoch_id int, x double, y double, r double"), 0.7, "det_id", "r", ("epoch_id",))
+
+    def joined(p, q):
+        r = [v for v in (p[4], q[4]) if v is not None]
+        return p[1] == q[1] and bool(r) and math.hypot(p[2] - q[2], p[3] - q[3]) <= min(0.7, *r)
+
+    by = {r[0]: r for r in rows}
+    want = classes(by, lambda a, b: joined(by[a], by[b]))
+    assert {r["det_id"]: r["component"] for r in got.collect()} == want
+    assert seen[0] < sum(joined(p, q) for p in rows for q in rows if p[0] < q[0])
