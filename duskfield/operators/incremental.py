@@ -52,9 +52,11 @@ class ClusterStore:
         fs, at = self._fs(name)
         return fs.exists(at)
 
-    def _read(self, name: str, tiles: list[int] | None = None) -> DataFrame:
+    def _read(self, name: str, tiles: DataFrame | None = None) -> DataFrame:
+        """A table, or its rows in ``tiles`` (a written table): by a join, so that no list of tiles is in the driver or in a
+        plan. The comparison makes Spark prune folders by what the join meets."""
         x = self.spark.read.parquet(f"{self.path}/{name}")
-        return x if tiles is None else x.where(F.col("tile").isin(tiles))
+        return x if tiles is None else x.join(F.broadcast(tiles.where("tile >= 0")), "tile", "left_semi")
 
     def clusters(self) -> DataFrame:
         """(key, component, sub), as ``cross_epoch`` gives them for all that was added."""
@@ -67,13 +69,12 @@ class ClusterStore:
         a, b, c = self._cells()
         return (a * (1 << 2 * _STEPS) + b * (1 << _STEPS) + c).cast("long")
 
-    def _around(self, rows: DataFrame) -> list[int]:
-        """The tiles of the rows and those next to them: an exposure's field, so that their list is short."""
-        a, b, c = (F.explode(F.array(*[v + d for d in (-1, 0, 1)])).alias(n) for n, v in zip("abc", self._cells(), strict=True))
-        cells = rows.select(*[v.alias(n) for n, v in zip("abc", self._cells(), strict=True)]).distinct()
+    def _around(self, rows: DataFrame) -> DataFrame:
+        """The tiles of the rows and those next to them, written."""
         near = lambda n: F.explode(F.array(*[F.col(n) + d for d in (-1, 0, 1)])).alias(n)
-        x = cells.select(near("a"), "b", "c").select("a", near("b"), "c").select("a", "b", near("c")).distinct()
-        return [r[0] for r in x.select((F.col("a") * (1 << 2 * _STEPS) + F.col("b") * (1 << _STEPS) + F.col("c")).cast("long")).collect()]
+        x = rows.select(*[v.alias(n) for n, v in zip("abc", self._cells(), strict=True)]).distinct()
+        x = x.select(near("a"), "b", "c").select("a", near("b"), "c").select("a", "b", near("c"))
+        return written(x.select((F.col("a") * (1 << 2 * _STEPS) + F.col("b") * (1 << _STEPS) + F.col("c")).cast("long").alias("tile")).distinct(), "tiles")
 
     # --- what an exposure changes ---
 
@@ -88,15 +89,14 @@ class ClusterStore:
     def _add(self, candidates: DataFrame) -> dict[str, int]:
         k, spark = self.key, self.spark
         new = written(valid_positions(candidates).select(*self.columns), "new")
-        near = self._around(new)
         first_time = not self._exists("members")
         if first_time:
             nothing = new.where("false")
             ids = [F.lit(None).cast(new.schema[k].dataType).alias(c) for c in ("first", "root")]
             members = nothing.select("*", *ids, F.lit(None).cast("int").alias("sub"), F.lit(None).cast("array<long>").alias("tiles"), F.lit(None).cast("long").alias("home"), self._tile().alias("tile"))
         else:
-            members = self._read("members", near)
-            new = written(new.join(members.select(k), k, "left_anti"), "new")
+            members = self._read("members", self._around(new))
+            new = written(new.join(members.select(k).hint("merge"), k, "left_anti"), "new")
         added = new.count()
         if not added:
             return {"added": 0, "clustered": 0, "tiles": 0}
@@ -113,35 +113,35 @@ class ClusterStore:
 
         # All members of the groups reached, then of the groups whose centroids are in reach of the new centroids.
         roots = met.select(F.col("root2").alias("root"), F.explode("tiles2").alias("tile")).distinct()
-        pool = self._members_of(roots, members)
-        pool = pool.join(moved, "first", "left").withColumn("first", F.coalesce("_to", "first")).drop("_to")
-        own = new.join(now, k).select(*self.columns, F.col("component").alias("first"), F.lit(None).cast(pool.schema["root"].dataType).alias("root"), F.lit(None).cast("long").alias("home"))
+        pool = members.select(*self.columns, "first", "root", "home") if first_time else self._members_of(roots)
+        pool = pool.join(moved.hint("merge"), "first", "left").withColumn("first", F.coalesce("_to", "first")).drop("_to")
+        own = new.join(now.hint("merge"), k).select(*self.columns, F.col("component").alias("first"), F.lit(None).cast(pool.schema["root"].dataType).alias("root"), F.lit(None).cast("long").alias("home"))
         pool = written(pool.unionByName(own), "pool")
         mid = self._centroids(pool)
         if not first_time:
-            groups = self._read("groups", self._around(mid)).join(pool.select("root").where("root is not null").distinct(), "root", "left_anti")
+            groups = self._read("groups", self._around(mid)).join(pool.select("root").where("root is not null").distinct().hint("merge"), "root", "left_anti")
             far = groups.select(F.col("ra").alias("ra2"), F.col("dec").alias("dec2"), F.col("epochs").alias("epochs2"), F.col("root").alias("root2"), F.col("tiles").alias("tiles2"))
             reach = radius_join(far, mid, self.radius, "sky", ("ra2", "dec2"), ("ra", "dec")).where(~F.arrays_overlap("epochs", "epochs2"))
-            more = self._members_of(reach.select(F.col("root2").alias("root"), F.explode("tiles2").alias("tile")).distinct(), None)
+            more = self._members_of(reach.select(F.col("root2").alias("root"), F.explode("tiles2").alias("tile")).distinct())
             pool = written(pool.unionByName(more), "pool")
             mid = self._centroids(pool)
 
         merged = merged_components(mid, self.radius)
         homes = mid.select("component", self._tile().alias("home"))
-        x = pool.drop("root", "home").join(merged.join(homes, "component").withColumnRenamed("component", "first"), "first")
+        x = pool.drop("root", "home").join(merged.join(homes.hint("merge"), "component").withColumnRenamed("component", "first").hint("merge"), "first")
         sub = split_components(x.withColumnRenamed("root", "component"), self.radius, self.least, k).select(k, "sub")
-        x = x.join(sub, k, "left").withColumn("tile", self._tile())
+        x = x.join(sub.hint("merge"), k, "left").withColumn("tile", self._tile())
         spread = x.groupBy("root").agg(F.sort_array(F.collect_set("tile")).alias("tiles"))
-        x = written(x.join(spread, "root").select(*self.columns, "first", "root", "sub", "tiles", "home", "tile"), "clustered")
-        mids = mid.withColumnRenamed("component", "first").join(x.select("first", "root", "tiles", F.col("home").alias("tile")).distinct(), "first")
+        x = written(x.join(spread.hint("merge"), "root").select(*self.columns, "first", "root", "sub", "tiles", "home", "tile"), "clustered")
+        mids = mid.withColumnRenamed("component", "first").join(x.select("first", "root", "tiles", F.col("home").alias("tile")).distinct().hint("merge"), "first")
         before = pool.where("root is not null")
         return {"added": added, "clustered": x.count(), "tiles": self._replace(x, mids, before)}
 
-    def _members_of(self, roots: DataFrame, known: DataFrame | None) -> DataFrame:
+    def _members_of(self, roots: DataFrame) -> DataFrame:
         """The members of ``roots`` (root, tile): only these tiles are read."""
-        tiles = [r[0] for r in roots.select("tile").distinct().collect()]
-        rows = known.where("false") if known is not None and not tiles else self._read("members", tiles)
-        return rows.join(roots.select("root").distinct(), "root", "left_semi").select(*self.columns, "first", "root", "home")
+        roots = written(roots, "roots")
+        rows = self._read("members", roots.select("tile").distinct())
+        return rows.join(roots.select("root").distinct().hint("merge"), "root", "left_semi").select(*self.columns, "first", "root", "home")
 
     def _centroids(self, pool: DataFrame) -> DataFrame:
         mid = pool.groupBy(F.col("first").alias("component")).agg(F.avg("ra").alias("ra"), F.avg("dec").alias("dec"), F.collect_set("epoch_id").alias("epochs"))
@@ -151,28 +151,30 @@ class ClusterStore:
         """Stages the new content of every tile that gains or loses rows (``before``: what the rows were), and puts it in place."""
         fs, staged = self._fs("staged")
         fs.delete(staged, True)
-        roots, n = before.select("root").distinct(), 0
+        roots, n = before.select("root").distinct().hint("merge"), 0
         for name, rows in (("members", members), ("groups", groups)):
-            tiles = {r[0] for r in rows.select("tile").distinct().collect()}
+            tiles = rows.select("tile")
             if self._exists(name):
-                left = {r[0] for r in before.select("home").distinct().collect()} if name == "groups" else set()
-                rest = self._read(name, sorted(tiles | left)).join(roots, "root", "left_anti").select(rows.columns)
-                rows = rows.unionByName(rest)
-                self._note(name, sorted(left - tiles - {r[0] for r in rest.select("tile").distinct().collect()}))
-                tiles |= left
+                if name == "groups":
+                    tiles = tiles.union(before.select(F.col("home").alias("tile")))
+                tiles = written(tiles.distinct(), "tiles")
+                rows = rows.unionByName(self._read(name, tiles).join(roots, "root", "left_anti").select(rows.columns))
             rows.repartition("tile").sortWithinPartitions("tile").write.partitionBy("tile").parquet(f"{self.path}/staged/{name}")
-            n += len(tiles)
+            if self._exists(name):
+                kept = self.spark.read.parquet(f"{self.path}/staged/{name}").select("tile").distinct()
+                self._note(name, tiles.join(kept, "tile", "left_anti"))
+            n += tiles.distinct().count()
         fs, at = self._fs("staged/_ready")
         fs.create(at, True).close()
         self._finish()
         return n
 
-    def _note(self, name: str, empty: list[int]) -> None:
+    def _note(self, name: str, empty: DataFrame) -> None:
         """The tiles that are left without rows, as folders to delete."""
         fs, at = self._fs(f"staged/_empty/{name}")
         fs.mkdirs(at)
-        for t in empty:
-            f, p = self._fs(f"staged/_empty/{name}/{t}")
+        for t in empty.toLocalIterator():
+            f, p = self._fs(f"staged/_empty/{name}/{t[0]}")
             f.create(p, True).close()
 
     def _finish(self) -> None:

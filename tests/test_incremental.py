@@ -137,3 +137,24 @@ def test_messages_are_landed(spark):
     assert sorted(map(tuple, spark.read.parquet(f"{top}/rows").select("path", "row").collect())) == [("a.ecsv", 0), ("a.ecsv", 1), ("b.ecsv", 0), ("b.ecsv", 1)]
     bad = spark.read.parquet(f"{top}/rows.problems").select("problem").collect()
     assert sorted(r[0] for r in bad) == ["names no table", "not a JSON object", "not a JSON object"]
+
+
+def test_tiles_are_not_listed_in_the_driver(spark, monkeypatch):
+    """Tiles are joined, so that their number isn't the driver's; folders are pruned still."""
+    rows = [(e * 100 + k, e, 10.0 + k / 50, 5.0, 1.0, 0.5) for e in (0, 1) for k in range(100)]
+    store = ClusterStore(spark, folder(spark, "clusters"), 2.0, 2, tile_degrees=0.02)
+    frames = [spark.createDataFrame([r for r in rows if r[1] == e], SKY) for e in (0, 1)]
+    plain, listed = type(frames[0]).collect, []
+
+    def collect(df):
+        out = plain(df)
+        listed.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(frames[0]), "collect", collect)
+    assert [store.add(f)["added"] for f in frames] == [100, 100]
+    assert sum(listed) < 20
+    assert sorted(map(tuple, plain(store.clusters()))) == sorted((k + 100 * e, k, 0) for k in range(100) for e in (0, 1))
+    near = store._read("members", store._around(frames[1].where("det_id < 103")))
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+    assert {r["det_id"] for r in plain(near)} >= {0, 1, 2, 100, 101, 102}
