@@ -111,7 +111,7 @@ def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str
 
     Right cells form a pyramid, each level twice as wide as the one before. A left cell starts a level above the first that
     holds something where it lies, which bounds its distance, and goes down two levels at a time: of the cells below those
-    that it holds, it keeps the ones that may be as near as the nearest surely is. So a left cell far from all of the right
+    that it holds, it keeps the ones that may be as near as the nearest surely is, judged by the bounds of the rows in both. So a left cell far from all of the right
     side keeps a few cells of the near edge, not all within its distance, and the number of jobs grows with the logarithm
     of the distances. Rows meet at the end, by left cell. Rows without a finite position aren't found and find nothing;
     without any right row there is no row.
@@ -130,41 +130,58 @@ def nearest_any(left: DataFrame, right: DataFrame, first_radius: float, key: str
         out = df.where(finite[0] & finite[1]).withColumns({f"{prefix}{k}": v for k, v in enumerate(axes)})
         return out.withColumns({c: F.floor(F.col(f"{prefix}{k}") / F.lit(size)) for k, c in enumerate(cells)})
 
+    def bounded(df: DataFrame, cells: list[str], low: list[Column], high: list[Column], prefix: str) -> DataFrame:
+        """The bounds, in cells of level 0, of the rows of each cell."""
+        ends = [F.min(v).alias(f"{prefix}low{k}") for k, v in enumerate(low)] + [F.max(v).alias(f"{prefix}high{k}") for k, v in enumerate(high)]
+        return df.groupBy(*cells).agg(*ends)
+
     def nearer(df: DataFrame, low: list[Column], high: list[Column]) -> DataFrame:
-        """Per left cell, the boxes (bounds in cells of level 0) that may be as near to one of its rows as the nearest surely is."""
-        gap = [F.greatest(F.lit(0.0), a - F.col(o) - 1, F.col(o) - b) for o, a, b in zip(own, low, high, strict=True)]
-        far = [F.greatest(b - F.col(o), F.col(o) + 1 - a) for o, a, b in zip(own, low, high, strict=True)]
-        length = lambda vs: F.sqrt(sum((v * v for v in vs), F.lit(0.0)))
-        x = df.withColumns({"_least": length(gap), "_most": F.min(length(far)).over(Window.partitionBy(*own))})
-        return x.where(F.col("_least") <= F.col("_most") * (1 + 1e-9) + 1e-6).drop("_least", "_most")
+        """Per left cell, the boxes (bounds in cells of level 0) that may be as near to one of its rows as another surely is.
+
+        That other is the box whose far end is nearest. A box goes if for all rows in the left bounds all of it is farther off:
+        the least difference of the squared distances is a sum over the axes, and on an axis it is at one of five places."""
+        ours = [(F.col(f"_llow{k}"), F.col(f"_lhigh{k}")) for k in range(n)]
+        far = [F.greatest(b - p, q - a) for (p, q), a, b in zip(ours, low, high, strict=True)]
+        box = [v.alias(f"{c}{k}") for c, vs in (("low", low), ("high", high)) for k, v in enumerate(vs)]
+        best = F.struct(F.sqrt(sum((v * v for v in far), F.lit(0.0))).alias("most"), *box)
+        x = df.withColumn("_best", F.min(best).over(Window.partitionBy(*own)))
+        least = F.lit(0.0)
+        for k, ((p, q), a, b) in enumerate(zip(ours, low, high, strict=True)):
+            c, d = F.col(f"_best.low{k}"), F.col(f"_best.high{k}")
+            at = [p, q, *[F.least(F.greatest(v, p), q) for v in (a, b, (c + d) / 2)]]
+            near, most = [F.greatest(F.lit(0.0), a - v, v - b) for v in at], [F.greatest(v - c, d - v) for v in at]
+            least = least + F.least(*[v * v - w * w for v, w in zip(near, most, strict=True)])
+        most = F.col("_best.most")
+        return x.where(least <= most * most * 1e-12 + (most + 1) * 2e-6).drop("_best")
 
     higher = lambda cells, by: [F.expr(f"shiftright({c}, {by})").alias(f"c{k}") for k, c in enumerate(cells)]
     every = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level")
     a, b = placed(left, left_on, "_l", own), placed(right, right_on, "_r", names)
-    tree = written(b.select(*names).distinct().select("*", every).select("level", *higher(names, "level")).distinct(), "tree")
-    asked = a.select(*own).distinct()
+    inside = lambda side: [F.col(f"_{side}{k}") / F.lit(size) for k in range(n)]
+    ends = lambda side: [f"_{side}{e}{k}" for e in ("low", "high") for k in range(n)]
+    leaves = bounded(b, names, inside("r"), inside("r"), "_r").select(*ends("r"), *names, every).select("level", *higher(names, "level"), *ends("r"))
+    low, high = ([F.col(c) for c in ends("r")[i : i + n]] for i in (0, n))
+    tree = written(bounded(leaves, ["level", *names], low, high, "_r"), "tree")
+    asked = written(bounded(a, own, inside("l"), inside("l"), "_l"), "asked")
     met = asked.select(*own, every).select(*own, "level", *higher(own, "level")).join(tree.hint("merge"), ["level", *names], "left_semi")
     first = met.groupBy(*own).agg(F.min("level").alias("level"))
-    begin = asked.join(first, own, "left").select(*own, F.least(F.coalesce("level", F.lit(top)) + 1, F.lit(top)).alias("level"))
-    begin = begin.select(*own, "level", *higher(own, "level"))
+    begin = asked.join(first.hint("merge"), own, "left").select(*own, *ends("l"), F.least(F.coalesce("level", F.lit(top)) + 1, F.lit(top)).alias("level"))
+    begin = begin.select(*own, *ends("l"), "level", *higher(own, "level"))
     for c in names:
         begin = begin.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
-    held = written(begin.join(tree.hint("merge"), ["level", *names]).select(*own, "level", *names), "held")
+    held = written(begin.join(tree.hint("merge"), ["level", *names]).select(*own, *ends("l"), "level", *names), "held")
 
-    below = [tree.select((F.col("level") + 2).alias("_up"), *[F.expr(f"shiftright({c}, 2)").alias(f"_{c}") for c in names], "level", *names)]
-    below.append(tree.where("level = 0").select(F.lit(1).alias("_up"), *[F.expr(f"shiftright({c}, 1)").alias(f"_{c}") for c in names], "level", *names))
+    below = [tree.select((F.col("level") + 2).alias("_up"), *[F.expr(f"shiftright({c}, 2)").alias(f"_{c}") for c in names], "level", *names, *ends("r"))]
+    below.append(tree.where("level = 0").select(F.lit(1).alias("_up"), *[F.expr(f"shiftright({c}, 1)").alias(f"_{c}") for c in names], "level", *names, *ends("r")))
     below = below[0].unionByName(below[1]).hint("merge")
     settled = held.where("level = 0")
     for _ in range((held.agg(F.max("level")).first()[0] or 0) + 1 >> 1):  # one number
-        up = held.where("level > 0").select(*own, F.col("level").alias("_up"), *[F.col(c).alias(f"_{c}") for c in names])
-        x = up.join(below, ["_up", *[f"_{c}" for c in names]]).select(*own, "level", *names)
-        low = [F.expr(f"shiftleft({c}, level)").cast("double") for c in names]
-        high = [F.expr(f"shiftleft({c} + 1, level)").cast("double") for c in names]
-        held = written(nearer(x, low, high), "held")
+        up = held.where("level > 0").select(*own, *ends("l"), F.col("level").alias("_up"), *[F.col(c).alias(f"_{c}") for c in names])
+        x = up.join(below, ["_up", *[f"_{c}" for c in names]])
+        held = written(nearer(x, low, high).select(*own, *ends("l"), "level", *names), "held")
         settled = settled.unionByName(held.where("level = 0"))
 
-    at = [F.col(f"_r{k}") / F.lit(size) for k in range(n)]
-    y = nearer(settled.drop("level").join(b.hint("merge"), names), at, at).drop(*names)
+    y = nearer(settled.drop("level").join(b.hint("merge"), names), inside("r"), inside("r")).drop(*names, *ends("l"))
     square = sum(((F.col(f"_l{k}") - F.col(f"_r{k}")) * (F.col(f"_l{k}") - F.col(f"_r{k}")) for k in range(n)), F.lit(0.0))
     dist = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2))) * 3600 if sky else F.sqrt(square)
     pairs = a.join(y.hint("merge"), own).withColumn("dist", dist).drop(*own, *[f"_{s}{k}" for s in "lr" for k in range(n)])

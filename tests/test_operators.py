@@ -627,6 +627,15 @@ def test_nearest_from_far_meets_the_edge_only(spark):
     assert _most_joined(got._jdf.queryExecution().executedPlan()) < 400 * 100  # not 400 * 1600
 
 
+def test_nearest_from_very_far_meets_few(spark):
+    """Where all of an edge is about as far, what is nearer to all rows of a left cell is what counts."""
+    a = spark.range(400).selectExpr("id as i", "20.0D*(id%20) as x", "300000.0D+20*floor(id/20) as y")
+    b = spark.range(1600).selectExpr("id as j", "20.0D*(id%40) as u", "20.0D*floor(id/40) as v")
+    got = spatial.nearest_any(a, b, 16.0, "i", "j", right_on=("u", "v"))
+    assert all(r["j"] == 1560 + r["i"] % 20 for r in got.collect())
+    assert _most_joined(got._jdf.queryExecution().executedPlan()) < 400 * 10  # not 400 * 40
+
+
 def test_copies_of_a_position_add_no_pairs(spark, monkeypatch):
     rng = random.Random(5)
     at = [(rng.randrange(6) * 0.5, rng.randrange(4) * 0.5) for _ in range(12)]
