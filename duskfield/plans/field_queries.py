@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import identity as ident
 from ..functions import photometry as phot
-from ..functions.tables import shared_dir, written
+from ..functions.tables import shared_dir
 from ..operators import epochs, features, images, lightcurve, spatial
 from ..sources import catalogs
 from . import viewer
@@ -138,9 +138,11 @@ def source_list_stream(spark, d):
     from ..streaming.source_list import decisions, grow
 
     top = f"{shared_dir(spark)}/sources-{uuid.uuid4().hex}"
-    x = written(det(spark, d).select("det_id", F.col("epoch_id").cast("long").alias("epoch_id"), "ra", "dec"), "detections")
+    x = det(spark, d).select("det_id", F.col("epoch_id").cast("long").alias("epoch_id"), "ra", "dec")
+    x.withColumn("exposure", F.col("epoch_id")).write.partitionBy("exposure").parquet(f"{top}/exposures")
     for e in sorted(row[0] for row in x.select("epoch_id").distinct().collect()):
-        x.where(F.col("epoch_id") == e).coalesce(1).write.mode("append").parquet(f"{top}/arrivals")
+        # a folder is one exposure, so that each is read once
+        spark.read.schema(x.schema).parquet(f"{top}/exposures/exposure={e}").coalesce(1).write.mode("append").parquet(f"{top}/arrivals")
     stream = grow(spark, f"{top}/arrivals", top, 0.5)
     try:
         stream.processAllAvailable()

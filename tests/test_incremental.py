@@ -4,6 +4,8 @@ import random
 import time
 import uuid
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,36 @@ def test_tiles_are_not_listed_in_the_driver(spark, monkeypatch):
     near = store._read("members", store._around(frames[1].where("det_id < 103")))
     assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
     assert {r["det_id"] for r in plain(near)} >= {0, 1, 2, 100, 101, 102}
+
+
+def test_a_cell_keeps_one_source_of_each_position():
+    from duskfield.streaming import source_list
+
+    class Kept(list):
+        def get(self):
+            return iter(self)
+
+        appendList = list.extend  # noqa: N815
+
+    cell = source_list.Sources(1.0)
+    cell.known = Kept()
+    place = {"x": 0.5, "y": 0.5, "z": 0.5}
+    rows = lambda e, keys: [pd.DataFrame([{"kind": source_list.DETECTION, "cell": 7, "epoch_id": e, "det_id": k, "source": k, **place} for k in keys])]
+    first = pd.concat(cell.handleInputRows((7,), iter(rows(1, range(100, 0, -1))), None))
+    decided = first[first["kind"] == source_list.DECISION]
+    assert (decided["source"] == decided["det_id"]).all() and len(decided) == 100
+    assert sum(np.size(v[1]) for v in cell.known) == 1  # the others can't be found
+    later = pd.concat(cell.handleInputRows((7,), iter(rows(2, (200, 201))), None))
+    assert later["source"].tolist() == [1, 1]
+
+
+def test_first_near_is_brute_force(monkeypatch):
+    from duskfield.streaming import source_list
+
+    monkeypatch.setattr(source_list, "PAIRS", 50)
+    rng = np.random.default_rng(3)
+    at, sources = rng.uniform(-1, 1, (300, 3)), rng.uniform(-1, 1, (400, 3))
+    near = np.sqrt(((at[:, None] - sources) ** 2).sum(axis=2)) <= 0.2
+    want = np.where(near.any(axis=1), near.argmax(axis=1), 400)
+    assert (source_list.first_near(at, sources, 0.2) == want).all()
+    assert source_list.first_near(at, sources[:0], 0.2).tolist() == [0] * 300
