@@ -42,6 +42,23 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+#: Bytes that pass to Python at a time, where the session doesn't say otherwise: rows that hold arrays differ in length.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, unless it has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt by columns to ``spark.sql.shuffle.partitions`` tasks. Spark joins partitions of few bytes into one task,
+    however much is computed or sorted there; a number that is asked for stays."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes tables that ``written`` gave and that nothing will read again: all that came of them is written itself."""
     for t in tables:

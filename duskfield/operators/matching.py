@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tables import written
+from ..functions.tables import bounded_batches, spread, written
 
 #: Images whose solutions are sent to all tasks, at some hundred bytes each; beyond it they are joined.
 BROADCAST_IMAGES = 10_000
@@ -42,10 +42,15 @@ def tiles(science: DataFrame, template: DataFrame, key: str, size: int, half: in
     return both.groupBy(key, "ty", "tx").agg(F.collect_list("p").alias("pix")).where(F.exists("pix", lambda p: p["t"] == 0))
 
 
-def _design(pix, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _arrays(cut: DataFrame) -> DataFrame:
+    """Tiles with their pixels as four arrays, which come to Python as numbers; an array of structs comes as a dict for each."""
+    return cut.select("*", *[F.col(f"pix.{c}").alias(c) for c in ("t", "py", "px", "v")]).drop("ty", "tx", "pix")
+
+
+def _design(row, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one tile: the places of its science pixels, the convolved template by basis image with a constant, and the values."""
-    t, py, px, v = (np.array([p[k] for p in pix]) for k in ("t", "py", "px", "v"))
-    v = np.array([np.nan if x is None else x for x in v], float)
+    t, py, px = (np.asarray(getattr(row, c)) for c in ("t", "py", "px"))
+    v = np.asarray(row.v, float)
     sci = t == 0
     half = basis.shape[1] // 2
     y0, x0 = py.min() - half, px.min() - half
@@ -76,7 +81,7 @@ def fitted_kernels(cut: DataFrame, key: str, basis: np.ndarray, rounds: int = 1,
         for b in batches:
             rows = []
             for row in b.itertuples(index=False):
-                _, a, v = _design(row.pix, basis)
+                _, a, v = _design(row, basis)
                 ok = np.isfinite(a).all(1) & np.isfinite(v)
                 if hasattr(row, "coef"):
                     ok[ok] = np.abs(v[ok] - a[ok] @ row.coef) <= clip * row.rms
@@ -101,7 +106,7 @@ def fitted_kernels(cut: DataFrame, key: str, basis: np.ndarray, rounds: int = 1,
     solved = None
     for _ in range(rounds):
         x = cut if solved is None else _with_solution(cut, solved.select(key, "coef", "rms"), key)
-        x = x.drop("ty", "tx").mapInPandas(parts, f"{key} {kind}, part array<double>").select(key, F.posexplode("part").alias("i", "v"))
+        x = spread(_arrays(x), key).mapInPandas(parts, f"{key} {kind}, part array<double>").select(key, F.posexplode("part").alias("i", "v"))
         sums = x.groupBy(key, "i").agg(F.sum("v").alias("v")).groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda p: p["v"]).alias("sums"))
         solved = written(sums.mapInPandas(solve, f"{key} {kind}, coef array<double>, rms double, n_pixels long"), "kernels")
     return solved
@@ -114,18 +119,24 @@ def matched_difference(science: DataFrame, template: DataFrame, key: str, basis:
     template have no rows; extra columns aren't read; of a pixel that comes twice the last one read counts.
     """
     basis = delta_basis(1) if basis is None else basis
+    bounded_batches(science.sparkSession)
     cut = written(tiles(science, template, key, size, basis.shape[1] // 2), "tiles")
     solved = fitted_kernels(cut, key, basis, rounds, clip)
     kind = cut.schema[key].dataType.simpleString()
 
     def less(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            names, places, values = [], [], []
             for row in b.itertuples(index=False):
-                at, a, v = _design(row.pix, basis)
-                d = v - a @ row.coef
-                yield pd.DataFrame({key: [row[0]] * len(d), "py": at[:, 0], "px": at[:, 1], "v": d})
-
-    out = _with_solution(cut, solved.select(key, "coef"), key).drop("ty", "tx").mapInPandas(less, f"{key} {kind}, py int, px int, v double")
+                at, a, v = _design(row, basis)
+                names += [row[0]] * len(v)
+                places.append(at)
+                values.append(v - a @ row.coef)
+            if values:
+                at = np.concatenate(places)
+                yield pd.DataFrame({key: names, "py": at[:, 0], "px": at[:, 1], "v": np.concatenate(values)})
+
+    out = _arrays(_with_solution(cut, solved.select(key, "coef"), key)).mapInPandas(less, f"{key} {kind}, py int, px int, v double")
     return out.withColumn("v", F.when(~F.isnan("v"), F.col("v"))), solved
 
 

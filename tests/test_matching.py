@@ -121,3 +121,12 @@ def test_terms_without_effect_and_hard_rows(spark):
     assert got[0, "c"]["value"] == 7 and got[0, "c"]["error"] == 0
     assert got[1, "a"]["value"] + 2 * got[1, "b"]["value"] == pytest.approx(5, abs=1e-6)
     assert epochs.fit_model(x.limit(0), "g", "v", "e", model, {"a": 0.0, "b": 1.0, "c": 7.0}).collect() == []
+
+
+def test_pixels_come_to_python_as_numbers_in_bounded_batches(spark):
+    pix = spark.createDataFrame(pixel_rows(1, np.ones((4, 4))), PIX)
+    matching.matched_difference(pix, pix, "key")
+    assert "spark.sql.execution.arrow.maxBytesPerBatch" in spark.conf.getAll
+    cut = matching._arrays(matching.tiles(pix, pix, "key", 256, 1))
+    assert [t for c, t in cut.dtypes if c in ("t", "py", "px", "v")] == ["array<int>", "array<int>", "array<int>", "array<double>"]
+    assert "pix" not in cut.columns
