@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tables import written
+from ..functions.tables import bounded_batches, spread, written
 from .graph import connected_components
 
 STEP = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) > (0, 0)]
@@ -46,13 +46,16 @@ def background_mesh(pix: DataFrame, key: str, cell: int = 64, clip: float = 3.0,
 
 def without_background(pix: DataFrame, mesh: DataFrame, key: str, cell: int = 64) -> DataFrame:
     """(key, py, px, f, noise): pixels less the mesh's levels, by bicubic convolution between cell centres, the outer cells
-    repeated beyond the edges. Cells that are missing take the median of the image's. An image's mesh is one row of a task."""
+    repeated beyond the edges. Cells that are missing take the median of the image's. An image's mesh is one row of a task;
+    images are dealt to all tasks, and a batch of them leaves as one."""
+    bounded_batches(pix.sparkSession)
     kind = mesh.schema[key].dataType.simpleString()
     whole = mesh.groupBy(key).agg(F.collect_list(F.struct("cy", "cx", "level", "noise")).alias("m"))
     size = pix.groupBy(key).agg((F.floor(F.max("py") / cell) + 1).cast("int").alias("ny"), (F.floor(F.max("px") / cell) + 1).cast("int").alias("nx"))
 
     def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            parts = []
             for row in b.itertuples(index=False):
                 values = np.array([(p["level"], p["noise"]) for p in row.m])
                 grid = np.tile(np.median(values, axis=0), (row.ny, row.nx, 1))
@@ -61,11 +64,16 @@ def without_background(pix: DataFrame, mesh: DataFrame, key: str, cell: int = 64
                 i, j = (a.ravel() for a in np.mgrid[-1 : row.ny, -1 : row.nx])
                 near = np.arange(-1, 3)
                 block = grid[np.clip(i[:, None] + near, 0, row.ny - 1)[:, :, None], np.clip(j[:, None] + near, 0, row.nx - 1)[:, None, :]]
-                yield pd.DataFrame({key: [row[0]] * len(i), "_i": i, "_j": j, "_l": list(block[..., 0].reshape(len(i), 16)), "_n": list(block[..., 1].reshape(len(i), 16))})
+                parts.append(([row[0]] * len(i), i, j, block[..., 0].reshape(len(i), 16), block[..., 1].reshape(len(i), 16)))
+            if parts:
+                names, *held = zip(*parts, strict=True)
+                i, j, level, noise = (np.concatenate(p) for p in held)
+                yield pd.DataFrame({key: [k for n in names for k in n], "_i": i, "_j": j, "_l": list(level), "_n": list(noise)})
 
-    table = whole.join(size, key).mapInPandas(corners, f"{key} {kind}, _i int, _j int, _l array<double>, _n array<double>")
+    table = spread(whole.join(size, key)).mapInPandas(corners, f"{key} {kind}, _i int, _j int, _l array<double>, _n array<double>")
     u = lambda c: (F.col(c) + 0.5) / cell - 0.5
-    x = pix.withColumns({"_i": F.floor(u("py")).cast("int"), "_j": F.floor(u("px")).cast("int")}).join(table, [key, "_i", "_j"])
+    x = pix.withColumns({"_i": F.floor(u("py")).cast("int"), "_j": F.floor(u("px")).cast("int")})
+    x = spread(x, key, "_i", "_j").join(spread(table, key, "_i", "_j"), [key, "_i", "_j"])
 
     def weights(t: Column) -> list[Column]:
         return [((-0.5 * t + 1) * t - 0.5) * t, (1.5 * t - 2.5) * t * t + 1, ((-1.5 * t + 2) * t + 0.5) * t, (0.5 * t - 0.5) * t * t]
@@ -167,7 +175,7 @@ def apertures(objects: DataFrame, pix: DataFrame, key: str, object_key: str, rad
     o = objects.select(key, object_key, "x", "y").withColumns({"_by": F.explode(F.array(*[block("y") + d for d in (-1, 0, 1)]))})
     o = o.withColumn("_bx", F.explode(F.array(*[block("x") + d for d in (-1, 0, 1)])))
     p = pix.select(key, "py", "px", "f").withColumns({"_by": block("py"), "_bx": block("px")})
-    near = o.join(p, [key, "_by", "_bx"]).where((F.abs(F.col("px") - F.col("x")) <= radius + 0.5) & (F.abs(F.col("py") - F.col("y")) <= radius + 0.5))
+    near = spread(o, key, "_by", "_bx").join(spread(p, key, "_by", "_bx"), [key, "_by", "_bx"]).where((F.abs(F.col("px") - F.col("x")) <= radius + 0.5) & (F.abs(F.col("py") - F.col("y")) <= radius + 0.5))
     offsets = [(k + 0.5) / grid - 0.5 for k in range(grid)]
     inside = [F.when(F.pow(F.col("px") + dx - F.col("x"), 2) + F.pow(F.col("py") + dy - F.col("y"), 2) <= radius * radius, 1.0).otherwise(0.0) for dy in offsets for dx in offsets]
     share = sum(inside, F.lit(0.0)) / (grid * grid)

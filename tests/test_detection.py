@@ -108,3 +108,10 @@ def test_apertures(spark):
     got = {r["obj"]: r for r in detection.apertures(at, pix, "img", "obj", 5.0).collect()}
     assert got[7]["aperture_flux"] == pytest.approx(1000, rel=2e-3) and got[7]["area"] == pytest.approx(math.pi * 25, rel=0.01)
     assert set(got) == {7, 8} and got[8]["area"] < math.pi * 25 / 3
+
+
+def test_meshes_of_many_images_are_no_single_task(spark):
+    pix = spark.createDataFrame([r for k in range(40) for r in rows(k, np.ones((8, 8)))], "img long, py int, px int, v double")
+    flat = detection.without_background(pix, detection.background_mesh(pix, "img", 8), "img", 8)
+    assert flat.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert flat.where("f <> 0").count() == 0 and flat.count() == 40 * 64
