@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import clip
+from ..functions.tables import spread, written
 from .spatial import radius_join
 
 VARIABLE_CHI2 = 2.0
@@ -75,19 +76,20 @@ def motion(points: DataFrame, group: str = "gid", by: str = "snr") -> DataFrame:
     """Linear motion per group: rates in arcsec an hour, robust residual scatter, significance, consistent exposures.
 
     Positions count from ``reference_points``. Fits are aggregates; the medians of the residuals take a second pass.
-    Without a spread in time all is 0.
+    Without a spread in time all is 0. What a pass finds by group is written, so that the next one does not repeat it: all in
+    one plan, the passes before are computed anew for each pass, and one task holds the sorts of all.
     """
-    x = points.join(reference_points(points, group, by), group)
+    x = points.join(written(reference_points(points, group, by), "references"), group)
     x = x.select(group, "det_id", ((F.col("obs_time") - F.col("r.obs_time")) / 3600).alias("t"), ((F.col("ra") - F.col("r.ra")) * F.cos(F.radians("r.dec")) * 3600).alias("da"), ((F.col("dec") - F.col("r.dec")) * 3600).alias("dd"))
     fit = x.groupBy(group).agg(*[f("d" + c, "t").alias(n + c) for c in "ad" for f, n in ((F.regr_slope, "s"), (F.regr_intercept, "i"))], F.count(F.lit(1)).alias("n"))
-    x = x.join(fit, group)
+    x = x.join(written(fit, "fits"), group)
     x = x.withColumns({f"r{c}": F.col(f"d{c}") - F.col(f"s{c}") * F.col("t") - F.col(f"i{c}") for c in "ad"})
     mid = x.groupBy(group).agg(*[F.percentile(f"r{c}", F.lit(0.5)).alias(f"m{c}") for c in "ad"])
-    x = x.join(mid, group)
+    x = x.join(written(mid, "middles"), group)
     mad = x.groupBy(group).agg(*[(F.percentile(F.abs(F.col(f"r{c}") - F.col(f"m{c}")), F.lit(0.5)) / 0.67).alias(f"v{c}") for c in "ad"])
     sigma = F.sqrt(F.pow("va", 2) + F.pow("vd", 2))
     off = F.sqrt(F.pow("ra", 2) + F.pow("rd", 2))
-    got = x.join(mad, group).groupBy(group).agg(F.first("sa").alias("ma"), F.first("sd").alias("md"), F.first(sigma).alias("sigma"), F.count(F.when(off <= 2 * sigma + ROUNDING, 1)).alias("moving"))
+    got = x.join(written(mad, "scatters"), group).groupBy(group).agg(F.first("sa").alias("ma"), F.first("sd").alias("md"), F.first(sigma).alias("sigma"), F.count(F.when(off <= 2 * sigma + ROUNDING, 1)).alias("moving"))
     zero = lambda v: F.coalesce(v, F.lit(0.0))
     rate = F.sqrt(F.pow(zero(F.col("ma")), 2) + F.pow(zero(F.col("md")), 2))
     return got.select(group, zero(F.col("ma")).alias("motion_ra_as_per_hr"), zero(F.col("md")).alias("motion_dec_as_per_hr"), rate.alias("motion_total_as_per_hr"), zero(F.col("sigma")).alias("motion_sigma_as"), F.when(F.col("ma").isNotNull(), rate / F.greatest(zero(F.col("sigma")), F.lit(1e-6))).otherwise(0.0).alias("motion_significance"), F.when(F.col("ma").isNotNull(), F.col("moving")).otherwise(0).alias("n_epochs_moving"))
@@ -130,8 +132,11 @@ def is_trail(moving: Column, sigma: Column, significance: Column, score: Column,
 
 def trails(points: DataFrame, ast_sigma: Column | float = 0.0, group: str = "gid", least: dict[str, float] = TRAIL) -> DataFrame:
     """Per group its motion, its shape, ``trail_score`` and ``is_trail``. ``ast_sigma``: the frames' astrometric error in
-    arcsec, over the columns of ``points``, of which the group's least is taken; 0 where it isn't known."""
-    m = motion(points, group)
+    arcsec, over the columns of ``points``, of which the group's least is taken; 0 where it isn't known.
+
+    Points are dealt by group once: all passes sort them there, and Spark would join tasks of few, well packed bytes."""
+    points = spread(points, group)
+    m = written(motion(points, group), "motions")
     angle = m.select(group, motion_angle(F.col("motion_ra_as_per_hr"), F.col("motion_dec_as_per_hr")).alias("pa"))
     span = points.groupBy(group).agg(((F.max("obs_time") - F.min("obs_time")) / 3600).alias("_hours"), F.coalesce(F.min(F.lit(ast_sigma)), F.lit(0.0)).alias("ast_sigma"))
     x = m.join(trail_shape(points, angle, group), group).join(span, group)

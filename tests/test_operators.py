@@ -653,3 +653,14 @@ def test_copies_of_a_position_add_no_pairs(spark, monkeypatch):
     want = classes(by, lambda a, b: joined(by[a], by[b]))
     assert {r["det_id"]: r["component"] for r in got.collect()} == want
     assert seen[0] < sum(joined(p, q) for p in rows for q in rows if p[0] < q[0])
+
+
+def test_trails_are_no_single_task(spark):
+    """Points are few bytes when packed, which Spark would join into one task that sorts them all."""
+    cols = "gid long, det_id long, obs_time double, ra double, dec double, err double, fwhm double, a double, b double, theta double"
+    points = spark.createDataFrame([(g, 10 * g + k, 3600.0 * k, 180.0 + k / 3600, 30.0, 0.1, 2.0, 1.5, 1.0, 90.0) for g in range(40) for k in range(4)], cols)
+    got = lightcurve.trails(points, F.lit(0.2))
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") <= 4  # no pass is computed again within another
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert got.count() == 40 and got.where("is_trail").count() == 40
