@@ -113,26 +113,27 @@ def deblended(pix: DataFrame, key: str, sigma: float = 3.0, least: int = 5, leve
     whose Gaussian, by its node's peak and moments, is highest there. ``source`` is the source's first pixel, row by row,
     ``object`` the first of the object's node; a source that isn't parted is one object. An image without sources has no rows.
 
-    Scale: components of all levels are found at once; the tree of a source, a row for each component, is one group.
+    Scale: components of all levels are found at once; the tree of a source, a row for each component, is one group. Tables
+    of pixels take few bytes on disk and many in memory, so their joins are sorted, never broadcast.
     """
     good = F.abs("f") < float("inf")
     bright = written(pix.where(good & (F.col("f") > sigma * F.col("noise")) & (F.col("f") > 0)).select(key, "py", "px", "f", F.struct(key, "py", "px").alias("node")), "bright")
     step = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in STEP])
     ahead = bright.select(key, F.col("node").alias("a"), F.col("f").alias("fa"), "py", "px", F.explode(step).alias("d")).select(key, "a", "fa", (F.col("py") + F.col("d.dy")).alias("py"), (F.col("px") + F.col("d.dx")).alias("px"))
-    edges = written(ahead.join(bright.select(key, "py", "px", F.col("node").alias("b"), F.col("f").alias("fb")), [key, "py", "px"]).select("a", "b", F.least("fa", "fb").alias("f")), "touching")
-    own = bright.join(connected_components(bright.select("node"), edges, "node"), "node").withColumnRenamed("component", "root")
+    edges = written(ahead.join(bright.select(key, "py", "px", F.col("node").alias("b"), F.col("f").alias("fb")).hint("merge"), [key, "py", "px"]).select("a", "b", F.least("fa", "fb").alias("f")), "touching")
+    own = bright.join(connected_components(bright.select("node"), edges, "node").hint("merge"), "node").withColumnRenamed("component", "root")
     size = own.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("low"), F.max("f").alias("high")).where(F.col("n") >= least)
-    own = written(own.join(size.select("root", "low", "high"), "root"), "sources")
+    own = written(own.join(size.select("root", "low", "high").hint("merge"), "root"), "sources")
 
     threshold = F.col("low") * F.pow(F.col("high") / F.col("low"), F.col("level") / F.lit(float(levels)))
     ladder = F.explode(F.sequence(F.lit(1), F.lit(levels - 1))).alias("level")
     at = lambda c: F.struct("level", f"{c}.{key}", f"{c}.py", f"{c}.px")
     above = own.select("*", ladder).withColumn("t", threshold).where(F.col("f") > F.col("t")).withColumn("at", at("node"))
-    joint = edges.join(own.select(F.col("node").alias("a"), "low", "high"), "a").select("a", "b", "f", "low", "high", ladder).where(F.col("f") > threshold)
+    joint = edges.join(own.select(F.col("node").alias("a"), "low", "high").hint("merge"), "a").select("a", "b", "f", "low", "high", ladder).where(F.col("f") > threshold)
     comp = connected_components(above.select("at"), joint.select(at("a").alias("a"), at("b").alias("b")), "at")
-    above = written(above.join(comp, "at").select("root", "node", "level", "component", (F.col("f") - F.col("t")).alias("over"), "f"), "above")
+    above = written(above.join(comp.hint("merge"), "at").select("root", "node", "level", "component", (F.col("f") - F.col("t")).alias("over"), "f"), "above")
     under = above.select("node", (F.col("level") + 1).alias("level"), F.col("component").alias("parent"))
-    nodes = above.join(under, ["node", "level"], "left").groupBy("root", "component").agg(F.first("parent").alias("parent"), F.sum("over").alias("flux"))
+    nodes = above.join(under.hint("merge"), ["node", "level"], "left").groupBy("root", "component").agg(F.first("parent").alias("parent"), F.sum("over").alias("flux"))
     base = own.groupBy("root").agg(F.sum(F.col("f") - F.col("low")).alias("flux"))
     name = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws(":", *[F.col(f"{c}.{k}").cast("string") for k in ("level", "py", "px")]))
     start = F.lit("0")
@@ -147,17 +148,17 @@ def deblended(pix: DataFrame, key: str, sigma: float = 3.0, least: int = 5, leve
 
     parts = written(trees.mapInPandas(parted, f"root {kind}, objects array<string>"), "objects")
     several = parts.where(F.size("objects") > 1).select("root", F.explode("objects").alias("c"))
-    held = written(above.withColumn("c", name("component")).join(several, ["root", "c"]).select("root", "c", "node", "f"), "held")
+    held = written(above.withColumn("c", name("component")).join(several.hint("merge"), ["root", "c"]).select("root", "c", "node", "f"), "held")
     f, py, px = F.col("f"), F.col("node.py"), F.col("node.px")
     mean = lambda v: F.sum(f * v) / F.sum(f)
     shape = held.groupBy("root", "c").agg(F.min("node").alias("object"), F.max("f").alias("top"), mean(px).alias("ox"), mean(py).alias("oy"), mean(px * px + py * py).alias("q"))
     spread = F.greatest((F.col("q") - F.col("ox") * F.col("ox") - F.col("oy") * F.col("oy")) / 2, F.lit(0.5))
     shape = written(shape.withColumn("s", spread), "shapes")
-    rest = own.join(shape, "root").join(held.select("node"), "node", "left_anti")
+    rest = own.join(shape.hint("merge"), "root").join(held.select("node").hint("merge"), "node", "left_anti")
     far = F.pow(F.col("px") - F.col("ox"), 2) + F.pow(F.col("py") - F.col("oy"), 2)
     taken = rest.groupBy("node").agg(F.max(F.struct((F.log("top") - far / (2 * F.col("s"))).alias("w"), "object")).alias("m")).select("node", F.col("m.object").alias("object"))
-    owner = taken.unionByName(held.join(shape.select("root", "c", "object"), ["root", "c"]).select("node", "object"))
-    x = own.join(owner, "node", "left").withColumn("object", F.coalesce("object", "root"))
+    owner = taken.unionByName(held.join(shape.select("root", "c", "object").hint("merge"), ["root", "c"]).select("node", "object"))
+    x = own.join(owner.hint("merge"), "node", "left").withColumn("object", F.coalesce("object", "root"))
 
     got = x.groupBy(key, "root", "object").agg(F.count(F.lit(1)).alias("n_pixels"), F.sum("f").alias("flux"), F.max("f").alias("peak"), mean(F.col("px")).alias("x"), mean(F.col("py")).alias("y"), mean(F.col("px") * F.col("px")).alias("_xx"), mean(F.col("py") * F.col("py")).alias("_yy"), mean(F.col("px") * F.col("py")).alias("_xy"))
     xx, yy, xy = F.col("_xx") - F.col("x") * F.col("x"), F.col("_yy") - F.col("y") * F.col("y"), F.col("_xy") - F.col("x") * F.col("y")
