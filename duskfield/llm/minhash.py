@@ -2,8 +2,10 @@
 
 Circulant MinHash: one permutation scatters the shingles over a universe, a second one, circularly shifted, gives all
 coordinates of the signature. Bands of the signature make buckets. Every bucket is compared with one hub, exactly, on
-full shingle sets; members that aren't linked to their hub meet others of the hub's members only through elements of
-their difference from the hub, which two linked sets must share, so that no link is lost and no group emits all pairs.
+full shingle sets. What that leaves open in a small bucket is settled inside it: counts of the sets by hash range bound
+what two members share, and those that may be linked are compared exactly. In a large one, members that aren't linked to
+their hub meet others of the hub's members only through elements of their difference from the hub, which two linked sets
+must share, so that no link is lost and no group emits all pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ SMALL_BUCKET = 512
 SALT_ROWS = 512
 LABEL_SALTS = 8
 COMPARED_CELLS = 1 << 21
+#: A set's profile: how many of its hashes fall in each of so many equal ranges, each count in a byte.
+PROFILE = 256
 #: So many distinct words a worker keeps the hashes of before it starts anew.
 WORD_CACHE = 1 << 16
 #: Rows that pass to Python at a time.
@@ -128,12 +132,39 @@ def _signed(percent: int):
     return run
 
 
+def profile(shingles: np.ndarray) -> np.ndarray:
+    """The set's hashes counted by range, 255 at most in each."""
+    return np.minimum(np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8)
+
+
+def shared_at_most(one: np.ndarray, n: int, others: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """No fewer elements than a set of size ``n`` shares with each of others, by their profiles. What a full range doesn't
+    count could be shared."""
+    beyond = np.minimum(n - int(one.sum(dtype=np.int64)), ns - others.sum(axis=1, dtype=np.int64))
+    return np.minimum(one, others).sum(axis=1, dtype=np.int64) + beyond
+
+
 def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> word digest, the sorted shingle hashes as bytes."""
+    """text -> word digest, the sorted shingle hashes as bytes, their profile."""
     for b in batches:
         for at in range(0, b.num_rows, 1000):
             got = [shingle_set(t) for t in _texts(b["text"].slice(at, 1000))]
-            yield pa.RecordBatch.from_arrays([pa.array([k for _, k in got], pa.binary()), pa.array([s.tobytes() for s, _ in got], pa.binary())], names=["key", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array([k for _, k in got], pa.binary()), pa.array([s.tobytes() for s, _ in got], pa.binary()), pa.array([profile(s).tobytes() for s, _ in got], pa.binary())], names=["key", "s", "profile"])
+
+
+def _linked(percent: int):
+    """hub, member and their sets -> hub, member, whether linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b["hub_set"], b["s"], strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                inter = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
+            yield pa.RecordBatch.from_arrays([b["hub"], b["node"], pa.array(ok, pa.bool_())], names=["hub", "node", "ok"])
+
+    return run
 
 
 def _compare(percent: int):
@@ -281,7 +312,7 @@ def _residual(compared: DataFrame, groups: DataFrame, labels: DataFrame, percent
 
 def _links_within(percent: int):
     """The links (a, b) inside one bucket of at most SMALL_BUCKET members, which leave as a spanning forest: one for each
-    member at most."""
+    member at most. Elements ``v``: longs, or their bytes."""
 
     def run(t: pa.Table) -> pa.Table:
         node, label, n, a, b = (t[c].to_numpy() for c in ("node", "label", "n", "a", "b"))
@@ -291,10 +322,15 @@ def _links_within(percent: int):
         none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         if len(use) < 2:
             return none
-        sets = t["v"].combine_chunks().take(pa.array(use))
-        sizes = sets.value_lengths().to_numpy().astype(np.int64)
+        sets = t["v"].take(pa.array(use))
+        if pa.types.is_binary(sets.type):
+            sets = [np.frombuffer(v.as_buffer(), np.int64) for v in sets]
+            sizes, flat = np.array([len(v) for v in sets], np.int64), np.concatenate(sets)
+        else:
+            sets = sets.combine_chunks()
+            sizes, flat = sets.value_lengths().to_numpy().astype(np.int64), sets.flatten().to_numpy()
         owner = np.repeat(np.arange(len(use)), sizes)
-        of, at = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        of, at = np.unique(flat, return_inverse=True)
         order = np.argsort(at, kind="stable")
         owner, at = owner[order], at[order]
         shared = np.zeros((len(use), len(use)), np.float32)
@@ -307,21 +343,75 @@ def _links_within(percent: int):
         total = (n[use][:, None] + n[use]).astype(np.int64)
         inter = (total - (sizes[:, None] + sizes - 2 * shared.astype(np.int64))) / 2
         linked = open_[np.ix_(use, use)] & (100 * inter >= percent * (total - inter))
-        out, seen = [], np.zeros(len(use), bool)
-        for root in range(len(use)):
-            todo = [] if seen[root] else [root]
-            seen[root] = True
-            while todo:
-                i = todo.pop()
-                new = np.flatnonzero(linked[i] & ~seen)
-                seen[new] = True
-                todo += new.tolist()
-                out += [(node[use[i]], node[use[j]]) for j in new]
+        out = [(node[use[i]], node[use[j]]) for i, j in _forest(linked)]
         return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())}) if out else none
 
     return run
 
 
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a symmetric matrix of links, tree by tree, roots first."""
+    out, seen = [], np.zeros(len(linked), bool)
+    for root in range(len(linked)):
+        todo = [] if seen[root] else [root]
+        seen[root] = True
+        while todo:
+            i = todo.pop()
+            new = np.flatnonzero(linked[i] & ~seen)
+            seen[new] = True
+            todo += new.tolist()
+            out += [(i, j) for j in new.tolist()]
+    return out
+
+
+def _likely(percent: int):
+    """Whole buckets (members: node, label, n, profile) -> (bucket, node) of what may be linked with others of another label,
+    a bucket for each group that this holds together. It is named by its members, so that it is one wherever they meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for members in b["members"]:
+                t = members.values
+                order = np.argsort(t.field("node").to_numpy())
+                node, label, n = (t.field(c).to_numpy()[order] for c in ("node", "label", "n"))
+                profiles = np.frombuffer(b"".join(t.field("profile").to_pylist()), np.uint8).reshape(-1, PROFILE)[order]
+                may = np.zeros((len(node), len(node)), bool)
+                for i in range(len(node) - 1):
+                    others = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+                    inter = shared_at_most(profiles[i], int(n[i]), profiles[others], n[others])
+                    may[i, others] = 100 * inter >= percent * (n[i] + n[others] - inter)
+                trees: dict[int, list[int]] = {}
+                for i, j in _forest(may | may.T):
+                    tree = trees.setdefault(i, [i])
+                    tree.append(j)
+                    trees[j] = tree
+                for tree in {id(v): v for v in trees.values()}.values():
+                    held = np.sort(node[tree])
+                    name = int.from_bytes(xxhash.xxh64_digest(held.tobytes()), "little", signed=True)
+                    out += [(name, v) for v in held.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in out], pa.int64()), pa.array([v for _, v in out], pa.int64())], names=["bucket", "node"])
+
+    return run
+
+
+def _links_inside(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The links (a, b) that join what holds together in buckets (bucket, node, many) of SMALL_BUCKET members at most; and the
+    table that they read, to be dropped when they are written.
+
+    A member moves once a bucket with the PROFILE bytes of its profile, and with its set only if a profile says that it
+    may have a link, so that what moves and what joins give grows as the members do. Only the comparisons inside a
+    task are quadratic in a bucket.
+    """
+    narrow = labels.join(sets.select("node", "profile", F.expr("octet_length(s) div 8").cast("long").alias("n")), "node")
+    whole = buckets.join(narrow, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "label", "n", "profile")).alias("members"))
+    likely = written(whole.mapInArrow(_likely(percent), "bucket long, node long").distinct(), "likely")
+    few = likely.join(labels, "node").join(sets.select("node", "s"), "node")
+    every = [F.lit(False).alias("ok"), F.lit(True).alias("small"), F.lit(0.0).alias("a"), F.lit(0.0).alias("b")]
+    few = few.select("bucket", "node", "label", *every, F.expr("octet_length(s) div 8").cast("long").alias("n"), F.col("s").alias("v"))
+    return few.groupBy("bucket").applyInArrow(_links_within(percent), "a long, b long").distinct(), likely
+
+
 def _possible(keys: DataFrame) -> DataFrame:
     """What the members of a bucket that may yet hold a link need of each other, for buckets that do."""
     x = keys.groupBy("bucket").agg(F.max("b").alias("most_b"), F.min("a").alias("least_a"), F.count(F.lit(1)).alias("many"), F.min("label").alias("p"), F.max("label").alias("q"), F.max("small").alias("s"), F.min("ok").alias("o"))
@@ -340,8 +430,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, carry: tuple[Column, ...
 
     Scale: equal word sequences meet by digest first, with partial minima, and one of each goes on. Signatures are
     made where texts are read; what moves is band keys, then the sets of the members of buckets. A bucket, however
-    large, gives as many pairs as members; of what that leaves open (see ``_residual``), buckets of SMALL_BUCKET members
-    at most give their possible pairs and larger ones go round again. Links and labels stay in tables.
+    large, gives as many pairs as members; of what that leaves open, buckets of SMALL_BUCKET members at most are settled
+    inside a task (see ``_links_inside``) and larger ones go round again (see ``_residual``). Links and labels stay in
+    tables.
     """
     ship(docs.sparkSession)
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
@@ -371,28 +462,38 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     if used.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = x.join(ids, x["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-    sets = texts.mapInArrow(_keyed_sets, "key binary, s binary").join(used.select("key", "node"), "key").groupBy("node").agg(F.any_value("s").alias("s"))
+    sets = texts.mapInArrow(_keyed_sets, "key binary, s binary, profile binary").join(used.select("key", "node"), "key").groupBy("node").agg(F.any_value("s").alias("s"), F.any_value("profile").alias("profile"))
     sets = written(sets, "sets")
     hub_sets = sets.select(F.col("node").alias("hub"), F.col("s").alias("hub_set"))
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets, "node").join(hub_sets, "hub").select("hub", "node", "hub_set", "s")
-        return written(both.mapInArrow(_compare(percent), "hub long, node long, n long, ok boolean, diff array<long>, own array<long>"), "compared")
+    def compared(pairs: DataFrame, rest: bool) -> DataFrame:
+        both = pairs.join(sets.select("node", "s"), "node").join(hub_sets, "hub").select("hub", "node", "hub_set", "s")
+        if rest:
+            return written(both.mapInArrow(_compare(percent), "hub long, node long, n long, ok boolean, diff array<long>, own array<long>"), "compared")
+        return written(both.mapInArrow(_linked(percent), "hub long, node long, ok boolean"), "compared")
 
     def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
         return components(labels, found.where("ok").select(F.col("hub").alias("a"), F.col("node").alias("b")))
 
-    # First each node with the least of its hubs, which settles most buckets; then whole buckets, as long as any is left.
+    # First each node with the least of its hubs, which settles most buckets; then what small ones leave; then whole large
+    # ones, as long as any is left.
     labels = used.select("node", F.col("node").alias("label"))
-    found = compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub")))
+    found = compared(_with_hubs(inside).groupBy("node").agg(F.min("hub").alias("hub")), rest=False)
     labels = joined(labels, found)
-    left = written(_unsettled(inside, labels), "left")
+    open_ = written(_unsettled(inside, labels), "open")
     dropped(found, inside)
+    links, likely = _links_inside(open_.where(F.col("many") <= SMALL_BUCKET), labels, sets, percent)
+    links = written(links, "links")
+    dropped(likely)
+    if links.limit(1).count():
+        labels = components(labels, links)
+    left = written(_unsettled(open_.where(F.col("many") > SMALL_BUCKET), labels), "left")
+    dropped(open_, links)
     first = True
     while left.limit(1).count():
         groups = _with_hubs(left).select(F.col("hub" if first else "bucket").alias("grp"), "hub", "node").distinct()
         groups, first = written(groups, "groups"), False
-        found = compared(groups.select("hub", "node").distinct())
+        found = compared(groups.select("hub", "node").distinct(), rest=True)
         labels = joined(labels, found)
         links, new, read = _residual(found, groups, labels, percent)
         links, new = written(links, "links"), written(new, "left")

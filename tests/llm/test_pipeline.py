@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from duskfield.llm import minhash, mixing
+from duskfield.llm import minhash, mixing, quality_rules
 
 DATA = "/root/testdata/sf0.001"
 
@@ -215,3 +215,52 @@ def test_ties_of_near_dedup(spark):
 def test_line_dedup_without_character_counts(spark):
     docs = spark.createDataFrame([(k, "a line of more than twenty characters", k) for k in range(3)], "doc_id long, text string, row int")
     assert corpus_pipeline.line_dedup(spark, docs, DATA).columns == ["doc_id", "text", "row"]
+
+
+def _names_written(monkeypatch, module):
+    names, put = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: names.append(name) or put(df, name))
+    return names
+
+
+@pytest.mark.parametrize("most", [quality_rules.BROADCAST_HOSTS, 0])
+def test_quality_rules_write_no_texts(spark, monkeypatch, most):
+    """The stage keeps brute force's rows, bad hosts and one without a name among them, and writes sums by host only."""
+    monkeypatch.setattr(quality_rules, "BROADCAST_HOSTS", most)
+    names = _names_written(monkeypatch, quality_rules)
+    text = lambda k: " ".join(f"word{k}x{i}" for i in range(12 if k % 7 else 5))
+    rows = [{"doc_id": k, "text": text(k) + " #$%" * (h in (3, 8) and k % 3 > 0), "source": None if h == 3 else f"h{h}"} for h in range(30) for k in range(40 * h, 40 * h + 40)]
+    want = brute_quality(rows)
+    assert any(r["source"] == "h8" for r in want) and sum(r["source"] is None for r in want) < 15
+    docs = spark.createDataFrame([tuple(r.values()) for r in rows], "doc_id long, text string, source string")
+    got = corpus_pipeline.quality_rules(spark, docs, DATA)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in want)
+    assert names == ["hosts", "rates"] + ["counts"] * (not most)
+
+
+def test_small_buckets_move_no_elements(spark, monkeypatch):
+    """What hubs leave open in small buckets is settled without a row for each element, with brute force's classes."""
+    names = _names_written(monkeypatch, minhash)
+    random.seed(6)
+    texts = []
+    for i in range(60):  # copies at similarities of about 0.4 to 1
+        x = [f"b{k}" for k in range(150)]
+        for _ in range(random.choice([0, 2, 5, 6, 7, 8, 10, 12])):
+            x[random.randrange(len(x))] = f"r{i}"
+        texts.append(" ".join(x))
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), percent=80).where("kept")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in brute_near(rows))
+    assert "likely" in names and not {"apart", "keys"} & set(names)
+
+
+def test_profiles_bound_what_sets_share():
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 400, 200_000):  # the last one fills its ranges
+        pool = rng.integers(0, 1 << 64, 2 * n, dtype=np.uint64)
+        sets = [np.unique(rng.choice(pool, n)) for _ in range(4)]
+        profiles, sizes = np.array([minhash.profile(s) for s in sets]), np.array([len(s) for s in sets])
+        for i, s in enumerate(sets):
+            most = minhash.shared_at_most(profiles[i], len(s), profiles, sizes)
+            assert most[i] == len(s)
+            assert all(most[j] >= len(np.intersect1d(s, v)) for j, v in enumerate(sets))
