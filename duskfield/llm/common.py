@@ -87,6 +87,27 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Bytes of a table, as Spark estimates them, up to which ``small_broadcasts`` lets it be broadcast.
+SMALL_TABLE = 256 << 10
+
+
+@contextmanager
+def small_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside broadcast tables of SMALL_TABLE bytes at most unasked, or fewer if the session says so.
+
+    Spark goes by the bytes of files or shuffled rows. In the driver a table of ids takes twenty times that of its files.
+    """
+    before = {key: spark.conf.get(key, None) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    held = {key: v for key, v in before.items() if v and not v.startswith("-") and spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(v) > SMALL_TABLE}
+    try:
+        for key in held:
+            spark.conf.set(key, str(SMALL_TABLE))
+        yield
+    finally:
+        for key, v in held.items():
+            spark.conf.set(key, v)
+
+
 _shipped: set[str] = set()
 #: Bytes that pass to Python at a time, where the session doesn't say otherwise: texts differ in length a thousandfold.
 BATCH_BYTES = 4 << 20

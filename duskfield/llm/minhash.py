@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, dropped, ship, written
+from .common import arrow_batches, dropped, ship, small_broadcasts, written
 
 WORDS_PER_SHINGLE = 5
 UNIVERSE_BITS = 20
@@ -41,8 +41,11 @@ PROFILE = 256
 WORD_CACHE = 1 << 16
 #: Rows that pass to Python at a time.
 BATCH_ROWS = 1000
-#: Ids of texts to read again are broadcast up to so many (about 16 MB); more are met by a shuffle.
-BROADCAST_IDS = 1 << 20
+#: Texts to read again are told by a bitmap of their ids' hashes, broadcast in blocks of BLOCK_BITS: ID_BITS for each id, and
+#: ID_BLOCKS blocks at most (16 MB), beyond which more texts pass that aren't needed.
+BLOCK_BITS = 1 << 15
+ID_BITS = 16
+ID_BLOCKS = 1 << 12
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -191,12 +194,25 @@ def _compare(percent: int):
     return run
 
 
+def _some_ids(rows: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """``rows`` whose ``id`` is one of the ``count`` that ``ids`` has, and a few more (one in ID_BITS of the others, about).
+
+    What is broadcast is two bytes an id, where a table of ids takes a hundred; and it has a bound.
+    """
+    blocks = max(1, min(ID_BLOCKS, math.ceil(ID_BITS * count / BLOCK_BITS)))
+    place = F.expr(f"pmod(xxhash64(id), {blocks * BLOCK_BITS})")
+    block, bit = (place / BLOCK_BITS).cast("int"), (place % BLOCK_BITS).cast("int")
+    bits = ids.select(block.alias("block"), bit.alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8) + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(bits), (block == F.col("block")) & (F.getbit(byte, bit % 8) == 1), "left_semi")
+
+
 def _label_salted(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
 
 
 def _for_label_salts(labels: DataFrame) -> DataFrame:
-    return labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    return labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1)))).hint("merge")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -229,7 +245,7 @@ def _salted(members: DataFrame) -> DataFrame:
 
 def _for_salts(buckets: DataFrame) -> DataFrame:
     """A row of each bucket (bucket, many, ...) for each of its salts."""
-    return buckets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"many div {SALT_ROWS}")))).drop("many")
+    return buckets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"many div {SALT_ROWS}")))).drop("many").hint("merge")
 
 
 def _with_hubs(buckets: DataFrame) -> DataFrame:
@@ -432,10 +448,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, carry: tuple[Column, ...
     made where texts are read; what moves is band keys, then the sets of the members of buckets. A bucket, however
     large, gives as many pairs as members; of what that leaves open, buckets of SMALL_BUCKET members at most are settled
     inside a task (see ``_links_inside``) and larger ones go round again (see ``_residual``). Links and labels stay in
-    tables.
+    tables; joins of tables that grow with the documents are sorted, so that the driver holds none of these. A table of
+    salts is marked so wherever it is made, as Spark estimates it by what it was before.
     """
     ship(docs.sparkSession)
-    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+    with arrow_batches(docs.sparkSession, BATCH_ROWS), small_broadcasts(docs.sparkSession):
         return _near_duplicates(docs, percent, carry, id_col, text_col)
 
 
@@ -458,10 +475,7 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
     used = written(ranked.join(classes.select(F.col("node").alias("old"), "key", "least"), "old").select("node", "key", "least"), "used")
     inside = written(members.select("bucket", F.col("node").alias("old"), "many").join(ranked, "old").select("bucket", "node", "many"), "inside")
     dropped(members, ranked)
-    ids = used.select(F.col("least").alias("id")).distinct()
-    if used.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = x.join(ids, x["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
+    texts = _some_ids(x, used.select(F.col("least").alias("id")), used.count()).select("text")
     sets = texts.mapInArrow(_keyed_sets, "key binary, s binary, profile binary").join(used.select("key", "node"), "key").groupBy("node").agg(F.any_value("s").alias("s"), F.any_value("profile").alias("profile"))
     sets = written(sets, "sets")
     hub_sets = sets.select(F.col("node").alias("hub"), F.col("s").alias("hub_set"))
@@ -503,11 +517,11 @@ def _near_duplicates(docs: DataFrame, percent: int, carry: tuple[Column, ...], i
         left = written(_unsettled(new, labels), "left")
         dropped(links, new)
     dropped(left, sets)
-    named = used.join(labels, "node")
+    named = used.join(labels.hint("merge"), "node")
     roots = _for_label_salts(named.groupBy("label").agg(F.min("least").alias("root")))
     roots = _label_salted(named).join(roots, ["label", "salt"]).select("key", "root")
-    found = classes.select("key", "least").join(roots, "key", "left").select("key", F.coalesce("root", "least").alias("component"))
+    found = classes.select("key", "least").join(roots.hint("merge"), "key", "left").select("key", F.coalesce("root", "least").alias("component"))
     # Texts without words, which all have one key, don't meet.
-    out = rows.where("n > 0").join(found, "key").unionByName(rows.where("n = 0").withColumn("component", F.col("id")))
+    out = rows.where("n > 0").join(found.hint("merge"), "key").unionByName(rows.where("n = 0").withColumn("component", F.col("id")))
     component = F.col("component")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *[F.col("extra").getField(c).alias(c) for c in x.schema["extra"].dataType.names[1:]])

@@ -264,3 +264,53 @@ def test_profiles_bound_what_sets_share():
             most = minhash.shared_at_most(profiles[i], len(s), profiles, sizes)
             assert most[i] == len(s)
             assert all(most[j] >= len(np.intersect1d(s, v)) for j, v in enumerate(sets))
+
+
+def _broadcasts(df):
+    """What the plan that ran for ``df`` has below each of its broadcasts."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    out = []
+    for i, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            depth = line.index("BroadcastExchange")
+            below = next((j for j in range(i + 1, len(plan)) if len(plan[j]) - len(plan[j].lstrip(" :|+-*")) <= depth), len(plan))
+            out.append("\n".join(plan[i:below]))
+    return out
+
+
+def test_near_dedup_keeps_growing_tables_out_of_the_driver(spark, monkeypatch):
+    """Salts multiply rows that Spark estimates as they were before; tables of ids take much more memory than files."""
+    rng, found, held = random.Random(3), [], []
+    texts = [[f"g{g}_{rng.randrange(10**6)}" for _ in range(60)] for g in range(30)]
+    rows = [(10 * g + c, " ".join(t[c:]), "s") for g, t in enumerate(texts) for c in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    write, key = minhash.written, "spark.sql.autoBroadcastJoinThreshold"
+
+    def spied(df, name):
+        held.append((name, spark.conf.get(key)))
+        found.extend((name, b) for b in (_broadcasts(df) if name in ("labels", "sets", "stay") else []))
+        return write(df, name)
+
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10485760b")
+    try:
+        monkeypatch.setattr(minhash, "written", spied)
+        monkeypatch.setattr(corpus_pipeline, "written", spied)
+        out = corpus_pipeline.near_dedup(spark, docs, DATA)
+        assert not _broadcasts(out)
+    finally:
+        spark.conf.set(key, before)
+    assert {v for name, v in held if name != "stay"} == {str(1 << 18)} and dict(held)["stay"] == "10485760b"
+    assert not [b for name, b in found if name == "stay" or "salt" in b]
+    assert [name for name, b in found if "bitmap_construct_agg" in b] == ["sets"]
+    assert sorted(r["doc_id"] for r in out.collect()) == [10 * g for g in range(30)]
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_texts_to_read_again_are_told_by_a_bitmap(spark, kind):
+    x = spark.range(40_000).selectExpr(f"cast(if(id = 7, null, id) as {kind}) id", "id n")
+    got = minhash._some_ids(x, x.where("n % 40 = 7").select("id"), 1000).select("n").collect()
+    got = {r["n"] for r in got}
+    assert got >= set(range(7, 40_000, 40))
+    assert len(got) < 40_000 // 10
